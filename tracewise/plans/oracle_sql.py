@@ -55,33 +55,41 @@ SELECT id, ts AS event_ts, role, type AS event_type, uid AS entity_id, uidType A
   errorCode, itemSource, itemType, newpath, oldpath, path, run, token, "trigger", uidOwner, "user"
 FROM raw"""
 
-CTES["nodes"] = f"""
+def nodes_sql(src: str = "bronze") -> str:
+    return f"""
 SELECT DISTINCT 'share_obj_' || itemSource AS id, 'share_obj_' || itemSource AS name,
   'share_obj_' || itemType AS entity_type, CAST(NULL AS VARCHAR) AS entity_role
-FROM bronze WHERE entity_type = 'name' AND event_type IN {SHARES} AND itemSource IS NOT NULL AND itemType IS NOT NULL
+FROM {src} WHERE entity_type = 'name' AND event_type IN {SHARES} AND itemSource IS NOT NULL AND itemType IS NOT NULL
 UNION
 SELECT DISTINCT 'user_' || entity_id, 'user_' || entity_id, 'user', role
-FROM bronze WHERE entity_type = 'name' AND entity_id IS NOT NULL
+FROM {src} WHERE entity_type = 'name' AND entity_id IS NOT NULL
 UNION
 SELECT DISTINCT 'root_folder_' || {ROOT}, 'root_folder_' || {ROOT}, 'root_folder', CAST(NULL AS VARCHAR)
-FROM bronze WHERE entity_type = 'name' AND event_type IN {FILES} AND length(path) > 1"""
+FROM {src} WHERE entity_type = 'name' AND event_type IN {FILES} AND length(path) > 1"""
+
+
+CTES["nodes"] = nodes_sql()
 
 CTES["node_table"] = """
 SELECT id, name, entity_type, MAX(entity_role) AS entity_role FROM nodes GROUP BY id, name, entity_type"""
 
-CTES["edges"] = f"""
+def edges_sql(src: str = "bronze") -> str:
+    return f"""
 SELECT DISTINCT id, event_ts, event_type AS relationship, 'user_' || uidOwner AS src,
   'share_obj_' || itemSource AS dst, 'user_' || token AS entity_sub_relationship,
   itemType AS item_type_shared, {STATUS} AS status
-FROM bronze WHERE entity_type = 'name' AND event_type = 'shared_link'
+FROM {src} WHERE entity_type = 'name' AND event_type = 'shared_link'
 UNION
 SELECT DISTINCT id, event_ts, event_type, 'share_obj_' || itemSource, 'user_' || token, 'user_' || uidOwner,
   itemType, {STATUS}
-FROM bronze WHERE entity_type = 'name' AND event_type = 'public_share_accessed'
+FROM {src} WHERE entity_type = 'name' AND event_type = 'public_share_accessed'
 UNION
 SELECT DISTINCT id, event_ts, event_type, 'user_' || entity_id, 'root_folder_' || {ROOT}, path,
   'local_file', {STATUS}
-FROM bronze WHERE entity_type = 'name' AND event_type IN {FILES} AND length(path) > 1"""
+FROM {src} WHERE entity_type = 'name' AND event_type IN {FILES} AND length(path) > 1"""
+
+
+CTES["edges"] = edges_sql()
 
 CTES["sysf"] = f"""
 SELECT dst AS id, CAST(COUNT(*) AS INTEGER) AS inDegree FROM edges

@@ -6,9 +6,6 @@ full. Column names are aliased identically on both sides.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracewise.functions.scalar import register_sql_functions
@@ -18,24 +15,11 @@ from tracewise.operators import features as feat
 from tracewise.operators import graph as gr
 from tracewise.operators import logs as lg
 from tracewise.operators import profile as pf
+from tracewise.plans.catalog import query
 from tracewise.plans.lake import Lake
 from tracewise.plans.oracle_sql import FILES, LOGINS, SHARES, with_ctes
 from tracewise.sources import json_logs, text_logs
 
-QueryFn = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, QueryFn] = {}
-ORACLES: dict[str, str] = {}
-
-
-def query(name: str, oracle: str | None = None):
-    def deco(fn):
-        QUERIES[name] = fn
-        if oracle is not None:
-            ORACLES[name] = oracle
-        return fn
-    return deco
-
-
 FEATURE_LIST = ", ".join(FEATURES)
 FLAT_META = ("errorCode, itemSource, itemType, newpath, oldpath, path, run, token, \"trigger\", uidOwner, \"user\"")
 
