@@ -1,3 +1,181 @@
-"""Anomaly-model queries."""
+"""Anomaly-model queries."""
 
 from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tracewise.functions.vocabulary import FEATURES
+from tracewise.operators import anomaly as an
+from tracewise.operators import features as feat
+from tracewise.operators import graph as gr
+from tracewise.operators.knn import knn_scores
+from tracewise.operators.upsert import upsert
+from tracewise.plans.catalog import query
+from tracewise.plans.lake import Lake
+from tracewise.plans.oracle_sql import LOGINS, with_ctes
+from tracewise.session import shared_dir
+
+FEATS = list(FEATURES)
+K = 5
+BUCKET_SQL = "CAST(('0x' || substr(md5(id), 1, 8)) AS BIGINT) % 10"
+SPLIT_CTE = ("split", f"SELECT *, {BUCKET_SQL} AS bucket, CASE WHEN {BUCKET_SQL} < 1 THEN 'test' ELSE 'train' END "
+                      "AS split FROM training_frame")
+TRAIN_CTE = ("train", "SELECT * FROM split WHERE split = 'train'")
+
+
+def _train(lake: Lake):
+    return an.train_test_split(lake.training_frame, "id").filter(F.col("split") == "train").drop("bucket", "split")
+
+
+@query("train_test_split", with_ctes("SELECT * FROM split", "training_frame", extra=[SPLIT_CTE]))
+def q_train_test_split(spark, sf_dir):
+    """M2: reproducible 90/10 hash split of the training frame."""
+    return an.train_test_split(Lake(spark, sf_dir).training_frame, "id")
+
+
+def _knn_sql(points: str, ref: str, pid: str, exclude_self: bool) -> str:
+    dist = " + ".join(f"(a.{c} - b.{c}) * (a.{c} - b.{c})" for c in FEATS)
+    cond = "a.id <> b.id" if exclude_self else "TRUE"
+    return (f"SELECT a.{pid} AS qid, sqrt({dist}) AS d FROM {points} a JOIN {ref} b ON {cond}")
+
+
+@query("knn_anomaly_score", with_ctes(
+    f"SELECT qid AS id, ROUND(d, 6) AS score FROM (SELECT qid, d, row_number() OVER (PARTITION BY qid ORDER BY d) rn "
+    f"FROM pairs) t WHERE rn = {K}", "training_frame",
+    extra=[SPLIT_CTE, TRAIN_CTE, ("pairs", _knn_sql("train", "train", "id", True))]))
+def q_knn_anomaly_score(spark, sf_dir):
+    """M3: distance to the 5th nearest other training row (exact)."""
+    tr = _train(Lake(spark, sf_dir))
+    return knn_scores(tr, "id", FEATS, k=K).select("id", F.round("score", 6).alias("score"))
+
+
+_ECOD_EXTRA = [
+    ("long", "SELECT id, feature, CAST(value AS DOUBLE) AS value FROM (UNPIVOT training_frame ON "
+             + ", ".join(FEATS) + " INTO NAME feature VALUE value)"),
+    ("cnt", "SELECT feature, value, COUNT(*) AS c FROM long GROUP BY feature, value"),
+    ("cum", "SELECT feature, value, c, SUM(c) OVER (PARTITION BY feature ORDER BY value) AS cum_le, "
+            "SUM(c) OVER (PARTITION BY feature) AS n FROM cnt"),
+    ("sk", "SELECT feature, skewness(value) AS skew FROM long GROUP BY feature"),
+    ("tails", "SELECT cum.feature, value, -ln(cum_le / n) AS u_l, -ln((n - cum_le + c) / n) AS u_r, "
+              "CASE WHEN skew < 0 THEN -ln(cum_le / n) ELSE -ln((n - cum_le + c) / n) END AS u_s "
+              "FROM cum JOIN sk ON cum.feature = sk.feature"),
+]
+
+
+@query("ecod_score", with_ctes(
+    "SELECT id, ROUND(SUM(u_l), 6) AS o_left, ROUND(SUM(u_r), 6) AS o_right, ROUND(SUM(u_s), 6) AS o_auto, "
+    "ROUND(GREATEST(SUM(u_l), SUM(u_r), SUM(u_s)), 6) AS score FROM long JOIN tails USING (feature, value) GROUP BY id",
+    "training_frame", extra=_ECOD_EXTRA))
+def q_ecod_score(spark, sf_dir):
+    """M4 ECOD over the 12 features of every user."""
+    s = an.ecod_scores(Lake(spark, sf_dir).training_frame, "id", FEATS)
+    return s.select("id", *[F.round(c, 6).alias(c) for c in ["o_left", "o_right", "o_auto", "score"]])
+
+
+@query("roc_auc", """
+WITH s AS (SELECT CAST(d.n_chars AS DOUBLE) AS s, l.toxic AS y FROM documents d JOIN labels l ON d.doc_id = l.doc_id
+           WHERE d.n_chars IS NOT NULL AND l.toxic IS NOT NULL),
+g AS (SELECT s, SUM(CASE WHEN y = 1 THEN 1 ELSE 0 END) AS pos, COUNT(*) AS c FROM s GROUP BY s),
+r AS (SELECT *, SUM(c) OVER (ORDER BY s) - c + (c + 1) / 2.0 AS avg_rank FROM g)
+SELECT ROUND((SUM(pos * avg_rank) - SUM(pos) * (SUM(pos) + 1) / 2.0) / (SUM(pos) * (SUM(c) - SUM(pos))), 6) AS auc,
+  CAST(SUM(pos) AS BIGINT) AS n_pos, CAST(SUM(c) - SUM(pos) AS BIGINT) AS n_neg FROM r""")
+def q_roc_auc(spark, sf_dir):
+    """M5: ROC-AUC of a score against ground truth (document length vs the toxic label)."""
+    lake = Lake(spark, sf_dir)
+    scored = lake.table("documents").select("doc_id", "n_chars").join(
+        lake.table("labels").select("doc_id", "toxic"), "doc_id")
+    return an.roc_auc(scored, "n_chars", "toxic").select(F.round("auc", 6).alias("auc"), "n_pos", "n_neg")
+
+
+def _batch_scores(lake: Lake):
+    return knn_scores(lake.rolling_frame, "user_id", FEATS, reference=_train(lake), ref_id_col="id", k=K)
+
+
+@query("score_active_batch", with_ctes(
+    f"SELECT qid AS user_id, ROUND(d, 6) AS score FROM (SELECT qid, d, row_number() OVER (PARTITION BY qid ORDER BY d) rn "
+    f"FROM pairs) t WHERE rn = {K}", "training_frame", "rolling_frame",
+    extra=[SPLIT_CTE, TRAIN_CTE, ("pairs", _knn_sql("rolling_frame", "train", "user_id", False))]))
+def q_score_active_batch(spark, sf_dir):
+    """M6: the active batch's rolling features scored against the training rows (kNN)."""
+    return _batch_scores(Lake(spark, sf_dir)).select("user_id", F.round("score", 6).alias("score"))
+
+
+@query("anomaly_predictions", with_ctes(
+    "SELECT f.*, ROUND(s.d, 6) AS predictions FROM rolling_frame f LEFT JOIN "
+    f"(SELECT qid, d FROM (SELECT qid, d, row_number() OVER (PARTITION BY qid ORDER BY d) rn FROM pairs) t "
+    f"WHERE rn = {K}) s ON s.qid = f.user_id", "training_frame", "rolling_frame",
+    extra=[SPLIT_CTE, TRAIN_CTE, ("pairs", _knn_sql("rolling_frame", "train", "user_id", False))]))
+def q_anomaly_predictions(spark, sf_dir):
+    """M9 + D12 + D14: features + predictions + prediction_timestamp, overwritten as a table
+    and read back (the timestamp is checked separately, not compared)."""
+    lake = Lake(spark, sf_dir)
+    scores = _batch_scores(lake).withColumn("score", F.round("score", 6))
+    pred = an.with_predictions(lake.rolling_frame, scores, "user_id")
+    path = shared_dir(spark, "prod_anomaly_predictions")
+    pred.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path).drop("prediction_timestamp")
+
+
+# --------------------------------------------------------------------------- prose features
+
+
+@query("reciprocal_heavy_writers", with_ctes(
+    "SELECT p.a_id AS id, p.n_pairs, w.n_writes FROM "
+    "(SELECT e.src AS a_id, COUNT(*) AS n_pairs FROM edges e JOIN edges e2 ON e.dst = e2.src AND e.src = e2.dst "
+    " WHERE e.src LIKE 'user_%' GROUP BY e.src) p JOIN "
+    "(SELECT src, COUNT(DISTINCT id) AS n_writes FROM edges WHERE relationship IN ('file_written', 'file_updated') "
+    " GROUP BY src) w ON w.src = p.a_id WHERE w.n_writes >= 10", "edges"))
+def q_reciprocal_heavy_writers(spark, sf_dir):
+    """Users in a reciprocal share motif who also write files often (>= 10 writes)."""
+    edges = Lake(spark, sf_dir).edges
+    pairs = (gr.reciprocal_pair_counts(edges).filter(F.col("a_id").startswith("user_"))
+             .groupBy("a_id").agg(F.sum("n_pairs").alias("n_pairs")))
+    writes = (edges.filter(F.col("relationship").isin("file_written", "file_updated"))
+              .select("src", "id").distinct().groupBy("src").agg(F.count(F.lit(1)).alias("n_writes")))
+    return (pairs.join(writes, pairs["a_id"] == writes["src"]).filter(F.col("n_writes") >= 10)
+            .select(F.col("a_id").alias("id"), "n_pairs", "n_writes"))
+
+
+@query("incremental_feature_refresh", with_ctes(
+    "SELECT entity_id, min_ts, max_ts, LogDurationInDays, TotalFailedAttempts, TotalLoginAttempts FROM ("
+    "SELECT entity_id, MIN(event_ts) AS min_ts, MAX(event_ts) AS max_ts, "
+    "CAST(date_diff('day', MIN(event_ts), MAX(event_ts)) + 1 AS INTEGER) AS LogDurationInDays, "
+    "COUNT(CASE WHEN event_type = 'login_failed' THEN id END) AS TotalFailedAttempts, "
+    "COUNT(CASE WHEN event_type = 'login_attempt' THEN id END) AS TotalLoginAttempts FROM bronze "
+    f"WHERE entity_type = 'name' AND event_type IN {LOGINS} GROUP BY entity_id) s", "bronze"))
+def q_incremental_feature_refresh(spark, sf_dir):
+    """Recompute login features only for users touched by the new batch, upsert them
+    into the table built before the batch; equals a full recompute."""
+    lake = Lake(spark, sf_dir)
+    b = lake.bronze
+    start = F.to_timestamp(F.lit(lake.batch_start))
+    before = feat.login_features(b.filter(F.col("event_ts") < start))
+    touched = b.filter(F.col("event_ts") >= start).select("entity_id").distinct()
+    fresh = feat.login_features(b.join(touched, "entity_id", "left_semi"))
+    cols = ["entity_id", "min_ts", "max_ts", "LogDurationInDays", "TotalFailedAttempts", "TotalLoginAttempts"]
+    return upsert(before.select(*cols), fresh.select(*cols), ["entity_id"])
+
+
+@query("ensemble_score", with_ctes(
+    "SELECT k.id, ROUND((k.r + e.r) / 2.0, 6) AS ensemble_score FROM "
+    "(SELECT id, (SUM(1) OVER (ORDER BY knn RANGE UNBOUNDED PRECEDING) - (COUNT(*) OVER (PARTITION BY knn) - 1) / 2.0) "
+    " / COUNT(*) OVER () AS r FROM kn) k JOIN "
+    "(SELECT id, (SUM(1) OVER (ORDER BY ecod RANGE UNBOUNDED PRECEDING) - (COUNT(*) OVER (PARTITION BY ecod) - 1) / 2.0) "
+    " / COUNT(*) OVER () AS r FROM ec) e ON k.id = e.id", "training_frame", extra=[
+        SPLIT_CTE, TRAIN_CTE, ("pairs", _knn_sql("train", "train", "id", True)),
+        ("kn", f"SELECT qid AS id, ROUND(d, 6) AS knn FROM (SELECT qid, d, row_number() OVER (PARTITION BY qid ORDER BY d) "
+               f"rn FROM pairs) t WHERE rn = {K}"),
+        *_ECOD_EXTRA,
+        ("ec0", "SELECT id, ROUND(GREATEST(SUM(u_l), SUM(u_r), SUM(u_s)), 6) AS ecod FROM long "
+                "JOIN tails USING (feature, value) GROUP BY id"),
+        ("ec", "SELECT ec0.* FROM ec0 JOIN train ON ec0.id = train.id"),
+    ]))
+def q_ensemble_score(spark, sf_dir):
+    """P5: mean of the normalised average ranks of the kNN and ECOD scores (training rows)."""
+    lake = Lake(spark, sf_dir)
+    tr = _train(lake)
+    kn = knn_scores(tr, "id", FEATS, k=K).select("id", F.round("score", 6).alias("s"))
+    ec = (an.ecod_scores(lake.training_frame, "id", FEATS).join(tr.select("id"), "id", "left_semi")
+          .select("id", F.round("score", 6).alias("s")))
+    return an.ensemble_ranks({"knn": kn, "ecod": ec}, "id").select(
+        "id", F.round("ensemble_score", 6).alias("ensemble_score"))
