@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tracewise.functions.vocabulary import API_TS_IN, API_TS_OUT, FOLDER_PREFIX
 
@@ -51,7 +52,7 @@ def register_sql_functions(spark: SparkSession) -> None:
     )
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def clean_timestamp_arrow(raw: pd.Series) -> pd.Series:
     """Vectorised Python twin of :func:`clean_timestamp`, kept for comparison only."""
     text = raw.str.replace("[", "", regex=False)

@@ -68,7 +68,9 @@ def ecod_scores(points: DataFrame, id_col: str, features: list[str], reference:
     distinct (feature, value) counts, so a value shared by a third of the rows
     is one row after the map-side aggregate.
     """
-    reference = points if reference is None else reference
+    same = reference is None
+    points = points.checkpoint()  # read by several jobs below; cut its lineage once
+    reference = points if same else reference.checkpoint()
     ref_long = reference.unpivot([], features, "feature", "value").filter(F.col("value").isNotNull()) \
         .select("feature", F.col("value").cast("double").alias("value"))
     pts_long = points.unpivot([id_col], features, "feature", "value").filter(F.col("value").isNotNull()) \

@@ -123,7 +123,12 @@ def knn_scores(points: DataFrame, id_col: str, features: list[str], reference: D
     used unscaled, as in the source pipeline."""
     if exclude_self is None:
         exclude_self = reference is None
-    reference = points if reference is None else reference
+    # Inputs are read by several jobs (sizes, quantiles, boxes, two passes):
+    # materialise them once instead of recomputing their lineage each time.
+    ensure_checkpoint_dir(points.sparkSession)
+    same = reference is None
+    points = points.checkpoint()
+    reference = points if same else reference.checkpoint()
     ref_id_col = ref_id_col or id_col
     dims = len(features)
     cells = build_cells(reference, ref_id_col, features, cell_rows=cell_rows)
