@@ -15,15 +15,27 @@ from tracewise.operators.bronze import to_bronze
 from tracewise.operators.graph import graph_vertices
 from tracewise.operators.silver import silver_edges, silver_nodes
 from tracewise.operators.upsert import NODE_KEYS, NODE_ORDER, latest_per_key
+from tracewise.session import shared_dir
 from tracewise.sources.fixtures import (
     BATCH_START, CUTOFF, LOOKBACK_DAYS, TOP_K, api_log_lines_from_events, load_table, raw_logs_from_events,
 )
 
 
 class Lake:
+    """Lazy medallion over one data folder.
+
+    With ``materialize=True`` the silver edge table is written once as parquet
+    into the shared checkpoint folder and read back, like the pipeline's own
+    table: the gold features and graph jobs read it several times each, with
+    column pruning and pushed filters, instead of re-deriving it from the raw
+    input per use; the lineage is cut too (an executor loss re-reads files).
+    """
+
     def __init__(self, spark: SparkSession, sf_dir: str, cutoff: str = CUTOFF,
-                 batch_start: str = BATCH_START, lookback_days: int = LOOKBACK_DAYS, top_k: int = TOP_K):
+                 batch_start: str = BATCH_START, lookback_days: int = LOOKBACK_DAYS, top_k: int = TOP_K,
+                 materialize: bool = True):
         self.spark = spark
+        self.materialize = materialize
         self.sf_dir = sf_dir
         self.cutoff = cutoff
         self.batch_start = batch_start
@@ -45,6 +57,13 @@ class Lake:
     def api_lines(self) -> DataFrame:
         return api_log_lines_from_events(self.events)
 
+    def _written(self, df: DataFrame, name: str) -> DataFrame:
+        if not self.materialize:
+            return df
+        path = shared_dir(self.spark, name)
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.parquet(path)
+
     @cached_property
     def bronze(self) -> DataFrame:
         return to_bronze(self.raw)
@@ -59,9 +78,16 @@ class Lake:
         return latest_per_key(self.nodes, NODE_KEYS, NODE_ORDER)
 
     @cached_property
-    def edges(self) -> DataFrame:
+    def edges_lazy(self) -> DataFrame:
+        """The edge rules as a plan (for one-shot consumers)."""
         return silver_edges(self.bronze)
 
+    @cached_property
+    def edges(self) -> DataFrame:
+        """The silver edge table (written once when ``materialize``); read by every
+        gold feature and graph job, each of which uses it several times."""
+        return self._written(self.edges_lazy, "silver_edges")
+
     @cached_property
     def vertices(self) -> DataFrame:
         return graph_vertices(self.node_table)

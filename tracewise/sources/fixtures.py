@@ -29,7 +29,18 @@ TOP_K = 10
 
 
 def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Scan parallelism guard: a scan with fewer splits than the cluster has cores
+    (one small file, one row group) is redistributed round-robin so the per-row
+    work downstream runs on every core. Large inputs already have many splits
+    and are left untouched (no extra shuffle)."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
 
 
 def raw_logs_from_events(events: DataFrame) -> DataFrame:
