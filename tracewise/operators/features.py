@@ -300,3 +300,12 @@ def failed_login_momentum(events: DataFrame, bounds: DataFrame, days=(7, 14, 30)
     return ev.groupBy("entity_id").agg(*[
         F.count(F.when(F.col("event_ts") >= F.col("max_ts") - F.expr(f"INTERVAL {int(d)} DAYS"), 1)).alias(f"failed_{d}d")
         for d in days])
+
+
+def window_for_batch(batch: DataFrame, lookback_days: int) -> RollingWindow:
+    """Rolling window of one micro-batch: its named users and its own last event."""
+    users = (batch.filter((F.col("entity_type") == NAMED_ENTITY) & F.col("entity_id").isNotNull())
+             .select(prefixed(USER_PREFIX, F.col("entity_id")).alias("entity_id")).distinct())
+    bounds = (batch.agg(F.max("event_ts").alias("max_ts"))
+              .select("max_ts", (F.col("max_ts") - F.expr(f"INTERVAL {int(lookback_days)} DAYS")).alias("window_start")))
+    return RollingWindow(users=users, bounds=bounds, static_lower=None)

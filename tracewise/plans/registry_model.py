@@ -179,3 +179,32 @@ def q_ensemble_score(spark, sf_dir):
           .select("id", F.round("score", 6).alias("s")))
     return an.ensemble_ranks({"knn": kn, "ecod": ec}, "id").select(
         "id", F.round("ensemble_score", 6).alias("ensemble_score"))
+
+
+# --------------------------------------------------------------------------- streaming inference
+
+
+def _stream_predictions(spark, sf_dir):
+    from tracewise.plans.registry_io import _stream_bronze
+    from tracewise.streaming import medallion as med
+    lake = Lake(spark, sf_dir)
+    ref = shared_dir(spark, "training_reference")
+    _train(lake).write.mode("overwrite").parquet(ref)
+    bronze = _stream_bronze(spark, sf_dir)
+    out, ckpt = shared_dir(spark, "predictions"), shared_dir(spark, "ckpt_inference")
+    med.run_stream_inference(spark, bronze, ref, out, ckpt, lookback_days=lake.lookback_days,
+                             max_files_per_trigger=8)
+    return out
+
+
+@query("stream_inference")
+def q_stream_inference(spark, sf_dir):
+    """Rolling features + kNN scores per micro-batch; the latest prediction per user."""
+    from tracewise.streaming import medallion as med
+    return med.latest_predictions(spark, _stream_predictions(spark, sf_dir)).drop("prediction_timestamp")
+
+
+@query("prediction_history")
+def q_prediction_history(spark, sf_dir):
+    """Predictions kept per batch id instead of overwritten."""
+    return spark.read.parquet(_stream_predictions(spark, sf_dir)).drop("prediction_timestamp")

@@ -156,3 +156,56 @@ def load_audit(spark: SparkSession, silver_root: str) -> DataFrame:
          .withColumn("table_name", F.lit(table))
         out = per if out is None else out.unionByName(per)
     return out.select("table_name", "batch_id", "rows_in", "rows_updated", "rows_inserted")
+
+
+# --------------------------------------------------------------------------- inference
+
+class InferenceBatchWriter:
+    """The same rolling-feature + scoring function as the batch job, per micro-batch.
+
+    For each micro-batch: rolling features of the batch's users over the bronze
+    history in the lookback window, scored against the training reference;
+    predictions overwrite ``<root>/batch_id=<n>`` (replay-safe), so the folder
+    is also the prediction history (P6).
+    """
+
+    def __init__(self, bronze_dir: str, reference_dir: str, root: str, lookback_days: int = 7, k: int = 5):
+        self.bronze_dir, self.reference_dir, self.root = bronze_dir, reference_dir, root.rstrip("/")
+        self.lookback_days, self.k = lookback_days, k
+
+    def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
+        from tracewise.functions.vocabulary import FEATURES
+        from tracewise.operators import anomaly as an
+        from tracewise.operators import features as feat
+        spark = batch_df.sparkSession
+        history = spark.read.parquet(self.bronze_dir)
+        window = feat.window_for_batch(batch_df, self.lookback_days)
+        edges = silver_edges(history)
+        frame = feat.rolling_feature_frame(
+            window, feat.login_features(history, window=window),
+            feat.file_access_features(edges, feat.top_in_degree(edges), window=window),
+            feat.sharing_features(edges, window=window))
+        reference = spark.read.parquet(self.reference_dir)
+        scores = an.score(frame, "user_id", list(FEATURES), reference, "id", detector="knn", k=self.k)
+        pred = an.with_predictions(frame, scores, "user_id")
+        pred.write.mode("overwrite").parquet(f"{self.root}/batch_id={int(batch_id)}")
+
+
+def run_stream_inference(spark: SparkSession, bronze_dir: str, reference_dir: str, out_root: str,
+                         checkpoint: str, lookback_days: int = 7, max_files_per_trigger: int | None = None) -> None:
+    schema = spark.read.parquet(bronze_dir).schema
+    reader = spark.readStream.schema(schema)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    q = (reader.parquet(bronze_dir).writeStream
+         .foreachBatch(InferenceBatchWriter(bronze_dir, reference_dir, out_root, lookback_days))
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q.awaitTermination()
+    if q.exception():
+        raise RuntimeError(str(q.exception()))
+
+
+def latest_predictions(spark: SparkSession, out_root: str) -> DataFrame:
+    """Current prediction per user: the one from the highest batch id."""
+    hist = spark.read.parquet(out_root)
+    return latest_per_key(hist, ["user_id"], ["batch_id"]).drop("batch_id")
