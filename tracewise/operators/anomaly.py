@@ -60,7 +60,8 @@ def cumulative_by_value(df: DataFrame, group_col: str, value_col: str, weight_co
 def ecod_scores(points: DataFrame, id_col: str, features: list[str], reference: DataFrame | None = None,
                 blocks: int = 64) -> DataFrame:
     """M4 ECOD: per feature j, left tail L = P(X_j <= x_j), right tail R = P(X_j >= x_j)
-    under the reference rows' empirical distribution; O_left = sum -ln L,
+    under the empirical distribution of the reference rows (plus the scored rows
+    when they are new); O_left = sum -ln L,
     O_right = sum -ln R, O_auto uses the left tail where the feature's skewness
     is negative; score = max of the three. ``reference`` defaults to ``points``.
 
@@ -70,7 +71,12 @@ def ecod_scores(points: DataFrame, id_col: str, features: list[str], reference:
     """
     same = reference is None
     points = points.checkpoint()  # read by several jobs below; cut its lineage once
-    reference = points if same else reference.checkpoint()
+    if not same:
+        # new rows are scored against reference + themselves (so no tail is empty),
+        # as the scored batch joins the empirical distribution
+        reference = reference.select(*features).unionByName(points.select(*features)).checkpoint()
+    else:
+        reference = points
     ref_long = reference.unpivot([], features, "feature", "value").filter(F.col("value").isNotNull()) \
         .select("feature", F.col("value").cast("double").alias("value"))
     pts_long = points.unpivot([id_col], features, "feature", "value").filter(F.col("value").isNotNull()) \
@@ -157,3 +163,79 @@ def ensemble_ranks(scores: dict[str, DataFrame], id_col: str) -> DataFrame:
     for c in cols[1:]:
         total = total + c
     return out.select(id_col, (total / len(cols)).alias("ensemble_score"))
+
+
+# --------------------------------------------------------------------------- model runs (M4, M5, M7, M8)
+
+def document_features(documents: DataFrame) -> DataFrame:
+    """Numeric profile of every whole document text (built-in string functions only)."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    n = F.greatest(F.length(text), F.lit(1))
+    return documents.select(
+        "doc_id",
+        F.length(text).cast("double").alias("n_chars"),
+        F.size(F.split(F.trim(text), r"\s+")).cast("double").alias("n_words"),
+        F.size(F.split(text, "\n")).cast("double").alias("n_lines"),
+        (F.length(F.regexp_replace(text, "[^0-9]", "")) / n).alias("digit_frac"),
+        (F.length(F.regexp_replace(text, "[^A-Z]", "")) / n).alias("upper_frac"),
+    )
+
+
+DOC_FEATURES = ["n_chars", "n_words", "n_lines", "digit_frac", "upper_frac"]
+KNN_KS = (3, 5, 10)
+
+
+def model_runs(features: DataFrame, labels: DataFrame, id_col: str, feature_cols: list[str], label_col: str,
+               ks=KNN_KS) -> DataFrame:
+    """M4 + M5: a finite candidate table (kNN for each k, ECOD), each fitted on the
+    training split and scored on the labelled rows; loss = -ROC-AUC.
+
+    One kNN run with the largest k serves every k (sorted neighbour distances).
+    """
+    split = train_test_split(features, id_col)
+    train = split.filter(F.col("split") == "train").select(id_col, *feature_cols)
+    labelled = features.join(labels.select(id_col, label_col), id_col)
+    from tracewise.operators.knn import knn_scores
+    kmax = max(ks)
+    knn = knn_scores(labelled.select(id_col, *feature_cols), id_col, feature_cols, reference=train,
+                     ref_id_col=id_col, k=kmax, exclude_self=True, keep_distances=True)
+    knn = knn.join(labelled.select(id_col, label_col), id_col)
+    runs = []
+    for k in ks:
+        # scores rounded to 9 decimals: ties must not depend on summation order
+        scored = knn.select(F.round(F.element_at("distances", k), 9).alias("s"), label_col)
+        runs.append(roc_auc(scored, "s", label_col).select(
+            F.lit(f"knn_k{k}").alias("model_id"), F.lit("knn").alias("detector"),
+            F.lit(f'{{"k": {k}}}').alias("params"), F.col("auc")))
+    ecod = ecod_scores(labelled.select(id_col, *feature_cols), id_col, feature_cols, reference=train)
+    ecod = ecod.join(labelled.select(id_col, label_col), id_col).withColumn("score", F.round("score", 9))
+    runs.append(roc_auc(ecod, "score", label_col).select(
+        F.lit("ecod").alias("model_id"), F.lit("ecod").alias("detector"), F.lit("{}").alias("params"),
+        F.col("auc")))
+    out = runs[0]
+    for r in runs[1:]:
+        out = out.unionByName(r)
+    return out.select("model_id", "detector", "params", (-F.col("auc")).alias("loss"),
+                      F.when(F.col("auc").isNotNull(), F.lit("FINISHED")).otherwise(F.lit("FAILED")).alias("status"))
+
+
+def select_best(runs: DataFrame) -> DataFrame:
+    """The finished run with the lowest loss (ties: smallest model id)."""
+    return runs.filter(F.col("status") == "FINISHED").orderBy(F.asc("loss"), F.asc("model_id")).limit(1)
+
+
+def model_versions(runs: DataFrame, name: str) -> DataFrame:
+    """M8: every run registered as a version (in model-id order); the best one in
+    stage 'Production', the others 'Archived'."""
+    best = select_best(runs).select(F.col("model_id").alias("_best"))
+    versions = runs.withColumn("version", F.row_number().over(Window.orderBy("model_id")).cast("int"))
+    return (versions.join(F.broadcast(best), F.col("model_id") == F.col("_best"), "left")
+            .select(F.lit(name).alias("name"), "version", "model_id",
+                    F.when(F.col("_best").isNotNull(), F.lit("Production")).otherwise(F.lit("Archived")).alias("stage")))
+
+
+def latest_version(versions: DataFrame, stage: str = "Production") -> DataFrame:
+    """M8: latest version per model name in a stage."""
+    return (versions.filter(F.col("stage") == stage).groupBy("name")
+            .agg(F.max(F.struct("version", "model_id")).alias("v"))
+            .select("name", F.col("v.version").alias("version"), F.col("v.model_id").alias("model_id")))

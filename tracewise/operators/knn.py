@@ -114,13 +114,15 @@ def _visit(cells: DataFrame, queries: DataFrame, k: int) -> DataFrame:
 
 def knn_scores(points: DataFrame, id_col: str, features: list[str], reference: DataFrame | None = None,
                ref_id_col: str | None = None, k: int = 5, cell_rows: int = 2048,
-               max_box_bytes: int = 64 * 1024 * 1024, exclude_self: bool | None = None) -> DataFrame:
+               max_box_bytes: int = 64 * 1024 * 1024, exclude_self: bool | None = None,
+               keep_distances: bool = False) -> DataFrame:
     """(id, score): distance to the k-th nearest reference row.
 
     ``reference`` defaults to ``points``; then (or with ``exclude_self=True``) a
     row never counts as its own neighbour (matched by id). Scoring new rows
     against a training reference keeps every reference row. Feature values are
-    used unscaled, as in the source pipeline."""
+    used unscaled, as in the source pipeline. ``keep_distances`` adds the sorted
+    k nearest distances, so one run serves every smaller k as well."""
     if exclude_self is None:
         exclude_self = reference is None
     # Inputs are read by several jobs (sizes, quantiles, boxes, two passes):
@@ -187,6 +189,8 @@ def knn_scores(points: DataFrame, id_col: str, features: list[str], reference: D
     q2 = q2_in.mapInPandas(other_cells, "qid string, qv array<double>, cell int")
     d2 = _visit(cells_s, q2, k)
     best = d1.unionByName(d2).groupBy("qid").agg(F.sort_array(F.collect_list("d")).alias("ds"))
-    scored = best.select("qid", F.when(F.size("ds") >= k, F.element_at("ds", k)).alias("score"))
-    return (points.select(F.col(id_col), F.col(id_col).cast("string").alias("qid"))
-            .join(scored, "qid", "left").select(id_col, "score"))
+    scored = best.select("qid", F.when(F.size("ds") >= k, F.element_at("ds", k)).alias("score"),
+                         F.slice("ds", 1, k).alias("distances"))
+    out = (points.select(F.col(id_col), F.col(id_col).cast("string").alias("qid"))
+           .join(scored, "qid", "left"))
+    return out.select(id_col, "score", "distances") if keep_distances else out.select(id_col, "score")

@@ -208,3 +208,84 @@ def q_stream_inference(spark, sf_dir):
 def q_prediction_history(spark, sf_dir):
     """Predictions kept per batch id instead of overwritten."""
     return spark.read.parquet(_stream_predictions(spark, sf_dir)).drop("prediction_timestamp")
+
+
+# --------------------------------------------------------------------------- model runs (labelled documents)
+
+_DOC_COLS = ["n_chars", "n_words", "n_lines", "digit_frac", "upper_frac"]
+_T = "COALESCE(text, '')"
+_DOC_CTES = [
+    ("docs", f"""SELECT doc_id,
+      CAST(length({_T}) AS DOUBLE) AS n_chars,
+      CAST(len(regexp_split_to_array(trim({_T}), '\\s+')) AS DOUBLE) AS n_words,
+      CAST(len(string_split({_T}, chr(10))) AS DOUBLE) AS n_lines,
+      length(regexp_replace({_T}, '[^0-9]', '', 'g')) / greatest(length({_T}), 1) AS digit_frac,
+      length(regexp_replace({_T}, '[^A-Z]', '', 'g')) / greatest(length({_T}), 1) AS upper_frac
+    FROM documents"""),
+    ("dtrain", "SELECT * FROM docs WHERE CAST(('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 8)) AS BIGINT) % 10 >= 1"),
+    ("lab", "SELECT d.*, l.toxic FROM docs d JOIN labels l ON d.doc_id = l.doc_id"),
+    ("dpairs", "SELECT a.doc_id AS qid, sqrt(" + " + ".join(f"(a.{c} - b.{c}) * (a.{c} - b.{c})" for c in _DOC_COLS)
+     + ") AS d FROM lab a JOIN dtrain b ON a.doc_id <> b.doc_id"),
+    ("drk", "SELECT qid, d, row_number() OVER (PARTITION BY qid ORDER BY d) AS rn FROM dpairs"),
+    ("dknn", "SELECT qid, " + ", ".join(f"ROUND(MAX(CASE WHEN rn = {k} THEN d END), 9) AS k{k}" for k in an.KNN_KS)
+     + " FROM drk WHERE rn <= 10 GROUP BY qid"),
+    ("dref", "SELECT " + ", ".join(_DOC_COLS) + " FROM dtrain UNION ALL SELECT " + ", ".join(_DOC_COLS) + " FROM lab"),
+    ("dref_long", "SELECT feature, CAST(value AS DOUBLE) AS value FROM (UNPIVOT dref ON " + ", ".join(_DOC_COLS)
+     + " INTO NAME feature VALUE value)"),
+    ("dpts_long", "SELECT doc_id, feature, CAST(value AS DOUBLE) AS value FROM (UNPIVOT (SELECT doc_id, "
+     + ", ".join(_DOC_COLS) + " FROM lab) ON " + ", ".join(_DOC_COLS) + " INTO NAME feature VALUE value)"),
+    ("dcnt", "SELECT feature, value, COUNT(*) AS c FROM dref_long GROUP BY feature, value"),
+    ("dcum", "SELECT feature, value, c, SUM(c) OVER (PARTITION BY feature ORDER BY value) AS cum_le FROM dcnt"),
+    ("dstat", "SELECT feature, COUNT(*) AS n, skewness(value) AS skew FROM dref_long GROUP BY feature"),
+    ("dtails", "SELECT dcum.feature, value, -ln(cum_le / n) AS u_l, -ln((n - cum_le + c) / n) AS u_r, "
+     "CASE WHEN skew < 0 THEN -ln(cum_le / n) ELSE -ln((n - cum_le + c) / n) END AS u_s "
+     "FROM dcum JOIN dstat ON dcum.feature = dstat.feature"),
+    ("decod", "SELECT doc_id AS qid, ROUND(GREATEST(SUM(u_l), SUM(u_r), SUM(u_s)), 9) AS e FROM dpts_long "
+     "JOIN dtails USING (feature, value) GROUP BY doc_id"),
+    ("dscores", "SELECT lab.doc_id, lab.toxic AS y, k.k3, k.k5, k.k10, e.e FROM lab "
+     "LEFT JOIN dknn k ON k.qid = lab.doc_id LEFT JOIN decod e ON e.qid = lab.doc_id"),
+]
+
+
+def _auc_sql(model_id: str, detector: str, params: str, col: str) -> str:
+    g = f"(SELECT {col} AS s, SUM(CASE WHEN y = 1 THEN 1 ELSE 0 END) AS pos, COUNT(*) AS c FROM dscores " \
+        f"WHERE {col} IS NOT NULL AND y IS NOT NULL GROUP BY {col})"
+    r = f"(SELECT *, SUM(c) OVER (ORDER BY s) - c + (c + 1) / 2.0 AS avg_rank FROM {g})"
+    auc = "(SUM(pos * avg_rank) - SUM(pos) * (SUM(pos) + 1) / 2.0) / (SUM(pos) * (SUM(c) - SUM(pos)))"
+    return (f"SELECT '{model_id}' AS model_id, '{detector}' AS detector, '{params}' AS params, "
+            f"ROUND(-{auc}, 6) AS loss, CASE WHEN {auc} IS NOT NULL THEN 'FINISHED' ELSE 'FAILED' END AS status FROM {r}")
+
+
+_RUNS_SQL = " UNION ALL ".join(
+    [_auc_sql(f"knn_k{k}", "knn", f'{{"k": {k}}}', f"k{k}") for k in an.KNN_KS] + [_auc_sql("ecod", "ecod", "{}", "e")])
+_RUN_CTES = _DOC_CTES + [("runs", _RUNS_SQL),
+                         ("best", "SELECT * FROM runs WHERE status = 'FINISHED' ORDER BY loss, model_id LIMIT 1")]
+
+
+def _runs(spark, sf_dir):
+    lake = Lake(spark, sf_dir)
+    feats = an.document_features(lake.table("documents"))
+    runs = an.model_runs(feats, lake.table("labels"), "doc_id", an.DOC_FEATURES, "toxic")
+    return runs.withColumn("loss", F.round("loss", 6))
+
+
+@query("model_runs", with_ctes("SELECT * FROM runs", extra=_RUN_CTES))
+def q_model_runs(spark, sf_dir):
+    """M4 + M5: candidate detectors fitted on the training split of the document profiles,
+    scored on labelled documents; loss = -ROC-AUC against the toxic label."""
+    return _runs(spark, sf_dir)
+
+
+@query("best_model", with_ctes("SELECT * FROM best", extra=_RUN_CTES))
+def q_best_model(spark, sf_dir):
+    """Lowest-loss finished run."""
+    return an.select_best(_runs(spark, sf_dir))
+
+
+@query("latest_production_model", with_ctes(
+    "SELECT 'uba_anomaly_model' AS name, CAST(v.version AS INTEGER) AS version, v.model_id FROM "
+    "(SELECT model_id, row_number() OVER (ORDER BY model_id) AS version FROM runs) v JOIN best b "
+    "ON v.model_id = b.model_id", extra=_RUN_CTES))
+def q_latest_production_model(spark, sf_dir):
+    """M8: register every run as a version, promote the best, fetch the latest production version."""
+    return an.latest_version(an.model_versions(_runs(spark, sf_dir), "uba_anomaly_model"))
