@@ -139,3 +139,18 @@ def test_hash_split_is_stable(spark):
     a = {r["id"]: r["split"] for r in an.train_test_split(tf).collect()}
     b = {r["id"]: r["split"] for r in an.train_test_split(tf).collect()}
     assert a == b and 0 < sum(v == "test" for v in a.values()) < len(a)
+
+
+def test_ensemble_detectors_rank_an_outlier_first(spark):
+    from tracewise.operators.ensembles import iforest_scores, inne_scores
+    rng = np.random.default_rng(3)
+    pts = [(i, float(a), float(b)) for i, (a, b) in enumerate(rng.normal(0, 1, size=(300, 2)))]
+    pts.append((999, 25.0, -25.0))
+    frame = spark.createDataFrame(pts, "id long, a double, b double")
+    for fn in (inne_scores, iforest_scores):
+        got = {r["id"]: r["score"] for r in fn(frame, "id", ["a", "b"], samples=20, psi=16).collect()} \
+            if fn is inne_scores else \
+            {r["id"]: r["score"] for r in fn(frame, "id", ["a", "b"], trees=30, psi=64).collect()}
+        assert len(got) == len(pts)
+        assert all(0.0 <= v <= 1.0 for v in got.values())
+        assert max(got, key=got.get) == 999

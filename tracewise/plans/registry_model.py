@@ -289,3 +289,19 @@ def q_best_model(spark, sf_dir):
 def q_latest_production_model(spark, sf_dir):
     """M8: register every run as a version, promote the best, fetch the latest production version."""
     return an.latest_version(an.model_versions(_runs(spark, sf_dir), "uba_anomaly_model"))
+
+
+@query("inne_score")
+def q_inne_score(spark, sf_dir):
+    """M4 INNE over the training rows (100 samples of 16 centres)."""
+    from tracewise.operators.ensembles import inne_scores
+    tr = _train(Lake(spark, sf_dir)).checkpoint()
+    return inne_scores(tr, "id", FEATS)
+
+
+@query("iforest_score")
+def q_iforest_score(spark, sf_dir):
+    """M4 isolation forest over the training rows (100 trees on 256-row samples)."""
+    from tracewise.operators.ensembles import iforest_scores
+    tr = _train(Lake(spark, sf_dir)).checkpoint()
+    return iforest_scores(tr, "id", FEATS)
