@@ -24,11 +24,13 @@ from tracewise.sources.fixtures import (
 class Lake:
     """Lazy medallion over one data folder.
 
-    With ``materialize=True`` the silver edge table is written once as parquet
-    into the shared checkpoint folder and read back, like the pipeline's own
-    table: the gold features and graph jobs read it several times each, with
-    column pruning and pushed filters, instead of re-deriving it from the raw
+    With ``materialize=True`` the bronze and silver edge tables are written once
+    as parquet into the shared checkpoint folder and read back, like the
+    pipeline's own tables: the gold features and graph jobs read them several
+    times each, with column pruning and pushed filters (``event_ts`` ranges,
+    ``entity_type``, ``relationship``), instead of re-deriving them from the raw
     input per use; the lineage is cut too (an executor loss re-reads files).
+    One-shot queries use the lazy plans (``bronze``, ``nodes``, ``edges_lazy``).
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str, cutoff: str = CUTOFF,
@@ -66,8 +68,16 @@ class Lake:
 
     @cached_property
     def bronze(self) -> DataFrame:
+        """Bronze as a plan (for one-shot consumers)."""
         return to_bronze(self.raw)
 
+    @cached_property
+    def bronze_table(self) -> DataFrame:
+        """The bronze table (written once when ``materialize``): read by the node,
+        edge, login and batch-window jobs, with ``event_ts`` / ``entity_type``
+        filters pushed into the parquet scan."""
+        return self._written(self.bronze, "bronze")
+
     @cached_property
     def nodes(self) -> DataFrame:
         return silver_nodes(self.bronze)
@@ -75,7 +85,7 @@ class Lake:
     @cached_property
     def node_table(self) -> DataFrame:
         """Silver node table: one row per (id, name, entity_type)."""
-        return latest_per_key(self.nodes, NODE_KEYS, NODE_ORDER)
+        return latest_per_key(silver_nodes(self.bronze_table), NODE_KEYS, NODE_ORDER)
 
     @cached_property
     def edges_lazy(self) -> DataFrame:
@@ -86,7 +96,7 @@ class Lake:
     def edges(self) -> DataFrame:
         """The silver edge table (written once when ``materialize``); read by every
         gold feature and graph job, each of which uses it several times."""
-        return self._written(self.edges_lazy, "silver_edges")
+        return self._written(silver_edges(self.bronze_table), "silver_edges")
 
     @cached_property
     def vertices(self) -> DataFrame:
@@ -99,7 +109,7 @@ class Lake:
     # historical gold
     @cached_property
     def hist_login(self) -> DataFrame:
-        return feat.login_features(self.bronze, cutoff=self.cutoff)
+        return feat.login_features(self.bronze_table, cutoff=self.cutoff)
 
     @cached_property
     def hist_files(self) -> DataFrame:
@@ -116,11 +126,11 @@ class Lake:
     # rolling
     @cached_property
     def window(self) -> feat.RollingWindow:
-        return feat.rolling_window(self.bronze, self.batch_start, self.lookback_days)
+        return feat.rolling_window(self.bronze_table, self.batch_start, self.lookback_days)
 
     @cached_property
     def roll_login(self) -> DataFrame:
-        return feat.login_features(self.bronze, window=self.window)
+        return feat.login_features(self.bronze_table, window=self.window)
 
     @cached_property
     def roll_files(self) -> DataFrame:

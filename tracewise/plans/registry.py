@@ -305,7 +305,7 @@ def q_active_user_edges(spark, sf_dir):
 def q_failed_logins_7_14_30(spark, sf_dir):
     """Failed logins over the last 7, 14 and 30 days before the batch's last event."""
     lake = Lake(spark, sf_dir)
-    return feat.failed_login_momentum(lake.bronze, lake.window.bounds, (7, 14, 30))
+    return feat.failed_login_momentum(lake.bronze_table, lake.window.bounds, (7, 14, 30))
 
 
 # --------------------------------------------------------------------------- graph

@@ -147,7 +147,7 @@ def q_incremental_feature_refresh(spark, sf_dir):
     """Recompute login features only for users touched by the new batch, upsert them
     into the table built before the batch; equals a full recompute."""
     lake = Lake(spark, sf_dir)
-    b = lake.bronze
+    b = lake.bronze_table
     start = F.to_timestamp(F.lit(lake.batch_start))
     before = feat.login_features(b.filter(F.col("event_ts") < start))
     touched = b.filter(F.col("event_ts") >= start).select("entity_id").distinct()
