@@ -192,6 +192,7 @@ def model_runs(features: DataFrame, labels: DataFrame, id_col: str, feature_cols
 
     One kNN run with the largest k serves every k (sorted neighbour distances).
     """
+    features = features.checkpoint()  # text profiles feed every candidate; compute them once
     split = train_test_split(features, id_col)
     train = split.filter(F.col("split") == "train").select(id_col, *feature_cols)
     labelled = features.join(labels.select(id_col, label_col), id_col)
