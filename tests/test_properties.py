@@ -154,3 +154,24 @@ def test_ensemble_detectors_rank_an_outlier_first(spark):
         assert len(got) == len(pts)
         assert all(0.0 <= v <= 1.0 for v in got.values())
         assert max(got, key=got.get) == 999
+
+
+def test_excess_mass_matches_numpy(spark):
+    rng = np.random.default_rng(5)
+    sx = np.round(rng.normal(0, 1, 300), 3)
+    su = np.round(rng.uniform(-4, 4, 2000), 3)
+    vol = 8.0
+    t = np.arange(10000) * 0.01 / vol
+    em = np.zeros(10000)
+    em[0] = 1.0
+    for u in np.unique(sx):
+        em = np.maximum(em, (sx > u).mean() - t * (su > u).mean() * vol)
+    amax = int(np.argmax(em <= 0.9)) + 1
+    if amax == 1:
+        amax = -1
+    want = float(((em[:amax][1:] + em[:amax][:-1]) / 2 * np.diff(t[:amax])).sum())
+    got = an.excess_mass(spark.createDataFrame([(float(v),) for v in sx], "s double"),
+                         spark.createDataFrame([(float(v),) for v in su], "s double"),
+                         spark.createDataFrame([(vol,)], "volume double")).first()
+    assert math.isclose(got["em"], want, rel_tol=1e-9)
+    assert got["k_max"] == amax

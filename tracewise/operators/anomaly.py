@@ -12,6 +12,10 @@
 
 from __future__ import annotations
 
+import math
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -240,3 +244,73 @@ def latest_version(versions: DataFrame, stage: str = "Production") -> DataFrame:
     return (versions.filter(F.col("stage") == stage).groupBy("name")
             .agg(F.max(F.struct("version", "model_id")).alias("v"))
             .select("name", F.col("v.version").alias("version"), F.col("v.model_id").alias("model_id")))
+
+
+# --------------------------------------------------------------------------- excess mass (M5, unsupervised)
+
+def uniform_in_box(frame: DataFrame, features: list[str], n: int, seed: int = 11) -> tuple[DataFrame, DataFrame]:
+    """``n`` seeded uniform rows in the bounding box of ``frame`` (dimensions with
+    zero range are held at their single value) and a one-row frame with the box volume
+    over the dimensions that have a range."""
+    box = frame.agg(*[F.min(F.col(c).cast("double")).alias(f"lo_{c}") for c in features],
+                    *[F.max(F.col(c).cast("double")).alias(f"hi_{c}") for c in features])
+    spark = frame.sparkSession
+    rows = spark.range(n).withColumnRenamed("id", "uid").crossJoin(F.broadcast(box))
+    cols = [(F.col(f"lo_{c}") + F.rand(seed + j) * (F.col(f"hi_{c}") - F.col(f"lo_{c}"))).alias(c)
+            for j, c in enumerate(features)]
+    uniform = rows.select(F.concat(F.lit("u"), F.col("uid").cast("string")).alias("uid"), *cols)
+    vol = None
+    for c in features:
+        span = F.col(f"hi_{c}") - F.col(f"lo_{c}")
+        term = F.when(span > 0, span).otherwise(F.lit(1.0))
+        vol = term if vol is None else vol * term
+    return uniform, box.select(vol.alias("volume"))
+
+
+def excess_mass(normal_x: DataFrame, normal_u: DataFrame, volume: DataFrame, t_steps: int = 10000,
+                t_max: float = 0.9, lines_per_block: int = 4096) -> DataFrame:
+    """Area under the excess-mass curve (Goix 2016) of a normality score ``s``.
+
+    EM(t) = max_u P(s_X > u) - t * volume * P(s_U > u) over the distinct test
+    scores u, on the grid t_k = k * 0.01 / volume (k < ``t_steps``), EM(t_0) = 1;
+    the area is taken up to the first t where EM(t) <= ``t_max``.
+    On that grid t_k * volume = 0.01 k, so each u is one line in k; lines are
+    evaluated in numpy blocks and only the per-block maximum at each grid point
+    leaves a task. One row: em, volume, k_max.
+    """
+    vals = (normal_x.select(F.col("s").alias("v"), F.lit(1).alias("cx"), F.lit(0).alias("cu"))
+            .unionByName(normal_u.select(F.col("s").alias("v"), F.lit(0).alias("cx"), F.lit(1).alias("cu")))
+            .groupBy("v").agg(F.sum("cx").alias("cx"), F.sum("cu").alias("cu")).withColumn("g", F.lit(0)))
+    cx = cumulative_by_value(vals.select("g", "v", "cx"), "g", "v", "cx").withColumnRenamed("cum_le", "le_x")
+    cu = cumulative_by_value(vals.select("g", "v", "cu"), "g", "v", "cu").withColumnRenamed("cum_le", "le_u")
+    tot = vals.agg(F.sum("cx").alias("nx"), F.sum("cu").alias("nu"))
+    lines = (cx.join(cu.select("v", "le_u"), "v").crossJoin(F.broadcast(tot))
+             .filter(F.col("cx") > 0)
+             .select(((F.col("nx") - F.col("le_x")) / F.col("nx")).alias("a"),
+                     ((F.col("nu") - F.col("le_u")) / F.col("nu")).alias("b")))
+    n_lines = lines.count()
+    blocks = max(1, math.ceil(n_lines / lines_per_block))
+    grid = np.arange(t_steps, dtype="float64") * 0.01
+
+    def envelope(pdf: pd.DataFrame) -> pd.DataFrame:
+        a, b = pdf["a"].to_numpy(), pdf["b"].to_numpy()
+        best = np.full(t_steps, -np.inf)
+        for s in range(0, len(a), 512):
+            best = np.maximum(best, (a[s:s + 512, None] - b[s:s + 512, None] * grid[None, :]).max(0))
+        return pd.DataFrame({"k": np.arange(t_steps), "em": best})
+
+    per_k = (lines.withColumn("blk", F.pmod(F.xxhash64("a", "b"), F.lit(blocks)))
+             .groupBy("blk").applyInPandas(envelope, "k long, em double")
+             .groupBy("k").agg(F.max("em").alias("em"))
+             .withColumn("em", F.when(F.col("k") == 0, F.lit(1.0)).otherwise(F.col("em"))))
+    # the grid has t_steps rows (a parameter): ordered windows over it are bounded
+    first_low = per_k.filter(F.col("em") <= t_max).agg(F.min("k").alias("k_low"))
+    w = Window.orderBy("k")
+    curve = (per_k.crossJoin(F.broadcast(first_low)).crossJoin(F.broadcast(volume))
+             .withColumn("k_max", F.when(F.col("k_low").isNull() | (F.col("k_low") == 0), F.lit(t_steps - 1))
+                         .otherwise(F.col("k_low") + 1))
+             .withColumn("em_next", F.lead("em").over(w)))
+    area = curve.filter(F.col("k") + 1 < F.col("k_max")).agg(
+        F.sum((F.col("em") + F.col("em_next")) / 2.0 * 0.01 / F.col("volume")).alias("em"),
+        F.first("volume").alias("volume"), F.first("k_max").alias("k_max"))
+    return area

@@ -305,3 +305,18 @@ def q_iforest_score(spark, sf_dir):
     from tracewise.operators.ensembles import iforest_scores
     tr = _train(Lake(spark, sf_dir)).checkpoint()
     return iforest_scores(tr, "id", FEATS)
+
+
+@query("excess_mass")
+def q_excess_mass(spark, sf_dir):
+    """M5 (no labels): excess-mass area of the kNN detector, fitted on the training split,
+    on the test split versus uniform rows in the test rows' bounding box. loss = -em."""
+    lake = Lake(spark, sf_dir)
+    split = an.train_test_split(lake.training_frame, "id").checkpoint()
+    train = split.filter(F.col("split") == "train").select("id", *FEATS)
+    test = split.filter(F.col("split") == "test").select("id", *FEATS)
+    uniform, volume = an.uniform_in_box(test, FEATS, 100_000)
+    sx = knn_scores(test, "id", FEATS, reference=train, ref_id_col="id", k=K, exclude_self=True)
+    su = knn_scores(uniform.checkpoint(), "uid", FEATS, reference=train, ref_id_col="id", k=K, exclude_self=False)
+    em = an.excess_mass(sx.select((-F.col("score")).alias("s")), su.select((-F.col("score")).alias("s")), volume)
+    return em.select(F.lit("knn_k5").alias("model_id"), "em", (-F.col("em")).alias("loss"), "volume", "k_max")
