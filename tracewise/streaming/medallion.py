@@ -209,3 +209,43 @@ def latest_predictions(spark: SparkSession, out_root: str) -> DataFrame:
     """Current prediction per user: the one from the highest batch id."""
     hist = spark.read.parquet(out_root)
     return latest_per_key(hist, ["user_id"], ["batch_id"]).drop("batch_id")
+
+
+# --------------------------------------------------------------------------- full refresh
+
+class PipelineRoot:
+    """Where a pipeline's tables and checkpoints live, with a full-refresh switch.
+
+    Each refresh generation is a new sub-folder ``gen=<n>`` holding every table
+    and every checkpoint of the pipeline. ``full_refresh=True`` starts a new
+    generation (old data is left untouched for readers still using it);
+    otherwise the latest generation is continued, so streams resume from their
+    checkpoints and add only new input.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, full_refresh: bool = False):
+        self.spark, self.root = spark, root.rstrip("/")
+        gens = self._generations()
+        if full_refresh or not gens:
+            self.generation = (max(gens) + 1) if gens else 0
+        else:
+            self.generation = max(gens)
+
+    def _generations(self) -> list[int]:
+        jvm = self.spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(self.root)
+        fs = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        if not fs.exists(path):
+            return []
+        out = []
+        for st in fs.listStatus(path):
+            name = st.getPath().getName()
+            if st.isDirectory() and name.startswith("gen="):
+                out.append(int(name.split("=", 1)[1]))
+        return out
+
+    def table(self, name: str) -> str:
+        return f"{self.root}/gen={self.generation}/tables/{name}"
+
+    def checkpoint(self, name: str) -> str:
+        return f"{self.root}/gen={self.generation}/checkpoints/{name}"
