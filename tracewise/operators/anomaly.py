@@ -40,12 +40,13 @@ def cumulative_by_value(df: DataFrame, group_col: str, value_col: str, weight_co
     ``df`` must hold one row per (group, value). Values are cut into ``blocks``
     ranges per group by approximate percentiles (one aggregate, no sort); a
     window runs inside each (group, block) only, and block offsets come from a
-    tiny table of groups x blocks rows (broadcast, bounded by ``blocks``).
-    No task ever holds a whole group.
+    small table of groups x blocks rows. No task ever holds a whole group.
     """
     probs = [i / blocks for i in range(1, blocks)]
     splits = df.groupBy(group_col).agg(F.percentile_approx(value_col, probs, accuracy).alias("_splits"))
-    with_block = (df.join(F.broadcast(splits), group_col)
+    # splits / offsets hold one row per group (x blocks): no broadcast hint, the
+    # planner broadcasts them by measured size when the groups are few
+    with_block = (df.join(splits, group_col)
                   .withColumn("_block", F.size(F.filter("_splits", lambda s: s < F.col(value_col))))
                   .drop("_splits"))
     w_in = (Window.partitionBy(group_col, "_block").orderBy(value_col)
@@ -54,7 +55,7 @@ def cumulative_by_value(df: DataFrame, group_col: str, value_col: str, weight_co
     totals = with_block.groupBy(group_col, "_block").agg(F.sum(weight_col).alias("_tot"))
     w_off = Window.partitionBy(group_col).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.withColumn("_off", F.coalesce(F.sum("_tot").over(w_off), F.lit(0))).drop("_tot")
-    return (inner.join(F.broadcast(offsets), [group_col, "_block"])
+    return (inner.join(offsets, [group_col, "_block"])
             .withColumn("cum_le", F.col("_cum_in") + F.col("_off"))
             .drop("_block", "_cum_in", "_off"))
 
