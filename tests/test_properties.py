@@ -175,3 +175,15 @@ def test_excess_mass_matches_numpy(spark):
                          spark.createDataFrame([(vol,)], "volume double")).first()
     assert math.isclose(got["em"], want, rel_tol=1e-9)
     assert got["k_max"] == amax
+
+
+def test_model_udf_equals_batch_scoring(spark):
+    from tracewise.operators.ensembles import fit_iforest, iforest_scores, model_udf
+    rng = np.random.default_rng(4)
+    pts = [(i, float(a), float(b)) for i, (a, b) in enumerate(rng.normal(0, 1, size=(200, 2)))]
+    frame = spark.createDataFrame(pts, "id long, a double, b double")
+    model = fit_iforest(frame, "id", ["a", "b"], trees=20, psi=64)
+    via_udf = {r["id"]: r["p"] for r in frame.select(
+        "id", model_udf(spark, model, ["a", "b"])(F.struct("a", "b")).alias("p")).collect()}
+    batch = {r["id"]: r["score"] for r in iforest_scores(frame, "id", ["a", "b"], trees=20, psi=64).collect()}
+    assert all(math.isclose(via_udf[i], batch[i]) for i in batch)

@@ -24,6 +24,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _EULER = 0.5772156649015329
 
@@ -134,9 +135,10 @@ def _grow(pdf: pd.DataFrame) -> pd.DataFrame:
     return out
 
 
-def iforest_scores(points: DataFrame, id_col: str, features: list[str], reference: DataFrame | None = None,
-                   trees: int = 100, psi: int = 256, seed: int = 7) -> DataFrame:
-    reference = points if reference is None else reference
+def fit_iforest(reference: DataFrame, id_col: str, features: list[str], trees: int = 100, psi: int = 256,
+                seed: int = 7) -> tuple[list, float]:
+    """Grow the forest: one tree per seeded sample, in ``applyInPandas``; the
+    fitted model (trees x < 2 psi nodes) is returned for broadcasting."""
     sample = seeded_samples(reference, id_col, features, trees, psi, seed)
     nodes = (sample.groupBy("sample_id")
              .applyInPandas(_grow, "sample_id long, node long, feature long, split double, left long, "
@@ -150,31 +152,52 @@ def iforest_scores(points: DataFrame, id_col: str, features: list[str], referenc
         arrays.append(np.array([_c(v) for v in t["size"].to_numpy()]))  # c(size) at each leaf
         forest.append(tuple(arrays))
         n_psi = max(n_psi, int(t["size"].iloc[0]))
-    norm = _c(n_psi) or 1.0
-    bc = points.sparkSession.sparkContext.broadcast((forest, norm))
+    return forest, (_c(n_psi) or 1.0)
+
+
+def _forest_score(model, x: np.ndarray) -> np.ndarray:
+    trees_, cn = model
+    depth_sum = np.zeros(len(x))
+    for feat, split, left, right, leaf_c in trees_:
+        node = np.zeros(len(x), dtype=np.int64)
+        depth = np.zeros(len(x))
+        active = feat[node] >= 0
+        while active.any():
+            f = feat[node[active]]
+            go_left = x[active, f] < split[node[active]]
+            node[active] = np.where(go_left, left[node[active]], right[node[active]])
+            depth[active] += 1
+            active = feat[node] >= 0
+        depth_sum += depth + leaf_c[node]
+    return np.power(2.0, -(depth_sum / max(1, len(trees_))) / cn)
+
+
+def iforest_scores(points: DataFrame, id_col: str, features: list[str], reference: DataFrame | None = None,
+                   trees: int = 100, psi: int = 256, seed: int = 7) -> DataFrame:
+    reference = points if reference is None else reference
+    bc = points.sparkSession.sparkContext.broadcast(fit_iforest(reference, id_col, features, trees, psi, seed))
 
     def score(it):
-        trees_, cn = bc.value
         for pdf in it:
             if pdf.empty:
                 continue
             x = np.stack(pdf["v"].to_numpy()).astype("float64")
-            depth_sum = np.zeros(len(x))
-            for feat, split, left, right, leaf_c in trees_:
-                node = np.zeros(len(x), dtype=np.int64)
-                depth = np.zeros(len(x))
-                active = feat[node] >= 0
-                while active.any():
-                    f = feat[node[active]]
-                    go_left = x[active, f] < split[node[active]]
-                    node[active] = np.where(go_left, left[node[active]], right[node[active]])
-                    depth[active] += 1
-                    active = feat[node] >= 0
-                depth_sum += depth + leaf_c[node]
-            mean = depth_sum / max(1, len(trees_))
-            yield pd.DataFrame({"sid": pdf["sid"], "score": np.power(2.0, -mean / cn)})
+            yield pd.DataFrame({"sid": pdf["sid"], "score": _forest_score(bc.value, x)})
 
     rows = points.select(F.col(id_col).cast("string").alias("sid"), _vector(features).alias("v"))
     scored = rows.mapInPandas(score, "sid string, score double")
     return (points.select(F.col(id_col), F.col(id_col).cast("string").alias("sid"))
             .join(scored, "sid").select(id_col, "score"))
+
+
+def model_udf(spark, model, features: list[str]):
+    """K3 + D14: a fitted model as a vectorised UDF over ``struct(*features)``
+    returning double (the model travels once per executor as a broadcast)."""
+    bc = spark.sparkContext.broadcast(model)
+
+    @F.pandas_udf(T.DoubleType())
+    def predict(packed: pd.DataFrame) -> pd.Series:
+        x = packed[features].to_numpy(dtype="float64")
+        return pd.Series(_forest_score(bc.value, x))
+
+    return predict

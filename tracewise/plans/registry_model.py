@@ -320,3 +320,16 @@ def q_excess_mass(spark, sf_dir):
     su = knn_scores(uniform.checkpoint(), "uid", FEATS, reference=train, ref_id_col="id", k=K, exclude_self=False)
     em = an.excess_mass(sx.select((-F.col("score")).alias("s")), su.select((-F.col("score")).alias("s")), volume)
     return em.select(F.lit("knn_k5").alias("model_id"), "em", (-F.col("em")).alias("loss"), "volume", "k_max")
+
+
+@query("score_with_model_udf")
+def q_score_with_model_udf(spark, sf_dir):
+    """K3 + D14 + M6: the active batch scored by a fitted model applied as a vectorised
+    UDF on the packed feature struct, with the prediction time (isolation forest)."""
+    from tracewise.operators.ensembles import fit_iforest, model_udf
+    lake = Lake(spark, sf_dir)
+    model = fit_iforest(_train(lake).checkpoint(), "id", FEATS)
+    predict = model_udf(spark, model, FEATS)
+    return (lake.rolling_frame
+            .withColumn("predictions", predict(F.struct(*[F.col(c) for c in FEATS])))
+            .withColumn("prediction_timestamp", F.current_timestamp()))
