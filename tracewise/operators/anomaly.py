@@ -315,3 +315,46 @@ def excess_mass(normal_x: DataFrame, normal_u: DataFrame, volume: DataFrame, t_s
         F.sum((F.col("em") + F.col("em_next")) / 2.0 * 0.01 / F.col("volume")).alias("em"),
         F.first("volume").alias("volume"), F.first("k_max").alias("k_max"))
     return area
+
+
+def model_runs_unlabelled(frame: DataFrame, id_col: str, features: list[str], ks=KNN_KS,
+                          n_generated: int = 100_000) -> DataFrame:
+    """M4 + M5 without ground truth (the source's configuration): every candidate is
+    fitted on the training split and ranked by excess mass on the test split
+    against ``n_generated`` uniform rows in the test rows' bounding box;
+    loss = -em. Candidates: kNN for each k (one run), ECOD, INNE, isolation forest."""
+    from tracewise.operators.ensembles import iforest_scores, inne_scores
+    from tracewise.operators.knn import knn_scores
+    split = train_test_split(frame, id_col).checkpoint()
+    train = split.filter(F.col("split") == "train").select(id_col, *features)
+    test = split.filter(F.col("split") == "test").select(id_col, *features)
+    uniform, volume = uniform_in_box(test, features, n_generated)
+    uniform = uniform.checkpoint()
+    volume = volume.checkpoint()
+
+    def run(model_id, detector, params, sx, su):
+        em = excess_mass(sx.select((-F.col("score")).alias("s")), su.select((-F.col("score")).alias("s")), volume)
+        return em.select(F.lit(model_id).alias("model_id"), F.lit(detector).alias("detector"),
+                         F.lit(params).alias("params"), "em", (-F.col("em")).alias("loss"),
+                         F.when(F.col("em").isNotNull(), F.lit("FINISHED")).otherwise(F.lit("FAILED")).alias("status"))
+
+    kmax = max(ks)
+    kt = knn_scores(test, id_col, features, reference=train, ref_id_col=id_col, k=kmax, exclude_self=True,
+                    keep_distances=True).persist()
+    ku = knn_scores(uniform, "uid", features, reference=train, ref_id_col=id_col, k=kmax, exclude_self=False,
+                    keep_distances=True).persist()
+    runs = [run(f"knn_k{k}", "knn", f'{{"k": {k}}}',
+                kt.select(F.element_at("distances", k).alias("score")),
+                ku.select(F.element_at("distances", k).alias("score"))) for k in ks]
+    runs.append(run("ecod", "ecod", "{}", ecod_scores(test, id_col, features, reference=train),
+                    ecod_scores(uniform, "uid", features, reference=train)))
+    runs.append(run("inne", "inne", '{"samples": 100, "psi": 16}',
+                    inne_scores(test, id_col, features, reference=train, ref_id_col=id_col),
+                    inne_scores(uniform, "uid", features, reference=train, ref_id_col=id_col)))
+    runs.append(run("iforest", "iforest", '{"trees": 100, "psi": 256}',
+                    iforest_scores(test, id_col, features, reference=train, ref_id_col=id_col),
+                    iforest_scores(uniform, "uid", features, reference=train, ref_id_col=id_col)))
+    out = runs[0]
+    for r in runs[1:]:
+        out = out.unionByName(r)
+    return out

@@ -54,9 +54,10 @@ def seeded_samples(df: DataFrame, id_col: str, features: list[str], samples: int
 # --------------------------------------------------------------------------- INNE
 
 def inne_scores(points: DataFrame, id_col: str, features: list[str], reference: DataFrame | None = None,
-                samples: int = 100, psi: int = 16, seed: int = 7) -> DataFrame:
+                samples: int = 100, psi: int = 16, seed: int = 7, ref_id_col: str | None = None) -> DataFrame:
     reference = points if reference is None else reference
-    centres = seeded_samples(reference, id_col, features, samples, psi, seed).toPandas()
+    ref_id_col = ref_id_col or (id_col if id_col in reference.columns else reference.columns[0])
+    centres = seeded_samples(reference, ref_id_col, features, samples, psi, seed).toPandas()
     model = []
     for _, g in centres.groupby("sample_id"):
         c = np.stack(g["v"].to_numpy()).astype("float64")
@@ -173,9 +174,10 @@ def _forest_score(model, x: np.ndarray) -> np.ndarray:
 
 
 def iforest_scores(points: DataFrame, id_col: str, features: list[str], reference: DataFrame | None = None,
-                   trees: int = 100, psi: int = 256, seed: int = 7) -> DataFrame:
+                   trees: int = 100, psi: int = 256, seed: int = 7, ref_id_col: str | None = None) -> DataFrame:
     reference = points if reference is None else reference
-    bc = points.sparkSession.sparkContext.broadcast(fit_iforest(reference, id_col, features, trees, psi, seed))
+    ref_id_col = ref_id_col or (id_col if id_col in reference.columns else reference.columns[0])
+    bc = points.sparkSession.sparkContext.broadcast(fit_iforest(reference, ref_id_col, features, trees, psi, seed))
 
     def score(it):
         for pdf in it:

@@ -62,6 +62,8 @@ class Lake:
     def _written(self, df: DataFrame, name: str) -> DataFrame:
         if not self.materialize:
             return df
+        if self.materialize == "cache":
+            return df.persist()
         path = shared_dir(self.spark, name)
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.parquet(path)

@@ -333,3 +333,16 @@ def q_score_with_model_udf(spark, sf_dir):
     return (lake.rolling_frame
             .withColumn("predictions", predict(F.struct(*[F.col(c) for c in FEATS])))
             .withColumn("prediction_timestamp", F.current_timestamp()))
+
+
+@query("model_runs_unlabelled")
+def q_model_runs_unlabelled(spark, sf_dir):
+    """M4 + M5 as configured in the source (no ground truth): the user detectors
+    ranked by excess mass; loss = -em."""
+    return an.model_runs_unlabelled(Lake(spark, sf_dir).training_frame, "id", FEATS)
+
+
+@query("best_model_unlabelled")
+def q_best_model_unlabelled(spark, sf_dir):
+    """M7 over the unlabelled runs."""
+    return an.select_best(an.model_runs_unlabelled(Lake(spark, sf_dir).training_frame, "id", FEATS))
