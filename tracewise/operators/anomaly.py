@@ -282,6 +282,9 @@ def excess_mass(normal_x: DataFrame, normal_u: DataFrame, volume: DataFrame, t_s
     vals = (normal_x.select(F.col("s").alias("v"), F.lit(1).alias("cx"), F.lit(0).alias("cu"))
             .unionByName(normal_u.select(F.col("s").alias("v"), F.lit(0).alias("cx"), F.lit(1).alias("cu")))
             .groupBy("v").agg(F.sum("cx").alias("cx"), F.sum("cu").alias("cu")).withColumn("g", F.lit(0)))
+    # the score columns come from detector jobs; several jobs below read them:
+    # materialise the distinct scores once instead of re-running the detectors
+    vals = vals.checkpoint()
     cx = cumulative_by_value(vals.select("g", "v", "cx"), "g", "v", "cx").withColumnRenamed("cum_le", "le_x")
     cu = cumulative_by_value(vals.select("g", "v", "cu"), "g", "v", "cu").withColumnRenamed("cum_le", "le_u")
     tot = vals.agg(F.sum("cx").alias("nx"), F.sum("cu").alias("nu"))

@@ -75,32 +75,42 @@ def _box_dist(q: np.ndarray, lo: np.ndarray, hi: np.ndarray, block: int = 256):
         yield s, np.sqrt((gap * gap).sum(axis=2))
 
 
-def _kernel(k: int, block: int = 256):
+def _kernel(k: int, keep_query: bool, block: int = 256):
+    """Co-group kernel: per query row, its k smallest distances to the cell's rows.
+
+    Emits one row per query: (qid, ds) — or (qid, qv, cell, ds) in pass 1, so
+    pass 2 can start from it without joining back to the queries.
+    """
     def fn(queries: pd.DataFrame, refs: pd.DataFrame) -> pd.DataFrame:
-        if queries.empty or refs.empty:
-            return pd.DataFrame({"qid": pd.Series([], dtype="object"), "d": pd.Series([], dtype="float64")})
-        q_all = np.stack(queries["qv"].to_numpy()).astype("float64")
-        r = np.stack(refs["v"].to_numpy()).astype("float64")
-        rid = refs["rid"].to_numpy()
+        if queries.empty:
+            cols = {"qid": [], "qv": [], "cell": [], "ds": []} if keep_query else {"qid": [], "ds": []}
+            return pd.DataFrame(cols)
         qids = queries["qid"].to_numpy()
-        kk = min(k, r.shape[0])
-        out_q, out_d = [], []
-        for s in range(0, q_all.shape[0], block):
-            q = q_all[s:s + block]
-            diff = q[:, None, :] - r[None, :, :]
-            d2 = (diff * diff).sum(axis=2)
-            d2[qids[s:s + block][:, None] == rid[None, :]] = np.inf
-            part = np.partition(d2, kk - 1, axis=1)[:, :kk] if kk < d2.shape[1] else d2
-            out_q.append(np.repeat(qids[s:s + block], part.shape[1]))
-            out_d.append(np.sqrt(part.reshape(-1)))
-        qv, dv = np.concatenate(out_q), np.concatenate(out_d)
-        keep = np.isfinite(dv)
-        return pd.DataFrame({"qid": qv[keep], "d": dv[keep]})
+        if refs.empty:
+            ds = [np.empty(0)] * len(qids)
+        else:
+            q_all = np.stack(queries["qv"].to_numpy()).astype("float64")
+            r = np.stack(refs["v"].to_numpy()).astype("float64")
+            rid = refs["rid"].to_numpy()
+            kk = min(k, r.shape[0])
+            ds = []
+            for s in range(0, q_all.shape[0], block):
+                q = q_all[s:s + block]
+                diff = q[:, None, :] - r[None, :, :]
+                d2 = (diff * diff).sum(axis=2)
+                d2[qids[s:s + block][:, None] == rid[None, :]] = np.inf
+                part = np.partition(d2, kk - 1, axis=1)[:, :kk] if kk < d2.shape[1] else d2
+                part = np.sqrt(np.sort(part, axis=1))
+                ds.extend(row[np.isfinite(row)] for row in part)
+        out = {"qid": qids, "ds": ds}
+        if keep_query:
+            out = {"qid": qids, "qv": queries["qv"].to_numpy(), "cell": queries["cell"].to_numpy(), "ds": ds}
+        return pd.DataFrame(out)
     return fn
 
 
-def _visit(cells: DataFrame, queries: DataFrame, k: int) -> DataFrame:
-    """queries(qid, qv, cell) x cells(rid, v, cell) -> (qid, d), <= k rows per (query, cell)."""
+def _visit(cells: DataFrame, queries: DataFrame, k: int, keep_query: bool) -> DataFrame:
+    """queries(qid, qv, cell) x cells(rid, v, cell) -> one row per query and visited cell."""
     per_cell = queries.groupBy("cell").agg(F.count(F.lit(1)).alias("_nq"))
     chunks = per_cell.select("cell", F.greatest(F.lit(1), F.ceil(F.col("_nq") / _QUERY_CHUNK_ROWS))
                              .cast("int").alias("_chunks"))
@@ -108,8 +118,10 @@ def _visit(cells: DataFrame, queries: DataFrame, k: int) -> DataFrame:
          .withColumn("chunk", F.pmod(F.xxhash64("qid"), F.col("_chunks")).cast("int")).drop("_chunks"))
     r = (cells.join(chunks, "cell")
          .withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("_chunks") - 1))).drop("_chunks"))
+    schema = ("qid string, qv array<double>, cell int, ds array<double>" if keep_query
+              else "qid string, ds array<double>")
     return (q.groupBy("cell", "chunk").cogroup(r.groupBy("cell", "chunk"))
-            .applyInPandas(_kernel(k), "qid string, d double"))
+            .applyInPandas(_kernel(k, keep_query), schema))
 
 
 def knn_scores(points: DataFrame, id_col: str, features: list[str], reference: DataFrame | None = None,
@@ -159,38 +171,41 @@ def knn_scores(points: DataFrame, id_col: str, features: list[str], reference: D
             nearest = np.concatenate([np.argmin(d, axis=1) for _, d in _box_dist(qv, blo, bhi)])
             yield pdf.assign(cell=ids[nearest].astype("int32"))
 
-    # both are read twice below (bound + final merge); keep them instead of recomputing the Python stages
-    q1 = queries.mapInPandas(nearest_cell, "qid string, qv array<double>, cell int").persist()
-    d1 = _visit(cells_s, q1, k).persist()
-    bound = d1.groupBy("qid").agg(
-        F.sort_array(F.collect_list("d")).alias("ds"))
-    bound = bound.select("qid", F.when(F.size("ds") >= k, F.element_at("ds", k))
-                         .otherwise(F.lit(float("inf"))).alias("r"))
-    q2_in = q1.join(bound, "qid", "left").fillna({"r": float("inf")})
-
-    def other_cells(it):
-        ids, blo, bhi = bc.value
-        for pdf in it:
-            if pdf.empty:
-                continue
-            qv = np.stack(pdf["qv"].to_numpy()).astype("float64")
-            r = pdf["r"].to_numpy()
-            own = pdf["cell"].to_numpy()
-            for start, dist in _box_dist(qv, blo, bhi):
-                end = start + dist.shape[0]
-                hit = (dist < r[start:end, None]) & (own[start:end, None] != ids[None, :])
-                qi, ci = np.nonzero(hit)
-                if len(qi) == 0:
+    q1 = queries.mapInPandas(nearest_cell, "qid string, qv array<double>, cell int")
+    d1 = _visit(cells_s, q1, k, keep_query=True)
+    if len(cell_ids) > 1:
+        # pass 2 starts from pass 1's rows (query vector, own cell, bound) and is
+        # merged back per query: one persisted frame read twice
+        d1 = d1.persist()
+        q2_in = d1.select("qid", "qv", "cell", F.when(F.size("ds") >= k, F.element_at("ds", k))
+                          .otherwise(F.lit(float("inf"))).alias("r"))
+
+        def other_cells(it):
+            ids, blo, bhi = bc.value
+            for pdf in it:
+                if pdf.empty:
                     continue
-                qi = qi + start
-                yield pd.DataFrame({"qid": pdf["qid"].to_numpy()[qi], "qv": pdf["qv"].to_numpy()[qi],
-                                    "cell": ids[ci].astype("int32")})
-
-    q2 = q2_in.mapInPandas(other_cells, "qid string, qv array<double>, cell int")
-    d2 = _visit(cells_s, q2, k)
-    best = d1.unionByName(d2).groupBy("qid").agg(F.sort_array(F.collect_list("d")).alias("ds"))
-    scored = best.select("qid", F.when(F.size("ds") >= k, F.element_at("ds", k)).alias("score"),
-                         F.slice("ds", 1, k).alias("distances"))
+                qv = np.stack(pdf["qv"].to_numpy()).astype("float64")
+                r = pdf["r"].to_numpy()
+                own = pdf["cell"].to_numpy()
+                for start, dist in _box_dist(qv, blo, bhi):
+                    end = start + dist.shape[0]
+                    hit = (dist < r[start:end, None]) & (own[start:end, None] != ids[None, :])
+                    qi, ci = np.nonzero(hit)
+                    if len(qi) == 0:
+                        continue
+                    qi = qi + start
+                    yield pd.DataFrame({"qid": pdf["qid"].to_numpy()[qi], "qv": pdf["qv"].to_numpy()[qi],
+                                        "cell": ids[ci].astype("int32")})
+
+        q2 = q2_in.mapInPandas(other_cells, "qid string, qv array<double>, cell int")
+        d2 = _visit(cells_s, q2, k, keep_query=False)
+        merged = (d1.select("qid", "ds").unionByName(d2).groupBy("qid")
+                  .agg(F.slice(F.array_sort(F.flatten(F.collect_list("ds"))), 1, k).alias("ds")))
+    else:
+        merged = d1.select("qid", "ds")   # one cell holds every reference row: pass 1 is exact
+    scored = merged.select("qid", F.when(F.size("ds") >= k, F.element_at("ds", k)).alias("score"),
+                           F.col("ds").alias("distances"))
     out = (points.select(F.col(id_col), F.col(id_col).cast("string").alias("qid"))
            .join(scored, "qid", "left"))
     return out.select(id_col, "score", "distances") if keep_distances else out.select(id_col, "score")
