@@ -209,7 +209,7 @@ def model_runs(features: DataFrame, labels: DataFrame, id_col: str, feature_cols
     runs = []
     for k in ks:
         # scores rounded to 9 decimals: ties must not depend on summation order
-        scored = knn.select(F.round(F.element_at("distances", k), 9).alias("s"), label_col)
+        scored = knn.select(F.round(F.try_element_at("distances", F.lit(k)), 9).alias("s"), label_col)
         runs.append(roc_auc(scored, "s", label_col).select(
             F.lit(f"knn_k{k}").alias("model_id"), F.lit("knn").alias("detector"),
             F.lit(f'{{"k": {k}}}').alias("params"), F.col("auc")))
@@ -347,8 +347,8 @@ def model_runs_unlabelled(frame: DataFrame, id_col: str, features: list[str], ks
     ku = knn_scores(uniform, "uid", features, reference=train, ref_id_col=id_col, k=kmax, exclude_self=False,
                     keep_distances=True).persist()
     runs = [run(f"knn_k{k}", "knn", f'{{"k": {k}}}',
-                kt.select(F.element_at("distances", k).alias("score")),
-                ku.select(F.element_at("distances", k).alias("score"))) for k in ks]
+                kt.select(F.try_element_at("distances", F.lit(k)).alias("score")),
+                ku.select(F.try_element_at("distances", F.lit(k)).alias("score"))) for k in ks]
     runs.append(run("ecod", "ecod", "{}", ecod_scores(test, id_col, features, reference=train),
                     ecod_scores(uniform, "uid", features, reference=train)))
     runs.append(run("inne", "inne", '{"samples": 100, "psi": 16}',
