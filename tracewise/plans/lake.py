@@ -37,6 +37,10 @@ class Lake:
                  batch_start: str = BATCH_START, lookback_days: int = LOOKBACK_DAYS, top_k: int = TOP_K,
                  materialize: bool = True):
         self.spark = spark
+        # The fixture's times are UTC wall-clock and every day boundary
+        # (datediff, date_trunc, lookback) is defined in UTC, as in the source runtime.
+        if spark.conf.get("spark.sql.session.timeZone") != "UTC":
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
         self.materialize = materialize
         self.sf_dir = sf_dir
         self.cutoff = cutoff
