@@ -110,14 +110,15 @@ def reciprocal_pair_counts(edges: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------------- components
 
 def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int = 200,
-                         checkpoint_every: int = 2) -> DataFrame:
+                         checkpoint_every: int = 1) -> DataFrame:
     """Undirected connected components, label = smallest vertex id.
 
     Alternating large-star / small-star rounds (Kiveris et al., 2014) over the
     edge list until it stops changing. Each round is two aggregates and two
     joins; a hub vertex appears as one row per neighbour, which AQE's skew
-    join splits. Lineage is cut with reliable ``checkpoint()`` into the
-    session's checkpoint folder every ``checkpoint_every`` rounds.
+    join splits. Each round reads its input several times, so an uncut plan
+    would grow geometrically: lineage is cut with reliable ``checkpoint()``
+    into the session's checkpoint folder every ``checkpoint_every`` rounds.
     Edges whose ends are not both vertices are ignored (T16).
     """
     ensure_checkpoint_dir(vertices.sparkSession)
