@@ -37,10 +37,12 @@ def spread(df: DataFrame) -> DataFrame:
     (one small file, one row group) is redistributed round-robin so the per-row
     work downstream runs on every core. Large inputs already have many splits
     and are left untouched (no extra shuffle)."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. a remote session): leave the scan as is
+        return df
+    return df.repartition(cores) if splits < cores else df
 
 
 def raw_logs_from_events(events: DataFrame) -> DataFrame:
