@@ -17,7 +17,7 @@ from tracewise.operators import logs as lg
 from tracewise.operators import profile as pf
 from tracewise.plans.catalog import query
 from tracewise.plans.lake import Lake
-from tracewise.plans.oracle_sql import FILES, LOGINS, SHARES, with_ctes
+from tracewise.plans.oracle_sql import SHARES, with_ctes
 from tracewise.sources import json_logs, text_logs
 
 FEATURE_LIST = ", ".join(FEATURES)

@@ -11,16 +11,15 @@ from pyspark.sql import functions as F
 
 from tracewise.operators import layout as lay
 from tracewise.operators import upsert as up
-from tracewise.operators.bronze import flatten_metadata, to_bronze
+from tracewise.operators.bronze import flatten_metadata
 from tracewise.operators.logs import api_calls
 from tracewise.operators.silver import silver_edges, silver_nodes
 from tracewise.plans.catalog import query
 from tracewise.plans.lake import Lake
 from tracewise.plans.oracle_sql import CUT, edges_sql, nodes_sql, with_ctes
-from tracewise.plans.registry import API_CLEAN_COLS, EDGE_COLS, FLAT_META, _clean_logs
+from tracewise.plans.registry import EDGE_COLS, FLAT_META, _clean_logs
 from tracewise.session import shared_dir
 from tracewise.sources.json_logs import to_json_lines
-from tracewise.sources.text_logs import CSV_OPTIONS
 from tracewise.streaming import medallion as med
 
 BRONZE_FLAT = "id, event_ts, role, event_type, entity_id, entity_type, " + FLAT_META
