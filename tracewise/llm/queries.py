@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tracewise.llm import bpe, packing, rendezvous, topk
+from tracewise.llm import bpe, packing, rendezvous, secrets, topk
 from tracewise.llm.common import crc32_sql, table
 
 CRC_TABLE = """crc_table AS (
@@ -23,6 +23,10 @@ def op7_bpe(spark, sf_dir):
     return bpe.digests(table(spark, sf_dir, "documents"))
 
 
+def op8_secrets(spark, sf_dir):
+    return secrets.report(table(spark, sf_dir, "documents"))
+
+
 def op9_sharding(spark, sf_dir):
     return rendezvous.shard_documents(table(spark, sf_dir, "documents"))
 
@@ -56,5 +60,5 @@ s AS (SELECT q.vec_id AS query_id, v.vec_id, list_inner_product(q.e, v.e)::BIGIN
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20"""
 
-QUERIES = {"op4_packing": op4_packing, "op7_bpe": op7_bpe, "op9_sharding": op9_sharding, "op10_topk": op10_topk}
+QUERIES = {"op4_packing": op4_packing, "op7_bpe": op7_bpe, "op8_secrets": op8_secrets, "op9_sharding": op9_sharding, "op10_topk": op10_topk}
 ORACLES = {"op9_sharding": OP9_SQL, "op10_topk": OP10_SQL}
