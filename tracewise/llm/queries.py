@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tracewise.llm import bpe, packing, rendezvous, secrets, topk
+from tracewise.llm import bpe, editwalk, packing, rendezvous, secrets, topk
 from tracewise.llm.common import crc32_sql, table
 
 CRC_TABLE = """crc_table AS (
@@ -13,6 +13,10 @@ CRC_TABLE = """crc_table AS (
     FROM range(256) r(i)))"""
 
 
+def op2_fingerprints(spark, sf_dir):
+    return editwalk.compare_with_edits(table(spark, sf_dir, "documents"))
+
+
 def op4_packing(spark, sf_dir):
     pieces = packing.pack_documents(table(spark, sf_dir, "documents"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"),
@@ -60,5 +64,5 @@ s AS (SELECT q.vec_id AS query_id, v.vec_id, list_inner_product(q.e, v.e)::BIGIN
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20"""
 
-QUERIES = {"op4_packing": op4_packing, "op7_bpe": op7_bpe, "op8_secrets": op8_secrets, "op9_sharding": op9_sharding, "op10_topk": op10_topk}
+QUERIES = {"op2_fingerprints": op2_fingerprints, "op4_packing": op4_packing, "op7_bpe": op7_bpe, "op8_secrets": op8_secrets, "op9_sharding": op9_sharding, "op10_topk": op10_topk}
 ORACLES = {"op9_sharding": OP9_SQL, "op10_topk": OP10_SQL}
