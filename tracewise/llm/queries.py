@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tracewise.llm import bpe, editwalk, packing, rendezvous, secrets, topk
+from tracewise.llm import bpe, editwalk, packing, quotes, rendezvous, secrets, sigtree, topk
 from tracewise.llm.common import crc32_sql, table
 
 CRC_TABLE = """crc_table AS (
@@ -13,10 +13,19 @@ CRC_TABLE = """crc_table AS (
     FROM range(256) r(i)))"""
 
 
+def op1_quotes(spark, sf_dir):
+    """The conversations as a mail thread (each message quoting the two before), linked back by their quotes."""
+    return quotes.format_conversations(quotes.as_mail(table(spark, sf_dir, "conversations")))
+
+
 def op2_fingerprints(spark, sf_dir):
     return editwalk.compare_with_edits(table(spark, sf_dir, "documents"))
 
 
+def op3_jaccard(spark, sf_dir):
+    return sigtree.jaccard_components(table(spark, sf_dir, "documents"), size=3, num=90, den=100)
+
+
 def op4_packing(spark, sf_dir):
     pieces = packing.pack_documents(table(spark, sf_dir, "documents"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"),
@@ -41,6 +50,30 @@ def op10_topk(spark, sf_dir):
 
 BYTES = "list_transform(range(strlen(x)), lambda i: ('0x' || substr(hex(encode(x)), 2 * i + 1, 2))::BIGINT)"
 
+OP1_SQL = """
+WITH m AS (SELECT DISTINCT conv_id, turn, role, text FROM conversations),
+k AS (SELECT DISTINCT conv_id, turn FROM m),
+i AS (SELECT conv_id, turn, turn - row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS island FROM k),
+t AS (SELECT conv_id, turn, min(turn) OVER (PARTITION BY conv_id, island) AS thread FROM i)
+SELECT conv_id, thread, turn, turn - thread AS depth, CASE WHEN turn > thread THEN turn - 1 END AS reply_to, role, text,
+       least(turn - thread, 2) + (SELECT count(*) FROM k WHERE k.conv_id = t.conv_id AND k.turn = t.turn - 2 AND t.turn - t.thread = 0) AS n_quotes,
+       least(turn - thread, 2) + (SELECT count(*) FROM k WHERE k.conv_id = t.conv_id AND k.turn = t.turn - 2 AND t.turn - t.thread = 0) AS n_linked
+FROM m JOIN t USING (conv_id, turn)"""
+
+OP3_SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[\x20\x09-\x0D]+'), lambda x: x <> '') AS a FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(a) = 0 THEN [] WHEN len(a) < 3 THEN [array_to_string(a, ' ')]
+         ELSE list_distinct(list_transform(range(1, len(a) - 1), lambda i: a[i] || ' ' || a[i + 1] || ' ' || a[i + 2])) END AS g FROM w),
+n AS (SELECT doc_id, len(g) AS n, g FROM s),
+x AS (SELECT doc_id, n, unnest(g) AS h FROM n),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS c
+      FROM x a JOIN x b ON a.h = b.h AND a.doc_id < b.doc_id AND 100 * a.n >= 90 * b.n AND 100 * b.n >= 90 * a.n GROUP BY 1, 2),
+l AS (SELECT a, b FROM p WHERE 100 * c >= 90 * (na + nb - c)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT doc_id, doc_id AS root FROM n UNION SELECT e.b, r.root FROM r JOIN e ON e.a = r.doc_id WHERE r.root < e.b)
+SELECT doc_id, n.n::BIGINT AS n_shingles, least(doc_id, min(root)) AS component_id FROM n JOIN r USING (doc_id) GROUP BY doc_id, n.n"""
+
 OP9_SQL = f"""
 WITH {CRC_TABLE},
 d AS (SELECT doc_id, strlen(x) + 8 AS size, {crc32_sql(BYTES)} AS text_crc32
@@ -64,5 +97,5 @@ s AS (SELECT q.vec_id AS query_id, v.vec_id, list_inner_product(q.e, v.e)::BIGIN
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20"""
 
-QUERIES = {"op2_fingerprints": op2_fingerprints, "op4_packing": op4_packing, "op7_bpe": op7_bpe, "op8_secrets": op8_secrets, "op9_sharding": op9_sharding, "op10_topk": op10_topk}
-ORACLES = {"op9_sharding": OP9_SQL, "op10_topk": OP10_SQL}
+QUERIES = {"op1_quotes": op1_quotes, "op2_fingerprints": op2_fingerprints, "op3_jaccard": op3_jaccard, "op4_packing": op4_packing, "op7_bpe": op7_bpe, "op8_secrets": op8_secrets, "op9_sharding": op9_sharding, "op10_topk": op10_topk}
+ORACLES = {"op1_quotes": OP1_SQL, "op3_jaccard": OP3_SQL, "op9_sharding": OP9_SQL, "op10_topk": OP10_SQL}
