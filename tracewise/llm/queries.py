@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tracewise.llm import bpe, editwalk, packing, quotes, rendezvous, secrets, sigtree, topk
+from tracewise.llm import bpe, cotrain, editwalk, packing, quotes, rendezvous, secrets, sigtree, topk, toxicity
 from tracewise.llm.common import crc32_sql, table
 
 CRC_TABLE = """crc_table AS (
@@ -32,6 +32,14 @@ def op4_packing(spark, sf_dir):
                          "doc_tokens", "sequence_id", "offset")
 
 
+def op5_quality(spark, sf_dir):
+    return cotrain.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op6_toxicity(spark, sf_dir):
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_bpe(spark, sf_dir):
     return bpe.digests(table(spark, sf_dir, "documents"))
 
@@ -97,5 +105,7 @@ s AS (SELECT q.vec_id AS query_id, v.vec_id, list_inner_product(q.e, v.e)::BIGIN
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20"""
 
-QUERIES = {"op1_quotes": op1_quotes, "op2_fingerprints": op2_fingerprints, "op3_jaccard": op3_jaccard, "op4_packing": op4_packing, "op7_bpe": op7_bpe, "op8_secrets": op8_secrets, "op9_sharding": op9_sharding, "op10_topk": op10_topk}
+QUERIES = {f.__name__: f for f in (
+    op1_quotes, op2_fingerprints, op3_jaccard, op4_packing, op5_quality,
+    op6_toxicity, op7_bpe, op8_secrets, op9_sharding, op10_topk)}
 ORACLES = {"op1_quotes": OP1_SQL, "op3_jaccard": OP3_SQL, "op9_sharding": OP9_SQL, "op10_topk": OP10_SQL}
