@@ -106,3 +106,16 @@ def test_bpe_on_random_unicode(spark):
         assert row["n_tokens"] == len(ids)
         assert row["ids_sha256"] == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
         assert row["decoded_sha256"] == hashlib.sha256(texts[row["doc_id"]].encode()).hexdigest()
+
+
+def test_latin_splitter_equals_the_pattern():
+    import regex
+    assert tokens.USUAL_PATTERN == public_tokenizers.PATTERN
+    every, latin = regex.compile(public_tokenizers.PATTERN).findall, tokens.latin_pattern().findall
+    for c in map(chr, range(256)):
+        for text in (c, f"a{c}b", f" {c}{c} ", f"1{c}'s", f"\n{c}\t"):
+            assert every(text) == latin(text)
+    r = random.Random(8)
+    for _ in range(500):
+        text = "".join(chr(r.randrange(256)) if r.random() < 0.5 else r.choice(" 'stre\n1") for _ in range(60))
+        assert every(text) == latin(text)

@@ -9,45 +9,39 @@ Positions and word lists travel packed, not one row per pre-token.
 
 A block with a third of all words, or a word in every document, costs one entry
 per block and word at most. Blocks are numbered by task and order of reading and
-are written once, so later steps and retries see the same blocks.
+words by their sorted order, so a task that is run again sends the same rows.
 """
 
 from __future__ import annotations
 
+import hashlib
 import zlib
+from array import array
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from tracewise.llm.common import materialize
 from tracewise.llm.tokens import Vocabulary, rank_vocabulary
 
 BLOCK_CHARS = 16_000_000
 BLOCKS = "block long, bucket int, kind int, doc_ids array<long>, lens binary, data binary"
-
-
-class Numbering(dict):
-    """Word -> number in order of first use."""
-
-    def __missing__(self, word):
-        self[word] = n = len(self)
-        return n
+WORDS_AT_ONCE = 300_000
 
 
 def squeeze(a: np.ndarray) -> bytes:
-    """Non-negative integers, low and high halves apart, compressed."""
+    """Non-negative integers below 2^32, low and high halves apart, compressed."""
     a = a.astype("<u4")
-    return zstandard.compress((a & 0xFFFF).astype("<u2").tobytes() + (a >> 16).astype("<u2").tobytes(), 1)
+    return zstandard.compress((a & 0xFFFF).astype("<u2").tobytes() + (a >> 16).astype("<u2").tobytes(), 3)
 
 
 def spread(data: bytes) -> np.ndarray:
     raw = np.frombuffer(zstandard.decompress(data), "<u2")
     half = len(raw) // 2
-    return raw[:half].astype(np.int64) | (raw[half:].astype(np.int64) << 16)
+    return raw[:half] | (raw[half:].astype("<u4") << 16)
 
 
 def gather(values: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
@@ -58,102 +52,117 @@ def gather(values: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> np.ndarr
     return values[np.arange(total, dtype=np.int64) + shift]
 
 
-def word_bucket(word: str, buckets: int) -> int:
-    return zlib.crc32(word.encode("utf-8", "surrogatepass")) % buckets
-
-
 def _rows(rows: list[dict]) -> pa.RecordBatch:
     kinds = {"block": pa.int64(), "bucket": pa.int32(), "kind": pa.int32(), "doc_ids": pa.list_(pa.int64()),
              "lens": pa.binary(), "data": pa.binary()}
     return pa.RecordBatch.from_pydict({c: pa.array([r.get(c) for r in rows], t) for c, t in kinds.items()})
 
 
-def block_rows(block: int, doc_ids: list, token_lens: list[int], numbers: np.ndarray, words: Numbering, buckets: int):
+def block_rows(block: int, doc_ids: list, token_lens: list[int], numbers: list[np.ndarray], words: dict[str, int], buckets: int):
     """The position row (kind 0) and one word-list row (kind 1) per bucket.
 
     Words are renumbered by (bucket, word), so a word list needs no numbers of its own.
     """
-    listed = sorted(words, key=lambda w: (word_bucket(w, buckets), w))
-    new = np.empty(len(listed), np.int64)
-    new[np.fromiter((words[w] for w in listed), np.int64, len(listed))] = np.arange(len(listed))
-    yield _rows([{"block": block, "bucket": -1, "kind": 0, "doc_ids": doc_ids,
-                  "lens": squeeze(np.array(token_lens, np.int64)), "data": squeeze(new[numbers])}])
-    which = np.fromiter((word_bucket(w, buckets) for w in listed), np.int64, len(listed))
-    edges = np.flatnonzero(np.diff(which, prepend=-1, append=-1))
-    for a, b in zip(edges[:-1], edges[1:], strict=True):
-        raw = [w.encode("utf-8") for w in listed[a:b]]
-        yield _rows([{"block": block, "bucket": int(which[a]), "kind": 1,
-                      "lens": squeeze(np.array([len(r) for r in raw])), "data": zstandard.compress(b"".join(raw), 3)}])
-
-
-def encode(docs: DataFrame, vocabulary: Vocabulary | None = None, buckets: int | None = None,
-           block_chars: int = BLOCK_CHARS) -> DataFrame:
+    listed = sorted(words)
+    raw = [w.encode() for w in listed]
+    bucket = np.fromiter(map(zlib.crc32, raw), np.int64, len(raw)) % buckets
+    order = np.argsort(bucket, kind="stable")
+    new = np.empty(len(listed), np.uint32)
+    new[np.fromiter(map(words.__getitem__, listed), np.int64, len(listed))[order]] = np.arange(len(listed), dtype=np.uint32)
+    yield _rows([{"block": block, "bucket": block * 7919 % buckets, "kind": 0, "doc_ids": doc_ids,
+                  "lens": squeeze(np.array(token_lens, np.int64)), "data": squeeze(new[np.concatenate(numbers)])}])
+    cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
+    for b in np.flatnonzero(np.diff(cuts)).tolist():
+        mine = [raw[i] for i in order[cuts[b]:cuts[b + 1]].tolist()]
+        yield _rows([{"block": block, "bucket": b, "kind": 1,
+                      "lens": squeeze(np.array(list(map(len, mine)))), "data": zstandard.compress(b"".join(mine), 3)}])
+
+
+def id_lists(doc_ids: list, ids: np.ndarray, offsets: np.ndarray) -> pa.Table:
+    return pa.table({"doc_id": pa.array(doc_ids, pa.int64()),
+                     "ids": pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids.astype(np.int32)))})
+
+
+def encode(docs: DataFrame, vocabulary: Vocabulary | None = None, buckets: int | None = None, block_chars: int = BLOCK_CHARS,
+           finish: Callable[[list, np.ndarray, np.ndarray], pa.Table] = id_lists,
+           schema: str = "doc_id long, ids array<int>") -> DataFrame:
     """One row per document: doc_id, ids (array of int).
 
-    A null text is empty and has no ids; texts of any length stay whole; repeated
-    rows are encoded row by row; null ids stay null; an empty table gives no rows;
-    other columns are ignored.
+    ``finish(doc_ids, ids, offsets)`` makes the rows of some whole documents, whose
+    ids are ids[offsets[i]:offsets[i + 1]]; ``schema`` describes them. A null text is
+    empty and has no ids; texts of any length stay whole; repeated rows are encoded
+    row by row; null ids stay null; an empty table gives no rows; other columns are
+    ignored.
     """
     spark = docs.sparkSession
     vocab = spark.sparkContext.broadcast(vocabulary or rank_vocabulary())
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def explode(batches):
-        split = vocab.value.splitter.findall
+        split = vocab.value.splitter
         task, n = TaskContext.get().partitionId(), 0
-        words, ids, lens, numbers, chars = Numbering(), [], [], [], 0
+        words, ids, lens, numbers, chars = {}, [], [], [], 0
         for batch in batches:
             for doc, text in zip(batch["doc_id"].to_pylist(), batch["text"], strict=True):
                 text = text.as_py() or ""
                 found = split(text)
+                for w in set(found).difference(words):
+                    words[w] = len(words)
                 ids.append(doc)
                 lens.append(len(found))
-                numbers.append(np.fromiter(map(words.__getitem__, found), np.int64, len(found)))
+                numbers.append(np.fromiter(map(words.__getitem__, found), np.uint32, len(found)))
                 chars += len(text)
                 if chars >= block_chars:
-                    yield from block_rows((task << 32) + n, ids, lens, np.concatenate(numbers), words, buckets)
-                    words, ids, lens, numbers, chars, n = Numbering(), [], [], [], 0, n + 1
+                    yield from block_rows((task << 32) + n, ids, lens, numbers, words, buckets)
+                    words, ids, lens, numbers, chars, n = {}, [], [], [], 0, n + 1
         if ids:
-            yield from block_rows((task << 32) + n, ids, lens, np.concatenate(numbers), words, buckets)
-
-    blocks = materialize(docs.select("doc_id", "text").mapInArrow(explode, BLOCKS), "bpe-blocks")
-    listed = blocks.where("kind = 1").select("bucket", "block", "lens", "data")
+            yield from block_rows((task << 32) + n, ids, lens, numbers, words, buckets)
 
     def encode_words(key, tab):
-        """All lists of one bucket: each distinct word is encoded once, then looked up per list."""
-        known: dict[bytes, np.ndarray] = {}
+        """All word lists of one bucket: each distinct word is encoded once, then looked up per list."""
+        known: dict[bytes, bytes] = {}
         encoder = vocab.value.encoder
-        rows = []
-        for block, lens, data in zip(*(tab[c].to_pylist() for c in ("block", "lens", "data")), strict=True):
-            ends = np.cumsum(spread(lens))
-            raw = zstandard.decompress(data)
-            words = [raw[a:b] for a, b in zip(np.concatenate([[0], ends[:-1]]).tolist(), ends.tolist(), strict=True)]
-            new = [w for w in words if w not in known]
-            for w, e in zip(new, encoder.encode_ordinary_batch([w.decode("utf-8") for w in new], num_threads=1), strict=True):
-                known[w] = np.array(e, np.uint32)
-            got = [known[w] for w in words]
-            rows.append({"block": block, "bucket": key[0].as_py(), "lens": squeeze(np.array([len(g) for g in got])),
-                         "data": squeeze(np.concatenate(got))})
-        return pa.Table.from_batches([_rows(rows)]).select(["block", "bucket", "lens", "data"])
-
-    coded = listed.groupBy("bucket").applyInArrow(encode_words, "block long, bucket int, lens binary, data binary")
-    positions = blocks.where("kind = 0").select("block", "doc_ids", "lens", "data")
-
-    def assemble(key, left, right):
-        lists = sorted(zip(*(right[c].to_pylist() for c in ("bucket", "lens", "data")), strict=True))
-        lens = np.concatenate([spread(x[1]) for x in lists]) if lists else np.zeros(0, np.int64)
-        ids = np.concatenate([spread(x[2]) for x in lists]) if lists else np.zeros(0, np.int64)
+        for batch in tab.to_batches():
+            for row in (batch.slice(i, 1) for i in range(batch.num_rows)):
+                if row["kind"][0].as_py() == 0:
+                    yield row
+                    continue
+                ends = np.cumsum(spread(row["lens"][0].as_py()), dtype=np.int64).tolist()
+                raw = zstandard.decompress(row["data"][0].as_py())
+                words = [raw[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+                new = list(set(words).difference(known))
+                for w, e in zip(new, encoder.encode_ordinary_batch([w.decode() for w in new], num_threads=1), strict=True):
+                    known[w] = array("I", e).tobytes()
+                got = list(map(known.__getitem__, words))
+                yield _rows([{"block": row["block"][0].as_py(), "bucket": key[0].as_py(), "kind": 1,
+                              "lens": squeeze(np.array(list(map(len, got))) // 4), "data": squeeze(np.frombuffer(b"".join(got), "<u4"))}])
+
+    def assemble(key, tab):
+        """Ids of a block's documents, by position; some documents at a time."""
+        rows = tab.to_pylist()
+        place = next(r for r in rows if r["kind"] == 0)
+        lists = sorted((r["bucket"], r["lens"], r["data"]) for r in rows if r["kind"] == 1)
+        lens = np.concatenate([spread(x[1]) for x in lists]).astype(np.int64) if lists else np.zeros(0, np.int64)
+        ids = np.concatenate([spread(x[2]) for x in lists]) if lists else np.zeros(0, np.uint32)
         starts = np.cumsum(lens) - lens
-        doc_ids, per_doc, numbers = left["doc_ids"][0].as_py(), spread(left["lens"][0].as_py()), spread(left["data"][0].as_py())
-        out = gather(ids, starts[numbers], lens[numbers]).astype(np.int32)
-        token_ends = np.concatenate([[0], np.cumsum(lens[numbers])])
-        offsets = token_ends[np.concatenate([[0], np.cumsum(per_doc)])]
-        if len(out) > 2 ** 31 - 1:
-            raise ValueError("one block holds too many tokens for one Arrow list")
-        return pa.table({"doc_id": pa.array(doc_ids, pa.int64()),
-                         "ids": pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(out, pa.int32()))})
+        doc_ids, numbers = place["doc_ids"], spread(place["data"])
+        cuts = np.concatenate([[0], np.cumsum(spread(place["lens"]), dtype=np.int64)])
+        first = 0
+        while first < len(doc_ids):
+            last = max(first + 1, int(np.searchsorted(cuts, cuts[first] + WORDS_AT_ONCE, "right")) - 1)
+            mine = numbers[cuts[first]:cuts[last]]
+            ends = np.concatenate([[0], np.cumsum(lens[mine])])
+            yield from finish(doc_ids[first:last], gather(ids, starts[mine], lens[mine]), ends[cuts[first:last + 1] - cuts[first]]).to_batches()
+            first = last
+
+    exploded = docs.select("doc_id", "text").mapInArrow(explode, BLOCKS)
+    coded = exploded.groupBy("bucket").applyInArrow(lambda key, tab: pa.Table.from_batches(encode_words(key, tab), tab.schema), BLOCKS)
+    return coded.groupBy("block").applyInArrow(lambda key, tab: pa.Table.from_batches(assemble(key, tab)), schema)
+
 
-    return positions.groupBy("block").cogroup(coded.groupBy("block")).applyInArrow(assemble, "doc_id long, ids array<int>")
+def token_text(ids: np.ndarray, table: dict[int, bytes]) -> bytes:
+    """The bytes that ids stand for: each id joined with the token-byte table."""
+    return b"".join(map(table.__getitem__, ids.tolist()))
 
 
 def decode(encoded: DataFrame, vocabulary: Vocabulary | None = None) -> DataFrame:
@@ -162,9 +171,9 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary | None = None) -> DataFram
     others = [f for f in encoded.schema.fields if f.name not in ("ids", "bytes")]
 
     def join_bytes(batches):
-        table = vocab.value.token_bytes.__getitem__
+        table = vocab.value.token_bytes
         for batch in batches:
-            out = [b"".join(map(table, row.values.to_pylist())) if row.is_valid else None for row in batch["ids"]]
+            out = [token_text(row.values.to_numpy(), table) if row.is_valid else None for row in batch["ids"]]
             yield pa.RecordBatch.from_arrays([batch[f.name] for f in others] + [pa.array(out, pa.binary())],
                                              [f.name for f in others] + ["bytes"])
 
@@ -172,9 +181,17 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary | None = None) -> DataFram
     return encoded.mapInArrow(join_bytes, schema)
 
 
-def digests(docs: DataFrame) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 of encode() and decode()."""
-    ids = encode(docs)
-    kept = ids.select("doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"),
-                      F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"))
-    return decode(kept).select("doc_id", "n_tokens", "ids_sha256", F.sha2("bytes", 256).alias("decoded_sha256"))
+def digests(docs: DataFrame, vocabulary: Vocabulary | None = None, **blocks: int) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256: encode(), and the same decoding as decode(), without moving the ids again."""
+    vocabulary = vocabulary or rank_vocabulary()
+    vocab = docs.sparkSession.sparkContext.broadcast(vocabulary)
+
+    def finish(doc_ids, ids, offsets):
+        table = vocab.value.token_bytes
+        parts = [ids[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+        shown = vocab.value.decimals
+        return pa.table({"doc_id": pa.array(doc_ids, pa.int64()), "n_tokens": pa.array(np.diff(offsets), pa.int64()),
+                         "ids_sha256": [hashlib.sha256(b",".join(map(shown.__getitem__, p.tolist()))).hexdigest() for p in parts],
+                         "decoded_sha256": [hashlib.sha256(token_text(p, table)).hexdigest() for p in parts]})
+
+    return encode(docs, vocabulary, finish=finish, schema="doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string", **blocks)
