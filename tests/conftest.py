@@ -12,7 +12,7 @@ sys.path.insert(0, ROOT)
 @pytest.fixture(scope="session")
 def spark():
     from tracewise.session import get_session
-    s = get_session("local[*]", app="tracewise-tests", shuffle_partitions=8)
+    s = get_session(f"local[{os.environ.get('TEST_CPUS', '*')}]", app="tracewise-tests", shuffle_partitions=8)
     yield s
     s.stop()
 

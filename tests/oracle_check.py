@@ -85,7 +85,8 @@ def compare(spark, sf_dir, names=None, verbose=True):
                 print(f"{name:34s} rows-only  rows={len(rows)} spark={ts:.1f}s", flush=True)
             continue
         try:
-            cur = con.execute(ors[name])
+            con.sql(ors[name]).create_view("oracle_result", replace=True)   # as the driver does: one statement, no PIVOT
+            cur = con.execute("SELECT * FROM oracle_result")
             dcols = [d[0] for d in cur.description]
             drows = cur.fetchall()
         except Exception as exc:  # noqa: BLE001

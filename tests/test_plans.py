@@ -59,3 +59,30 @@ def test_column_pruning_on_edge_scans(spark, qs):
     plan = _plan(qs["share_access_in_degree"](spark, SF))
     scans = re.findall(r"ReadSchema: struct<([^>]*)>", plan)
     assert scans and all("metadata" not in s or "itemSource" in s for s in scans)
+
+
+def test_edge_jobs_build_without_writing(spark, qs, monkeypatch):
+    from pyspark.sql import DataFrame
+    written = []
+    monkeypatch.setattr(DataFrame, "write", property(lambda self: written.append(1)))
+    for name in ["file_edges", "share_access_in_degree", "failed_access_in_degree", "failed_share_in_degree", "shares_out_degree",
+                 "share_degree", "gold_login_features", "active_batch_users", "default_timestamp_fill"]:
+        qs[name](spark, SF)
+    assert not written
+
+
+def test_scans_open_files(spark, qs):
+    for name, kind in [("scan_json_nested", "json"), ("log_scan_clean", "csv"), ("log_line_count", "text"), ("log_regex_split", "text")]:
+        assert f"FileScan {kind}" in _plan(qs[name](spark, SF)), name
+
+
+def test_point_lookup_is_pushed_to_the_written_table(spark, qs):
+    pushed = re.search(r"PushedFilters: \[([^\]]*)\]", _plan(qs["entity_time_lookup"](spark, SF))).group(1)
+    assert "EqualTo(entity_id,u7)" in pushed and "GreaterThanOrEqual(event_ts" in pushed
+
+
+def test_common_values_are_not_shuffled(spark):
+    from tracewise.operators import anomaly as an
+    df = spark.createDataFrame([(i, 0.0 if i % 5 else float(i)) for i in range(500)], "id long, a double")
+    plan = _plan(an.ecod_scores(df, "id", ["a"]))
+    assert "BroadcastHashJoin" in plan

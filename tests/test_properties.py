@@ -123,7 +123,7 @@ def test_roc_auc_matches_pairs(spark):
     pos = [s for s, y in data if y == 1]
     neg = [s for s, y in data if y == 0]
     want = sum(1.0 if p > q else 0.5 if p == q else 0.0 for p in pos for q in neg) / (len(pos) * len(neg))
-    got = an.roc_auc(df, "s", "y", blocks=3).first()["auc"]
+    got = an.roc_auc(df, "s", "y").first()["auc"]
     assert math.isclose(got, want)
 
 
@@ -187,3 +187,54 @@ def test_model_udf_equals_batch_scoring(spark):
         "id", model_udf(spark, model, ["a", "b"])(F.struct("a", "b")).alias("p")).collect()}
     batch = {r["id"]: r["score"] for r in iforest_scores(frame, "id", ["a", "b"], trees=20, psi=64).collect()}
     assert all(math.isclose(via_udf[i], batch[i]) for i in batch)
+
+
+def test_components_of_a_long_chain(spark):
+    from tracewise.operators.graph import connected_components
+    n = 300
+    r = np.random.default_rng(3)
+    ids = r.permutation(n).tolist()
+    edges = spark.createDataFrame([(ids[i], ids[i + 1]) for i in range(n - 1)], "src long, dst long")
+    got = connected_components(spark.range(n + 1), edges).collect()
+    assert {row["component"] for row in got if row["id"] < n} == {0} and len(got) == n + 1
+
+
+def test_answers_are_counted_without_pairs(spark):
+    """A hot (share, token) pair: the owner meets one number; ids with several pairs still count once."""
+    from tracewise.operators import features as feat
+    rows = [(1, "shared_link", "user_a", "share_obj_1", "user_t"), (2, "shared_link", "user_b", "share_obj_1", "user_t"),
+            (3, "shared_link", "user_a", "share_obj_2", "user_t")]
+    rows += [(100 + i, "public_share_accessed", "share_obj_1", "user_t", None) for i in range(500)]
+    rows += [(900, "public_share_accessed", "share_obj_1", "user_t", None), (900, "public_share_accessed", "share_obj_2", "user_t", None),
+             (901, "public_share_accessed", "share_obj_9", "user_t", None), (None, "public_share_accessed", "share_obj_1", "user_t", None)]
+    e = spark.createDataFrame(rows, "id long, relationship string, src string, dst string, entity_sub_relationship string")
+    shares = e.where("relationship = 'shared_link'")
+    got = {r["src"]: r[1] for r in feat.reciprocal_access_counts(shares, e).collect()}
+    assert got == {"user_a": 501, "user_b": 501}
+    pairs = feat.reciprocal_access_ids(shares, e).groupBy("src").count().collect()
+    assert {r["src"]: r["count"] for r in pairs} == got
+
+
+def test_knn_with_many_groups_of_cells(spark):
+    from tracewise.operators.knn import knn_scores
+    r = np.random.default_rng(5)
+    x = np.round(r.normal(size=(400, 3)), 3)
+    df = spark.createDataFrame([(f"p{i}", *map(float, v)) for i, v in enumerate(x)], "id string, a double, b double, c double")
+    got = {row["id"]: row["score"] for row in knn_scores(df, "id", ["a", "b", "c"], k=4, cell_rows=16, most_groups=5).collect()}
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1))
+    want = np.sort(d + np.diag(np.full(400, np.inf)), axis=1)[:, 3]
+    assert all(abs(got[f"p{i}"] - want[i]) < 1e-9 for i in range(400))
+
+
+def test_scoring_takes_every_detector(spark):
+    from tracewise.operators import anomaly as an
+    r = np.random.default_rng(6)
+    rows = [(f"p{i}", *map(float, v)) for i, v in enumerate(r.normal(size=(120, 2)))]
+    ref = spark.createDataFrame(rows, "id string, a double, b double")
+    new = spark.createDataFrame([("in", 0.0, 0.0), ("out", 50.0, 50.0)], "user_id string, a double, b double")
+    for detector, params in (("knn", {"k": 3}), ("ecod", {}), ("inne", {"psi": 8}), ("iforest", {"psi": 64, "trees": 20})):
+        got = {row["user_id"]: row["score"] for row in an.score(new, "user_id", ["a", "b"], ref, "id", detector, params).collect()}
+        assert got["out"] > got["in"], detector
+    runs = spark.createDataFrame([("knn_k3", "knn", '{"k": 3}', -0.5, "FINISHED"), ("inne_psi8", "inne", '{"psi": 8}', -0.9, "FINISHED")],
+                                 "model_id string, detector string, params string, loss double, status string")
+    assert an.production_model(runs, an.model_versions(runs, "m")) == {"model_id": "inne_psi8", "detector": "inne", "params": {"psi": 8}}

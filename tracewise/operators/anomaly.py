@@ -12,6 +12,7 @@
 
 from __future__ import annotations
 
+import json
 import math
 
 import numpy as np
@@ -33,20 +34,31 @@ def train_test_split(frame: DataFrame, id_col: str = "id", test_buckets: int = 1
                         F.when(b < test_buckets, F.lit("test")).otherwise(F.lit("train")).alias("split"))
 
 
+ROWS_PER_BLOCK = 100_000
+MOST_SPLITS = 10_000       # per group: a broadcast of groups x this many numbers at most
+
+
+def block_count(df: DataFrame, group_col: str) -> int:
+    """Blocks per group, so that a block of the largest group holds about ROWS_PER_BLOCK rows."""
+    largest = df.groupBy(group_col).count().agg(F.max("count")).first()[0] or 1
+    return max(2, min(MOST_SPLITS, math.ceil(largest / ROWS_PER_BLOCK)))
+
+
 def cumulative_by_value(df: DataFrame, group_col: str, value_col: str, weight_col: str,
-                        blocks: int = 64, accuracy: int = 10000) -> DataFrame:
+                        blocks: int | None = None, accuracy: int = 10000) -> DataFrame:
     """Add ``cum_le`` = sum of ``weight_col`` over rows of the same group with value <= this value.
 
-    ``df`` must hold one row per (group, value). Values are cut into ``blocks``
-    ranges per group by approximate percentiles (one aggregate, no sort); a
-    window runs inside each (group, block) only, and block offsets come from a
-    small table of groups x blocks rows. No task ever holds a whole group.
+    ``df`` must hold one row per (group, value), and few groups (a constant, the
+    features). Values are cut into blocks per group by approximate percentiles (one
+    aggregate, no sort); a window runs inside each (group, block) only, and block
+    offsets come from a small table of groups x blocks rows. The number of blocks
+    follows the number of rows, so no task ever holds a whole group; the split points
+    and offsets are groups x blocks numbers (MOST_SPLITS bounds them) and broadcast.
     """
+    blocks = blocks or block_count(df, group_col)
     probs = [i / blocks for i in range(1, blocks)]
-    splits = df.groupBy(group_col).agg(F.percentile_approx(value_col, probs, accuracy).alias("_splits"))
-    # splits / offsets hold one row per group (x blocks): no broadcast hint, the
-    # planner broadcasts them by measured size when the groups are few
-    with_block = (df.join(splits, group_col)
+    splits = df.groupBy(group_col).agg(F.percentile_approx(value_col, probs, max(accuracy, 20 * blocks)).alias("_splits"))
+    with_block = (df.join(F.broadcast(splits), group_col)
                   .withColumn("_block", F.size(F.filter("_splits", lambda s: s < F.col(value_col))))
                   .drop("_splits"))
     w_in = (Window.partitionBy(group_col, "_block").orderBy(value_col)
@@ -55,15 +67,14 @@ def cumulative_by_value(df: DataFrame, group_col: str, value_col: str, weight_co
     totals = with_block.groupBy(group_col, "_block").agg(F.sum(weight_col).alias("_tot"))
     w_off = Window.partitionBy(group_col).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.withColumn("_off", F.coalesce(F.sum("_tot").over(w_off), F.lit(0))).drop("_tot")
-    return (inner.join(offsets, [group_col, "_block"])
+    return (inner.join(F.broadcast(offsets), [group_col, "_block"])
             .withColumn("cum_le", F.col("_cum_in") + F.col("_off"))
             .drop("_block", "_cum_in", "_off"))
 
 
 # --------------------------------------------------------------------------- ECOD
 
-def ecod_scores(points: DataFrame, id_col: str, features: list[str], reference: DataFrame | None = None,
-                blocks: int = 64) -> DataFrame:
+def ecod_scores(points: DataFrame, id_col: str, features: list[str], reference: DataFrame | None = None) -> DataFrame:
     """M4 ECOD: per feature j, left tail L = P(X_j <= x_j), right tail R = P(X_j >= x_j)
     under the empirical distribution of the reference rows (plus the scored rows
     when they are new); O_left = sum -ln L,
@@ -90,7 +101,7 @@ def ecod_scores(points: DataFrame, id_col: str, features: list[str], reference:
     values = ref_counts.unionByName(
         pts_long.select("feature", "value").distinct().withColumn("c", F.lit(0).cast("bigint")))
     values = values.groupBy("feature", "value").agg(F.sum("c").alias("c"))
-    cum = cumulative_by_value(values, "feature", "value", "c", blocks=blocks)
+    cum = cumulative_by_value(values.checkpoint(), "feature", "value", "c")
     stats = ref_long.groupBy("feature").agg(F.count(F.lit(1)).alias("n"), F.skewness("value").alias("skew"))
     tails = cum.join(F.broadcast(stats), "feature").select(
         "feature", "value",
@@ -98,7 +109,15 @@ def ecod_scores(points: DataFrame, id_col: str, features: list[str], reference:
         (-F.log((F.col("n") - F.col("cum_le") + F.col("c")) / F.col("n"))).alias("u_r"),
         F.col("skew"))
     tails = tails.withColumn("u_s", F.when(F.col("skew") < 0, F.col("u_l")).otherwise(F.col("u_r")))
-    per_id = pts_long.join(tails, ["feature", "value"]).groupBy(id_col).agg(
+    # a feature's most common value may be that of most rows: its tails are one row per
+    # feature, broadcast; only the other values are joined by shuffle
+    common = (ref_counts.groupBy("feature").agg(F.max(F.struct("c", "value")).alias("m"))
+              .select("feature", F.col("m.value").alias("value")))
+    tails = tails.join(F.broadcast(common.withColumn("_common", F.lit(True))), ["feature", "value"], "left")
+    marked = pts_long.join(F.broadcast(common.withColumn("_common", F.lit(True))), ["feature", "value"], "left")
+    frequent = marked.where("_common").drop("_common").join(F.broadcast(tails.where("_common").drop("_common")), ["feature", "value"])
+    rare = marked.where("_common is null").drop("_common").join(tails.where("_common is null").drop("_common"), ["feature", "value"])
+    per_id = frequent.unionByName(rare).groupBy(id_col).agg(
         F.sum("u_l").alias("o_left"), F.sum("u_r").alias("o_right"), F.sum("u_s").alias("o_auto"))
     return per_id.select(id_col, "o_left", "o_right", "o_auto",
                          F.greatest("o_left", "o_right", "o_auto").alias("score"))
@@ -106,7 +125,7 @@ def ecod_scores(points: DataFrame, id_col: str, features: list[str], reference:
 
 # --------------------------------------------------------------------------- ROC AUC
 
-def roc_auc(scored: DataFrame, score_col: str, label_col: str, blocks: int = 64) -> DataFrame:
+def roc_auc(scored: DataFrame, score_col: str, label_col: str) -> DataFrame:
     """M5: area under the ROC curve = (R+ - n+(n+ + 1)/2) / (n+ n-) with average ranks.
 
     One row: auc, n_pos, n_neg. Works from counts per distinct score.
@@ -115,8 +134,8 @@ def roc_auc(scored: DataFrame, score_col: str, label_col: str, blocks: int = 64)
            .groupBy(F.col(score_col).cast("double").alias("s"))
            .agg(F.sum(F.when(F.col(label_col) == 1, 1).otherwise(0)).cast("bigint").alias("pos"),
                 F.count(F.lit(1)).alias("c"))
-           .withColumn("g", F.lit(0)))
-    cum = cumulative_by_value(per, "g", "s", "c", blocks=blocks)
+           .withColumn("g", F.lit(0)).checkpoint())
+    cum = cumulative_by_value(per, "g", "s", "c")
     ranked = cum.withColumn("avg_rank", F.col("cum_le") - F.col("c") + (F.col("c") + 1) / 2.0)
     agg = ranked.agg(F.sum(F.col("pos") * F.col("avg_rank")).alias("r_pos"),
                      F.sum("pos").alias("n_pos"), (F.sum("c") - F.sum("pos")).alias("n_neg"))
@@ -129,14 +148,17 @@ def roc_auc(scored: DataFrame, score_col: str, label_col: str, blocks: int = 64)
 # --------------------------------------------------------------------------- scoring a batch
 
 def score(features: DataFrame, id_col: str, feature_cols: list[str], reference: DataFrame, ref_id_col: str,
-          detector: str = "knn", k: int = 5) -> DataFrame:
-    """M6: one scoring entry point: (features, reference rows, detector) -> (id, score)."""
-    if detector == "knn":
-        from tracewise.operators.knn import knn_scores
-        return knn_scores(features, id_col, feature_cols, reference=reference, ref_id_col=ref_id_col, k=k)
+          detector: str = "knn", params: dict | None = None) -> DataFrame:
+    """M6: one scoring entry point: (features, reference rows, detector, its parameters) -> (id, score)."""
+    from tracewise.operators.ensembles import iforest_scores, inne_scores
+    from tracewise.operators.knn import knn_scores
+    params = params or {}
     if detector == "ecod":
         return ecod_scores(features, id_col, feature_cols, reference=reference).select(id_col, "score")
-    raise ValueError(f"unknown detector {detector!r}")
+    made = {"knn": knn_scores, "inne": inne_scores, "iforest": iforest_scores}
+    if detector not in made:
+        raise ValueError(f"unknown detector {detector!r}")
+    return made[detector](features, id_col, feature_cols, reference=reference, ref_id_col=ref_id_col, **params).select(id_col, "score")
 
 
 def with_predictions(features: DataFrame, scores: DataFrame, id_col: str) -> DataFrame:
@@ -149,7 +171,7 @@ def normalised_ranks(scores: DataFrame, id_col: str, score_col: str = "s") -> Da
     """(id, rank in (0, 1]): average rank of the score among all rows / row count."""
     per = (scores.filter(F.col(score_col).isNotNull())
            .groupBy(F.col(score_col).cast("double").alias("v")).agg(F.count(F.lit(1)).alias("c"))
-           .withColumn("g", F.lit(0)))
+           .withColumn("g", F.lit(0)).checkpoint())
     cum = cumulative_by_value(per, "g", "v", "c")
     n = per.agg(F.sum("c").alias("n"))
     ranks = cum.crossJoin(F.broadcast(n)).select(
@@ -188,6 +210,9 @@ def document_features(documents: DataFrame) -> DataFrame:
 
 DOC_FEATURES = ["n_chars", "n_words", "n_lines", "digit_frac", "upper_frac"]
 KNN_KS = (3, 5, 10)
+#: Parameter sets of the ensembles that a model search tries.
+INNE_GRID = tuple({"psi": p} for p in (8, 16, 32))
+IFOREST_GRID = tuple({"psi": p} for p in (64, 256))
 
 
 def model_runs(features: DataFrame, labels: DataFrame, id_col: str, feature_cols: list[str], label_col: str,
@@ -247,6 +272,14 @@ def latest_version(versions: DataFrame, stage: str = "Production") -> DataFrame:
             .select("name", F.col("v.version").alias("version"), F.col("v.model_id").alias("model_id")))
 
 
+def production_model(runs: DataFrame, versions: DataFrame) -> dict:
+    """M8: detector, parameters and model id of the latest production version of the stored tables."""
+    row = latest_version(versions).join(runs, "model_id").first()
+    if row is None:
+        raise ValueError("no production version is registered")
+    return {"model_id": row["model_id"], "detector": row["detector"], "params": json.loads(row["params"])}
+
+
 # --------------------------------------------------------------------------- excess mass (M5, unsupervised)
 
 def uniform_in_box(frame: DataFrame, features: list[str], n: int, seed: int = 11) -> tuple[DataFrame, DataFrame]:
@@ -257,7 +290,11 @@ def uniform_in_box(frame: DataFrame, features: list[str], n: int, seed: int = 11
                     *[F.max(F.col(c).cast("double")).alias(f"hi_{c}") for c in features])
     spark = frame.sparkSession
     rows = spark.range(n).withColumnRenamed("id", "uid").crossJoin(F.broadcast(box))
-    cols = [(F.col(f"lo_{c}") + F.rand(seed + j) * (F.col(f"hi_{c}") - F.col(f"lo_{c}"))).alias(c)
+    def draw(j):   # a digest of (seed, column, row), so the rows are the same on any cluster
+        digest = F.md5(F.concat_ws(":", F.lit(str(seed)), F.lit(str(j)), F.col("uid").cast("string")))
+        return F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / F.lit(float(16 ** 13))
+
+    cols = [(F.col(f"lo_{c}") + draw(j) * (F.col(f"hi_{c}") - F.col(f"lo_{c}"))).alias(c)
             for j, c in enumerate(features)]
     uniform = rows.select(F.concat(F.lit("u"), F.col("uid").cast("string")).alias("uid"), *cols)
     vol = None
@@ -343,20 +380,19 @@ def model_runs_unlabelled(frame: DataFrame, id_col: str, features: list[str], ks
 
     kmax = max(ks)
     kt = knn_scores(test, id_col, features, reference=train, ref_id_col=id_col, k=kmax, exclude_self=True,
-                    keep_distances=True).persist()
+                    keep_distances=True).checkpoint()
     ku = knn_scores(uniform, "uid", features, reference=train, ref_id_col=id_col, k=kmax, exclude_self=False,
-                    keep_distances=True).persist()
+                    keep_distances=True).checkpoint()
     runs = [run(f"knn_k{k}", "knn", f'{{"k": {k}}}',
                 kt.select(F.try_element_at("distances", F.lit(k)).alias("score")),
                 ku.select(F.try_element_at("distances", F.lit(k)).alias("score"))) for k in ks]
     runs.append(run("ecod", "ecod", "{}", ecod_scores(test, id_col, features, reference=train),
                     ecod_scores(uniform, "uid", features, reference=train)))
-    runs.append(run("inne", "inne", '{"samples": 100, "psi": 16}',
-                    inne_scores(test, id_col, features, reference=train, ref_id_col=id_col),
-                    inne_scores(uniform, "uid", features, reference=train, ref_id_col=id_col)))
-    runs.append(run("iforest", "iforest", '{"trees": 100, "psi": 256}',
-                    iforest_scores(test, id_col, features, reference=train, ref_id_col=id_col),
-                    iforest_scores(uniform, "uid", features, reference=train, ref_id_col=id_col)))
+    for name, scorer, grid in (("inne", inne_scores, INNE_GRID), ("iforest", iforest_scores, IFOREST_GRID)):
+        for params in grid:
+            runs.append(run(f"{name}_" + "_".join(f"{k}{v}" for k, v in params.items()), name, json.dumps(params),
+                            scorer(test, id_col, features, reference=train, ref_id_col=id_col, **params),
+                            scorer(uniform, "uid", features, reference=train, ref_id_col=id_col, **params)))
     out = runs[0]
     for r in runs[1:]:
         out = out.unionByName(r)

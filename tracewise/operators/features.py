@@ -63,8 +63,10 @@ def _restrict(df: DataFrame, user_col: Column | None, cutoff: str | None, window
     if window is not None:
         if window.static_lower:
             df = df.filter(F.col("event_ts") >= F.expr(window.static_lower))
+        # the batch's last event bounds the window above: later events, already in the
+        # tables when a batch is replayed, must not change its features
         df = (df.crossJoin(F.broadcast(window.bounds.select("max_ts", "window_start")))
-                .filter(F.col("event_ts") >= F.col("window_start")))
+                .filter((F.col("event_ts") >= F.col("window_start")) & (F.col("event_ts") <= F.col("max_ts"))))
         if restrict_users:
             keyed = df.withColumn("_user_key", user_col)
             df = keyed.join(window.users.withColumnRenamed("entity_id", "_user_key"), "_user_key", "left_semi") \
@@ -195,6 +197,28 @@ def reciprocal_access_ids(share_edges: DataFrame, accesses: DataFrame) -> DataFr
     return j.select("src", F.col("_a_id").alias("access_id")).distinct()
 
 
+def reciprocal_access_counts(share_edges: DataFrame, accesses: DataFrame) -> DataFrame:
+    """E2 summary: (src, num_reciprocal_accessed_shares), distinct answering accesses per owner.
+
+    Accesses are counted per (share, token) first, so an owner meets one number and
+    not the accesses themselves. Only an access id that occurs with several (share,
+    token) pairs could be counted twice that way; those few go through the pairs.
+    """
+    pairs = (share_edges.select("src", "dst", "entity_sub_relationship")
+             .filter(F.col("dst").isNotNull() & F.col("entity_sub_relationship").isNotNull()).distinct())
+    per_id = (accesses.filter((F.col("relationship") == SHARE_ACCESS) & F.col("id").isNotNull()
+                              & F.col("src").isNotNull() & F.col("dst").isNotNull())
+              .select("id", "src", "dst").distinct()
+              .groupBy("id").agg(F.count(F.lit(1)).alias("_n"), F.min(F.struct("src", "dst")).alias("_at")))
+    counted = (per_id.filter(F.col("_n") == 1)
+               .groupBy(F.col("_at.src").alias("_a_src"), F.col("_at.dst").alias("_a_dst")).agg(F.count(F.lit(1)).alias("_accesses")))
+    on = (pairs["dst"] == counted["_a_src"]) & (pairs["entity_sub_relationship"] == counted["_a_dst"])
+    simple = pairs.join(counted, on).select("src", "_accesses")
+    several = accesses.join(per_id.filter(F.col("_n") > 1).select("id"), "id", "left_semi")
+    other = reciprocal_access_ids(share_edges, several).select("src", F.lit(1).cast("long").alias("_accesses"))
+    return simple.unionByName(other).groupBy("src").agg(F.sum("_accesses").alias("num_reciprocal_accessed_shares"))
+
+
 def sharing_features(edges: DataFrame, cutoff: str | None = None,
                      window: RollingWindow | None = None) -> DataFrame:
     """Sharing measures per source vertex.
@@ -218,8 +242,7 @@ def sharing_features(edges: DataFrame, cutoff: str | None = None,
     users = (e.filter((rel == SHARE_LINK) & F.col("entity_sub_relationship").isNotNull())
              .select("src", "entity_sub_relationship").distinct()
              .groupBy("src").agg(F.count(F.lit(1)).alias("NumUsersSharingWith")))
-    recip = (reciprocal_access_ids(e, acc)
-             .groupBy("src").agg(F.count(F.lit(1)).alias("num_reciprocal_accessed_shares")))
+    recip = reciprocal_access_counts(e, acc)
     agg = (base.join(users, "src", "left").join(recip, "src", "left")
            .fillna(0, subset=["NumUsersSharingWith", "num_reciprocal_accessed_shares"]))
     end = F.col("_bmax") if window is not None else F.col("_max_ts")
@@ -291,21 +314,34 @@ def feature_non_null_counts(frame: DataFrame) -> DataFrame:
     return frame.agg(*[F.count(F.col(c)).alias(c) for c in frame.columns])
 
 
-def failed_login_momentum(events: DataFrame, bounds: DataFrame, days=(7, 14, 30)) -> DataFrame:
-    """Failed logins over the last 7 / 14 / 30 days before the batch's last event, one scan."""
+def failed_login_momentum(events: DataFrame, bounds: DataFrame, days=(7, 14, 30),
+                          batch_start: str | None = None) -> DataFrame:
+    """Failed logins over the last 7 / 14 / 30 days before the batch's last event, one scan.
+
+    ``batch_start`` (the last event is not before it) adds a constant lower bound,
+    which the parquet scan can use.
+    """
     longest = max(days)
-    ev = (events.filter((F.col("entity_type") == NAMED_ENTITY) & (F.col("event_type") == "login_failed"))
-          .crossJoin(F.broadcast(bounds.select("max_ts")))
-          .filter(F.col("event_ts") >= F.col("max_ts") - F.expr(f"INTERVAL {int(longest)} DAYS")))
+    ev = events.filter((F.col("entity_type") == NAMED_ENTITY) & (F.col("event_type") == "login_failed"))
+    if batch_start is not None:
+        ev = ev.filter(F.col("event_ts") >= F.expr(f"to_timestamp('{batch_start}') - INTERVAL {int(longest)} DAYS"))
+    ev = (ev.crossJoin(F.broadcast(bounds.select("max_ts")))
+          .filter((F.col("event_ts") >= F.col("max_ts") - F.expr(f"INTERVAL {int(longest)} DAYS"))
+                  & (F.col("event_ts") <= F.col("max_ts"))))
     return ev.groupBy("entity_id").agg(*[
         F.count(F.when(F.col("event_ts") >= F.col("max_ts") - F.expr(f"INTERVAL {int(d)} DAYS"), 1)).alias(f"failed_{d}d")
         for d in days])
 
 
-def window_for_batch(batch: DataFrame, lookback_days: int) -> RollingWindow:
-    """Rolling window of one micro-batch: its named users and its own last event."""
+def window_for_batch(batch: DataFrame, lookback_days: int, last=None) -> RollingWindow:
+    """Rolling window of one micro-batch: its named users and its own last event.
+
+    ``last`` (that event's time, where the caller has it) becomes a constant lower
+    bound for the scans of stored tables.
+    """
     users = (batch.filter((F.col("entity_type") == NAMED_ENTITY) & F.col("entity_id").isNotNull())
              .select(prefixed(USER_PREFIX, F.col("entity_id")).alias("entity_id")).distinct())
     bounds = (batch.agg(F.max("event_ts").alias("max_ts"))
               .select("max_ts", (F.col("max_ts") - F.expr(f"INTERVAL {int(lookback_days)} DAYS")).alias("window_start")))
-    return RollingWindow(users=users, bounds=bounds, static_lower=None)
+    static = None if last is None else f"to_timestamp('{last}') - INTERVAL {int(lookback_days)} DAYS"
+    return RollingWindow(users=users, bounds=bounds, static_lower=static)

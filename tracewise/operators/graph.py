@@ -16,8 +16,8 @@ from tracewise.session import ensure_checkpoint_dir
 
 @dataclass
 class Graph:
-    """L1: a vertex frame and an edge frame."""
-    vertices: DataFrame
+    """L1: a vertex frame and an edge frame. Jobs on edges alone need no vertices."""
+    vertices: DataFrame | None
     edges: DataFrame
 
     def filter_edges(self, predicate: str) -> "Graph":
@@ -109,8 +109,7 @@ def reciprocal_pair_counts(edges: DataFrame) -> DataFrame:
 
 # --------------------------------------------------------------------------- components
 
-def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int = 200,
-                         checkpoint_every: int = 1) -> DataFrame:
+def connected_components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     """Undirected connected components, label = smallest vertex id.
 
     Alternating large-star / small-star rounds (Kiveris et al., 2014) over the
@@ -118,7 +117,8 @@ def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int
     joins; a hub vertex appears as one row per neighbour, which AQE's skew
     join splits. Each round reads its input several times, so an uncut plan
     would grow geometrically: lineage is cut with reliable ``checkpoint()``
-    into the session's checkpoint folder every ``checkpoint_every`` rounds.
+    into the session's checkpoint folder every round. The loop ends when a round
+    changes nothing, however many rounds that takes.
     Edges whose ends are not both vertices are ignored (T16).
     """
     ensure_checkpoint_dir(vertices.sparkSession)
@@ -130,12 +130,9 @@ def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int
     # canonical undirected edge: (hi, lo) with hi > lo
     cur = e.select(F.greatest("src", "dst").alias("hi"), F.least("src", "dst").alias("lo")).distinct()
     cur = cur.checkpoint()
-    for rnd in range(max_rounds):
-        nxt = _small_star(_large_star(cur))
-        nxt = nxt.checkpoint() if (rnd + 1) % checkpoint_every == 0 else nxt.persist()
+    while True:
+        nxt = _small_star(_large_star(cur)).checkpoint()
         changed = _edge_sets_differ(cur, nxt)
-        if cur.is_cached:
-            cur.unpersist()
         cur = nxt
         if not changed:
             break

@@ -9,14 +9,17 @@ Plan
    quantile ranks (top-variance features) with a hash tie-break, so equal or
    crowded points spread over many cells of about ``cell_rows`` rows each. The
    cell assignment is checkpointed (reliable, in ``spark.checkpoint.dir``).
-2. Boxes: per cell the bounding box in every feature (cells x features
-   numbers, broadcast; the size is checked against ``max_box_bytes``).
-3. Pass 1: each query row goes to the cell whose box is nearest; a
+2. Boxes, on two levels: per cell the bounding box in every feature, and per group
+   of neighbouring cells the box around theirs. There are at most ``MOST_GROUPS``
+   groups, however many cells, so their boxes are broadcast; the cells' boxes stay a
+   table and are joined by group.
+3. Pass 1: each query row goes to the nearest cell of the nearest group; a
    co-grouped numpy kernel returns its k nearest distances inside that cell,
    giving an upper bound r on the k-th distance.
-4. Pass 2: the query row visits every other cell whose box is closer than r
-   (strictly — a cell at distance r cannot improve the bound); same kernel.
-5. The k smallest of all candidates per query (at most k per visited cell).
+4. Pass 2: the query row visits every other cell whose group's box and own box are
+   closer than r (strictly — a cell at distance r cannot improve the bound).
+5. The k smallest of all candidates per query; each task keeps its own k smallest
+   before the rows meet.
 
 Each co-group is (cell, query chunk); chunks are sized from query counts per
 cell, so one crowded cell never becomes one huge task. Only k rows per
@@ -30,13 +33,14 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tracewise.operators.layout import _rank_columns, z_value
 from tracewise.session import ensure_checkpoint_dir
 
 _QUERY_CHUNK_ROWS = 4096
+MOST_GROUPS = 20_000       # boxes that are broadcast at most
 
 
 def _vector(features: list[str]):
@@ -60,11 +64,17 @@ def build_cells(reference: DataFrame, ref_id_col: str, features: list[str], cell
     return laid.checkpoint()
 
 
-def cell_boxes(cells: DataFrame, dims: int) -> pd.DataFrame:
-    """Per-cell lower/upper corners, collected (cells x dims x 2 numbers)."""
-    lo = F.array(*[F.min(F.col("v")[i]) for i in range(dims)]).alias("lo")
-    hi = F.array(*[F.max(F.col("v")[i]) for i in range(dims)]).alias("hi")
-    return cells.groupBy("cell").agg(lo, hi, F.count(F.lit(1)).alias("n")).toPandas()
+def _boxes(rows: DataFrame, by: str, lo: str, hi: str, dims: int) -> DataFrame:
+    return rows.groupBy(by).agg(F.array(*[F.min(F.col(lo)[i]) for i in range(dims)]).alias("lo"),
+                                F.array(*[F.max(F.col(hi)[i]) for i in range(dims)]).alias("hi"))
+
+
+def _gap():
+    """Distance from the query vector ``qv`` to the box (lo, hi)."""
+    outside = F.zip_with(F.zip_with("lo", "qv", lambda a, q: F.greatest(a - q, F.lit(0.0))),
+                         F.zip_with("qv", "hi", lambda q, b: F.greatest(q - b, F.lit(0.0))),
+                         lambda x, y: F.greatest(x, y))
+    return F.sqrt(F.aggregate(outside, F.lit(0.0), lambda acc, d: acc + d * d))
 
 
 def _box_dist(q: np.ndarray, lo: np.ndarray, hi: np.ndarray, block: int = 256):
@@ -75,7 +85,7 @@ def _box_dist(q: np.ndarray, lo: np.ndarray, hi: np.ndarray, block: int = 256):
         yield s, np.sqrt((gap * gap).sum(axis=2))
 
 
-def _kernel(k: int, keep_query: bool, block: int = 256):
+def _kernel(k: int, keep_query: bool, exclude_self: bool, block: int = 256):
     """Co-group kernel: per query row, its k smallest distances to the cell's rows.
 
     Emits one row per query: (qid, ds) — or (qid, qv, cell, ds) in pass 1, so
@@ -98,7 +108,8 @@ def _kernel(k: int, keep_query: bool, block: int = 256):
                 q = q_all[s:s + block]
                 diff = q[:, None, :] - r[None, :, :]
                 d2 = (diff * diff).sum(axis=2)
-                d2[qids[s:s + block][:, None] == rid[None, :]] = np.inf
+                if exclude_self:
+                    d2[qids[s:s + block][:, None] == rid[None, :]] = np.inf
                 part = np.partition(d2, kk - 1, axis=1)[:, :kk] if kk < d2.shape[1] else d2
                 part = np.sqrt(np.sort(part, axis=1))
                 ds.extend(row[np.isfinite(row)] for row in part)
@@ -109,7 +120,7 @@ def _kernel(k: int, keep_query: bool, block: int = 256):
     return fn
 
 
-def _visit(cells: DataFrame, queries: DataFrame, k: int, keep_query: bool) -> DataFrame:
+def _visit(cells: DataFrame, queries: DataFrame, k: int, keep_query: bool, exclude_self: bool) -> DataFrame:
     """queries(qid, qv, cell) x cells(rid, v, cell) -> one row per query and visited cell."""
     per_cell = queries.groupBy("cell").agg(F.count(F.lit(1)).alias("_nq"))
     chunks = per_cell.select("cell", F.greatest(F.lit(1), F.ceil(F.col("_nq") / _QUERY_CHUNK_ROWS))
@@ -118,15 +129,15 @@ def _visit(cells: DataFrame, queries: DataFrame, k: int, keep_query: bool) -> Da
          .withColumn("chunk", F.pmod(F.xxhash64("qid"), F.col("_chunks")).cast("int")).drop("_chunks"))
     r = (cells.join(chunks, "cell")
          .withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("_chunks") - 1))).drop("_chunks"))
-    schema = ("qid string, qv array<double>, cell int, ds array<double>" if keep_query
-              else "qid string, ds array<double>")
+    schema = ("qid long, qv array<double>, cell int, ds array<double>" if keep_query
+              else "qid long, ds array<double>")
     return (q.groupBy("cell", "chunk").cogroup(r.groupBy("cell", "chunk"))
-            .applyInPandas(_kernel(k, keep_query), schema))
+            .applyInPandas(_kernel(k, keep_query, exclude_self), schema))
 
 
 def knn_scores(points: DataFrame, id_col: str, features: list[str], reference: DataFrame | None = None,
                ref_id_col: str | None = None, k: int = 5, cell_rows: int = 2048,
-               max_box_bytes: int = 64 * 1024 * 1024, exclude_self: bool | None = None,
+               exclude_self: bool | None = None, most_groups: int = MOST_GROUPS,
                keep_distances: bool = False) -> DataFrame:
     """(id, score): distance to the k-th nearest reference row.
 
@@ -146,66 +157,66 @@ def knn_scores(points: DataFrame, id_col: str, features: list[str], reference: D
     ref_id_col = ref_id_col or id_col
     dims = len(features)
     cells = build_cells(reference, ref_id_col, features, cell_rows=cell_rows)
-    boxes = cell_boxes(cells, dims)
-    box_bytes = len(boxes) * dims * 16
-    if box_bytes > max_box_bytes:
-        raise ValueError(f"cell boxes need {box_bytes} bytes; raise cell_rows")
-    cell_ids = boxes["cell"].to_numpy()
-    lo = np.stack(boxes["lo"].to_numpy()).astype("float64")
-    hi = np.stack(boxes["hi"].to_numpy()).astype("float64")
+    n_cells = (cells.agg(F.max("cell")).first()[0] or 0) + 1
+    span = math.ceil(n_cells / most_groups)
+    boxes = _boxes(cells, "cell", "v", "v", dims).select(
+        F.expr("cell + 0").alias("cell"), "lo", "hi", F.floor(F.col("cell") / span).cast("int").alias("grp")).checkpoint()
+    groups = _boxes(boxes, "grp", "lo", "hi", dims).toPandas()      # at most most_groups rows
+    group_ids = groups["grp"].to_numpy()
+    lo = np.stack(groups["lo"].to_numpy()).astype("float64")
+    hi = np.stack(groups["hi"].to_numpy()).astype("float64")
     spark = points.sparkSession
-    bc = spark.sparkContext.broadcast((cell_ids, lo, hi))
+    bc = spark.sparkContext.broadcast((group_ids, lo, hi))
 
-    queries = points.select(F.col(id_col).cast("string").alias("qid"), _vector(features).alias("qv"))
-    rid = F.col("rid").cast("string")
-    if not exclude_self:  # query ids never equal reference ids
-        rid = F.concat(F.lit("\u0000ref:"), rid)
-    cells_s = cells.select(rid.alias("rid"), "v", "cell")
+    # a row's code is a 64-bit hash of its id; the same on both sides
+    queries = points.select(F.xxhash64(F.col(id_col).cast("string")).alias("qid"), _vector(features).alias("qv"))
+    cells_s = cells.select(F.xxhash64(F.col("rid").cast("string")).alias("rid"), "v", "cell")
 
-    def nearest_cell(it):
+    def nearest_group(it):
         ids, blo, bhi = bc.value
         for pdf in it:
             if pdf.empty:
                 continue
             qv = np.stack(pdf["qv"].to_numpy()).astype("float64")
             nearest = np.concatenate([np.argmin(d, axis=1) for _, d in _box_dist(qv, blo, bhi)])
-            yield pdf.assign(cell=ids[nearest].astype("int32"))
+            yield pdf.assign(grp=ids[nearest].astype("int32"))
 
-    q1 = queries.mapInPandas(nearest_cell, "qid string, qv array<double>, cell int")
-    d1 = _visit(cells_s, q1, k, keep_query=True)
-    if len(cell_ids) > 1:
+    q1 = queries.mapInPandas(nearest_group, "qid long, qv array<double>, grp int").join(boxes, "grp")
+    q1 = (q1.groupBy("qid").agg(F.min(F.struct(_gap().alias("gap"), "cell", "qv")).alias("m"))
+          .select("qid", F.col("m.qv").alias("qv"), F.col("m.cell").alias("cell")))
+    d1 = _visit(cells_s, q1, k, True, exclude_self)
+    if n_cells > 1:
         # pass 2 starts from pass 1's rows (query vector, own cell, bound) and is
-        # merged back per query: one persisted frame read twice
-        d1 = d1.persist()
+        # merged back per query: one written frame read twice
+        d1 = d1.checkpoint()
         q2_in = d1.select("qid", "qv", "cell", F.when(F.size("ds") >= k, F.element_at("ds", k))
                           .otherwise(F.lit(float("inf"))).alias("r"))
 
-        def other_cells(it):
+        def close_groups(it):
             ids, blo, bhi = bc.value
             for pdf in it:
                 if pdf.empty:
                     continue
                 qv = np.stack(pdf["qv"].to_numpy()).astype("float64")
                 r = pdf["r"].to_numpy()
-                own = pdf["cell"].to_numpy()
                 for start, dist in _box_dist(qv, blo, bhi):
-                    end = start + dist.shape[0]
-                    hit = (dist < r[start:end, None]) & (own[start:end, None] != ids[None, :])
-                    qi, ci = np.nonzero(hit)
-                    if len(qi) == 0:
-                        continue
-                    qi = qi + start
-                    yield pd.DataFrame({"qid": pdf["qid"].to_numpy()[qi], "qv": pdf["qv"].to_numpy()[qi],
-                                        "cell": ids[ci].astype("int32")})
-
-        q2 = q2_in.mapInPandas(other_cells, "qid string, qv array<double>, cell int")
-        d2 = _visit(cells_s, q2, k, keep_query=False)
-        merged = (d1.select("qid", "ds").unionByName(d2).groupBy("qid")
-                  .agg(F.slice(F.array_sort(F.flatten(F.collect_list("ds"))), 1, k).alias("ds")))
+                    qi, gi = np.nonzero(dist < r[start:start + dist.shape[0], None])
+                    if len(qi):
+                        near = pdf.iloc[qi + start]
+                        yield near.rename(columns={"cell": "own"}).assign(grp=ids[gi].astype("int32"))
+
+        q2 = (q2_in.mapInPandas(close_groups, "qid long, qv array<double>, own int, r double, grp int").join(boxes, "grp")
+              .where((F.col("cell") != F.col("own")) & (_gap() < F.col("r"))).select("qid", "qv", "cell"))
+        d2 = _visit(cells_s, q2, k, False, exclude_self)
+        each = d1.select("qid", "ds").unionByName(d2).select("qid", F.explode("ds").alias("d"))
+        # rank <= k is applied in every task before the shuffle as well, so k rows per query and task meet
+        ranked = each.withColumn("_rank", F.row_number().over(Window.partitionBy("qid").orderBy("d"))).where(F.col("_rank") <= k)
+        kept = ranked.groupBy("qid").agg(F.array_sort(F.collect_list("d")).alias("ds"))
+        merged = d1.select("qid").join(kept, "qid", "left").select("qid", F.coalesce("ds", F.array().cast("array<double>")).alias("ds"))
     else:
         merged = d1.select("qid", "ds")   # one cell holds every reference row: pass 1 is exact
     scored = merged.select("qid", F.when(F.size("ds") >= k, F.element_at("ds", k)).alias("score"),
                            F.col("ds").alias("distances"))
-    out = (points.select(F.col(id_col), F.col(id_col).cast("string").alias("qid"))
+    out = (points.select(F.col(id_col), F.xxhash64(F.col(id_col).cast("string")).alias("qid"))
            .join(scored, "qid", "left"))
     return out.select(id_col, "score", "distances") if keep_distances else out.select(id_col, "score")

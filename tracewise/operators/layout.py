@@ -1,5 +1,5 @@
-"""Physical layout jobs: partitioned writes, clustering writers, file sizing,
-skipping report and column statistics (B4, B5, C1-C6).
+"""Physical layout jobs: partitioned writes, clustering writers, file sizing and
+column statistics (B4, B5, C1-C4, C6).
 
 All user-level: a writer chooses how rows are grouped into files; Spark's
 parquet reader then prunes directories (partition columns) and row groups
@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,21 +20,14 @@ from pyspark.sql import types as T
 DEFAULT_TARGET_BYTES = 16 * 1024 * 1024
 
 
-# --------------------------------------------------------------------------- sizing (C4)
+SAMPLE_PER_RANK = 64
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Optimizer size estimate of a frame (falls back to input file sizes)."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001
-        return 0
 
+# --------------------------------------------------------------------------- sizing (C4)
 
-def file_count_for(df: DataFrame, target_bytes: int = DEFAULT_TARGET_BYTES) -> int:
-    est = estimated_bytes(df)
-    if est <= 0:
-        return max(1, df.sparkSession.sparkContext.defaultParallelism)
-    return max(1, math.ceil(est / target_bytes))
+def file_count_for(source_bytes: int, target_bytes: int = DEFAULT_TARGET_BYTES) -> int:
+    """Files of about ``target_bytes`` for data that takes ``source_bytes`` as written before."""
+    return max(1, math.ceil(source_bytes / target_bytes))
 
 
 # --------------------------------------------------------------------------- partitioned write
@@ -41,10 +36,11 @@ def write_partitioned(df: DataFrame, path: str, partition_cols: list[str], mode:
                       max_records_per_file: int | None = None) -> None:
     """Directory partitioning on low-cardinality columns.
 
-    Rows are first hash-distributed on the partition columns so each task writes
-    few directories (no small-file explosion of tasks x partitions).
+    Rows are rebalanced on the partition columns: each task writes few directories,
+    and a value that holds most of the rows is split over as many tasks as its
+    measured size asks for.
     """
-    w = df.repartition(*[F.col(c) for c in partition_cols]).write.mode(mode).partitionBy(*partition_cols)
+    w = df.hint("rebalance", *[F.col(c) for c in partition_cols]).write.mode(mode).partitionBy(*partition_cols)
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", str(max_records_per_file))
     w.parquet(path)
@@ -53,38 +49,68 @@ def write_partitioned(df: DataFrame, path: str, partition_cols: list[str], mode:
 # --------------------------------------------------------------------------- clustering writers
 
 def _order_value(name: str, dtype: T.DataType) -> Column:
-    """An order-preserving double for ranking a column of any supported type."""
+    """An order-preserving double for ranking a numeric or time column."""
     c = F.col(name)
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
         return F.unix_micros(c.cast("timestamp")).cast("double")
     if isinstance(dtype, T.DateType):
         return F.unix_date(c).cast("double")
-    if isinstance(dtype, T.StringType):
-        # first 7 UTF-8 bytes, zero padded, read as a big-endian integer
-        head = F.expr(f"rpad(substring(encode(`{name}`, 'utf-8'), 1, 7), 7, x'00')")
-        return F.conv(F.hex(head), 16, 10).cast("double")
     return c.cast("double")
 
 
+def string_edges(df: DataFrame, name: str, ranks: int) -> list[str]:
+    """Up to ``ranks`` - 1 edges that cut a string column into parts of like row counts.
+
+    Edges are order statistics of a hash sample of the distinct values, weighted by
+    their rows; whole strings are compared. The sample holds SAMPLE_PER_RANK values
+    per rank at most, which bounds what the driver sees.
+    """
+    counts = df.where(F.col(name).isNotNull()).groupBy(F.col(name).alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    rows = sorted((r["v"], r["n"]) for r in counts.orderBy(F.xxhash64("v"), "v").limit(SAMPLE_PER_RANK * ranks).collect())
+    if len(rows) <= ranks:
+        return [v for v, _ in rows]
+    total, seen, edges = sum(n for _, n in rows), 0, []
+    for v, n in rows:
+        if seen * ranks >= total * (len(edges) + 1):
+            edges.append(v)
+        seen += n
+    return edges
+
+
+def _string_rank(edges: list[str]):
+    table = np.array(edges, dtype=object)
+
+    @F.pandas_udf("int")
+    def rank(values: pd.Series) -> pd.Series:
+        known = values.notna().to_numpy()
+        out = np.zeros(len(values), np.int32)
+        out[known] = np.searchsorted(table, values[known].to_numpy(), "right") + 1
+        return pd.Series(out)
+
+    return rank
+
+
 def _rank_columns(df: DataFrame, cols: list[str], bits: int, rel_error: float) -> tuple[DataFrame, list[str]]:
-    """Each column -> integer rank in [0, 2^bits) from approximate quantiles.
+    """Each column -> integer rank in [0, 2^bits] from quantiles; nulls rank first.
 
-    Quantile boundaries (2^bits - 1 numbers per column) come from one
-    ``approxQuantile`` pass (a mergeable sketch, not a sort); the bucketing is a
-    JVM-side binary search (``Bucketizer``).
+    Numbers and times: boundaries from one ``approxQuantile`` pass (a mergeable
+    sketch, not a sort) and a JVM-side binary search (``Bucketizer``). Strings: edges
+    from ``string_edges`` and a binary search over whole strings, Arrow batch by batch.
     """
     types = {f.name: f.dataType for f in df.schema.fields}
-    keyed = df.select("*", *[_order_value(c, types[c]).alias(f"_ov_{i}") for i, c in enumerate(cols)])
-    probs = [i / (1 << bits) for i in range(1, 1 << bits)]
-    qs = keyed.approxQuantile([f"_ov_{i}" for i in range(len(cols))], probs, rel_error)
-    rank_cols = []
-    for i, bounds in enumerate(qs):
+    names = [f"_rank_{i}" for i in range(len(cols))]
+    text = [i for i, c in enumerate(cols) if isinstance(types[c], T.StringType)]
+    other = [i for i in range(len(cols)) if i not in text]
+    keyed = df.select("*", *[_order_value(cols[i], types[cols[i]]).alias(f"_ov_{i}") for i in other])
+    probs = [k / (1 << bits) for k in range(1, 1 << bits)]
+    found = keyed.approxQuantile([f"_ov_{i}" for i in other], probs, rel_error) if other else []
+    for i, bounds in zip(other, found, strict=True):
         splits = [-math.inf] + sorted(set(b for b in bounds if b is not None and not math.isnan(b))) + [math.inf]
-        out = f"_rank_{i}"
-        keyed = (Bucketizer(splits=splits, inputCol=f"_ov_{i}", outputCol=out, handleInvalid="keep")
+        keyed = (Bucketizer(splits=splits, inputCol=f"_ov_{i}", outputCol=names[i], handleInvalid="keep")
                  .transform(keyed.fillna({f"_ov_{i}": -1.0e300})))
-        rank_cols.append(out)
-    return keyed, rank_cols
+    for i in text:
+        keyed = keyed.withColumn(names[i], _string_rank(string_edges(df, cols[i], (1 << bits) - 1))(F.col(cols[i])))
+    return keyed, names
 
 
 def z_value(rank_cols: list[str], bits: int) -> Column:
@@ -101,20 +127,22 @@ def z_value(rank_cols: list[str], bits: int) -> Column:
     return z
 
 
-def cluster_write(df: DataFrame, path: str, cols: list[str], mode: str = "zorder",
+def cluster_write(df: DataFrame, path: str, cols: list[str], source_bytes: int, mode: str = "zorder",
                   target_bytes: int = DEFAULT_TARGET_BYTES, bits: int = 10, rel_error: float = 0.001,
                   partition_cols: list[str] | None = None, write_mode: str = "overwrite") -> int:
-    """C2 (``zorder``: Morton key over quantile ranks) or C3 (``range``:
-    lexicographic range partitioning) into files of about ``target_bytes``.
+    """``df`` in files of about ``target_bytes``, clustered on ``cols``.
 
-    Returns the number of range partitions used. Within each file rows are
-    sorted by the key, so parquet row groups are narrow as well.
+    ``zorder`` interleaves the columns' quantile ranks, so every column narrows the
+    files read; ``range`` orders by the columns in turn. ``source_bytes`` is what the
+    rows take as written before (``path_bytes`` of their table). Returns the number of
+    range partitions; within a file rows are sorted by the key, so row groups are
+    narrow as well.
     """
-    n = file_count_for(df, target_bytes)
+    n = file_count_for(source_bytes, target_bytes)
     original = df.columns
     if mode == "zorder":
         keyed, ranks = _rank_columns(df, cols, bits, rel_error)
-        keyed = keyed.withColumn("_zkey", z_value(ranks, bits))
+        keyed = keyed.withColumn("_zkey", z_value(ranks, bits + 1))
         laid = keyed.repartitionByRange(n, "_zkey", *cols).sortWithinPartitions("_zkey", *cols).select(*original)
     elif mode == "range":
         laid = df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
@@ -127,47 +155,6 @@ def cluster_write(df: DataFrame, path: str, cols: list[str], mode: str = "zorder
     return n
 
 
-# --------------------------------------------------------------------------- skipping report
-
-def file_ranges(table: DataFrame, cols: list[str]) -> DataFrame:
-    """Per data file: row count and min/max of each column (one distributed pass)."""
-    f = F.col("_metadata.file_path")
-    aggs = [F.count(F.lit(1)).alias("rows")]
-    for c in cols:
-        aggs += [F.min(c).alias(f"min_{c}"), F.max(c).alias(f"max_{c}")]
-    return table.select(f.alias("file_path"), *cols).groupBy("file_path").agg(*aggs)
-
-
-def skipping_report(table: DataFrame, equals: dict[str, object] | None = None,
-                    between: dict[str, tuple[object, object]] | None = None) -> DataFrame:
-    """How many files a min/max-skipping reader must open for a predicate.
-
-    ``equals``: column -> value; ``between``: column -> (low, high) inclusive.
-    One row: files_total, files_read, files_pruned, rows_read, rows_matched.
-    """
-    equals, between = equals or {}, between or {}
-    cols = list(equals) + [c for c in between if c not in equals]
-    ranges = file_ranges(table, cols)
-    overlap = F.lit(True)
-    match = F.lit(True)
-    for c, v in equals.items():
-        overlap = overlap & (F.col(f"min_{c}") <= F.lit(v)) & (F.col(f"max_{c}") >= F.lit(v))
-        match = match & (F.col(c) == F.lit(v))
-    for c, (lo, hi) in between.items():
-        lo_c, hi_c = F.lit(lo).cast(table.schema[c].dataType), F.lit(hi).cast(table.schema[c].dataType)
-        overlap = overlap & (F.col(f"max_{c}") >= lo_c) & (F.col(f"min_{c}") <= hi_c)
-        match = match & F.col(c).between(lo_c, hi_c)
-    per_file = ranges.select(F.col("rows"), F.coalesce(overlap, F.lit(False)).alias("read"))
-    files = per_file.agg(
-        F.count(F.lit(1)).alias("files_total"),
-        F.count(F.when(F.col("read"), 1)).alias("files_read"),
-        F.count(F.when(~F.col("read"), 1)).alias("files_pruned"),
-        F.coalesce(F.sum(F.when(F.col("read"), F.col("rows"))), F.lit(0)).cast("bigint").alias("rows_read"),
-    )
-    matched = table.filter(match).agg(F.count(F.lit(1)).alias("rows_matched"))
-    return files.crossJoin(matched)
-
-
 # --------------------------------------------------------------------------- statistics
 
 def column_statistics(df: DataFrame, cols: list[str]) -> DataFrame:

@@ -24,29 +24,19 @@ def replicate(df: DataFrame, times: int) -> DataFrame:
     return df.crossJoin(copies).drop("_copy")
 
 
-def replicate_by_union(df: DataFrame, times: int) -> DataFrame:
-    """H1 as written in the source (n-1 unions), kept for comparison."""
-    out = df
-    for _ in range(times - 1):
-        out = out.unionByName(df)
-    return out
-
-
 def with_clean_timestamp(logs: DataFrame, python: bool = False) -> DataFrame:
     """K1 (native expression) or K2 (Arrow-batched Python twin)."""
     fn = clean_timestamp_arrow if python else clean_timestamp
     return logs.withColumn("clean_ts", fn(F.col("timestamp_raw")))
 
 
-def pivot_first(df: DataFrame, keys: list[str], pivot_col: str, values: list, value_col: str) -> DataFrame:
-    """one column per pivot value, cell = a deterministic pick of ``value_col``.
+def pivot_min(df: DataFrame, keys: list[str], pivot_col: str, values: list[str], value_col: str) -> DataFrame:
+    """one column per listed value, cell = the smallest ``value_col``, and ``n_other_dates``.
 
     The value list is explicit (no extra job to discover it); ``min`` replaces
-    ``first`` so the result does not depend on row order.
+    ``first`` so the result does not depend on row order; rows of unlisted values are
+    counted, so none vanishes.
     """
-    return df.groupBy(*keys).pivot(pivot_col, values).agg(F.min(value_col))
-
-
-def distinct_pivot_values(df: DataFrame, pivot_col: str) -> list:
-    """The pivot values, computed by Spark (a small distinct aggregate)."""
-    return [r[0] for r in df.select(pivot_col).distinct().orderBy(pivot_col).collect()]
+    cells = [F.min(F.when(F.col(pivot_col) == v, F.col(value_col))).alias(v) for v in values]
+    other = F.count(F.when(~F.col(pivot_col).isin(*values), 1)).alias("n_other_dates")
+    return df.groupBy(*keys).agg(*cells, other)

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tracewise.operators import features as feat
 from tracewise.operators.bronze import to_bronze
 from tracewise.operators.graph import graph_vertices
-from tracewise.operators.silver import silver_edges, silver_nodes
+from tracewise.operators.silver import active_batch_users, silver_edges, silver_nodes
 from tracewise.operators.upsert import NODE_KEYS, NODE_ORDER, latest_per_key
 from tracewise.session import shared_dir
 from tracewise.sources.fixtures import (
@@ -66,8 +66,6 @@ class Lake:
     def _written(self, df: DataFrame, name: str) -> DataFrame:
         if not self.materialize:
             return df
-        if self.materialize == "cache":
-            return df.persist()
         path = shared_dir(self.spark, name)
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.parquet(path)
@@ -108,6 +106,19 @@ class Lake:
     def vertices(self) -> DataFrame:
         return graph_vertices(self.node_table)
 
+    @cached_property
+    def login_plan(self) -> DataFrame:
+        """Historical logins straight from the raw plan: the one reader of bronze, nothing is written."""
+        return feat.login_features(self.bronze, cutoff=self.cutoff)
+
+    @cached_property
+    def batch_users_plan(self) -> DataFrame:
+        return active_batch_users(self.bronze, self.batch_start)
+
+    @cached_property
+    def node_plan(self) -> DataFrame:
+        return latest_per_key(silver_nodes(self.bronze), NODE_KEYS, NODE_ORDER)
+
     @cached_property
     def system_folders(self) -> DataFrame:
         return feat.top_in_degree(self.edges, k=self.top_k)

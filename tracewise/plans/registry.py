@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tracewise.functions.scalar import register_sql_functions
+from tracewise.functions.scalar import register_sql_functions, root_segment
 from tracewise.functions.vocabulary import FEATURES
 from tracewise.operators import bronze as br
 from tracewise.operators import features as feat
@@ -18,6 +18,7 @@ from tracewise.operators import profile as pf
 from tracewise.plans.catalog import query
 from tracewise.plans.lake import Lake
 from tracewise.plans.oracle_sql import SHARES, with_ctes
+from tracewise.session import shared_dir
 from tracewise.sources import json_logs, text_logs
 
 FEATURE_LIST = ", ".join(FEATURES)
@@ -26,13 +27,20 @@ FLAT_META = ("errorCode, itemSource, itemType, newpath, oldpath, path, run, toke
 # --------------------------------------------------------------------------- sources / logs
 
 
+def _api_files(spark, sf_dir):
+    """The access log as text files in the shared folder, as many as the scan has tasks."""
+    path = shared_dir(spark, "api_log")
+    Lake(spark, sf_dir).api_lines.write.mode("overwrite").text(path)
+    return path
+
+
 @query("scan_json_nested", with_ctes(
     "SELECT id, isLocalIP, role, time, type, uid, uidType, " + FLAT_META + " FROM raw", "raw"))
 def q_scan_json_nested(spark, sf_dir):
-    """A1: raw rows serialised to JSON text and parsed back under the declared schema."""
-    lake = Lake(spark, sf_dir)
-    parsed = json_logs.parse_json_lines(json_logs.to_json_lines(lake.raw))
-    return json_logs.flatten_params(parsed)
+    """A1: JSON-lines files with a nested struct, read under the declared schema."""
+    path = shared_dir(spark, "raw_log")
+    json_logs.to_json_lines(Lake(spark, sf_dir).raw).write.mode("overwrite").text(path)
+    return json_logs.flatten_params(json_logs.read_raw_logs(spark, path))
 
 
 API_CLEAN_COLS = "ip, mac, user_id, timestamp_raw, timezone, api_call, status, code"
@@ -40,23 +48,32 @@ API_CLEAN_COLS = "ip, mac, user_id, timestamp_raw, timezone, api_call, status, c
 
 @query("log_scan_clean", with_ctes(f"SELECT {API_CLEAN_COLS} FROM api_logs", "api_logs"))
 def q_log_scan_clean(spark, sf_dir):
-    """A2 + D2: blank-separated quoted lines -> 8 typed columns."""
-    lines = Lake(spark, sf_dir).api_lines
-    return text_logs.clean_api_logs(text_logs.parse_api_log_lines(lines))
+    """A2 + D2: blank-separated quoted files through the CSV reader -> 8 typed columns."""
+    return text_logs.clean_api_logs(text_logs.read_api_log_files(spark, _api_files(spark, sf_dir)))
 
 
 @query("log_line_count", "SELECT COUNT(*) AS n_lines FROM events")
 def q_log_line_count(spark, sf_dir):
-    """A3 / F3."""
-    return text_logs.line_count(Lake(spark, sf_dir).api_lines)
+    """Lines of the text files."""
+    return text_logs.line_count(text_logs.read_text(spark, _api_files(spark, sf_dir)))
 
 
 @query("log_regex_split", with_ctes(
     "SELECT ip, mac, user_id, timestamp_raw, timezone || ']' AS timezone_raw, '\"' || api_call || '\"' AS api_call, "
     "status, code FROM api_logs", "api_logs"))
 def q_log_regex_split(spark, sf_dir):
-    """A4: split on blanks outside quotes; quotes and ']' kept."""
-    return text_logs.split_outside_quotes(Lake(spark, sf_dir).api_lines)
+    """A4: the text files' fields between blanks outside quotes; quotes and ']' kept."""
+    return text_logs.split_outside_quotes(text_logs.read_text(spark, _api_files(spark, sf_dir)))
+
+
+@query("root_folder_extract", with_ctes(
+    "SELECT id, path, CASE WHEN starts_with(path, '/') THEN split_part(path, '/', 2) ELSE split_part(path, '/', 1) END "
+    "AS root_folder FROM bronze WHERE length(path) > 1", "bronze"))
+def q_root_folder_extract(spark, sf_dir):
+    """Split and length: the first folder of a path, with or without a leading slash."""
+    b = Lake(spark, sf_dir).bronze
+    path = F.col("metadata.path")
+    return b.filter(F.length(path) > 1).select("id", path.alias("path"), root_segment(path).alias("root_folder"))
 
 
 def _clean_logs(spark, sf_dir):
@@ -102,15 +119,19 @@ def q_clean_timestamp_udf(spark, sf_dir):
     return lg.with_clean_timestamp(_clean_logs(spark, sf_dir), python=True)
 
 
+PIVOT_DATES = [f"2024-01-{d:02d}" for d in range(1, 32)]
+_PIVOT_COLS = ", ".join(f"MIN(user_id) FILTER (WHERE d = '{d}') AS \"{d}\"" for d in PIVOT_DATES)
+
+
 @query("pivot_user_by_date", with_ctes(
-    "SELECT * FROM (PIVOT (SELECT ip, strftime(date_trunc('second', _ts), '%Y-%m-%dT%H:%M:%S') AS clean_ts, "
-    "CAST(CAST(_ts AS DATE) AS VARCHAR) AS d, user_id FROM api_logs) ON d USING MIN(user_id) GROUP BY ip, clean_ts)",
-    "api_logs"))
+    f"SELECT ip, clean_ts, {_PIVOT_COLS}, COUNT(*) FILTER (WHERE d NOT BETWEEN '{PIVOT_DATES[0]}' AND '{PIVOT_DATES[-1]}') "
+    "AS n_other_dates FROM (SELECT ip, strftime(date_trunc('second', _ts), '%Y-%m-%dT%H:%M:%S') AS clean_ts, "
+    "CAST(CAST(_ts AS DATE) AS VARCHAR) AS d, user_id FROM api_logs) t GROUP BY ip, clean_ts", "api_logs"))
 def q_pivot_user_by_date(spark, sf_dir):
-    """(ip, clean_ts) x date, cell = user id."""
+    """(ip, clean_ts) x the dates of a month, cell = user id; rows of other dates are counted."""
     logs = lg.with_clean_timestamp(_clean_logs(spark, sf_dir))
-    dated = logs.withColumn("date", F.col("clean_ts").cast("date"))
-    return dated.groupBy("ip", "clean_ts").pivot("date").agg(F.min("user_id"))
+    dated = logs.withColumn("date", F.substring("clean_ts", 1, 10))
+    return lg.pivot_min(dated, ["ip", "clean_ts"], "date", PIVOT_DATES, "user_id")
 
 
 # --------------------------------------------------------------------------- bronze / silver
@@ -140,7 +161,7 @@ def q_nested_field_projection(spark, sf_dir):
     "bronze"))
 def q_entity_time_lookup(spark, sf_dir):
     """Point lookup + time range."""
-    b = Lake(spark, sf_dir).bronze
+    b = Lake(spark, sf_dir).bronze_table       # the written table: both filters reach its scan
     return br.flatten_metadata(br.entity_time_lookup(b, "u7", "2024-01-05 00:00:00", "2024-01-20 00:00:00"))
 
 
@@ -194,7 +215,7 @@ def q_silver_edges(spark, sf_dir):
 @query("active_batch_users", with_ctes("SELECT entity_id FROM batch_users", "batch_users"))
 def q_active_batch_users(spark, sf_dir):
     """H4."""
-    return Lake(spark, sf_dir).window.users
+    return Lake(spark, sf_dir).batch_users_plan
 
 
 @query("relationship_profile", with_ctes(
@@ -210,7 +231,7 @@ def q_relationship_profile(spark, sf_dir):
 @query("gold_login_features", with_ctes("SELECT * FROM hist_login", "hist_login"))
 def q_gold_login_features(spark, sf_dir):
     """F8."""
-    return Lake(spark, sf_dir).hist_login
+    return Lake(spark, sf_dir).login_plan
 
 
 @query("system_folders_top10", with_ctes("SELECT * FROM sysf", "sysf"))
@@ -305,7 +326,7 @@ def q_active_user_edges(spark, sf_dir):
 def q_failed_logins_7_14_30(spark, sf_dir):
     """Failed logins over the last 7, 14 and 30 days before the batch's last event."""
     lake = Lake(spark, sf_dir)
-    return feat.failed_login_momentum(lake.bronze_table, lake.window.bounds, (7, 14, 30))
+    return feat.failed_login_momentum(lake.bronze_table, lake.window.bounds, (7, 14, 30), lake.batch_start)
 
 
 # --------------------------------------------------------------------------- graph
@@ -315,7 +336,7 @@ def q_failed_logins_7_14_30(spark, sf_dir):
 def q_file_edges(spark, sf_dir):
     """L2."""
     lake = Lake(spark, sf_dir)
-    return gr.Graph(lake.vertices, lake.edges_lazy).filter_edges("relationship LIKE 'file%'").edges
+    return gr.Graph(None, lake.edges_lazy).filter_edges("relationship LIKE 'file%'").edges
 
 
 def _deg_sql(where: str, end: str, name: str) -> str:
@@ -327,14 +348,14 @@ def _deg_sql(where: str, end: str, name: str) -> str:
 def q_share_access_in_degree(spark, sf_dir):
     """L3."""
     lake = Lake(spark, sf_dir)
-    return gr.Graph(lake.vertices, lake.edges_lazy).filter_edges("relationship IN ('public_share_accessed')").in_degrees
+    return gr.Graph(None, lake.edges_lazy).filter_edges("relationship IN ('public_share_accessed')").in_degrees
 
 
 @query("failed_access_in_degree", _deg_sql(
     "relationship IN ('public_share_accessed') AND status != 'success'", "dst", "inDegree"))
 def q_failed_access_in_degree(spark, sf_dir):
     lake = Lake(spark, sf_dir)
-    return gr.Graph(lake.vertices, lake.edges_lazy).filter_edges(
+    return gr.Graph(None, lake.edges_lazy).filter_edges(
         "relationship IN ('public_share_accessed') AND status != 'success'").in_degrees
 
 
@@ -343,7 +364,7 @@ def q_failed_access_in_degree(spark, sf_dir):
 def q_failed_share_in_degree(spark, sf_dir):
     """Per share object, as in the source."""
     lake = Lake(spark, sf_dir)
-    return gr.Graph(lake.vertices, lake.edges_lazy).filter_edges(
+    return gr.Graph(None, lake.edges_lazy).filter_edges(
         "relationship IN ('shared_link') AND status != 'success'").in_degrees
 
 
@@ -351,7 +372,7 @@ def q_failed_share_in_degree(spark, sf_dir):
 def q_shares_out_degree(spark, sf_dir):
     """L4."""
     lake = Lake(spark, sf_dir)
-    return gr.Graph(lake.vertices, lake.edges_lazy).filter_edges("relationship IN ('shared_link')").out_degrees
+    return gr.Graph(None, lake.edges_lazy).filter_edges("relationship IN ('shared_link')").out_degrees
 
 
 @query("share_degree", with_ctes(
@@ -361,7 +382,7 @@ def q_shares_out_degree(spark, sf_dir):
 def q_share_degree(spark, sf_dir):
     """L5."""
     lake = Lake(spark, sf_dir)
-    return gr.Graph(lake.vertices, lake.edges_lazy).filter_edges(
+    return gr.Graph(None, lake.edges_lazy).filter_edges(
         "relationship IN ('shared_link', 'public_share_accessed')").degrees
 
 

@@ -18,10 +18,11 @@ from tracewise.plans.catalog import query
 from tracewise.plans.lake import Lake
 from tracewise.plans.oracle_sql import CUT, edges_sql, nodes_sql, with_ctes
 from tracewise.plans.registry import EDGE_COLS, FLAT_META, _clean_logs
-from tracewise.session import shared_dir
+from tracewise.session import path_bytes, shared_dir
 from tracewise.sources.json_logs import to_json_lines
 from tracewise.streaming import medallion as med
 
+EDGE_NAMES = [c.strip() for c in EDGE_COLS.split(",")]
 BRONZE_FLAT = "id, event_ts, role, event_type, entity_id, entity_type, " + FLAT_META
 UPSERT_FROM = f"{CUT} - INTERVAL 1 DAY"
 
@@ -76,16 +77,17 @@ def q_upsert_events(spark, sf_dir):
     return flatten_metadata(up.upsert(a, b, up.EVENT_KEYS))
 
 
-@query("empty_clone")
+@query("empty_clone", with_ctes(f"SELECT {BRONZE_FLAT} FROM bronze WHERE 1 = 2", "bronze"))
 def q_empty_clone(spark, sf_dir):
     """``WHERE 1=2`` clone of bronze's schema (0 rows, same columns)."""
     return up.empty_clone(flatten_metadata(Lake(spark, sf_dir).bronze))
 
 
-@query("default_timestamp_fill")
+@query("default_timestamp_fill", with_ctes("SELECT *, TRUE AS has_update_timestamp FROM node_table", "node_table"))
 def q_default_timestamp_fill(spark, sf_dir):
-    """Node rows with ``update_timestamp`` filled by the writer's clock."""
-    return up.with_default_now(Lake(spark, sf_dir).node_table)
+    """Node rows with ``update_timestamp`` filled by the writer's clock (compared: that it is there)."""
+    filled = up.with_default_now(Lake(spark, sf_dir).node_plan)
+    return filled.select("id", "name", "entity_type", "entity_role", F.col("update_timestamp").isNotNull().alias("has_update_timestamp"))
 
 
 # --------------------------------------------------------------------------- sinks
@@ -96,10 +98,14 @@ def q_sink_table_roundtrip(spark, sf_dir):
     """B1 + B10 + A5: overwrite a catalogue table (data in the shared folder), read it back."""
     lake = Lake(spark, sf_dir)
     loc = shared_dir(spark, "db")
+    before = spark.catalog.currentDatabase()
     spark.sql(f"CREATE DATABASE IF NOT EXISTS tracewise LOCATION '{loc}'")
-    lake.hist_login.write.mode("overwrite").option("path", f"{loc}/gold_logins") \
-        .saveAsTable("tracewise.prod_gold_user_historical_features_logins")
-    return spark.table("tracewise.prod_gold_user_historical_features_logins")
+    spark.sql("USE tracewise")
+    try:
+        lake.login_plan.write.mode("overwrite").option("path", f"{loc}/gold_logins").saveAsTable("login_history")
+        return spark.table("tracewise.login_history")
+    finally:
+        spark.catalog.setCurrentDatabase(before)
 
 
 @query("sink_csv_roundtrip", with_ctes(
@@ -160,13 +166,12 @@ def q_partition_prune_scan(spark, sf_dir):
     return flatten_metadata(_lookup(t))
 
 
-LAYOUT_TARGET_BYTES = 256 * 1024
-
-
-def _clustered_bronze(spark, sf_dir, mode):
-    path = shared_dir(spark, f"bronze_{mode}")
-    lay.cluster_write(Lake(spark, sf_dir).bronze, path, ["event_ts", "entity_id"], mode=mode,
-                      target_bytes=LAYOUT_TARGET_BYTES)
+def _clustered_bronze(spark, sf_dir, mode, target_bytes=lay.DEFAULT_TARGET_BYTES):
+    """A clustered copy of the written bronze table, in files of about ``target_bytes``."""
+    source, path = shared_dir(spark, "bronze_source"), shared_dir(spark, f"bronze_{mode}")
+    Lake(spark, sf_dir).bronze.write.mode("overwrite").parquet(source)
+    lay.cluster_write(spark.read.parquet(source), path, ["event_ts", "entity_id"], path_bytes(spark, source), mode=mode,
+                      target_bytes=target_bytes)
     return path
 
 
@@ -182,20 +187,6 @@ def q_cluster_layout(spark, sf_dir):
     return flatten_metadata(spark.read.parquet(_clustered_bronze(spark, sf_dir, "range")))
 
 
-@query("file_skipping_report")
-def q_file_skipping_report(spark, sf_dir):
-    """Files and rows a min/max-skipping reader touches, per layout."""
-    between = {"event_ts": ("2024-01-05 00:00:00", "2024-01-20 00:00:00")}
-    out = None
-    for name, path in [("partitioned", _write_partitioned_bronze(spark, sf_dir)),
-                       ("zorder", _clustered_bronze(spark, sf_dir, "zorder")),
-                       ("range", _clustered_bronze(spark, sf_dir, "range"))]:
-        rep = lay.skipping_report(spark.read.parquet(path), equals={"entity_id": "u7"}, between=between)
-        rep = rep.withColumn("layout", F.lit(name))
-        out = rep if out is None else out.unionByName(rep)
-    return out
-
-
 @query("column_statistics", with_ctes(
     "SELECT 'entity_id' AS column_name, COUNT(*) AS n_rows, COUNT(*) - COUNT(entity_id) AS n_nulls, "
     "COUNT(DISTINCT entity_id) AS n_distinct, MIN(entity_id) AS min_value, MAX(entity_id) AS max_value FROM bronze "
@@ -209,55 +200,67 @@ def q_column_statistics(spark, sf_dir):
 # --------------------------------------------------------------------------- streams
 
 
-def _raw_json_files(spark, sf_dir, n_files=4):
+MICRO_BATCH = 4 * 2 ** 30   # input bytes per micro-batch
+
+
+def _raw_json_files(spark, sf_dir):
     """Raw log as JSON-lines files (the stream's source), derived from ``events``."""
     path = shared_dir(spark, "raw_json")
-    to_json_lines(Lake(spark, sf_dir).raw).repartition(n_files).write.mode("overwrite").text(path)
+    to_json_lines(Lake(spark, sf_dir).raw).write.mode("overwrite").text(path)
     return path
 
 
 def _stream_bronze(spark, sf_dir):
     raw = _raw_json_files(spark, sf_dir)
     out, ckpt = shared_dir(spark, "bronze_stream"), shared_dir(spark, "ckpt_bronze")
-    med.run_raw_to_bronze(spark, raw, out, ckpt, max_files_per_trigger=1)
+    med.run_raw_to_bronze(spark, raw, out, ckpt, max_bytes_per_trigger=MICRO_BATCH)
     return out
 
 
 @query("stream_raw_to_bronze", with_ctes(f"SELECT {BRONZE_FLAT} FROM bronze", "bronze"))
 def q_stream_raw_to_bronze(spark, sf_dir):
-    """JSON files -> bronze parquet, four micro-batches, then read the sink."""
+    """JSON files -> bronze parquet in micro-batches, then read the sink."""
     return flatten_metadata(spark.read.parquet(_stream_bronze(spark, sf_dir)))
 
 
 def _stream_silver(spark, sf_dir):
     bronze = _stream_bronze(spark, sf_dir)
     root, ckpt = shared_dir(spark, "silver"), shared_dir(spark, "ckpt_silver")
-    med.run_bronze_to_silver(spark, bronze, root, ckpt, max_files_per_trigger=2)
+    med.run_bronze_to_silver(spark, bronze, root, ckpt, max_bytes_per_trigger=MICRO_BATCH)
     return root
 
 
 @query("stream_bronze_to_silver", with_ctes(f"SELECT {EDGE_COLS} FROM edges", "edges"))
 def q_stream_bronze_to_silver(spark, sf_dir):
     """J4 + B8 (streaming form): per-batch directories, current state = latest per key."""
-    return med.current_state(spark, _stream_silver(spark, sf_dir), "edges")
+    return med.current_state(spark, _stream_silver(spark, sf_dir), "edges").select(*EDGE_NAMES)
 
 
 @query("stream_silver_nodes", with_ctes("SELECT * FROM node_table", "node_table"))
 def q_stream_silver_nodes(spark, sf_dir):
     """The node table as maintained by the micro-batches."""
-    return med.current_state(spark, _stream_silver(spark, sf_dir), "nodes")
+    return med.current_state(spark, _stream_silver(spark, sf_dir), "nodes").select("id", "name", "entity_type", "entity_role")
+
+
+@query("stream_silver_events", with_ctes(f"SELECT {BRONZE_FLAT} FROM bronze", "bronze"))
+def q_stream_silver_events(spark, sf_dir):
+    """The event table as maintained by the micro-batches."""
+    return flatten_metadata(med.current_state(spark, _stream_silver(spark, sf_dir), "events").drop("update_timestamp"))
 
 
 @query("upsert_compaction", with_ctes(f"SELECT {EDGE_COLS} FROM edges", "edges"))
 def q_upsert_compaction(spark, sf_dir):
     """Fold all batches into one clustered base; state read through the base."""
     root = _stream_silver(spark, sf_dir)
-    base = med.compact(spark, root, "edges", shared_dir(spark, "edges_base"), ["src", "dst", "event_ts"],
-                       target_bytes=LAYOUT_TARGET_BYTES)
-    return med.current_state(spark, root, "edges", base_path=base)
+    base = med.compact(spark, root, "edges", shared_dir(spark, "edges_base"), ["src", "dst", "event_ts"])
+    return med.current_state(spark, root, "edges", base_path=base).select(*EDGE_NAMES)
 
 
-@query("load_audit")
+@query("load_audit", with_ctes(
+    "SELECT 'nodes' AS table_name, COUNT(*) AS rows_inserted FROM node_table UNION ALL "
+    "SELECT 'edges', COUNT(*) FROM (SELECT DISTINCT id, event_ts, relationship FROM edges) UNION ALL "
+    "SELECT 'events', COUNT(*) FROM (SELECT DISTINCT id, entity_id, event_ts FROM bronze)", "edges", "node_table"))
 def q_load_audit(spark, sf_dir):
-    """One row per table and micro-batch."""
-    return med.load_audit(spark, _stream_silver(spark, sf_dir))
+    """One row per table and micro-batch; their inserts add up to the table's keys."""
+    audit = med.load_audit(spark, _stream_silver(spark, sf_dir))
+    return audit.groupBy("table_name").agg(F.sum("rows_inserted").alias("rows_inserted"))

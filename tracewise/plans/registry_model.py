@@ -111,7 +111,7 @@ def q_anomaly_predictions(spark, sf_dir):
     lake = Lake(spark, sf_dir)
     scores = _batch_scores(lake).withColumn("score", F.round("score", 6))
     pred = an.with_predictions(lake.rolling_frame, scores, "user_id")
-    path = shared_dir(spark, "prod_anomaly_predictions")
+    path = shared_dir(spark, "batch_predictions")
     pred.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path).drop("prediction_timestamp")
 
@@ -185,26 +185,40 @@ def q_ensemble_score(spark, sf_dir):
 
 
 def _stream_predictions(spark, sf_dir):
-    from tracewise.plans.registry_io import _stream_bronze
+    from tracewise.plans.registry_io import MICRO_BATCH, _stream_bronze
     from tracewise.streaming import medallion as med
     lake = Lake(spark, sf_dir)
-    ref = shared_dir(spark, "training_reference")
+    ref, folders, edges = (shared_dir(spark, n) for n in ("training_reference", "system_folders", "edges"))
     _train(lake).write.mode("overwrite").parquet(ref)
-    bronze = _stream_bronze(spark, sf_dir)
+    lake.edges.write.mode("overwrite").partitionBy("relationship").parquet(edges)
+    lake.system_folders.write.mode("overwrite").parquet(folders)
+
+    def scorer(frame):
+        reference = frame.sparkSession.read.parquet(ref)
+        scores = an.score(frame, "user_id", FEATS, reference, "id", detector="knn", params={"k": K})
+        return scores.withColumn("score", F.round("score", 6))
+
     out, ckpt = shared_dir(spark, "predictions"), shared_dir(spark, "ckpt_inference")
-    med.run_stream_inference(spark, bronze, ref, out, ckpt, lookback_days=lake.lookback_days,
-                             max_files_per_trigger=8)
+    med.run_stream_inference(spark, _stream_bronze(spark, sf_dir), edges, folders, scorer, out, ckpt,
+                             lookback_days=lake.lookback_days, max_bytes_per_trigger=MICRO_BATCH)
     return out
 
 
-@query("stream_inference")
+_FEED_SQL = (
+    "SELECT {0}f.*, ROUND(s.d, 6) AS predictions FROM feed_frame f LEFT JOIN "
+    "(SELECT qid, d FROM (SELECT qid, d, row_number() OVER (PARTITION BY qid ORDER BY d) rn FROM pairs) t "
+    f"WHERE rn = {K}) s ON s.qid = f.user_id")
+_FEED_CTES = [SPLIT_CTE, TRAIN_CTE, ("pairs", _knn_sql("feed_frame", "train", "user_id", False))]
+
+
+@query("stream_inference", with_ctes(_FEED_SQL.format(""), "training_frame", "feed_frame", extra=_FEED_CTES))
 def q_stream_inference(spark, sf_dir):
     """Rolling features + kNN scores per micro-batch; the latest prediction per user."""
     from tracewise.streaming import medallion as med
     return med.latest_predictions(spark, _stream_predictions(spark, sf_dir)).drop("prediction_timestamp")
 
 
-@query("prediction_history")
+@query("prediction_history", with_ctes(_FEED_SQL.format("0 AS batch_id, "), "training_frame", "feed_frame", extra=_FEED_CTES))
 def q_prediction_history(spark, sf_dir):
     """Predictions kept per batch id instead of overwritten."""
     return spark.read.parquet(_stream_predictions(spark, sf_dir)).drop("prediction_timestamp")
@@ -283,12 +297,12 @@ def q_best_model(spark, sf_dir):
 
 
 @query("latest_production_model", with_ctes(
-    "SELECT 'uba_anomaly_model' AS name, CAST(v.version AS INTEGER) AS version, v.model_id FROM "
+    "SELECT 'user_anomaly_detector' AS name, CAST(v.version AS INTEGER) AS version, v.model_id FROM "
     "(SELECT model_id, row_number() OVER (ORDER BY model_id) AS version FROM runs) v JOIN best b "
     "ON v.model_id = b.model_id", extra=_RUN_CTES))
 def q_latest_production_model(spark, sf_dir):
     """M8: register every run as a version, promote the best, fetch the latest production version."""
-    return an.latest_version(an.model_versions(_runs(spark, sf_dir), "uba_anomaly_model"))
+    return an.latest_version(an.model_versions(_runs(spark, sf_dir), "user_anomaly_detector"))
 
 
 @query("inne_score")
@@ -346,3 +360,22 @@ def q_model_runs_unlabelled(spark, sf_dir):
 def q_best_model_unlabelled(spark, sf_dir):
     """M7 over the unlabelled runs."""
     return an.select_best(an.model_runs_unlabelled(Lake(spark, sf_dir).training_frame, "id", FEATS))
+
+
+def _registered(spark, sf_dir):
+    """Runs over the user features and their versions, stored as tables; returns both folders."""
+    runs_dir, versions_dir = shared_dir(spark, "model_runs"), shared_dir(spark, "model_versions")
+    runs = an.model_runs_unlabelled(Lake(spark, sf_dir).training_frame, "id", FEATS)
+    runs.coalesce(1).write.mode("overwrite").parquet(runs_dir)
+    an.model_versions(spark.read.parquet(runs_dir), "user_anomaly_detector").coalesce(1).write.mode("overwrite").parquet(versions_dir)
+    return runs_dir, versions_dir
+
+
+@query("score_with_production_model")
+def q_score_with_production_model(spark, sf_dir):
+    """M6 + M8: the stored production version decides detector and parameters; the active batch is scored with it."""
+    runs_dir, versions_dir = _registered(spark, sf_dir)
+    lake = Lake(spark, sf_dir)
+    model = an.production_model(spark.read.parquet(runs_dir), spark.read.parquet(versions_dir))
+    scores = an.score(lake.rolling_frame, "user_id", FEATS, _train(lake), "id", detector=model["detector"], params=model["params"])
+    return scores.select("user_id", F.lit(model["model_id"]).alias("model_id"), F.round("score", 6).alias("score"))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -58,6 +57,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001 - unset key raises
             configured = None
     if not configured:
+        if not is_single_machine(sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="tracewise-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -70,18 +71,22 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{base}/tables/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def is_local_path(path: str) -> bool:
-    return path.startswith("/") or path.startswith("file:")
+def is_single_machine(master: str) -> bool:
+    """Driver and executors are one process (``local``, ``local[8]``), so a temporary folder is shared."""
+    return master == "local" or master.startswith("local[")
 
 
-def local_fs_path(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
+def _file_system(spark: SparkSession, path: str):
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    if is_local_path(path):
-        return os.path.exists(local_fs_path(path))
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, hpath = _file_system(spark, path)
     return fs.exists(hpath)
+
+
+def path_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below a path (one call to the store that holds it)."""
+    fs, hpath = _file_system(spark, path)
+    return int(fs.getContentSummary(hpath).getLength())

@@ -22,11 +22,13 @@ from tracewise.operators.bronze import to_bronze
 from tracewise.operators.layout import cluster_write
 from tracewise.operators.silver import silver_edges, silver_nodes
 from tracewise.operators.upsert import (
-    EDGE_KEYS, EVENT_KEYS, NODE_KEYS, NODE_ORDER, latest_per_key,
+    EDGE_KEYS, EVENT_KEYS, NODE_KEYS, NODE_ORDER, latest_per_key, with_default_now,
 )
-from tracewise.session import path_exists
+from tracewise.session import _file_system, path_bytes, path_exists
 from tracewise.sources.json_logs import RAW_LOG_SCHEMA
 
+#: Partition column of each silver table (its filters prune folders).
+PARTITIONED_BY = {"nodes": "entity_type", "edges": "relationship", "events": "entity_type"}
 TABLES = {
     "nodes": (NODE_KEYS, NODE_ORDER),
     "edges": (EDGE_KEYS, []),
@@ -34,15 +36,20 @@ TABLES = {
 }
 
 
+def _limited(reader, max_files: int | None, max_bytes: int | None):
+    """A file stream reader with a limit per micro-batch (files or bytes, not both)."""
+    if max_files:
+        return reader.option("maxFilesPerTrigger", str(max_files))
+    return reader.option("maxBytesPerTrigger", str(max_bytes)) if max_bytes else reader
+
+
 # --------------------------------------------------------------------------- raw -> bronze
 
 def start_raw_to_bronze(spark: SparkSession, raw_dir: str, bronze_dir: str, checkpoint: str,
                         available_now: bool = True, processing_time: str | None = None,
-                        max_files_per_trigger: int | None = None):
+                        max_files_per_trigger: int | None = None, max_bytes_per_trigger: int | None = None):
     """Stream raw JSON files into bronze parquet partitioned by (entity_type, role)."""
-    reader = spark.readStream.schema(RAW_LOG_SCHEMA)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    reader = _limited(spark.readStream.schema(RAW_LOG_SCHEMA), max_files_per_trigger, max_bytes_per_trigger)
     bronze = to_bronze(reader.json(raw_dir))
     w = (bronze.writeStream.format("parquet").partitionBy("entity_type", "role")
          .option("checkpointLocation", checkpoint).outputMode("append"))
@@ -74,23 +81,25 @@ class SilverBatchWriter:
         return f"{self.root}/{table}"
 
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
+        batch_df = batch_df.persist()     # three tables are made from one read of the batch
         frames = {
             "nodes": latest_per_key(silver_nodes(batch_df), NODE_KEYS, NODE_ORDER),
             "edges": silver_edges(batch_df),
             "events": latest_per_key(batch_df, EVENT_KEYS),
         }
-        for table, df in frames.items():
-            (df.write.mode("overwrite")
-             .parquet(f"{self.table_path(table)}/batch_id={int(batch_id)}"))
+        try:
+            for table, df in frames.items():
+                (with_default_now(df).write.mode("overwrite").partitionBy(PARTITIONED_BY[table])
+                 .parquet(f"{self.table_path(table)}/batch_id={int(batch_id)}"))
+        finally:
+            batch_df.unpersist()
 
 
 def start_bronze_to_silver(spark: SparkSession, bronze_dir: str, silver_root: str, checkpoint: str,
-                           max_files_per_trigger: int | None = None, available_now: bool = True):
+                           max_files_per_trigger: int | None = None, available_now: bool = True,
+                           max_bytes_per_trigger: int | None = None):
     schema = spark.read.parquet(bronze_dir).schema
-    reader = spark.readStream.schema(schema)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    stream = reader.parquet(bronze_dir)
+    stream = _limited(spark.readStream.schema(schema), max_files_per_trigger, max_bytes_per_trigger).parquet(bronze_dir)
     return (stream.writeStream.foreachBatch(SilverBatchWriter(silver_root))
             .option("checkpointLocation", checkpoint)
             .trigger(availableNow=available_now).start())
@@ -113,29 +122,50 @@ def current_state(spark: SparkSession, silver_root: str, table: str, base_path:
     keys, order = TABLES[table]
     batches = read_batches(spark, silver_root, table)
     if base_path:
-        manifest = json.loads(spark.read.text(f"{base_path}/_folded").first()[0])
         base = spark.read.parquet(f"{base_path}/data").withColumn("batch_id", F.lit(-1))
-        batches = base.unionByName(batches.filter(F.col("batch_id") > int(manifest["max_batch_id"])))
+        batches = base.unionByName(batches.filter(F.col("batch_id") > folded_up_to(spark, base_path)))
     latest = latest_per_key(batches, keys, ["batch_id"] + list(order))
     return latest.drop("batch_id")
 
 
+def folded_up_to(spark: SparkSession, base_path: str) -> int:
+    """The highest batch id that a base holds."""
+    return int(json.loads(spark.read.text(f"{base_path}/_folded").first()[0])["max_batch_id"])
+
+
 def compact(spark: SparkSession, silver_root: str, table: str, out_path: str, cluster_cols: list[str],
-            target_bytes: int = 16 * 1024 * 1024) -> str:
-    """Fold every batch written so far into one clustered base at a *new* path.
+            target_bytes: int = 16 * 1024 * 1024, base_path: str | None = None) -> str:
+    """Fold the batches written since ``base_path`` (or all) into one clustered base at a *new* path.
 
-    Records the highest folded batch id next to the data; readers switch to the
-    new base by path, so nothing that is being read is overwritten.
+    Only the previous base and the batches after it are read, so the cost does not
+    grow with all history; ``retire_folded`` then removes the folded batches. Records
+    the highest folded batch id next to the data; readers switch to the new base by
+    path, so nothing that is being read is overwritten.
     """
     batches = read_batches(spark, silver_root, table)
     max_batch = batches.agg(F.max("batch_id")).first()[0]
-    state = current_state(spark, silver_root, table)
-    cluster_write(state, f"{out_path}/data", cluster_cols, mode="zorder", target_bytes=target_bytes)
+    if base_path:
+        max_batch = max(max_batch, folded_up_to(spark, base_path))
+    state = current_state(spark, silver_root, table, base_path)
+    size = path_bytes(spark, f"{silver_root.rstrip('/')}/{table}") + (path_bytes(spark, f"{base_path}/data") if base_path else 0)
+    cluster_write(state, f"{out_path}/data", cluster_cols, size, mode="zorder", target_bytes=target_bytes)
     spark.createDataFrame([(json.dumps({"table": table, "max_batch_id": int(max_batch)}),)], "value string") \
         .coalesce(1).write.mode("overwrite").text(f"{out_path}/_folded")
     return out_path
 
 
+def retire_folded(spark: SparkSession, silver_root: str, table: str, base_path: str) -> list[int]:
+    """Delete the batch folders that a base holds, all but the newest (which keeps the table's schema); returns their ids."""
+    upto = folded_up_to(spark, base_path)
+    fs, root = _file_system(spark, f"{silver_root.rstrip('/')}/{table}")
+    found = sorted((int(st.getPath().getName().split("=")[1]), st.getPath()) for st in fs.listStatus(root)
+                   if st.getPath().getName().startswith("batch_id="))
+    gone = [(n, path) for n, path in found[:-1] if n <= upto]
+    for _, path in gone:
+        fs.delete(path, True)
+    return [n for n, _ in gone]
+
+
 def load_audit(spark: SparkSession, silver_root: str) -> DataFrame:
     """One row per (table, batch): rows written, of which updates of earlier keys, and inserts."""
     out = None
@@ -163,42 +193,43 @@ def load_audit(spark: SparkSession, silver_root: str) -> DataFrame:
 class InferenceBatchWriter:
     """The same rolling-feature + scoring function as the batch job, per micro-batch.
 
-    For each micro-batch: rolling features of the batch's users over the bronze
-    history in the lookback window, scored against the training reference;
+    For each micro-batch: rolling features of the batch's users over the stored
+    bronze and silver edges, between the lookback and the batch's last event (so a
+    replay gives the same rows however many later events are stored by then), with
+    the stored system folders, scored by ``scorer(frame) -> (user_id, score)``;
     predictions overwrite ``<root>/batch_id=<n>`` (replay-safe), so the folder
     is also the prediction history (P6).
     """
 
-    def __init__(self, bronze_dir: str, reference_dir: str, root: str, lookback_days: int = 7, k: int = 5):
-        self.bronze_dir, self.reference_dir, self.root = bronze_dir, reference_dir, root.rstrip("/")
-        self.lookback_days, self.k = lookback_days, k
+    def __init__(self, bronze_dir: str, edges_dir: str, folders_dir: str, scorer, root: str, lookback_days: int = 7):
+        self.bronze_dir, self.edges_dir, self.folders_dir = bronze_dir, edges_dir, folders_dir
+        self.scorer, self.root, self.lookback_days = scorer, root.rstrip("/"), lookback_days
 
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
-        from tracewise.functions.vocabulary import FEATURES
         from tracewise.operators import anomaly as an
         from tracewise.operators import features as feat
         spark = batch_df.sparkSession
         history = spark.read.parquet(self.bronze_dir)
-        window = feat.window_for_batch(batch_df, self.lookback_days)
-        edges = silver_edges(history)
+        edges = spark.read.parquet(self.edges_dir)
+        last = batch_df.agg(F.max("event_ts")).first()[0]
+        if last is None:
+            return
+        window = feat.window_for_batch(batch_df, self.lookback_days, last)
         frame = feat.rolling_feature_frame(
             window, feat.login_features(history, window=window),
-            feat.file_access_features(edges, feat.top_in_degree(edges), window=window),
-            feat.sharing_features(edges, window=window))
-        reference = spark.read.parquet(self.reference_dir)
-        scores = an.score(frame, "user_id", list(FEATURES), reference, "id", detector="knn", k=self.k)
-        pred = an.with_predictions(frame, scores, "user_id")
+            feat.file_access_features(edges, spark.read.parquet(self.folders_dir), window=window),
+            feat.sharing_features(edges, window=window)).checkpoint()
+        pred = an.with_predictions(frame, self.scorer(frame), "user_id")
         pred.write.mode("overwrite").parquet(f"{self.root}/batch_id={int(batch_id)}")
 
 
-def run_stream_inference(spark: SparkSession, bronze_dir: str, reference_dir: str, out_root: str,
-                         checkpoint: str, lookback_days: int = 7, max_files_per_trigger: int | None = None) -> None:
+def run_stream_inference(spark: SparkSession, bronze_dir: str, edges_dir: str, folders_dir: str, scorer, out_root: str,
+                         checkpoint: str, lookback_days: int = 7, max_files_per_trigger: int | None = None,
+                         max_bytes_per_trigger: int | None = None) -> None:
     schema = spark.read.parquet(bronze_dir).schema
-    reader = spark.readStream.schema(schema)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    reader = _limited(spark.readStream.schema(schema), max_files_per_trigger, max_bytes_per_trigger)
     q = (reader.parquet(bronze_dir).writeStream
-         .foreachBatch(InferenceBatchWriter(bronze_dir, reference_dir, out_root, lookback_days))
+         .foreachBatch(InferenceBatchWriter(bronze_dir, edges_dir, folders_dir, scorer, out_root, lookback_days))
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
     if q.exception():
