@@ -51,6 +51,19 @@ def _canon(cols, rows):
     return [cols[i] for i in order], sorted(out, key=repr)
 
 
+def _family(kind: str) -> str:
+    """Type family, so that both engines' names compare."""
+    kind = kind.lower()
+    if kind.endswith("[]") or kind.startswith(("array", "list")):
+        return "list"
+    for family, starts in (("integer", ("tinyint", "smallint", "int", "bigint", "hugeint", "ubigint", "long", "uinteger")),
+                           ("number", ("float", "double", "decimal", "real")), ("text", ("string", "varchar")),
+                           ("boolean", ("bool",)), ("time", ("timestamp",)), ("date", ("date",))):
+        if kind.startswith(starts):
+            return family
+    return kind
+
+
 def duck_connect(sf_dir):
     import duckdb
     con = duckdb.connect()
@@ -72,6 +85,7 @@ def compare(spark, sf_dir, names=None, verbose=True):
         try:
             df = qs[name](spark, sf_dir)
             cols = df.columns
+            types = {c: _family(t) for c, t in df.dtypes}
             rows = [tuple(r) for r in df.collect()]
         except Exception as exc:  # noqa: BLE001
             results[name] = ("SPARK_ERROR", str(exc).splitlines()[0][:300])
@@ -88,6 +102,7 @@ def compare(spark, sf_dir, names=None, verbose=True):
             con.sql(ors[name]).create_view("oracle_result", replace=True)   # as the driver does: one statement, no PIVOT
             cur = con.execute("SELECT * FROM oracle_result")
             dcols = [d[0] for d in cur.description]
+            dtypes = {c: _family(str(t)) for c, t in zip(dcols, con.table("oracle_result").types, strict=True)}
             drows = cur.fetchall()
         except Exception as exc:  # noqa: BLE001
             results[name] = ("DUCK_ERROR", str(exc).splitlines()[0][:300])
@@ -98,6 +113,8 @@ def compare(spark, sf_dir, names=None, verbose=True):
         dc, dr = _canon(dcols, drows)
         if sc != dc:
             status = ("SCHEMA", f"spark={sc} duck={dc}")
+        elif types != dtypes:
+            status = ("TYPES", str({c: (t, dtypes[c]) for c, t in types.items() if dtypes[c] != t}))
         elif len(sr) != len(dr):
             status = ("ROWCOUNT", f"spark={len(sr)} duck={len(dr)}")
         elif sr != dr:
