@@ -119,3 +119,12 @@ def test_latin_splitter_equals_the_pattern():
     for _ in range(500):
         text = "".join(chr(r.randrange(256)) if r.random() < 0.5 else r.choice(" 'stre\n1") for _ in range(60))
         assert every(text) == latin(text)
+
+
+def test_rank_coding_round_trips():
+    r = np.random.default_rng(1)
+    for top in (1, 150, 300, 15_000, 20_000, 2 ** 24):
+        a = r.integers(0, top, 4000).astype(np.uint32)
+        assert (bpe.unpack_ranks(bpe.pack_ranks(a)) == a).all()
+    edges = np.array([0, 199, 200, 14279, 14280, 14281, 2 ** 24], np.uint32)
+    assert (bpe.unpack_ranks(bpe.pack_ranks(edges)) == edges).all() and len(bpe.unpack_ranks(bpe.pack_ranks(edges[:0]))) == 0

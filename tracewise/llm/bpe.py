@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from tracewise.llm.tokens import Vocabulary, rank_vocabulary
 
 BLOCK_CHARS = 16_000_000
-BLOCKS = "block long, bucket int, kind int, doc_ids array<long>, lens binary, data binary"
+BLOCKS = "block long, bucket int, kind int, doc_ids array<long>, lens binary, data binary, order binary"
 WORDS_AT_ONCE = 300_000
 
 
@@ -44,6 +44,33 @@ def spread(data: bytes) -> np.ndarray:
     return raw[:half] | (raw[half:].astype("<u4") << 16)
 
 
+ONE_BYTE, TWO_BYTES = 200, 55      # codes of one byte; first bytes of codes of two bytes; 255 starts one of four
+
+
+def pack_ranks(a: np.ndarray) -> bytes:
+    """Frequency ranks in one, two or four bytes, byte by byte apart, compressed."""
+    wide = ONE_BYTE + TWO_BYTES * 256
+    one, two = a < ONE_BYTE, (a >= ONE_BYTE) & (a < wide)
+    first = np.full(len(a), 255, np.uint8)
+    first[one] = a[one]
+    middle, rest = a[two] - ONE_BYTE, a[~(one | two)] - wide
+    first[two] = ONE_BYTE + (middle >> 8)
+    planes = [first, middle & 255, *((rest >> k) & 255 for k in (0, 8, 16))]
+    parts = [zstandard.compress(x.astype(np.uint8).tobytes(), 3) for x in planes]
+    return array("I", map(len, parts)).tobytes() + b"".join(parts)
+
+
+def unpack_ranks(data: bytes) -> np.ndarray:
+    ends = np.cumsum(np.frombuffer(data[:20], "<u4"), dtype=np.int64) + 20
+    planes = [np.frombuffer(zstandard.decompress(data[a:b]), np.uint8).astype(np.uint32)
+              for a, b in zip([20, *ends[:-1].tolist()], ends.tolist(), strict=True)]
+    out = planes[0].copy()
+    two, rest = (out >= ONE_BYTE) & (out < 255), out == 255
+    out[two] = ONE_BYTE + ((out[two] - ONE_BYTE) << 8) + planes[1]
+    out[rest] = ONE_BYTE + TWO_BYTES * 256 + planes[2] + (planes[3] << 8) + (planes[4] << 16)
+    return out
+
+
 def gather(values: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
     """values[starts[0]:starts[0]+lens[0]], values[starts[1]:...], ... in one array."""
     ends = np.cumsum(lens)
@@ -54,28 +81,35 @@ def gather(values: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> np.ndarr
 
 def _rows(rows: list[dict]) -> pa.RecordBatch:
     kinds = {"block": pa.int64(), "bucket": pa.int32(), "kind": pa.int32(), "doc_ids": pa.list_(pa.int64()),
-             "lens": pa.binary(), "data": pa.binary()}
+             "lens": pa.binary(), "data": pa.binary(), "order": pa.binary()}
     return pa.RecordBatch.from_pydict({c: pa.array([r.get(c) for r in rows], t) for c, t in kinds.items()})
 
 
 def block_rows(block: int, doc_ids: list, token_lens: list[int], numbers: list[np.ndarray], words: dict[str, int], buckets: int):
     """The position row (kind 0) and one word-list row (kind 1) per bucket.
 
-    Words are renumbered by (bucket, word), so a word list needs no numbers of its own.
+    Words are renumbered by falling frequency (then by word), which makes positions
+    short, and a bucket's list is in that order; the position row keeps the bucket of
+    every word (``order``), so lists need no numbers of their own.
     """
+    numbers = np.concatenate(numbers)
+    if len(words) > ONE_BYTE + TWO_BYTES * 256 + 2 ** 24:
+        raise ValueError("one block holds too many distinct words; lower block_chars")
     listed = sorted(words)
-    raw = [w.encode() for w in listed]
-    bucket = np.fromiter(map(zlib.crc32, raw), np.int64, len(raw)) % buckets
-    order = np.argsort(bucket, kind="stable")
+    old = np.fromiter(map(words.__getitem__, listed), np.int64, len(listed))
+    order = np.argsort(-np.bincount(numbers, minlength=len(listed))[old], kind="stable")
     new = np.empty(len(listed), np.uint32)
-    new[np.fromiter(map(words.__getitem__, listed), np.int64, len(listed))[order]] = np.arange(len(listed), dtype=np.uint32)
+    new[old[order]] = np.arange(len(listed), dtype=np.uint32)
+    raw = [listed[i].encode() for i in order.tolist()]
+    bucket = np.fromiter(map(zlib.crc32, raw), np.int64, len(raw)) % buckets
     yield _rows([{"block": block, "bucket": block * 7919 % buckets, "kind": 0, "doc_ids": doc_ids,
-                  "lens": squeeze(np.array(token_lens, np.int64)), "data": squeeze(new[np.concatenate(numbers)])}])
-    cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
+                  "lens": squeeze(np.array(token_lens, np.int64)), "data": pack_ranks(new[numbers]), "order": squeeze(bucket)}])
+    by_bucket = np.argsort(bucket, kind="stable")
+    cuts = np.searchsorted(bucket[by_bucket], np.arange(buckets + 1))
     for b in np.flatnonzero(np.diff(cuts)).tolist():
-        mine = [raw[i] for i in order[cuts[b]:cuts[b + 1]].tolist()]
+        mine = [raw[i] for i in by_bucket[cuts[b]:cuts[b + 1]].tolist()]
         yield _rows([{"block": block, "bucket": b, "kind": 1,
-                      "lens": squeeze(np.array(list(map(len, mine)))), "data": zstandard.compress(b"".join(mine), 3)}])
+                      "lens": squeeze(np.array(list(map(len, mine)))), "data": zstandard.compress(b"".join(mine), 9)}])
 
 
 def id_lists(doc_ids: list, ids: np.ndarray, offsets: np.ndarray) -> pa.Table:
@@ -142,10 +176,12 @@ def encode(docs: DataFrame, vocabulary: Vocabulary | None = None, buckets: int |
         rows = tab.to_pylist()
         place = next(r for r in rows if r["kind"] == 0)
         lists = sorted((r["bucket"], r["lens"], r["data"]) for r in rows if r["kind"] == 1)
-        lens = np.concatenate([spread(x[1]) for x in lists]).astype(np.int64) if lists else np.zeros(0, np.int64)
+        listed = np.concatenate([spread(x[1]) for x in lists]).astype(np.int64) if lists else np.zeros(0, np.int64)
         ids = np.concatenate([spread(x[2]) for x in lists]) if lists else np.zeros(0, np.uint32)
-        starts = np.cumsum(lens) - lens
-        doc_ids, numbers = place["doc_ids"], spread(place["data"])
+        rank = np.argsort(spread(place["order"]), kind="stable")       # of each word, list after list
+        lens, starts = np.empty_like(listed), np.empty_like(listed)
+        lens[rank], starts[rank] = listed, np.cumsum(listed) - listed
+        doc_ids, numbers = place["doc_ids"], unpack_ranks(place["data"])
         cuts = np.concatenate([[0], np.cumsum(spread(place["lens"]), dtype=np.int64)])
         first = 0
         while first < len(doc_ids):
