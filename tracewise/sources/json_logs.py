@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, LongType, StringType, StructField, StructType
 
+# FIXED VALUES: field names, types and order are the log's input contract (FIXTURES.md 1.1).
 PARAMS_SCHEMA = StructType([
     StructField("errorCode", LongType(), True),
     StructField("itemSource", LongType(), True),
@@ -42,19 +43,6 @@ def read_raw_logs(spark: SparkSession, path: str, schema: StructType = RAW_LOG_S
     return spark.read.schema(schema).json(path)
 
 
-def read_raw_logs_stream(spark: SparkSession, path: str, schema: StructType = RAW_LOG_SCHEMA,
-                         max_files_per_trigger: int | None = None) -> DataFrame:
-    reader = spark.readStream.schema(schema)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return reader.json(path)
-
-
-def parse_json_lines(lines: DataFrame, column: str = "value", schema: StructType = RAW_LOG_SCHEMA) -> DataFrame:
-    """Parse a column of JSON text with the same declared schema (JVM-side)."""
-    return lines.select(F.from_json(F.col(column), schema).alias("r")).select("r.*")
-
-
 def to_json_lines(raw: DataFrame) -> DataFrame:
     """Serialise raw-log rows back to one JSON text column ``value``."""
     return raw.select(F.to_json(F.struct(*[F.col(f.name) for f in RAW_LOG_SCHEMA.fields])).alias("value"))
