@@ -95,22 +95,21 @@ def link(parsed: DataFrame) -> DataFrame:
 
 
 def threads(replies: DataFrame) -> DataFrame:
-    """conv_id, turn, thread (first message's turn), depth, by doubling pointers until nothing moves.
+    """conv_id, turn, thread (first message's turn), depth, by doubling pointers until all are at their root.
 
     ``replies`` has conv_id, turn, reply_to (earlier turn or null); the number of rounds is
     the logarithm of the longest chain, and every round is written to the shared folder.
     """
+    root = F.col("reply_to").isNull()
     at = materialize(replies.select("conv_id", "turn", F.coalesce("reply_to", "turn").alias("up"),
-                                    F.when(F.col("reply_to").isNull(), 0).otherwise(1).cast("long").alias("depth")), "threads")
-    while True:
-        above = at.select("conv_id", F.col("turn").alias("up"), F.col("up").alias("up2"), F.col("depth").alias("more"))
-        moved = at.join(above, ["conv_id", "up"]).select(
-            "conv_id", "turn", F.col("up2").alias("up"), (F.col("depth") + F.when(F.col("up") == F.col("turn"), 0).otherwise(F.col("more"))).alias("depth"),
-            (F.col("up2") != F.col("up")).alias("moved"))
-        moved = materialize(moved, "threads")
-        if not moved.where("moved").take(1):
-            return moved.select("conv_id", "turn", F.col("up").alias("thread"), "depth")
-        at = moved.drop("moved")
+                                    F.when(root, 0).otherwise(1).cast("long").alias("depth"), root.alias("done")), "threads")
+    while at.where("not done").take(1):
+        # only rows that have not reached their root look further; the others are carried over
+        above = at.select("conv_id", F.col("turn").alias("up"), F.col("up").alias("up2"), F.col("depth").alias("more"), F.col("done").alias("last"))
+        moved = at.where("not done").join(above, ["conv_id", "up"]).select(
+            "conv_id", "turn", F.col("up2").alias("up"), (F.col("depth") + F.col("more")).alias("depth"), F.col("last").alias("done"))
+        at = materialize(at.where("done").unionByName(moved), "threads")
+    return at.select("conv_id", "turn", F.col("up").alias("thread"), "depth")
 
 
 def format_conversations(messages: DataFrame) -> DataFrame:
