@@ -69,7 +69,7 @@ def test_awkward_rows(spark):
     assert sorted(kept, key=str) == sorted([1, 2, 3, 4, 5, 6, 8, 9, None, 10, 11], key=str)
 
 
-def test_linked_sets_share_a_signature():
+def test_linked_sets_share_a_signature_however_many_they_spare():
     r = np.random.default_rng(2)
     for num in (60, 80, 90, 95):
         t = sigtree.Threshold(num, 100)
@@ -79,7 +79,34 @@ def test_linked_sets_share_a_signature():
             drop = int(r.integers(0, n // 4 + 1))
             other = np.unique(np.concatenate([base[drop:], r.integers(0, 2 ** 63, int(r.integers(0, n // 4 + 1))).astype(np.uint64)]))
             if len(other) and sigtree.linked(base, other, t):
-                assert np.intersect1d(t.signatures(base), t.signatures(other)).size
+                sent = []
+                for x in (base, other):
+                    found = t.signatures(x)
+                    sent.append((np.concatenate([s for s, _ in found]), found))
+                shared = np.intersect1d(sent[0][0], sent[1][0])
+                assert shared.size
+                # leave out as many shared ones as both can spare: one is still shared
+                for _, found in sent:
+                    for s, spare in found:
+                        mine = np.intersect1d(s, shared)
+                        if spare >= 0 and mine.size:
+                            assert mine.size > min(spare, mine.size - 1)
+
+
+def test_common_passages_do_not_chain_and_needed_ones_do(spark):
+    """Strangers that hold one long common passage: exact links, though the passage's signatures are common."""
+    r = random.Random(11)
+    passage = " ".join(f"p{i}" for i in range(30))
+    rows = []
+    for i in range(120):
+        own = " ".join(f"x{r.randrange(10 ** 6)}" for _ in range(r.choice([4, 6, 30, 90])))
+        rows.append((i, f"{own} {passage}"))
+        if i % 9 == 0:
+            rows.append((1000 + i, f"{own} {passage} tail"))
+    rows += [(2000 + i, passage + f" y{i}") for i in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sigtree.jaccard_components(df, 5, 80, 100).collect()
+    assert sorted((str(x["doc_id"]), x["n_shingles"], str(x["component_id"])) for x in got) == brute(rows, 5, 80, 100)
 
 
 def test_tree_keeps_every_linked_pair():

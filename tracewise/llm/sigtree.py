@@ -3,9 +3,11 @@
 1. Every text becomes its set of shingle hashes. Texts with equal sets form a class;
    the join is between classes, so copies cost nothing further.
 2. Sets are cut into parts by hash. Two sets that link differ in at most ``d``
-   shingles, so of more than ``d`` parts one is equal in both and not empty: each set
-   sends one signature per part, and sets that share a signature fall into one block
-   (connected components over shared signatures). No linked pair is ever apart.
+   shingles, so of a set's ``d + 1 + spare`` non-empty parts more than ``spare`` are
+   equal in both. Each set sends one signature per part; a set of whose signatures at
+   most ``spare`` are shared with anyone links with nothing. The others, counted again
+   among themselves, fall into blocks (connected components over shared signatures).
+   No linked pair is ever apart, and passages that many texts hold chain no strangers.
 3. Inside a block a signature tree holds, per node, the OR and AND of its sets' token
    bitmaps and their size range. A dual traversal from (root, root) drops every node
    pair whose largest possible overlap or size ratio cannot reach the threshold; leaf
@@ -13,9 +15,8 @@
    already. Blocks above a tile's size are split into tiles and tile pairs, and tile
    pairs whose sets are all connected by then are left out.
 
-Signatures are sent packed per batch and hash bucket, with each batch's repeats
-reduced to one entry, so a signature that a third of all texts share is one entry per
-batch. Sets travel only for classes in a block of two or more, once.
+Signatures are sent packed per batch and hash bucket; of a signature that many sets
+of a batch share two entries go to its bucket, the others go on by themselves. Sets travel only for classes in a block of two or more, once.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ from tracewise.operators.graph import connected_components
 
 U = np.uint64
 FAN_OUT = 8
-TILE_SHINGLES, TILE_SETS = 2_000_000, 2_000
+TILE_SHINGLES, TILE_SETS = 500_000, 512
 SIGNATURES_PER_BUCKET = 1_000_000
 BROADCAST_BYTES = 32 * 2 ** 20
 
@@ -105,10 +106,11 @@ class Threshold:
         """(parts, most differing shingles) of pairs whose larger set is in the class."""
         most = self.edges(1 << max(4, (4 * upto + 8).bit_length()))[size_class + 1] - 1
         d = (self.den - self.num) * 2 * most // (self.den + self.num)
-        return d + 1 + max(2, d // 10), d
+        return d + 1 + max(3, d // 4), d
 
-    def signatures(self, x: np.ndarray) -> np.ndarray:
-        """One signature per non-empty part, for the set's own size class and, where a larger set may link, the next."""
+    def signatures(self, x: np.ndarray) -> list[tuple[np.ndarray, int]]:
+        """Per size class (the set's own and, where a larger set may link, the next) one signature per
+        non-empty part, and how many of them the set can do without (negative: it sends empty parts as well)."""
         n = len(x)
         own, content, out = self.class_of(n), mix(x + U(101)), []
         spread = x >> U(17)
@@ -122,11 +124,12 @@ class Threshold:
             sorted_part = part[order]
             begin = np.flatnonzero(np.concatenate([[True], sorted_part[1:] != sorted_part[:-1]]))
             sums, which = np.add.reduceat(content[order], begin), sorted_part[begin].astype(U)
+            spare = len(begin) - d - 1
             if len(begin) <= d:   # so few filled parts that an empty one may be the only equal one
                 empty = np.setdiff1d(np.arange(k, dtype=U), which)
                 sums, which = np.concatenate([sums, np.zeros(len(empty), U)]), np.concatenate([which, empty])
-            out.append(mix(sums + mix(which + U(c) * U(1 << 40) + U(7))))
-        return np.concatenate(out)
+            out.append((mix(sums + mix(which + U(c) * U(1 << 40) + U(7))), spare))
+        return out
 
 
 # --------------------------------------------------------------------------- inside a tile
@@ -259,17 +262,25 @@ def _flat(kind: int, a: np.ndarray, b: np.ndarray, n: np.ndarray | None = None,
                                       ["kind", "a", "b", "n", "doc_id"])
 
 
-def repeats(sigs: np.ndarray, owners: np.ndarray, names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Mask of each signature's first entry, and the edges that chain the other entries' names to it."""
+def runs_of(sigs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Stable order by signature, and for each place in that order its run's start and length."""
     order = np.argsort(sigs, kind="stable")
-    s = sigs[order]
-    first = np.concatenate([[True], s[1:] != s[:-1]]) if len(s) else np.zeros(0, bool)
-    keep = np.zeros(len(sigs), bool)
-    keep[order[first]] = True
-    held = names[owners[order]]
-    a, b = held[:-1][~first[1:]], held[1:][~first[1:]]
-    pairs = np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1)[a != b]
-    return keep, np.unique(pairs, axis=0) if len(pairs) else pairs.reshape(0, 2)
+    ordered = sigs[order]
+    start = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])) if len(sigs) else np.zeros(0, np.int64)
+    length = np.diff(np.append(start, len(sigs)))
+    return order, np.repeat(start, length), np.repeat(length, length)
+
+
+def shared(sigs: np.ndarray, names: np.ndarray) -> np.ndarray:
+    """Mask with one entry per signature and set, of the signatures that two or more sets have."""
+    order = np.lexsort((names, sigs))
+    again = np.zeros(len(sigs), bool)
+    again[1:] = (sigs[order][1:] == sigs[order][:-1]) & (names[order][1:] == names[order][:-1])
+    kept = order[~again]                     # one entry per signature and set
+    place, _, length = runs_of(sigs[kept])
+    out = np.zeros(len(sigs), bool)
+    out[kept[place][length > 1]] = True
+    return out
 
 
 def small_enough(df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> DataFrame:
@@ -278,7 +289,8 @@ def small_enough(df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) ->
 
 
 def shingle_classes(docs: DataFrame, size: int, t: Threshold) -> DataFrame:
-    """Written table FLAT: kind 0 = a document (a, b: set hashes, n: set size), kind 1 = an edge between set hashes a and b."""
+    """Written table FLAT: kind 0 = a document (a, b: set hashes, n: set size), kind 2 = a shared
+    signature a of set hash b (n: signatures that the set can spare, doc_id: its own or the next size class)."""
     spark = docs.sparkSession
     total = docs.select(F.sum(F.octet_length("text"))).first()[0] or 0
     per_byte = 0.5 * (t.den - t.num) * 2 / (t.den + t.num)    # upper guess of signatures per byte of text
@@ -288,8 +300,9 @@ def shingle_classes(docs: DataFrame, size: int, t: Threshold) -> DataFrame:
         words = WordHash()
         for batch in batches:
             for n, part in enumerate(batch.slice(i, 2048) for i in range(0, batch.num_rows, 2048)):
-                ids, names, other, sizes, sigs, owners, seen = part["doc_id"].to_pylist(), [], [], [], [], [], set()
-                for i, text in enumerate(part["text"]):
+                ids, names, other, sizes, seen, rows = part["doc_id"].to_pylist(), [], [], [], set(), []
+                sigs, owner, owned, spares, kinds = [], [], [], [], []      # an owner is a set in one size class
+                for text in part["text"]:
                     x = shingles(text.as_py(), size, words)
                     a, b = set_hashes(x)
                     names.append(a)
@@ -297,46 +310,50 @@ def shingle_classes(docs: DataFrame, size: int, t: Threshold) -> DataFrame:
                     sizes.append(len(x))
                     if len(x) and (a, b) not in seen:
                         seen.add((a, b))
-                        got = t.signatures(x)
-                        sigs.append(got)
-                        owners.append(np.full(len(got), i, np.int64))
-                names_, rows = np.array(names, np.int64), []
+                        for c, (got, spare) in enumerate(t.signatures(x)):
+                            sigs.append(got)
+                            owner.append(np.full(len(got), len(owned), np.int64))
+                            owned.append(a)
+                            spares.append(spare)
+                            kinds.append(c)
+                where = (n + ids_hash(ids)) % buckets
                 if sigs:
-                    s, o = np.concatenate(sigs), np.concatenate(owners)
-                    keep, edges = repeats(s, o, names_)
-                    s, o = s[keep], o[keep]
-                    where = (s % U(buckets)).astype(np.int64)
-                    order = np.argsort(where, kind="stable")
-                    cuts = np.searchsorted(where[order], np.arange(buckets + 1))
-                    for bucket in range(buckets):
+                    s, o = np.concatenate(sigs), np.concatenate(owner)
+                    own = np.array([owned, spares, kinds], np.int64)
+                    order, start, _ = runs_of(s)
+                    spill = np.zeros(len(s), bool)
+                    spill[order] = np.arange(len(s)) - start > 1      # two are enough to tell its bucket that it is shared
+                    if spill.any():
+                        rows.append({"bucket": where, "kind": 2, "a": s[spill].tobytes(), "b": own[:, o[spill]].tobytes()})
+                    s, o = s[~spill], o[~spill]
+                    to = (s % U(buckets)).astype(np.int64)
+                    order = np.argsort(to, kind="stable")
+                    cuts = np.searchsorted(to[order], np.arange(buckets + 1))
+                    for bucket in np.flatnonzero(np.diff(cuts)).tolist():
+                        # in the order of owners: one count per owner says whose they are
                         at = order[cuts[bucket]:cuts[bucket + 1]]
-                        if len(at):
-                            # in document order: one count per document names the owners
-                            counts = np.bincount(o[at], minlength=len(names_))
-                            rows.append({"bucket": bucket, "kind": 1, "a": s[at].tobytes(), "b": counts.astype(np.uint32)[counts > 0].tobytes(),
-                                         "c": names_[counts > 0].tobytes()})
-                    if len(edges):
-                        rows.append({"bucket": (n + ids_hash(ids)) % buckets, "kind": 2, "a": edges[:, 0].tobytes(), "b": edges[:, 1].tobytes()})
-                rows.append({"bucket": (n + ids_hash(ids)) % buckets, "kind": 0, "a": names_.tobytes(), "b": np.array(other, np.int64).tobytes(),
+                        counts = np.bincount(o[at], minlength=own.shape[1])
+                        rows.append({"bucket": bucket, "kind": 1, "a": s[at].tobytes(), "b": counts.astype(np.uint32)[counts > 0].tobytes(),
+                                     "c": own[:, counts > 0].tobytes()})
+                rows.append({"bucket": where, "kind": 0, "a": np.array(names, np.int64).tobytes(), "b": np.array(other, np.int64).tobytes(),
                              "c": np.array(sizes, np.int64).tobytes(), "doc_ids": ids})
                 yield _packed(rows)
 
     def chain(key, tab):
-        out, sigs, owners, names, base = [], [], [], [], 0
+        out, sigs, owned = [], [], []
         for r in tab.to_pylist():
             if r["kind"] == 0:
                 out.append(_flat(0, *(np.frombuffer(r[c], np.int64) for c in "abc"), r["doc_ids"]))
             elif r["kind"] == 2:
-                out.append(_flat(1, np.frombuffer(r["a"], np.int64), np.frombuffer(r["b"], np.int64)))
+                name, spare, c = np.frombuffer(r["b"], np.int64).reshape(3, -1)
+                out.append(_flat(2, np.frombuffer(r["a"], np.int64), name, spare, c))
             else:
-                named = np.frombuffer(r["c"], np.int64)
                 sigs.append(np.frombuffer(r["a"], U))
-                owners.append(np.repeat(np.arange(len(named)) + base, np.frombuffer(r["b"], np.uint32)))
-                names.append(named)
-                base += len(named)
+                owned.append(np.repeat(np.frombuffer(r["c"], np.int64).reshape(3, -1), np.frombuffer(r["b"], np.uint32), axis=1))
         if sigs:
-            _, edges = repeats(np.concatenate(sigs), np.concatenate(owners), np.concatenate(names))
-            out.append(_flat(1, edges[:, 0], edges[:, 1]))
+            s, (name, spare, c) = np.concatenate(sigs), np.concatenate(owned, axis=1)
+            at = shared(s, name)
+            out.append(_flat(2, s[at].astype(np.int64), name[at], spare[at], c[at]))
         return pa.Table.from_batches(out)
 
     packed = docs.select("doc_id", "text").mapInArrow(sign, PACKED)
@@ -361,7 +378,7 @@ def jaccard_components(docs: DataFrame, size: int = 5, num: int = 80, den: int =
     t = Threshold(num, den)
     flat = shingle_classes(docs, size, t)
     nodes = flat.where("kind = 0").select("doc_id", F.col("a").alias("h1"), F.col("b").alias("h2"), "n")
-    edges = flat.where("kind = 1").select(F.col("a").alias("src"), F.col("b").alias("dst")).distinct()
+    edges = materialize(block_edges(flat), "block-edges")
     classes = materialize(nodes.where("n > 0").groupBy("h1", "h2").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n")), "classes")
     ends = edges.select(F.explode(F.array("src", "dst")).alias("id")).distinct()
     blocks = connected_components(ends, edges).select(F.col("id").alias("h1"), F.col("component").alias("block"))
@@ -375,6 +392,25 @@ def jaccard_components(docs: DataFrame, size: int = 5, num: int = 80, den: int =
                     F.when(F.col("n") > 0, F.coalesce("component_id", "doc_id")).otherwise(F.col("doc_id")).alias("component_id")))
 
 
+def block_edges(flat: DataFrame, rounds: int = 2) -> DataFrame:
+    """Edges (src, dst) over shared signatures, between the sets that share more of them than they can spare.
+
+    Counting again among the sets that are left only leaves out more sets that link
+    with nothing, so any number of rounds gives the same links.
+    """
+    held = flat.where("kind = 2").select(F.col("a").alias("sig"), F.col("b").alias("h1"), F.col("doc_id").alias("size_class"), "n").distinct()
+    for _ in range(rounds):
+        enough = (held.groupBy("h1", "size_class", "n").agg(F.count(F.lit(1)).alias("_c"))
+                  .where(F.col("_c") > F.col("n")).select("h1", "size_class"))
+        held = materialize(held.join(enough, ["h1", "size_class"]).select("sig", "h1", "size_class", "n"), "shared")
+        lowest = materialize(held.groupBy("sig").agg(F.min("h1").alias("src"), F.count(F.lit(1)).alias("_c"))
+                             .where("_c > 1").select("sig", "src"), "lowest")
+        held = held.join(lowest, "sig")
+        edges = held.where("src <> h1").select("src", F.col("h1").alias("dst")).distinct()
+        held = held.select("sig", "h1", "size_class", "n")
+    return edges
+
+
 def smallest_ids(members: DataFrame, roots: DataFrame) -> DataFrame:
     """(h1, h2) -> the smallest doc_id of its component."""
     placed = members.join(roots, "h1").select("h1", "h2", "rep", "root")
