@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import itertools
 import random
+import zlib
 
 import numpy as np
 import pytest
@@ -116,3 +117,18 @@ def test_folds(spark):
     import zlib
     df = spark.range(50).withColumnRenamed("id", "doc_id")
     assert all(r["f"] == zlib.crc32(str(r["doc_id"]).encode()) % 3 for r in df.withColumn("f", learning.fold()).collect())
+
+
+def test_toxicity_recall_in_every_language(tables):
+    docs, labels = tables
+    found = (toxicity.score(docs, labels).where("held_out").join(labels.where("toxic = 1"), "doc_id")
+             .join(docs.select("doc_id", "lang"), "doc_id").groupBy("lang").avg("predicted").collect())
+    assert len(found) == 4 and all(r["avg(predicted)"] >= 0.8 for r in found)
+
+
+def test_patterns_are_fitted_without_a_lexicon(spark):
+    ids = [i for i in range(90) if zlib.crc32(str(i).encode()) % 3 != learning.HELD_OUT][:20]
+    docs = spark.createDataFrame([(i, f"kill item{i}" if n % 2 else f"keep item{i}") for n, i in enumerate(ids)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, n % 2) for n, i in enumerate(ids)], "doc_id long, toxic int")
+    assert toxicity.learn(docs, labels).lexicon == {}
+    assert all(r["predicted"] == r["toxic"] for r in toxicity.score(docs, labels).join(labels, "doc_id").collect())

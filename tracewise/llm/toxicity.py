@@ -29,7 +29,7 @@ from tracewise.llm.learning import HELD_OUT, Logistic, fold, labelled_sample, si
 MOST_LABELLED = 8_000      # labelled rows that are learned from
 MOST_ENTRIES = 5_000       # words and stems of the learned lexicon
 STEMS = (4, 5, 6)
-LEAST_SHARE, LEAST_ODDS = 0.025, 4.0   # of the toxic texts that an entry is in; log-odds
+LEAST_COUNT, LEAST_ODDS = 3, 4.0   # toxic texts that an entry is in, whatever the size of the sample; log-odds
 THRESHOLD = 0.7
 
 #: Fixed word lists of the grammar's closed classes (English, German, French, Spanish).
@@ -193,7 +193,7 @@ def learn_lexicon(sample: DataFrame) -> dict[str, float]:
         counts.unpersist()
         return {}
     odds = F.log((F.col("t") + 0.5) / (whole["t"] + 1.0)) - F.log((F.col("c") + 0.5) / (whole["c"] + 1.0))
-    rows = (counts.where((F.col("entry") != "") & (F.col("t") >= max(3, LEAST_SHARE * whole["t"]))).withColumn("odds", odds)
+    rows = (counts.where((F.col("entry") != "") & (F.col("t") >= LEAST_COUNT)).withColumn("odds", odds)
             .where(F.col("odds") > LEAST_ODDS).orderBy(F.desc("odds"), "entry").limit(MOST_ENTRIES).collect())
     counts.unpersist()
     return {r["entry"]: float(r["odds"]) for r in rows}
@@ -210,7 +210,7 @@ def learn(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) -> Mode
             x = [unfitted.scanner.features(t).tolist() for t in batch["text"].to_pylist()]
             yield pa.RecordBatch.from_pydict({"x": pa.array(x, pa.list_(pa.float64())), "y": batch["y"]})
 
-    rows = sample.mapInArrow(features, "x array<double>, y int").groupBy("x", "y").count().collect() if lexicon else []
+    rows = sample.mapInArrow(features, "x array<double>, y int").groupBy("x", "y").count().collect()
     sample.unpersist()
     if len({r["y"] for r in rows}) < 2:
         return Model(lexicon, None)
