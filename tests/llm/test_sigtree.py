@@ -128,3 +128,39 @@ def test_threshold_counts():
         for b in range(a, 60):
             for common in range(a + 1):
                 assert (common >= t.needed(a, b)) == (100 * common >= 90 * (a + b - common))
+
+
+def test_only_sets_apart_meet_their_block_again(spark):
+    """One outlier per tile: a few slots against the tiles, not all tile pairs, and every pair of unlike labels meets."""
+    rows = [(100 * tile + k, 7, tile, 1 if k else 2 + tile, 10) for tile in range(1, 41) for k in range(8)]
+    others = sigtree.sets_apart(spark.createDataFrame(rows, "h1 long, block long, tile long, label long, n long"), 10 ** 6, 8).persist()
+    assert others.where("slot is not null").count() == 40 and others.first()["slots"] == 5
+    met, pairs = set(), {}
+    for r in sigtree.slot_pairs(others, 100).collect():
+        pairs.setdefault((r["i"], r["j"]), set()).add((r["h1"], r["label"]))
+    for found in pairs.values():
+        met |= {(a, b) for a, la in found for b, lb in found if la != lb}
+    assert len(pairs) == 5 * 40 and max(map(len, pairs.values())) < 40
+    assert met == {(a[0], b[0]) for a in rows for b in rows if a[3] != b[3]}
+    assert {r["i"] for r in sigtree.slot_pairs(others, 2).select("i").distinct().collect()} == {0, 1}
+
+
+def test_outliers_of_split_blocks_in_rounds(spark, monkeypatch):
+    """Small tiles and several rounds: outliers that share passages with a big group link as brute force says."""
+    monkeypatch.setattr(sigtree, "FIRST_SLOTS", 1)
+    r = random.Random(5)
+    core = [f"c{i}" for i in range(60)]
+    rows = []
+    for i in range(90):
+        words = list(core)
+        words[r.randrange(60)] = f"v{i}"
+        if i % 3 == 0:                       # every third is far from the core, and near its neighbours
+            words = core[:30] + [f"o{i // 18}_{k}" for k in range(30)]
+            words[r.randrange(30, 60)] = f"w{i}"
+        rows.append((i, " ".join(words)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    names, real = [], sigtree.materialize
+    monkeypatch.setattr(sigtree, "materialize", lambda d, name: (names.append(name), real(d, name))[1])
+    got = sigtree.jaccard_components(df, 2, 60, 100, tile_sets=3).collect()
+    assert sorted((str(x["doc_id"]), x["n_shingles"], str(x["component_id"])) for x in got) == brute(rows, 2, 60, 100)
+    assert names.count("more-links") >= 2

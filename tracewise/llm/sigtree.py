@@ -12,8 +12,9 @@
    bitmaps and their size range. A dual traversal from (root, root) drops every node
    pair whose largest possible overlap or size ratio cannot reach the threshold; leaf
    pairs that survive are verified on the sets themselves, unless they are connected
-   already. Blocks above a tile's size are split into tiles and tile pairs, and tile
-   pairs whose sets are all connected by then are left out.
+   already. Blocks above a tile's size are split into tiles; all tiles meet tile 0, and
+   then only the sets outside the block's most common component meet the other tiles,
+   a few tiles of them each round, one tile pair at a time.
 
 Signatures are sent packed per batch and hash bucket; of a signature that many sets
 of a batch share two entries go to its bucket, the others go on by themselves. Sets travel only for classes in a block of two or more, once.
@@ -35,6 +36,7 @@ from tracewise.operators.graph import connected_components
 U = np.uint64
 FAN_OUT = 8
 TILE_SHINGLES, TILE_SETS = 500_000, 512
+FIRST_SLOTS = 4            # slots of a block's first round of tile pairs; doubled each round
 SIGNATURES_PER_BUCKET = 1_000_000
 BROADCAST_BYTES = 32 * 2 ** 20
 
@@ -427,7 +429,9 @@ def tile_links(docs: DataFrame, members: DataFrame, size: int, t: Threshold, til
     weight = dealt.agg(F.sum("n").alias("w")).first()["w"] or 0
     if weight == 0:
         return spark.createDataFrame([], "h1 long, root long")
-    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), weight // tile_shingles + 1)
+    # a tile and its block's tile 0 make one unit of work: about one unit per group, and the small blocks' weight besides
+    units = spread.where("tiles > 1").agg(F.sum("tiles").alias("u")).first()["u"] or 0
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), weight // tile_shingles + 1 + units)
 
     def load(batches):
         words = WordHash()
@@ -456,8 +460,10 @@ def tile_links(docs: DataFrame, members: DataFrame, size: int, t: Threshold, til
         for found in by_tile.values():
             own = sorted(found)
             got = join_tile([found[h][0] for h in own], t, np.array([found[h][1] for h in own], np.int64) if has_label else None)
-            names += own
-            roots += [own[i] for i in got.tolist()]
+            # rows between sets that had one label before say nothing new
+            new = [(h, own[i]) for h, i in zip(own, got.tolist(), strict=True) if not has_label or found[h][1] != found[own[i]][1]]
+            names += [h for h, _ in new]
+            roots += [r for _, r in new]
         return pa.table({"h1": pa.array(names, pa.int64()), "root": pa.array(roots, pa.int64())})
 
     # every tile together with its block's tile 0
@@ -468,22 +474,51 @@ def tile_links(docs: DataFrame, members: DataFrame, size: int, t: Threshold, til
     split = dealt.where("tiles > 1")
     if not split.take(1):
         return links
-    known = labels_of(links, split)
-    ranges = known.groupBy("block", "tile").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("tile > 0")
-    left = ranges.select("block", F.col("tile").alias("i"), F.col("low").alias("low_i"), F.col("high").alias("high_i"))
-    right = ranges.select("block", F.col("tile").alias("j"), F.col("low").alias("low_j"), F.col("high").alias("high_j"))
-    todo = left.join(right, "block").where("i < j and (least(low_i, low_j) <> greatest(high_i, high_j))").select("block", "i", "j")
-    todo = materialize(todo, "tile-pairs")
-    if todo.take(1):
-        where = todo.select("block", "i", "j", F.explode(F.array("i", "j")).alias("tile"))
-        again = (sets.where("tiles > 1").join(known.select("h1", "label"), "h1").join(where, ["block", "tile"])
-                 .withColumn("task", F.pmod(F.xxhash64("block", "i", "j"), F.lit(tasks)).cast("int")))
-        more = materialize(again.groupBy("task").applyInArrow(join, "h1 long, root long").distinct(), "more-links")
-        known = labels_of(links.unionByName(more), split)
+    known, size_of = labels_of(links, split), split.select("h1", "n")
+    left = materialize(known.where("tile > 0").select("h1"), "not-met")   # tile 0 has met its whole block
+    held, slots = None, FIRST_SLOTS
+    while True:
+        others = materialize(sets_apart(known.join(left, "h1").join(size_of, "h1"), tile_shingles, tile_sets), "sets-apart")
+        if not others.where("slots > 0").take(1):
+            break
+        if held is None:
+            held = materialize(sets.where("tiles > 1").select("h1", "block", "shingles"), "split-sets")
+        pairs = held.join(slot_pairs(others, slots), ["h1", "block"])
+        more = materialize(pairs.groupBy("block", "i", "j").applyInArrow(join, "h1 long, root long").distinct(), "more-links")
+        links = links.unionByName(more)
+        known = labels_of(links, split)
+        left = materialize(others.where(f"slot is null or slot >= {slots}").select("h1"), "not-met")
+        slots *= 2
     rest = links.join(split.select("h1"), "h1", "left_anti")
     return rest.unionByName(known.select("h1", F.col("label").alias("root")))
 
 
+def sets_apart(open_sets: DataFrame, tile_shingles: int, tile_sets: int) -> DataFrame:
+    """The sets (h1, block, tile, label, n) that have not met their whole block, with ``slot`` and ``slots``.
+
+    Of two such sets with different labels one at least is outside its block's most
+    common label. Only those sets are dealt into slots, each the size of a tile, and have to
+    meet the others; the rest have slot null. ``slots`` is the number of slots of the block.
+    """
+    sizes = open_sets.groupBy("block", "label").agg(F.count(F.lit(1)).alias("_m"), F.sum("n").alias("_w"))
+    blocks = sizes.groupBy("block").agg(F.sum("_m").alias("_am"), F.sum("_w").alias("_aw"),
+                                        F.max(F.struct("_m", "label", "_w")).alias("_top"))
+    m, w = F.col("_am") - F.col("_top._m"), F.col("_aw") - F.col("_top._w")
+    blocks = blocks.select("block", F.col("_top.label").alias("_most"), F.greatest(F.ceil(w / tile_shingles), F.ceil(m / tile_sets)).alias("slots"))
+    slot = F.when(F.col("label") != F.col("_most"), F.pmod(F.xxhash64("h1", F.lit(1)), F.col("slots")))
+    return open_sets.join(blocks, "block").select("h1", "block", "tile", "label", slot.alias("slot"), "slots")
+
+
+def slot_pairs(others: DataFrame, most: int) -> DataFrame:
+    """h1, block, label, i, j: the first ``most`` slots (i) of each block with each of its tiles (j)."""
+    others = others.where("slots > 0")
+    tiles = others.groupBy("block").agg(F.collect_set("tile").alias("_tiles"))
+    used = F.least(F.col("slots"), F.lit(most).cast("long"))
+    mine = others.where(f"slot < {most}").join(tiles, "block").select("h1", "block", "label", F.col("slot").alias("i"), F.explode("_tiles").alias("j"))
+    theirs = others.select("h1", "block", "label", F.explode(F.sequence(F.lit(0).cast("long"), used - 1)).alias("i"), F.col("tile").alias("j"))
+    return mine.unionByName(theirs).distinct()
+
+
 def labels_of(links: DataFrame, split: DataFrame) -> DataFrame:
     """block, tile, h1, label: components of the links so far, for sets of split blocks."""
     ids = split.select(F.col("h1").alias("id"))
