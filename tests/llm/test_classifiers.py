@@ -132,3 +132,25 @@ def test_patterns_are_fitted_without_a_lexicon(spark):
     labels = spark.createDataFrame([(i, n % 2) for n, i in enumerate(ids)], "doc_id long, toxic int")
     assert toxicity.learn(docs, labels).lexicon == {}
     assert all(r["predicted"] == r["toxic"] for r in toxicity.score(docs, labels).join(labels, "doc_id").collect())
+
+
+def test_targets_beside_insults_and_behind_threats():
+    s = toxicity.Scanner({"idiot": 5.0})
+
+    def hit(text):
+        return [toxicity.PATTERNS[i] for i in np.flatnonzero(s.features(text))]
+    targeted = frozenset({"targeted"})
+    assert hit("I will kill you") == hit("we will hurt them") == [("threat", targeted)]
+    assert hit("kill the process") == hit("he can kill the process") == [("threat", frozenset())]
+    assert hit("idiot you are") == hit("you idiot") == [("insult", targeted)] and hit("what an idiot") == [("insult", frozenset())]
+    assert hit("I will not hurt you") == [("threat", targeted | {"negated"})]
+    assert hit("he said he would kill them") == [("threat", targeted | {"reported"})]
+
+
+def test_patterns_without_examples_have_a_prior(spark):
+    ids = [i for i in range(150) if zlib.crc32(str(i).encode()) % 3 != learning.HELD_OUT][:60]
+    docs = spark.createDataFrame([(i, f"you idiot{i} idiot" if n % 2 else f"fine day {i}") for n, i in enumerate(ids)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, n % 2) for n, i in enumerate(ids)], "doc_id long, toxic int")
+    model = toxicity.learn(docs, labels)
+    threat, harmless, negated, empty = model.scores(["I will kill you", "kill the process", "I will not kill you", ""])
+    assert threat > harmless > empty == negated

@@ -1,11 +1,13 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
-Words become roles (insult, threat, target, negation, reported speech). Four small
-transducers read the roles of a clause one after the other, each rewriting them:
-threats need a target behind them, targets mark the insults beside them, negation
-and reported speech mark what follows. Their composition is one machine that turns a
-clause into the patterns it matches ("targeted insult", "reported threat", ...), and a
-document's score is a logistic function of the weights of its matched clauses.
+Words become roles (insult, threat, target, negation, reported speech). A look-ahead
+reads a clause from its end and marks the insults and threats that a target follows.
+Five small transducers then read it from its start, each rewriting the roles: reported
+speech, negation and targets mark what follows, an insult is targeted by a target on
+either side, a threat only by one behind it. Their composition is one machine that turns
+a clause into the patterns it matches ("targeted insult", "reported threat", ...), and a
+document's score is a logistic function of the weights of its matched clauses. Patterns
+that no labelled text shows have the weights of PRIOR.
 
 Insult words and word stems, and the weight of every pattern, are learned from a
 bounded number of labelled rows outside the held-out fold; nothing but the text is
@@ -59,17 +61,20 @@ class Transducer:
             return (mine, theirs), out
         return Transducer((self.start, other.start), step)
 
-    def table(self) -> tuple[dict, list]:
-        """All reachable (state number, role) -> (state number, written symbol), and the states."""
+    def table(self, flags: frozenset | None = None) -> tuple[dict, list]:
+        """All reachable (state number, role) -> (state number, written symbol), and the states.
+
+        With ``flags`` the keys are (state number, role, whether the word read has these flags).
+        """
         states, arcs, todo = {self.start: 0}, {}, [self.start]
         while todo:
             state = todo.pop()
-            for role in ROLES:
-                to, out = self.step(state, (role, frozenset()))
+            for role, marked in product(ROLES, (False, True) if flags else (False,)):
+                to, out = self.step(state, (role, flags if marked else frozenset()))
                 if to not in states:
                     states[to] = len(states)
                     todo.append(to)
-                arcs[states[state], role] = (states[to], out)
+                arcs[(states[state], role, marked) if flags else (states[state], role)] = (states[to], out)
         return arcs, list(states)
 
 
@@ -90,6 +95,34 @@ def grammar() -> Transducer:
     return marks_after(REPORT, "reported", 8).then(marks_after(NEGATION, "negated", 3)).then(marks_after(TARGET, "targeted", 4))
 
 
+FOLLOWED = frozenset({"followed"})
+
+
+def look_ahead() -> Transducer:
+    """Read from the end of a clause: insults and threats with a target at most 4 words behind them."""
+    return marks_after(TARGET, "followed", 4)
+
+
+def insults() -> Transducer:
+    """An insult is targeted by a target before it or behind it."""
+    def step(state, symbol):
+        kind, flags = symbol
+        if kind != INSULT:
+            return state, symbol
+        return state, (kind, flags - FOLLOWED | ({"targeted"} if flags & FOLLOWED else set()))
+    return Transducer(0, step)
+
+
+def threats() -> Transducer:
+    """A threat is targeted only by a target behind it; one before it is who acts."""
+    def step(state, symbol):
+        kind, flags = symbol
+        if kind != THREAT:
+            return state, symbol
+        return state, (kind, flags - FOLLOWED - {"targeted"} | ({"targeted"} if flags & FOLLOWED else set()))
+    return Transducer(0, step)
+
+
 PATTERNS = [(kind, frozenset(f for f, on in zip(("reported", "negated", "targeted"), flags, strict=True) if on))
             for kind in (INSULT, THREAT) for flags in product((False, True), repeat=3)]
 
@@ -100,6 +133,20 @@ def machine() -> dict:
     return {k: (to, number.get(out)) for k, (to, out) in grammar().table()[0].items()}
 
 
+#: Weights of the patterns that the labelled sample does not show: 4 if somebody is targeted, 1 if nobody is,
+#: 0 where the words are negated or reported. A fitted weight always replaces them.
+PRIOR = np.array([0.0 if flags & {"reported", "negated"} else 4.0 if "targeted" in flags else 1.0 for _, flags in PATTERNS])
+
+
+@functools.lru_cache(maxsize=1)
+def whole_machine() -> tuple[dict, dict]:
+    """Arcs of the look-ahead (state, role) -> (state, followed), and of all five (state, role, followed) -> (state, pattern)."""
+    number = {p: i for i, p in enumerate(PATTERNS)}
+    ahead = {k: (to, bool(out[1])) for k, (to, out) in look_ahead().table()[0].items()}
+    five = grammar().then(insults()).then(threats())
+    return ahead, {k: (to, number.get(out)) for k, (to, out) in five.table(FOLLOWED)[0].items()}
+
+
 def words_of(text: str) -> list[str]:
     return re.findall(r"[^\W_]+(?:['’][^\W_]+)?", text.lower())
 
@@ -143,33 +190,39 @@ class Scanner:
     def features(self, text: str | None) -> np.ndarray:
         """Per pattern the logarithm of 1 + the weights of its matches in the whole text."""
         total = np.zeros(len(PATTERNS))
-        arcs = machine()
+        ahead, arcs = whole_machine()
         for clause in self.clauses((text or "").lower()):
+            weights = [(word, self.insult(word)) for word in words_of(clause)]
+            roles = [INSULT if weight > 0 else self.closed.get(word, OTHER) for word, weight in weights]
+            state, followed = 0, []
+            for role in reversed(roles):
+                state, mark = ahead[state, role]
+                followed.append(mark)
             state = 0
-            for word in words_of(clause):
-                weight = self.insult(word)
-                role = INSULT if weight > 0 else self.closed.get(word, OTHER)
-                state, pattern = arcs[state, role]
+            for role, mark, (_, weight) in zip(roles, reversed(followed), weights, strict=True):
+                state, pattern = arcs[state, role, mark]
                 if pattern is not None:
                     total[pattern] += weight if role == INSULT else 1.0
         return np.log1p(total)
 
 
 class Model:
-    def __init__(self, lexicon: dict[str, float], fit: Logistic | None):
+    def __init__(self, lexicon: dict[str, float], fit: Logistic | None, prior: np.ndarray | None = None):
         self.lexicon, self.fit = lexicon, fit
+        self.prior = np.zeros(len(PATTERNS)) if prior is None else prior
 
     @functools.cached_property
     def scanner(self) -> Scanner:
         return Scanner(self.lexicon)
 
     def __getstate__(self):
-        return {"lexicon": self.lexicon, "fit": self.fit}
+        return {"lexicon": self.lexicon, "fit": self.fit, "prior": self.prior}
 
     def scores(self, texts: list[str | None]) -> np.ndarray:
         if self.fit is None:
             return np.zeros(len(texts))
-        return sigmoid(self.fit.logit(np.array([self.scanner.features(t) for t in texts]).reshape(len(texts), len(PATTERNS))))
+        x = np.array([self.scanner.features(t) for t in texts]).reshape(len(texts), len(PATTERNS))
+        return sigmoid(self.fit.logit(x) + x @ self.prior)
 
 
 def learn_lexicon(sample: DataFrame) -> dict[str, float]:
@@ -215,7 +268,7 @@ def learn(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) -> Mode
     if len({r["y"] for r in rows}) < 2:
         return Model(lexicon, None)
     x, y, n = (np.array([r[c] for r in rows], float) for c in ("x", "y", "count"))
-    return Model(lexicon, Logistic(0.1).fit(x, y, n))
+    return Model(lexicon, Logistic(0.1).fit(x, y, n), np.where((x == 0).all(axis=0), PRIOR, 0.0))
 
 
 def score(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) -> DataFrame:
