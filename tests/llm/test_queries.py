@@ -17,5 +17,5 @@ def test_query_matches_oracle(spark, name):
 def test_every_operator_has_a_query():
     import __spark_entry__ as entry
     names = set(entry.queries())
-    assert "pipeline" in names and {f"op{n}" for n in range(1, 11)} == {q.split("_")[0] for q in names if q.startswith("op") and q[2].isdigit()}
+    assert "pipeline" in names and {f"op{n}" for n in range(1, 14)} == {q.split("_")[0] for q in names if q.startswith("op") and q[2].isdigit()}
     assert set(queries.ORACLES) <= set(queries.QUERIES)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tracewise.llm import bpe, cotrain, editwalk, packing, quotes, rendezvous, secrets, sigtree, topk, toxicity
+from tracewise.llm import bpe, cotrain, editwalk, fim, packing, periodic, quotes, rendezvous, secrets, sigtree, topk, toxicity, urltree
 from tracewise.llm.common import crc32_sql, table
 
 CRC_TABLE = """crc_table AS (
@@ -56,6 +56,28 @@ def op10_topk(spark, sf_dir):
     return topk.top_k(table(spark, sf_dir, "embeddings"))
 
 
+def op11_fim(spark, sf_dir):
+    made = fim.restore(fim.transform(table(spark, sf_dir, "documents")))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                       F.sha2("restored", 256).alias("restored_sha256"))
+
+
+def op12_url_filter(spark, sf_dir):
+    """Every page judged by the hand rules and the path templates, labelled by the documents that the paths name."""
+    return urltree.judge(urltree.with_labels(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels")))
+
+
+def op13_periodic_runs(spark, sf_dir):
+    """Runs of every whole text, of which a tenth is made periodic from some word on."""
+    found = periodic.periodic_runs(periodic.planted(table(spark, sf_dir, "documents")))
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"], -r["start"], -r["period"])))
+    found = found.withColumn("best", F.struct((-best["col2"]).alias("start"), best["length"].alias("length"), (-best["col3"]).alias("period")))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")), F.lit("\n")))
+    return found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+                        F.floor(1000 * F.col("best.length") / F.col("best.period")).cast("long").alias("exponent_milli"),
+                        F.sha2(F.concat_ws("", lines), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 BYTES = "list_transform(range(strlen(x)), lambda i: ('0x' || substr(hex(encode(x)), 2 * i + 1, 2))::BIGINT)"
 
 OP1_SQL = """
@@ -105,7 +127,20 @@ s AS (SELECT q.vec_id AS query_id, v.vec_id, list_inner_product(q.e, v.e)::BIGIN
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20"""
 
+OP11_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS x, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+u AS (SELECT doc_id, x, regexp_extract_all(x, '[A-Za-z]+|[^A-Za-z]') AS u, list_transform(range(4), lambda i: ('0x' || substr(h, 8 * i + 1, 8))::BIGINT) AS h FROM d),
+c AS (SELECT doc_id, x, u, len(u)::BIGINT AS n, h, least(h[1] % (len(u) + 1), h[2] % (len(u) + 1)) AS a, greatest(h[1] % (len(u) + 1), h[2] % (len(u) + 1)) AS b FROM u),
+p AS (SELECT doc_id, x, n, CASE WHEN x = '' OR contains(x, '<P>') OR contains(x, '<S>') OR contains(x, '<M>') OR h[3] % 100 >= 90 THEN 'plain'
+             WHEN h[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form, array_to_string(u[1:a], '') AS prefix, array_to_string(u[a + 1:b], '') AS middle,
+             array_to_string(u[b + 1:], '') AS suffix FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN x WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+              ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256, sha256(x) AS restored_sha256
+FROM p"""
+
 QUERIES = {f.__name__: f for f in (
     op1_quotes, op2_fingerprints, op3_jaccard, op4_packing, op5_quality,
-    op6_toxicity, op7_bpe, op8_secrets, op9_sharding, op10_topk)}
-ORACLES = {"op1_quotes": OP1_SQL, "op3_jaccard": OP3_SQL, "op9_sharding": OP9_SQL, "op10_topk": OP10_SQL}
+    op6_toxicity, op7_bpe, op8_secrets, op9_sharding, op10_topk, op11_fim, op12_url_filter, op13_periodic_runs)}
+ORACLES = {"op1_quotes": OP1_SQL, "op3_jaccard": OP3_SQL, "op9_sharding": OP9_SQL, "op10_topk": OP10_SQL,
+           "op11_fim": OP11_SQL, "op12_url_filter": urltree.twin_sql()}
