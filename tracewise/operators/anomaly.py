@@ -41,7 +41,7 @@ MOST_SPLITS = 10_000       # per group: a broadcast of groups x this many number
 def block_count(df: DataFrame, group_col: str) -> int:
     """Blocks per group, so that a block of the largest group holds about ROWS_PER_BLOCK rows."""
     largest = df.groupBy(group_col).count().agg(F.max("count")).first()[0] or 1
-    return max(2, min(MOST_SPLITS, math.ceil(largest / ROWS_PER_BLOCK)))
+    return max(1, min(MOST_SPLITS, math.ceil(largest / ROWS_PER_BLOCK)))
 
 
 def cumulative_by_value(df: DataFrame, group_col: str, value_col: str, weight_col: str,
@@ -56,6 +56,9 @@ def cumulative_by_value(df: DataFrame, group_col: str, value_col: str, weight_co
     and offsets are groups x blocks numbers (MOST_SPLITS bounds them) and broadcast.
     """
     blocks = blocks or block_count(df, group_col)
+    if blocks == 1:          # no group holds more than one block's rows
+        return df.withColumn("cum_le", F.sum(weight_col).over(
+            Window.partitionBy(group_col).orderBy(value_col).rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     probs = [i / blocks for i in range(1, blocks)]
     splits = df.groupBy(group_col).agg(F.percentile_approx(value_col, probs, max(accuracy, 20 * blocks)).alias("_splits"))
     with_block = (df.join(F.broadcast(splits), group_col)
@@ -85,24 +88,35 @@ def ecod_scores(points: DataFrame, id_col: str, features: list[str], reference:
     distinct (feature, value) counts, so a value shared by a third of the rows
     is one row after the map-side aggregate.
     """
-    same = reference is None
     points = points.checkpoint()  # read by several jobs below; cut its lineage once
-    if not same:
-        # new rows are scored against reference + themselves (so no tail is empty),
-        # as the scored batch joins the empirical distribution
-        reference = reference.select(*features).unionByName(points.select(*features)).checkpoint()
-    else:
-        reference = points
-    ref_long = reference.unpivot([], features, "feature", "value").filter(F.col("value").isNotNull()) \
-        .select("feature", F.col("value").cast("double").alias("value"))
-    pts_long = points.unpivot([id_col], features, "feature", "value").filter(F.col("value").isNotNull()) \
-        .select(id_col, "feature", F.col("value").cast("double").alias("value"))
-    ref_counts = ref_long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("c"))
-    values = ref_counts.unionByName(
-        pts_long.select("feature", "value").distinct().withColumn("c", F.lit(0).cast("bigint")))
-    values = values.groupBy("feature", "value").agg(F.sum("c").alias("c"))
-    cum = cumulative_by_value(values.checkpoint(), "feature", "value", "c")
-    stats = ref_long.groupBy("feature").agg(F.count(F.lit(1)).alias("n"), F.skewness("value").alias("skew"))
+    return ecod_from_counts(points, id_col, features, None if reference is None else ecod_counts(reference, features))
+
+
+def _feature_values(rows: DataFrame, features: list[str], keep: list[str]) -> DataFrame:
+    return (rows.unpivot(keep, features, "feature", "value").filter(F.col("value").isNotNull())
+            .select(*keep, "feature", F.col("value").cast("double").alias("value")))
+
+
+def ecod_counts(reference: DataFrame, features: list[str]) -> DataFrame:
+    """The fitted model: rows per (feature, value) of the reference."""
+    return _feature_values(reference, features, []).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("c"))
+
+
+def ecod_from_counts(points: DataFrame, id_col: str, features: list[str], counts: DataFrame | None) -> DataFrame:
+    """ECOD of stored ``points`` against fitted ``counts`` (None: the points themselves).
+
+    New rows are scored against the reference and themselves, so that no tail is empty.
+    """
+    own = ecod_counts(points, features)
+    if counts is not None:
+        own = counts.unionByName(own).groupBy("feature", "value").agg(F.sum("c").alias("c"))
+    ref_counts = own.checkpoint()
+    pts_long = _feature_values(points, features, [id_col])
+    cum = cumulative_by_value(ref_counts, "feature", "value", "c")
+    sums = ref_counts.groupBy("feature").agg(F.sum("c").alias("n"), (F.sum(F.col("c") * F.col("value")) / F.sum("c")).alias("_mean"))
+    away = F.col("value") - F.col("_mean")
+    stats = (ref_counts.join(F.broadcast(sums), "feature")
+             .groupBy("feature", "n").agg(F.sum(F.col("c") * away * away * away).alias("skew")))      # only its sign counts
     tails = cum.join(F.broadcast(stats), "feature").select(
         "feature", "value",
         (-F.log(F.col("cum_le") / F.col("n"))).alias("u_l"),
@@ -255,31 +269,6 @@ def select_best(runs: DataFrame) -> DataFrame:
     return runs.filter(F.col("status") == "FINISHED").orderBy(F.asc("loss"), F.asc("model_id")).limit(1)
 
 
-def model_versions(runs: DataFrame, name: str) -> DataFrame:
-    """M8: every run registered as a version (in model-id order); the best one in
-    stage 'Production', the others 'Archived'."""
-    best = select_best(runs).select(F.col("model_id").alias("_best"))
-    versions = runs.withColumn("version", F.row_number().over(Window.orderBy("model_id")).cast("int"))
-    return (versions.join(F.broadcast(best), F.col("model_id") == F.col("_best"), "left")
-            .select(F.lit(name).alias("name"), "version", "model_id",
-                    F.when(F.col("_best").isNotNull(), F.lit("Production")).otherwise(F.lit("Archived")).alias("stage")))
-
-
-def latest_version(versions: DataFrame, stage: str = "Production") -> DataFrame:
-    """M8: latest version per model name in a stage."""
-    return (versions.filter(F.col("stage") == stage).groupBy("name")
-            .agg(F.max(F.struct("version", "model_id")).alias("v"))
-            .select("name", F.col("v.version").alias("version"), F.col("v.model_id").alias("model_id")))
-
-
-def production_model(runs: DataFrame, versions: DataFrame) -> dict:
-    """M8: detector, parameters and model id of the latest production version of the stored tables."""
-    row = latest_version(versions).join(runs, "model_id").first()
-    if row is None:
-        raise ValueError("no production version is registered")
-    return {"model_id": row["model_id"], "detector": row["detector"], "params": json.loads(row["params"])}
-
-
 # --------------------------------------------------------------------------- excess mass (M5, unsupervised)
 
 def uniform_in_box(frame: DataFrame, features: list[str], n: int, seed: int = 11) -> tuple[DataFrame, DataFrame]:
@@ -305,16 +294,40 @@ def uniform_in_box(frame: DataFrame, features: list[str], n: int, seed: int = 11
     return uniform, box.select(vol.alias("volume"))
 
 
+FAN_IN = 16                # envelopes that are merged in one task
+
+
+def upper_envelope(a: np.ndarray, b: np.ndarray, grid: np.ndarray) -> np.ndarray:
+    """Numbers of the lines a - b * x that are the largest at some x of the ascending ``grid`` (x >= 0).
+
+    Those lie on the upper convex hull of the points (b, a); at most one line is kept per grid point.
+    """
+    order = np.lexsort((-a, b))
+    higher = np.maximum.accumulate(a[order])
+    order = order[np.concatenate([[True], a[order][1:] > higher[:-1]])[:len(order)]]   # steeper lines must begin higher
+    x, y = b[order].tolist(), a[order].tolist()
+    hull: list[int] = []
+    for i in range(len(order)):
+        while len(hull) > 1 and ((y[hull[-1]] - y[hull[-2]]) * (x[i] - x[hull[-2]]) <= (y[i] - y[hull[-2]]) * (x[hull[-1]] - x[hull[-2]])):
+            hull.pop()
+        hull.append(i)
+    kept = order[hull]
+    # walking down the hull's slopes, the next line wins while x is below its slope
+    slopes = np.diff(a[kept]) / np.diff(b[kept])
+    best = np.searchsorted(-slopes, -grid, "right")
+    return kept[np.unique(best)]
+
+
 def excess_mass(normal_x: DataFrame, normal_u: DataFrame, volume: DataFrame, t_steps: int = 10000,
-                t_max: float = 0.9, lines_per_block: int = 4096) -> DataFrame:
+                t_max: float = 0.9, lines_per_block: int = 100_000) -> DataFrame:
     """Area under the excess-mass curve (Goix 2016) of a normality score ``s``.
 
     EM(t) = max_u P(s_X > u) - t * volume * P(s_U > u) over the distinct test
     scores u, on the grid t_k = k * 0.01 / volume (k < ``t_steps``), EM(t_0) = 1;
     the area is taken up to the first t where EM(t) <= ``t_max``.
-    On that grid t_k * volume = 0.01 k, so each u is one line in k; lines are
-    evaluated in numpy blocks and only the per-block maximum at each grid point
-    leaves a task. One row: em, volume, k_max.
+    On that grid t_k * volume = 0.01 k, so each u is one line in k. EM is the upper
+    envelope of the lines: tasks reduce blocks of lines to their envelopes (at most one
+    line per grid point), which merge in a tree of fan-in FAN_IN. One row: em, volume, k_max.
     """
     vals = (normal_x.select(F.col("s").alias("v"), F.lit(1).alias("cx"), F.lit(0).alias("cu"))
             .unionByName(normal_u.select(F.col("s").alias("v"), F.lit(0).alias("cx"), F.lit(1).alias("cu")))
@@ -329,20 +342,28 @@ def excess_mass(normal_x: DataFrame, normal_u: DataFrame, volume: DataFrame, t_s
              .filter(F.col("cx") > 0)
              .select(((F.col("nx") - F.col("le_x")) / F.col("nx")).alias("a"),
                      ((F.col("nu") - F.col("le_u")) / F.col("nu")).alias("b")))
-    n_lines = lines.count()
-    blocks = max(1, math.ceil(n_lines / lines_per_block))
+    blocks = max(1, math.ceil(vals.count() / lines_per_block))
     grid = np.arange(t_steps, dtype="float64") * 0.01
 
-    def envelope(pdf: pd.DataFrame) -> pd.DataFrame:
+    def merge(pdf: pd.DataFrame) -> pd.DataFrame:
+        kept = upper_envelope(pdf["a"].to_numpy(), pdf["b"].to_numpy(), grid)
+        return pdf.iloc[kept][["blk", "a", "b"]].assign(blk=pdf["blk"].iloc[0] // FAN_IN)
+
+    parts = lines.withColumn("blk", F.pmod(F.xxhash64("a", "b"), F.lit(blocks)))
+    while blocks > 1:
+        parts = parts.groupBy("blk").applyInPandas(merge, "blk long, a double, b double")
+        blocks = math.ceil(blocks / FAN_IN)
+
+    def evaluate(pdf: pd.DataFrame) -> pd.DataFrame:
         a, b = pdf["a"].to_numpy(), pdf["b"].to_numpy()
+        kept = upper_envelope(a, b, grid)
         best = np.full(t_steps, -np.inf)
-        for s in range(0, len(a), 512):
-            best = np.maximum(best, (a[s:s + 512, None] - b[s:s + 512, None] * grid[None, :]).max(0))
+        for s in range(0, len(kept), 512):
+            some = kept[s:s + 512]
+            best = np.maximum(best, (a[some, None] - b[some, None] * grid[None, :]).max(0))
         return pd.DataFrame({"k": np.arange(t_steps), "em": best})
 
-    per_k = (lines.withColumn("blk", F.pmod(F.xxhash64("a", "b"), F.lit(blocks)))
-             .groupBy("blk").applyInPandas(envelope, "k long, em double")
-             .groupBy("k").agg(F.max("em").alias("em"))
+    per_k = (parts.groupBy("blk").applyInPandas(evaluate, "k long, em double")
              .withColumn("em", F.when(F.col("k") == 0, F.lit(1.0)).otherwise(F.col("em"))))
     # the grid has t_steps rows (a parameter): ordered windows over it are bounded
     first_low = per_k.filter(F.col("em") <= t_max).agg(F.min("k").alias("k_low"))
@@ -357,42 +378,65 @@ def excess_mass(normal_x: DataFrame, normal_u: DataFrame, volume: DataFrame, t_s
     return area
 
 
-def model_runs_unlabelled(frame: DataFrame, id_col: str, features: list[str], ks=KNN_KS,
-                          n_generated: int = 100_000) -> DataFrame:
-    """M4 + M5 without ground truth (the source's configuration): every candidate is
-    fitted on the training split and ranked by excess mass on the test split
-    against ``n_generated`` uniform rows in the test rows' bounding box;
-    loss = -em. Candidates: kNN for each k (one run), ECOD, INNE, isolation forest."""
-    from tracewise.operators.ensembles import iforest_scores, inne_scores
-    from tracewise.operators.knn import knn_scores
-    split = train_test_split(frame, id_col).checkpoint()
-    train = split.filter(F.col("split") == "train").select(id_col, *features)
-    test = split.filter(F.col("split") == "test").select(id_col, *features)
-    uniform, volume = uniform_in_box(test, features, n_generated)
-    uniform = uniform.checkpoint()
-    volume = volume.checkpoint()
-
-    def run(model_id, detector, params, sx, su):
-        em = excess_mass(sx.select((-F.col("score")).alias("s")), su.select((-F.col("score")).alias("s")), volume)
-        return em.select(F.lit(model_id).alias("model_id"), F.lit(detector).alias("detector"),
-                         F.lit(params).alias("params"), "em", (-F.col("em")).alias("loss"),
+def evaluation_rows(split: DataFrame) -> DataFrame:
+    """The test rows of a split; where the hash has put none there (few rows), the training rows."""
+    test = split.filter(F.col("split") == "test")
+    return test if test.take(1) else split.filter(F.col("split") == "train")
+
+
+class ExcessMassTrial:
+    """M4 + M5 without ground truth: fits and stores candidates and rates them by excess mass.
+
+    Candidates are fitted on the training split and rated on the test split (the training
+    rows where that is empty) against ``n_generated`` uniform rows in its bounding box.
+    """
+
+    def __init__(self, frame: DataFrame, id_col: str, features: list[str], store: str, n_generated: int = 100_000):
+        split = train_test_split(frame, id_col).checkpoint()
+        self.id_col, self.features, self.store = id_col, features, store.rstrip("/")
+        self.train = split.filter(F.col("split") == "train").select(id_col, *features)
+        self.test = evaluation_rows(split).select(id_col, *features)
+        uniform, volume = uniform_in_box(self.test, features, n_generated)
+        self.uniform, self.volume = uniform.checkpoint(), volume.checkpoint()
+
+    def fit(self, model_id: str, detector: str, params: dict):
+        from tracewise.operators import models
+        return models.fit(self.train, self.id_col, self.features, detector, params, f"{self.store}/{model_id}")
+
+    def rate(self, test_scores: DataFrame, uniform_scores: DataFrame) -> DataFrame:
+        return excess_mass(test_scores.select((-F.col("score")).alias("s")), uniform_scores.select((-F.col("score")).alias("s")), self.volume)
+
+    def run(self, model_id: str, detector: str, params: dict) -> DataFrame:
+        """One row: model_id, detector, params, artefact, em, loss, status."""
+        model = self.fit(model_id, detector, params)
+        em = self.rate(model.score(self.test, self.id_col, exclude_self=True), model.score(self.uniform, "uid"))
+        return self.described(em, model_id, detector, params, model.path)
+
+    def described(self, em: DataFrame, model_id: str, detector: str, params: dict, path: str) -> DataFrame:
+        return em.select(F.lit(model_id).alias("model_id"), F.lit(detector).alias("detector"), F.lit(json.dumps(params)).alias("params"),
+                         F.lit(path).alias("artefact"), "em", (-F.col("em")).alias("loss"),
                          F.when(F.col("em").isNotNull(), F.lit("FINISHED")).otherwise(F.lit("FAILED")).alias("status"))
 
-    kmax = max(ks)
-    kt = knn_scores(test, id_col, features, reference=train, ref_id_col=id_col, k=kmax, exclude_self=True,
-                    keep_distances=True).checkpoint()
-    ku = knn_scores(uniform, "uid", features, reference=train, ref_id_col=id_col, k=kmax, exclude_self=False,
-                    keep_distances=True).checkpoint()
-    runs = [run(f"knn_k{k}", "knn", f'{{"k": {k}}}',
-                kt.select(F.try_element_at("distances", F.lit(k)).alias("score")),
-                ku.select(F.try_element_at("distances", F.lit(k)).alias("score"))) for k in ks]
-    runs.append(run("ecod", "ecod", "{}", ecod_scores(test, id_col, features, reference=train),
-                    ecod_scores(uniform, "uid", features, reference=train)))
-    for name, scorer, grid in (("inne", inne_scores, INNE_GRID), ("iforest", iforest_scores, IFOREST_GRID)):
+
+def model_runs_unlabelled(frame: DataFrame, id_col: str, features: list[str], ks=KNN_KS,
+                          n_generated: int = 100_000, store: str | None = None) -> DataFrame:
+    """M4 + M5 as configured in the source: a finite table of candidates (kNN for each k
+    from one search, ECOD, INNE, isolation forest), loss = -excess mass; the fitted
+    models are stored below ``store`` and named in ``artefact``."""
+    from tracewise.session import shared_dir
+    trial = ExcessMassTrial(frame, id_col, features, store or shared_dir(frame.sparkSession, "models"), n_generated)
+    kmax, runs = max(ks), []
+    for k in ks:
+        model = trial.fit(f"knn_k{k}", "knn", {"k": k})
+        if k == ks[0]:
+            kt = model.distances(trial.test, id_col, kmax, exclude_self=True).checkpoint()
+            ku = model.distances(trial.uniform, "uid", kmax).checkpoint()
+        scores = [d.select(F.try_element_at("distances", F.lit(k)).alias("score")) for d in (kt, ku)]
+        runs.append(trial.described(trial.rate(*scores), f"knn_k{k}", "knn", {"k": k}, model.path))
+    runs.append(trial.run("ecod", "ecod", {}))
+    for name, grid in (("inne", INNE_GRID), ("iforest", IFOREST_GRID)):
         for params in grid:
-            runs.append(run(f"{name}_" + "_".join(f"{k}{v}" for k, v in params.items()), name, json.dumps(params),
-                            scorer(test, id_col, features, reference=train, ref_id_col=id_col, **params),
-                            scorer(uniform, "uid", features, reference=train, ref_id_col=id_col, **params)))
+            runs.append(trial.run(f"{name}_" + "_".join(f"{k}{v}" for k, v in params.items()), name, params))
     out = runs[0]
     for r in runs[1:]:
         out = out.unionByName(r)

@@ -1,8 +1,8 @@
 """Randomised ensemble detectors (M4): INNE and isolation forest.
 
 Both fit on small seeded samples (t samples of psi rows — sizes fixed by the
-parameters, not by the data), so the fitted model is broadcast safely; scoring
-is a ``mapInPandas`` pass over the rows to score, vectorised with numpy.
+parameters, not by the data). The fitted model is a table; what it holds is
+broadcast safely, and scoring is one Arrow pass over the rows, vectorised with numpy.
 
 * INNE (Bandaragoda et al. 2018): each sample's rows are centres with radius =
   distance to the nearest fellow centre; a row falls to the smallest-radius
@@ -53,44 +53,65 @@ def seeded_samples(df: DataFrame, id_col: str, features: list[str], samples: int
 
 # --------------------------------------------------------------------------- INNE
 
+def _centres(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Radius and isolation ratio of every centre of one sample (fewer than two centres isolate nothing)."""
+    c = np.stack(pdf["v"].to_numpy()).astype("float64")
+    if len(c) < 2:
+        return pdf.iloc[:0][["sample_id", "v"]].assign(radius=0.0, ratio=0.0)
+    d = np.sqrt(((c[:, None, :] - c[None, :, :]) ** 2).sum(2))
+    np.fill_diagonal(d, np.inf)
+    nn = d.argmin(1)
+    radius = d[np.arange(len(c)), nn]
+    return pdf[["sample_id", "v"]].assign(radius=radius, ratio=1.0 - radius[nn] / np.where(radius > 0, radius, np.inf))
+
+
+def inne_table(reference: DataFrame, id_col: str, features: list[str], samples: int = 100, psi: int = 16, seed: int = 7) -> DataFrame:
+    """The fitted model as rows (sample_id, v, radius, ratio): samples x psi centres."""
+    centres = seeded_samples(reference, id_col, features, samples, psi, seed)
+    return (centres.groupBy("sample_id").applyInPandas(_ordered(_centres), "sample_id int, v array<double>, radius double, ratio double"))
+
+
+def inne_model(table: DataFrame) -> list:
+    """Centres, radii and ratios per sample, for broadcasting (sizes fixed by the parameters)."""
+    return [(np.stack(g["v"].to_numpy()).astype("float64"), g["radius"].to_numpy(), g["ratio"].to_numpy())
+            for _, g in table.toPandas().groupby("sample_id")]
+
+
+def _inne_score(model: list, x: np.ndarray) -> np.ndarray:
+    total = np.zeros(len(x))
+    for c, radius, ratio in model:
+        d = np.sqrt(((x[:, None, :] - c[None, :, :]) ** 2).sum(2))
+        cover = d <= radius[None, :]
+        best = np.where(cover, radius[None, :], np.inf).argmin(1)
+        total += np.where(cover.any(1), ratio[best], 1.0)
+    return total / max(1, len(model))
+
+
 def inne_scores(points: DataFrame, id_col: str, features: list[str], reference: DataFrame | None = None,
                 samples: int = 100, psi: int = 16, seed: int = 7, ref_id_col: str | None = None) -> DataFrame:
+    reference, ref_id_col = _reference(points, id_col, reference, ref_id_col)
+    return score_with(_inne_score, inne_model(inne_table(reference, ref_id_col, features, samples, psi, seed)), points, id_col, features)
+
+
+def _reference(points: DataFrame, id_col: str, reference: DataFrame | None, ref_id_col: str | None) -> tuple[DataFrame, str]:
     reference = points if reference is None else reference
-    ref_id_col = ref_id_col or (id_col if id_col in reference.columns else reference.columns[0])
-    centres = seeded_samples(reference, ref_id_col, features, samples, psi, seed).toPandas()
-    model = []
-    for _, g in centres.groupby("sample_id"):
-        c = np.stack(g["v"].to_numpy()).astype("float64")
-        if len(c) < 2:
-            continue
-        d = np.sqrt(((c[:, None, :] - c[None, :, :]) ** 2).sum(2))
-        np.fill_diagonal(d, np.inf)
-        nn = d.argmin(1)
-        radius = d[np.arange(len(c)), nn]
-        ratio = 1.0 - radius[nn] / np.where(radius > 0, radius, np.inf)
-        model.append((c, radius, ratio))
+    return reference, ref_id_col or (id_col if id_col in reference.columns else reference.columns[0])
+
+
+def _ordered(fn):
+    """The group's rows in a fixed order, so that a lost task fits the same again."""
+    return lambda pdf: fn(pdf.sort_values("sid", kind="stable"))
+
+
+def score_with(scorer, model, points: DataFrame, id_col: str, features: list[str]) -> DataFrame:
+    """(id, score) by ``scorer(model, matrix)``: one Arrow pass, the model broadcast."""
     bc = points.sparkSession.sparkContext.broadcast(model)
 
-    def score(it):
-        ens = bc.value
-        for pdf in it:
-            if pdf.empty:
-                continue
-            x = np.stack(pdf["v"].to_numpy()).astype("float64")
-            total = np.zeros(len(x))
-            for c, radius, ratio in ens:
-                d = np.sqrt(((x[:, None, :] - c[None, :, :]) ** 2).sum(2))
-                cover = d <= radius[None, :]
-                r = np.where(cover, radius[None, :], np.inf)
-                best = r.argmin(1)
-                covered = cover.any(1)
-                total += np.where(covered, ratio[best], 1.0)
-            yield pd.DataFrame({"sid": pdf["sid"], "score": total / max(1, len(ens))})
-
-    rows = points.select(F.col(id_col).cast("string").alias("sid"), _vector(features).alias("v"))
-    scored = rows.mapInPandas(score, "sid string, score double")
-    return (points.select(F.col(id_col), F.col(id_col).cast("string").alias("sid"))
-            .join(scored, "sid").select(id_col, "score"))
+    @F.pandas_udf(T.DoubleType())
+    def run(v: pd.Series) -> pd.Series:
+        return pd.Series(scorer(bc.value, np.stack(v.to_numpy()).astype("float64")) if len(v) else [], dtype="float64")
+
+    return points.select(F.col(id_col), run(_vector(features)).alias("score"))
 
 
 # --------------------------------------------------------------------------- isolation forest
@@ -136,18 +157,17 @@ def _grow(pdf: pd.DataFrame) -> pd.DataFrame:
     return out
 
 
-def fit_iforest(reference: DataFrame, id_col: str, features: list[str], trees: int = 100, psi: int = 256,
-                seed: int = 7) -> tuple[list, float]:
-    """Grow the forest: one tree per seeded sample, in ``applyInPandas``; the
-    fitted model (trees x < 2 psi nodes) is returned for broadcasting."""
+def iforest_table(reference: DataFrame, id_col: str, features: list[str], trees: int = 100, psi: int = 256, seed: int = 7) -> DataFrame:
+    """The fitted model as rows, one per tree node (trees x < 2 psi): one tree per seeded sample."""
     sample = seeded_samples(reference, id_col, features, trees, psi, seed)
-    nodes = (sample.groupBy("sample_id")
-             .applyInPandas(_grow, "sample_id long, node long, feature long, split double, left long, "
-                                   "right long, size long")
-             .toPandas())
-    forest = []
-    n_psi = 0
-    for _, t in nodes.groupby("sample_id"):
+    return sample.groupBy("sample_id").applyInPandas(
+        _ordered(_grow), "sample_id long, node long, feature long, split double, left long, right long, size long")
+
+
+def iforest_model(table: DataFrame) -> tuple[list, float]:
+    """Trees as arrays and the average path length of a sample, for broadcasting."""
+    forest, n_psi = [], 0
+    for _, t in table.toPandas().groupby("sample_id"):
         t = t.sort_values("node")
         arrays = [t[c].to_numpy() for c in ("feature", "split", "left", "right")]
         arrays.append(np.array([_c(v) for v in t["size"].to_numpy()]))  # c(size) at each leaf
@@ -156,6 +176,11 @@ def fit_iforest(reference: DataFrame, id_col: str, features: list[str], trees: i
     return forest, (_c(n_psi) or 1.0)
 
 
+def fit_iforest(reference: DataFrame, id_col: str, features: list[str], trees: int = 100, psi: int = 256,
+                seed: int = 7) -> tuple[list, float]:
+    return iforest_model(iforest_table(reference, id_col, features, trees, psi, seed))
+
+
 def _forest_score(model, x: np.ndarray) -> np.ndarray:
     trees_, cn = model
     depth_sum = np.zeros(len(x))
@@ -175,21 +200,8 @@ def _forest_score(model, x: np.ndarray) -> np.ndarray:
 
 def iforest_scores(points: DataFrame, id_col: str, features: list[str], reference: DataFrame | None = None,
                    trees: int = 100, psi: int = 256, seed: int = 7, ref_id_col: str | None = None) -> DataFrame:
-    reference = points if reference is None else reference
-    ref_id_col = ref_id_col or (id_col if id_col in reference.columns else reference.columns[0])
-    bc = points.sparkSession.sparkContext.broadcast(fit_iforest(reference, ref_id_col, features, trees, psi, seed))
-
-    def score(it):
-        for pdf in it:
-            if pdf.empty:
-                continue
-            x = np.stack(pdf["v"].to_numpy()).astype("float64")
-            yield pd.DataFrame({"sid": pdf["sid"], "score": _forest_score(bc.value, x)})
-
-    rows = points.select(F.col(id_col).cast("string").alias("sid"), _vector(features).alias("v"))
-    scored = rows.mapInPandas(score, "sid string, score double")
-    return (points.select(F.col(id_col), F.col(id_col).cast("string").alias("sid"))
-            .join(scored, "sid").select(id_col, "score"))
+    reference, ref_id_col = _reference(points, id_col, reference, ref_id_col)
+    return score_with(_forest_score, fit_iforest(reference, ref_id_col, features, trees, psi, seed), points, id_col, features)
 
 
 def model_udf(spark, model, features: list[str]):

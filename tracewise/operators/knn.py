@@ -7,8 +7,8 @@ Plan
 ----
 1. Cells: reference rows are range-partitioned on a Morton key of their
    quantile ranks (top-variance features) with a hash tie-break, so equal or
-   crowded points spread over many cells of about ``cell_rows`` rows each. The
-   cell assignment is checkpointed (reliable, in ``spark.checkpoint.dir``).
+   crowded points spread over many cells of about ``cell_rows`` rows each. Cells and
+   boxes are the fitted model: written once, searched by any number of batches.
 2. Boxes, on two levels: per cell the bounding box in every feature, and per group
    of neighbouring cells the box around theirs. There are at most ``MOST_GROUPS``
    groups, however many cells, so their boxes are broadcast; the cells' boxes stay a
@@ -49,19 +49,24 @@ def _vector(features: list[str]):
 
 def build_cells(reference: DataFrame, ref_id_col: str, features: list[str], cell_rows: int = 2048,
                 key_features: int = 4, bits: int = 8) -> DataFrame:
-    """Reference rows with a stable ``cell`` id (checkpointed)."""
-    ensure_checkpoint_dir(reference.sparkSession)
-    n = reference.count()
-    cells = max(1, math.ceil(n / cell_rows))
-    var = reference.agg(*[F.var_pop(F.col(c).cast("double")).alias(c) for c in features]).first().asDict()
-    top = sorted(features, key=lambda c: -(var[c] or 0.0))[:max(1, min(key_features, len(features)))]
+    """The fitted model's rows: rid (64-bit hash of the id), v, cell. A write of it fixes the cells."""
+    one = reference.agg(F.count(F.lit(1)).alias("_n"), *[F.var_pop(F.col(c).cast("double")).alias(c) for c in features]).first().asDict()
+    cells = max(1, math.ceil(one["_n"] / cell_rows))
+    rid = F.xxhash64(F.col(ref_id_col).cast("string"))
+    if cells == 1:
+        return reference.select(rid.alias("rid"), _vector(features).alias("v"), F.lit(0).alias("cell"))
+    top = sorted(features, key=lambda c: -(one[c] or 0.0))[:max(1, min(key_features, len(features)))]
     ranked, ranks = _rank_columns(reference.select(ref_id_col, *features), top, bits, 0.001)
-    keyed = ranked.select(
-        F.col(ref_id_col).alias("rid"), _vector(features).alias("v"),
-        z_value(ranks, bits).alias("_z"), F.xxhash64(F.col(ref_id_col)).alias("_h"))
-    laid = keyed.repartitionByRange(cells, "_z", "_h").select(
-        "rid", "v", F.spark_partition_id().alias("cell"))
-    return laid.checkpoint()
+    keyed = ranked.select(rid.alias("rid"), _vector(features).alias("v"), z_value(ranks, bits).alias("_z"))
+    return keyed.repartitionByRange(cells, "_z", "rid").select("rid", "v", F.spark_partition_id().alias("cell"))
+
+
+def cell_boxes(cells: DataFrame, dims: int, most_groups: int = MOST_GROUPS) -> DataFrame:
+    """cell, lo, hi, grp: the bounding box of every cell and the group of neighbouring cells that it belongs to."""
+    last = cells.agg(F.max("cell")).first()[0] or 0
+    span = math.ceil((last + 1) / most_groups)
+    return _boxes(cells, "cell", "v", "v", dims).select(
+        F.expr("cell + 0").alias("cell"), "lo", "hi", F.floor(F.col("cell") / span).cast("int").alias("grp"))
 
 
 def _boxes(rows: DataFrame, by: str, lo: str, hi: str, dims: int) -> DataFrame:
@@ -154,67 +159,78 @@ def knn_scores(points: DataFrame, id_col: str, features: list[str], reference: D
     same = reference is None
     points = points.checkpoint()
     reference = points if same else reference.checkpoint()
-    ref_id_col = ref_id_col or id_col
+    cells = build_cells(reference, ref_id_col or id_col, features, cell_rows=cell_rows).checkpoint()
+    boxes = cell_boxes(cells, len(features), most_groups).checkpoint()
+    return search_cells(points, id_col, features, cells, boxes, k, exclude_self, keep_distances)
+
+
+def search_cells(points: DataFrame, id_col: str, features: list[str], cells: DataFrame, boxes: DataFrame, k: int = 5,
+                 exclude_self: bool = False, keep_distances: bool = False) -> DataFrame:
+    """(id, score) of stored ``points`` against fitted, stored cells and their boxes."""
     dims = len(features)
-    cells = build_cells(reference, ref_id_col, features, cell_rows=cell_rows)
-    n_cells = (cells.agg(F.max("cell")).first()[0] or 0) + 1
-    span = math.ceil(n_cells / most_groups)
-    boxes = _boxes(cells, "cell", "v", "v", dims).select(
-        F.expr("cell + 0").alias("cell"), "lo", "hi", F.floor(F.col("cell") / span).cast("int").alias("grp")).checkpoint()
-    groups = _boxes(boxes, "grp", "lo", "hi", dims).toPandas()      # at most most_groups rows
+    groups = _boxes(boxes.withColumn("cells", F.lit(1)), "grp", "lo", "hi", dims).join(
+        boxes.groupBy("grp").agg(F.max("cell").alias("cell"), F.count(F.lit(1)).alias("n")), "grp").toPandas()   # a bounded number of rows
+    # a row's code is a 64-bit hash of its id; the same on both sides
+    queries = points.select(F.xxhash64(F.col(id_col).cast("string")).alias("qid"), _vector(features).alias("qv"))
+    flat = bool(len(groups)) and int(groups["n"].max()) == 1       # every group is one cell: its box is exact
+    if len(groups) <= 1 and (flat or not len(groups)):
+        d1 = _visit(cells, queries.withColumn("cell", F.lit(0)), k, True, exclude_self)
+        merged = d1.select("qid", "ds")   # one cell holds every reference row: pass 1 is exact
+        return _scored(points, id_col, merged, k, keep_distances)
     group_ids = groups["grp"].to_numpy()
     lo = np.stack(groups["lo"].to_numpy()).astype("float64")
     hi = np.stack(groups["hi"].to_numpy()).astype("float64")
-    spark = points.sparkSession
-    bc = spark.sparkContext.broadcast((group_ids, lo, hi))
-
-    # a row's code is a 64-bit hash of its id; the same on both sides
-    queries = points.select(F.xxhash64(F.col(id_col).cast("string")).alias("qid"), _vector(features).alias("qv"))
-    cells_s = cells.select(F.xxhash64(F.col("rid").cast("string")).alias("rid"), "v", "cell")
+    bc = points.sparkSession.sparkContext.broadcast((group_ids, groups["cell"].to_numpy(), lo, hi))
 
     def nearest_group(it):
-        ids, blo, bhi = bc.value
+        ids, only, blo, bhi = bc.value
         for pdf in it:
             if pdf.empty:
                 continue
             qv = np.stack(pdf["qv"].to_numpy()).astype("float64")
             nearest = np.concatenate([np.argmin(d, axis=1) for _, d in _box_dist(qv, blo, bhi)])
-            yield pdf.assign(grp=ids[nearest].astype("int32"))
-
-    q1 = queries.mapInPandas(nearest_group, "qid long, qv array<double>, grp int").join(boxes, "grp")
-    q1 = (q1.groupBy("qid").agg(F.min(F.struct(_gap().alias("gap"), "cell", "qv")).alias("m"))
-          .select("qid", F.col("m.qv").alias("qv"), F.col("m.cell").alias("cell")))
-    d1 = _visit(cells_s, q1, k, True, exclude_self)
-    if n_cells > 1:
-        # pass 2 starts from pass 1's rows (query vector, own cell, bound) and is
-        # merged back per query: one written frame read twice
-        d1 = d1.checkpoint()
-        q2_in = d1.select("qid", "qv", "cell", F.when(F.size("ds") >= k, F.element_at("ds", k))
-                          .otherwise(F.lit(float("inf"))).alias("r"))
-
-        def close_groups(it):
-            ids, blo, bhi = bc.value
-            for pdf in it:
-                if pdf.empty:
-                    continue
-                qv = np.stack(pdf["qv"].to_numpy()).astype("float64")
-                r = pdf["r"].to_numpy()
-                for start, dist in _box_dist(qv, blo, bhi):
-                    qi, gi = np.nonzero(dist < r[start:start + dist.shape[0], None])
-                    if len(qi):
-                        near = pdf.iloc[qi + start]
-                        yield near.rename(columns={"cell": "own"}).assign(grp=ids[gi].astype("int32"))
-
-        q2 = (q2_in.mapInPandas(close_groups, "qid long, qv array<double>, own int, r double, grp int").join(boxes, "grp")
-              .where((F.col("cell") != F.col("own")) & (_gap() < F.col("r"))).select("qid", "qv", "cell"))
-        d2 = _visit(cells_s, q2, k, False, exclude_self)
-        each = d1.select("qid", "ds").unionByName(d2).select("qid", F.explode("ds").alias("d"))
-        # rank <= k is applied in every task before the shuffle as well, so k rows per query and task meet
-        ranked = each.withColumn("_rank", F.row_number().over(Window.partitionBy("qid").orderBy("d"))).where(F.col("_rank") <= k)
-        kept = ranked.groupBy("qid").agg(F.array_sort(F.collect_list("d")).alias("ds"))
-        merged = d1.select("qid").join(kept, "qid", "left").select("qid", F.coalesce("ds", F.array().cast("array<double>")).alias("ds"))
-    else:
-        merged = d1.select("qid", "ds")   # one cell holds every reference row: pass 1 is exact
+            yield pdf.assign(grp=ids[nearest].astype("int32"), cell=only[nearest].astype("int32"))
+
+    q1 = queries.mapInPandas(nearest_group, "qid long, qv array<double>, grp int, cell int")
+    if not flat:
+        q1 = (q1.drop("cell").join(boxes, "grp").groupBy("qid").agg(F.min(F.struct(_gap().alias("gap"), "cell", "qv")).alias("m"))
+              .select("qid", F.col("m.qv").alias("qv"), F.col("m.cell").alias("cell")))
+    d1 = _visit(cells, q1.select("qid", "qv", "cell"), k, True, exclude_self)
+    # pass 2 starts from pass 1's rows (query vector, own cell, bound) and is
+    # merged back per query: one written frame read twice
+    d1 = d1.checkpoint()
+    q2_in = d1.select("qid", "qv", "cell", F.when(F.size("ds") >= k, F.element_at("ds", k))
+                      .otherwise(F.lit(float("inf"))).alias("r"))
+
+    def close_groups(it):
+        ids, only, blo, bhi = bc.value
+        for pdf in it:
+            if pdf.empty:
+                continue
+            qv = np.stack(pdf["qv"].to_numpy()).astype("float64")
+            r, own = pdf["r"].to_numpy(), pdf["cell"].to_numpy()
+            for start, dist in _box_dist(qv, blo, bhi):
+                close = dist < r[start:start + dist.shape[0], None]
+                if flat:
+                    close &= only[None, :] != own[start:start + dist.shape[0], None]
+                qi, gi = np.nonzero(close)
+                if len(qi):
+                    near = pdf.iloc[qi + start]
+                    yield near.rename(columns={"cell": "own"}).assign(grp=ids[gi].astype("int32"), cell=only[gi].astype("int32"))
+
+    q2 = q2_in.mapInPandas(close_groups, "qid long, qv array<double>, own int, r double, grp int, cell int")
+    if not flat:
+        q2 = q2.drop("cell").join(boxes, "grp").where((F.col("cell") != F.col("own")) & (_gap() < F.col("r")))
+    d2 = _visit(cells, q2.select("qid", "qv", "cell"), k, False, exclude_self)
+    each = d1.select("qid", "ds").unionByName(d2).select("qid", F.explode("ds").alias("d"))
+    # rank <= k is applied in every task before the shuffle as well, so k rows per query and task meet
+    ranked = each.withColumn("_rank", F.row_number().over(Window.partitionBy("qid").orderBy("d"))).where(F.col("_rank") <= k)
+    kept = ranked.groupBy("qid").agg(F.array_sort(F.collect_list("d")).alias("ds"))
+    merged = d1.select("qid").join(kept, "qid", "left").select("qid", F.coalesce("ds", F.array().cast("array<double>")).alias("ds"))
+    return _scored(points, id_col, merged, k, keep_distances)
+
+
+def _scored(points: DataFrame, id_col: str, merged: DataFrame, k: int, keep_distances: bool) -> DataFrame:
     scored = merged.select("qid", F.when(F.size("ds") >= k, F.element_at("ds", k)).alias("score"),
                            F.col("ds").alias("distances"))
     out = (points.select(F.col(id_col), F.xxhash64(F.col(id_col).cast("string")).alias("qid"))

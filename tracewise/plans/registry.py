@@ -107,10 +107,9 @@ _CLEAN_TS_SQL = with_ctes(
 
 @query("clean_timestamp", _CLEAN_TS_SQL)
 def q_clean_timestamp(spark, sf_dir):
-    """K1: named SQL function over a temp view, native expression underneath."""
+    """K1: the registered SQL function called by name on a frame, native expression underneath."""
     register_sql_functions(spark)
-    _clean_logs(spark, sf_dir).createOrReplaceTempView("df_cleaned_table")
-    return spark.sql("SELECT *, cleanTimestamp(timestamp_raw) AS clean_ts FROM df_cleaned_table")
+    return _clean_logs(spark, sf_dir).withColumn("clean_ts", F.call_function("cleanTimestamp", F.col("timestamp_raw")))
 
 
 @query("clean_timestamp_udf", _CLEAN_TS_SQL)

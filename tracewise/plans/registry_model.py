@@ -8,12 +8,14 @@ from tracewise.functions.vocabulary import FEATURES
 from tracewise.operators import anomaly as an
 from tracewise.operators import features as feat
 from tracewise.operators import graph as gr
+from tracewise.operators import models
 from tracewise.operators.knn import knn_scores
+from tracewise.operators.model_registry import ModelRegistry
 from tracewise.operators.upsert import upsert
 from tracewise.plans.catalog import query
 from tracewise.plans.lake import Lake
 from tracewise.plans.oracle_sql import LOGINS, with_ctes
-from tracewise.session import shared_dir
+from tracewise.session import path_exists, shared_dir
 
 FEATS = list(FEATURES)
 K = 5
@@ -24,7 +26,7 @@ TRAIN_CTE = ("train", "SELECT * FROM split WHERE split = 'train'")
 
 
 def _train(lake: Lake):
-    return an.train_test_split(lake.training_frame, "id").filter(F.col("split") == "train").drop("bucket", "split")
+    return an.train_test_split(lake.training_table, "id").filter(F.col("split") == "train").drop("bucket", "split")
 
 
 @query("train_test_split", with_ctes("SELECT * FROM split", "training_frame", extra=[SPLIT_CTE]))
@@ -68,7 +70,7 @@ _ECOD_EXTRA = [
     "training_frame", extra=_ECOD_EXTRA))
 def q_ecod_score(spark, sf_dir):
     """M4 ECOD over the 12 features of every user."""
-    s = an.ecod_scores(Lake(spark, sf_dir).training_frame, "id", FEATS)
+    s = an.ecod_scores(Lake(spark, sf_dir).training_table, "id", FEATS)
     return s.select("id", *[F.round(c, 6).alias(c) for c in ["o_left", "o_right", "o_auto", "score"]])
 
 
@@ -87,8 +89,16 @@ def q_roc_auc(spark, sf_dir):
     return an.roc_auc(scored, "n_chars", "toxic").select(F.round("auc", 6).alias("auc"), "n_pos", "n_neg")
 
 
+def _knn_model(lake: Lake) -> models.Model:
+    """The kNN model of the training rows, fitted and stored once."""
+    path = f"{lake.folder}/models/knn"
+    if not path_exists(lake.spark, f"{path}/meta/_SUCCESS"):
+        models.fit(_train(lake), "id", FEATS, "knn", {"k": K}, path)
+    return models.load(lake.spark, path)
+
+
 def _batch_scores(lake: Lake):
-    return knn_scores(lake.rolling_frame, "user_id", FEATS, reference=_train(lake), ref_id_col="id", k=K)
+    return _knn_model(lake).score(lake.rolling_table, "user_id")
 
 
 @query("score_active_batch", with_ctes(
@@ -110,7 +120,7 @@ def q_anomaly_predictions(spark, sf_dir):
     and read back (the timestamp is checked separately, not compared)."""
     lake = Lake(spark, sf_dir)
     scores = _batch_scores(lake).withColumn("score", F.round("score", 6))
-    pred = an.with_predictions(lake.rolling_frame, scores, "user_id")
+    pred = an.with_predictions(lake.rolling_table, scores, "user_id")
     path = shared_dir(spark, "batch_predictions")
     pred.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path).drop("prediction_timestamp")
@@ -175,7 +185,7 @@ def q_ensemble_score(spark, sf_dir):
     lake = Lake(spark, sf_dir)
     tr = _train(lake)
     kn = knn_scores(tr, "id", FEATS, k=K).select("id", F.round("score", 6).alias("s"))
-    ec = (an.ecod_scores(lake.training_frame, "id", FEATS).join(tr.select("id"), "id", "left_semi")
+    ec = (an.ecod_scores(lake.training_table, "id", FEATS).join(tr.select("id"), "id", "left_semi")
           .select("id", F.round("score", 6).alias("s")))
     return an.ensemble_ranks({"knn": kn, "ecod": ec}, "id").select(
         "id", F.round("ensemble_score", 6).alias("ensemble_score"))
@@ -301,8 +311,32 @@ def q_best_model(spark, sf_dir):
     "(SELECT model_id, row_number() OVER (ORDER BY model_id) AS version FROM runs) v JOIN best b "
     "ON v.model_id = b.model_id", extra=_RUN_CTES))
 def q_latest_production_model(spark, sf_dir):
-    """M8: register every run as a version, promote the best, fetch the latest production version."""
-    return an.latest_version(an.model_versions(_runs(spark, sf_dir), "user_anomaly_detector"))
+    """M8: register every run as a version, promote the best, fetch the latest production version from the log."""
+    registry = ModelRegistry(spark, shared_dir(spark, "registry"), "user_anomaly_detector")
+    runs = sorted(_runs(spark, sf_dir).collect(), key=lambda r: r["model_id"])       # a row per candidate
+    for r in runs:
+        registry.register(r["model_id"], r["detector"], r["params"], loss=r["loss"])
+    done = [(r["loss"], r["model_id"], n) for n, r in enumerate(runs, 1) if r["status"] == "FINISHED"]
+    if done:
+        registry.promote(min(done)[2])
+    return registry.versions().where("stage = 'Production'").select("name", "version", "model_id")
+
+
+@query("model_registry_history", with_ctes(
+    "SELECT 'user_anomaly_detector' AS name, CAST(version AS INTEGER) AS version, model_id, ROUND(loss, 6) AS loss, "
+    "CASE WHEN promoted AND version = MAX(CASE WHEN promoted THEN version END) OVER () THEN 'Production' "
+    "WHEN promoted THEN 'Archived' ELSE 'None' END AS stage, CAST(promoted AS BIGINT) AS transitions FROM ("
+    "SELECT *, status = 'FINISHED' AND loss < COALESCE(MIN(CASE WHEN status = 'FINISHED' THEN loss END) OVER "
+    "(ORDER BY version ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 1e300) AS promoted FROM ("
+    "SELECT *, row_number() OVER (ORDER BY model_id) AS version FROM runs) r) p", extra=_RUN_CTES))
+def q_model_registry_history(spark, sf_dir):
+    """M8: the log after runs came in one by one, each promoted if it beat the version then in Production."""
+    registry = ModelRegistry(spark, shared_dir(spark, "registry"), "user_anomaly_detector")
+    for r in sorted(_runs(spark, sf_dir).collect(), key=lambda r: r["model_id"]):
+        version, now = registry.register(r["model_id"], r["detector"], r["params"], loss=r["loss"]), registry.latest()
+        if r["status"] == "FINISHED" and (now is None or r["loss"] < now["loss"]):
+            registry.promote(version)
+    return registry.versions().select("name", "version", "model_id", F.round("loss", 6).alias("loss"), "stage", "transitions")
 
 
 @query("inne_score")
@@ -321,19 +355,45 @@ def q_iforest_score(spark, sf_dir):
     return iforest_scores(tr, "id", FEATS)
 
 
-@query("excess_mass")
+_BOX = ", ".join(f"min({c})::DOUBLE AS lo_{c}, max({c})::DOUBLE AS hi_{c}" for c in FEATS)
+_DRAWS = ", ".join(f"lo_{c} + (('0x' || substr(md5('11:{j}:' || i), 1, 13))::BIGINT::DOUBLE / {16 ** 13}::DOUBLE) * (hi_{c} - lo_{c}) AS {c}"
+                   for j, c in enumerate(FEATS))
+_VOLUME = " * ".join(f"CASE WHEN hi_{c} > lo_{c} THEN hi_{c} - lo_{c} ELSE 1 END" for c in FEATS)
+
+
+def _knn_normality(points: str, pid: str, exclude_self: bool) -> str:
+    dist = " + ".join(f"(a.{c} - b.{c}) * (a.{c} - b.{c})" for c in FEATS)
+    other = "a.id <> b.id" if exclude_self else "TRUE"
+    return (f"SELECT round(-sqrt(list_sort(list({dist}))[{K}]), 9) AS s FROM {points} a JOIN train b ON {other} "
+            f"GROUP BY a.{pid} HAVING count(*) >= {K}")
+
+
+@query("excess_mass", with_ctes(
+    "SELECT 'knn_k5' AS model_id, round(sum((em + em_next) / 2 * 0.01), 6) AS em_times_volume, "
+    "round((SELECT log10(volume) FROM vol), 6) AS log_volume, any_value(k_max)::BIGINT AS k_max FROM area WHERE k + 1 < k_max",
+    "training_frame", extra=[
+        SPLIT_CTE, TRAIN_CTE,
+        ("rated", "SELECT * FROM split WHERE split = CASE WHEN (SELECT count(*) FROM split WHERE split = 'test') > 0 THEN 'test' ELSE 'train' END"),
+        ("box", f"SELECT {_BOX} FROM rated"),
+        ("uniform", f"SELECT i AS uid, {_DRAWS} FROM range(100000) r(i), box"),
+        ("vol", f"SELECT {_VOLUME} AS volume FROM box"),
+        ("sx", _knn_normality("rated", "id", True)), ("su", _knn_normality("uniform", "uid", False)),
+        ("nums", "SELECT (SELECT count(*) FROM sx) AS nx, (SELECT count(*) FROM su) AS nu"),
+        ("lines", "SELECT v, (SELECT count(*) FROM sx WHERE s > v) / nx AS a, (SELECT count(*) FROM su WHERE s > v) / nu AS b "
+                  "FROM (SELECT DISTINCT s AS v FROM sx) d, nums"),
+        ("curve", "SELECT k, CASE WHEN k = 0 THEN 1.0::DOUBLE ELSE max(a - b * (k * 0.01::DOUBLE)) END AS em FROM range(10000) g(k), lines GROUP BY k"),
+        ("stop", "SELECT CASE WHEN coalesce(min(k), 0) = 0 THEN 9999 ELSE min(k) + 1 END AS k_max FROM curve WHERE em <= 0.9"),
+        ("area", "SELECT k, em, lead(em) OVER (ORDER BY k) AS em_next, k_max FROM curve, stop")]))
 def q_excess_mass(spark, sf_dir):
-    """M5 (no labels): excess-mass area of the kNN detector, fitted on the training split,
-    on the test split versus uniform rows in the test rows' bounding box. loss = -em."""
+    """M5 (no labels): excess-mass area of the kNN detector, fitted on the training split, on the test
+    split versus uniform rows (md5 draws) in its bounding box; the area is given free of the box's volume."""
     lake = Lake(spark, sf_dir)
-    split = an.train_test_split(lake.training_frame, "id").checkpoint()
-    train = split.filter(F.col("split") == "train").select("id", *FEATS)
-    test = split.filter(F.col("split") == "test").select("id", *FEATS)
-    uniform, volume = an.uniform_in_box(test, FEATS, 100_000)
-    sx = knn_scores(test, "id", FEATS, reference=train, ref_id_col="id", k=K, exclude_self=True)
-    su = knn_scores(uniform.checkpoint(), "uid", FEATS, reference=train, ref_id_col="id", k=K, exclude_self=False)
-    em = an.excess_mass(sx.select((-F.col("score")).alias("s")), su.select((-F.col("score")).alias("s")), volume)
-    return em.select(F.lit("knn_k5").alias("model_id"), "em", (-F.col("em")).alias("loss"), "volume", "k_max")
+    trial = an.ExcessMassTrial(lake.training_table, "id", FEATS, shared_dir(spark, "models"))
+    model = trial.fit("knn_k5", "knn", {"k": K})
+    scores = [model.score(trial.test, "id", exclude_self=True), model.score(trial.uniform, "uid")]
+    em = trial.rate(*[s.where("score is not null").select(F.round("score", 9).alias("score")) for s in scores])
+    return em.select(F.lit("knn_k5").alias("model_id"), F.round(F.col("em") * F.col("volume"), 6).alias("em_times_volume"),
+                     F.round(F.log10("volume"), 6).alias("log_volume"), F.col("k_max").cast("long").alias("k_max"))
 
 
 @query("score_with_model_udf")
@@ -349,33 +409,48 @@ def q_score_with_model_udf(spark, sf_dir):
             .withColumn("prediction_timestamp", F.current_timestamp()))
 
 
+def _search_store(lake: Lake) -> str:
+    return f"{lake.folder}/models/search"
+
+
+def _runs_unlabelled(lake: Lake):
+    """The search over the stored training frame: run once, its runs and fitted models are kept as tables."""
+    path = f"{_search_store(lake)}/runs"
+    if not path_exists(lake.spark, f"{path}/_SUCCESS"):
+        an.model_runs_unlabelled(lake.training_table, "id", FEATS, store=_search_store(lake)).coalesce(1).write.mode("overwrite").parquet(path)
+    return lake.spark.read.parquet(path)
+
+
 @query("model_runs_unlabelled")
 def q_model_runs_unlabelled(spark, sf_dir):
     """M4 + M5 as configured in the source (no ground truth): the user detectors
     ranked by excess mass; loss = -em."""
-    return an.model_runs_unlabelled(Lake(spark, sf_dir).training_frame, "id", FEATS)
+    return _runs_unlabelled(Lake(spark, sf_dir)).drop("artefact")
 
 
 @query("best_model_unlabelled")
 def q_best_model_unlabelled(spark, sf_dir):
     """M7 over the unlabelled runs."""
-    return an.select_best(an.model_runs_unlabelled(Lake(spark, sf_dir).training_frame, "id", FEATS))
+    return an.select_best(_runs_unlabelled(Lake(spark, sf_dir))).drop("artefact")
 
 
-def _registered(spark, sf_dir):
-    """Runs over the user features and their versions, stored as tables; returns both folders."""
-    runs_dir, versions_dir = shared_dir(spark, "model_runs"), shared_dir(spark, "model_versions")
-    runs = an.model_runs_unlabelled(Lake(spark, sf_dir).training_frame, "id", FEATS)
-    runs.coalesce(1).write.mode("overwrite").parquet(runs_dir)
-    an.model_versions(spark.read.parquet(runs_dir), "user_anomaly_detector").coalesce(1).write.mode("overwrite").parquet(versions_dir)
-    return runs_dir, versions_dir
+def production_model(lake: Lake) -> tuple[dict, models.Model]:
+    """The version in Production and its fitted model; the search runs and registers where there is none yet."""
+    registry = ModelRegistry(lake.spark, f"{lake.folder}/models/registry", "user_anomaly_detector")
+    now = registry.latest()
+    if now is None:
+        best = an.select_best(_runs_unlabelled(lake)).first()
+        if best is None:
+            raise ValueError("no candidate has finished")
+        registry.promote(registry.register(best["model_id"], best["detector"], best["params"], best["artefact"], best["loss"]))
+        now = registry.latest()
+    return now, models.load(lake.spark, now["artefact"])
 
 
 @query("score_with_production_model")
 def q_score_with_production_model(spark, sf_dir):
-    """M6 + M8: the stored production version decides detector and parameters; the active batch is scored with it."""
-    runs_dir, versions_dir = _registered(spark, sf_dir)
+    """M6 + M8: the stored, fitted production model is loaded and scores the active batch; no training row is read."""
     lake = Lake(spark, sf_dir)
-    model = an.production_model(spark.read.parquet(runs_dir), spark.read.parquet(versions_dir))
-    scores = an.score(lake.rolling_frame, "user_id", FEATS, _train(lake), "id", detector=model["detector"], params=model["params"])
-    return scores.select("user_id", F.lit(model["model_id"]).alias("model_id"), F.round("score", 6).alias("score"))
+    version, model = production_model(lake)
+    return model.score(lake.rolling_table, "user_id").select(
+        "user_id", F.lit(version["version"]).alias("version"), F.lit(version["model_id"]).alias("model_id"), F.round("score", 6).alias("score"))

@@ -71,6 +71,18 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{base}/tables/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def stored_dir(spark: SparkSession, name: str) -> str:
+    """A folder below the shared checkpoint folder that keeps its name for the whole application."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{name}"
+
+
+def path_stamp(spark: SparkSession, path: str) -> str:
+    """Changes when the files below a path do (bytes, files, time of the last change)."""
+    fs, hpath = _file_system(spark, path)
+    summary = fs.getContentSummary(hpath)
+    return f"{path}:{summary.getLength()}:{summary.getFileCount()}:{fs.getFileStatus(hpath).getModificationTime()}"
+
+
 def is_single_machine(master: str) -> bool:
     """Driver and executors are one process (``local``, ``local[8]``), so a temporary folder is shared."""
     return master == "local" or master.startswith("local[")
