@@ -52,3 +52,20 @@ def test_awkward_rows_and_empty_table(spark, tmp_path):
         assert Counter(type(r["ids"]) for r in rows) == ({bytes: len(rows)} if n == 0 else {})
         assert (len({r["doc_id"] for r in rows}) >= 9) == (n == 0)
     assert packing.json_vocabulary().special == {"<|endoftext|>": 50256}
+
+
+def test_secrets_stage_keeps_a_column_of_any_name(spark):
+    rows = [(1, 'password = "abcdefghijkl1234"', 28, ["mine"], "x"), (2, "nothing here", 12, None, "y"), (3, None, None, [], None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars long, spans array<string>, Spans_ string")
+    out = corpus_pipeline.mask_secrets(spark, docs, "")
+    assert out.columns == docs.columns
+    got = {r["doc_id"]: tuple(r) for r in out.collect()}
+    assert got[1][1] == secrets.MARK + '"' and got[1][2] == len(got[1][1]) and got[1][3:] == (["mine"], "x")
+    assert got[2] == rows[1] and got[3] == rows[2]
+
+
+def test_packing_does_not_depend_on_the_order_of_rows(spark):
+    docs = edge_rows.documents(spark).select("doc_id", "text").coalesce(1)
+    one = packing.pack_documents(docs.sortWithinPartitions("text"), group_bytes=10 ** 9)
+    two = packing.pack_documents(docs.sortWithinPartitions("doc_id"), group_bytes=10 ** 9)
+    assert sorted(map(tuple, one.collect()), key=str) == sorted(map(tuple, two.collect()), key=str)

@@ -3,6 +3,10 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
+
+import duckdb
+import pytest
 
 from tracewise.llm import quotes
 
@@ -79,3 +83,28 @@ def test_mail_round_trip(spark):
     assert {(g["conv_id"], g["turn"], g["text"]) for g in got} == {(c, t, x) for c, t, _, x in rows}
     assert all(g["reply_to"] == (g["turn"] - 1 if g["turn"] else None) and g["depth"] == g["turn"] and g["thread"] == 0 for g in got)
     assert all(g["n_linked"] == g["n_quotes"] == min(2, g["turn"]) for g in got)
+
+
+@pytest.mark.parametrize("block", [1024, 2])
+def test_repeated_and_conflicting_turns_equal_the_sql_twin(spark, monkeypatch, block):
+    monkeypatch.setattr(quotes, "BLOCK_TURNS", block)
+    rows = [(1, t, "user", f"turn {t} of one") for t in range(3) for _ in range(40)]                    # exact repeats
+    rows += [(2, t, "user", f"turn {t} of two") for t in range(4)] + [(2, 1, "bot", "another text at turn 1")]
+    rows += [(3, t, "user", f"turn {t} of three") for t in (0, 1, 2, 5, 6, 9)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    assert quotes.as_mail(df).count() == len(set(rows))
+    got = quotes.format_conversations(quotes.as_mail(df))
+    con = duckdb.connect()
+    con.register("conversations", df.toPandas())
+    from tracewise.llm.queries import OP1_SQL
+    cur = con.execute(OP1_SQL)
+    want = Counter(cur.fetchall())
+    assert Counter(map(tuple, got.select(*[d[0] for d in cur.description]).collect())) == want
+
+
+def test_a_passage_in_every_turn_is_found_across_blocks(spark, monkeypatch):
+    monkeypatch.setattr(quotes, "BLOCK_TURNS", 4)
+    rows = [(1, t, "user", "same words" if t % 3 == 0 else f"own {t}\n\n> same words") for t in range(40)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {r["turn"]: r["reply_to"] for r in quotes.format_conversations(df).collect()}
+    assert got == {t: (None if t % 3 == 0 else t - t % 3) for t in range(40)}

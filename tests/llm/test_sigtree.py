@@ -164,3 +164,15 @@ def test_outliers_of_split_blocks_in_rounds(spark, monkeypatch):
     got = sigtree.jaccard_components(df, 2, 60, 100, tile_sets=3).collect()
     assert sorted((str(x["doc_id"]), x["n_shingles"], str(x["component_id"])) for x in got) == brute(rows, 2, 60, 100)
     assert names.count("more-links") >= 2
+
+
+def test_rows_that_share_an_id_are_judged_by_their_own_texts(spark):
+    base, other, third = (" ".join(f"{w}{i}" for i in range(60)) for w in ("stone", "river", "cloud"))
+    near = base.replace("stone59", "gravel")
+    rows = [(1, base), (5, base), (5, other), (7, third), (7, " ".join(reversed(third.split()))), (8, near), (9, other.upper()), (9, other.upper()),
+            (10, ""), (10, ""), (10, None), (None, base), (None, base), (11, third), (11, third + " end")]
+    df = spark.createDataFrame([(i, t, 1, 2) for i, t in rows], "doc_id long, text string, _set1 int, h1 int")
+    kept = sigtree.keep_one_per_group(df)
+    assert kept.columns == df.columns
+    assert sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str) == sorted(
+        [(1, base), (5, other), (7, third), (7, rows[4][1]), (10, ""), (10, None), (None, base), (None, base)], key=str)

@@ -16,6 +16,14 @@ def text_or_empty(col: str = "text") -> Column:
     return F.coalesce(F.col(col), F.lit(""))
 
 
+def unused(columns: list[str], name: str) -> str:
+    """``name``, lengthened until no column has it (names compare without case)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` below the shared checkpoint folder and read it back (cuts lineage)."""
     path = shared_dir(df.sparkSession, name)

@@ -6,7 +6,7 @@ off the front of a document, the remainders go, longest first, into the first bi
 with room (a tournament tree over the bins' free space finds it in O(log bins)),
 and pieces of the last bins are then cut to close the gaps of the earlier ones, so
 that a group leaves at most one sequence with padding. Groups never talk to each
-other, so a lost task is simply run again.
+other and pack their rows by doc_id and tokens, so a lost task is simply run again.
 """
 
 from __future__ import annotations
@@ -113,7 +113,9 @@ def pack_documents(docs: DataFrame, vocabulary: Vocabulary | None = None, capaci
                                                  ["doc_id", "_group", "ids"])
 
     def pack(key, tab):
-        docs_ids, ids = tab["doc_id"].to_pylist(), tab["ids"].to_pylist()
+        # a fixed order, however the rows arrived: a task that runs again packs the same
+        rows = sorted(zip(tab["doc_id"].to_pylist(), tab["ids"].to_pylist(), strict=True), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+        docs_ids, ids = [r[0] for r in rows], [r[1] for r in rows]
         lengths = [len(x) // 4 for x in ids]
         cols: list[list] = [[] for _ in range(7)]
         for n, sequence in enumerate(pack_group(lengths, capacity)):

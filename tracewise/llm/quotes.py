@@ -8,10 +8,10 @@ passages come from (without any, its deepest known quote decides); following the
 answers back gives each message its thread and depth, and the quotes are left out of
 its text.
 
-The join key is (conversation, passage hash), the earliest and latest owners of a
-passage are found by map-side aggregates, and threads are followed by doubling
-pointers, so neither a huge conversation nor a passage in every message gathers in
-one task.
+A passage's turns are cut into blocks: inside a block a window finds the latest owner
+before each turn, and one row per block carries the owner over from earlier blocks.
+Threads are followed by doubling pointers. So neither a huge conversation nor a passage
+in every message gathers in one task.
 """
 
 from __future__ import annotations
@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from tracewise.llm.common import materialize
 
 MARKS = re.compile(r"[ \t]*((?:>[ \t]*)*)(.*)", re.DOTALL)
+BLOCK_TURNS = 1024         # turns of a conversation that one window looks through
 INTRO = re.compile(r"^(?:on|le|am|el)\b.{0,200}\b(?:wrote|écrit|schrieb|escribió)\s*:\s*$", re.IGNORECASE)
 
 
@@ -78,20 +79,34 @@ def parse(messages: DataFrame) -> DataFrame:
         run, "conv_id long, turn long, role string, own string, levels array<int>, hashes array<binary>")
 
 
-def link(parsed: DataFrame) -> DataFrame:
-    """conv_id, turn, reply_to, n_quotes, n_linked per (conv_id, turn) that quotes something."""
-    each = parsed.select("conv_id", "turn", F.explode(F.arrays_zip("levels", "hashes")).alias("p"))
-    each = each.select("conv_id", "turn", F.col("p.levels").alias("level"), F.col("p.hashes").alias("hash"))
-    quoted = each.where("level > 0").groupBy("conv_id", "turn", "hash").agg(F.min("level").alias("level"), F.count(F.lit(1)).alias("times"))
-    owned = each.where("level = 0").select("conv_id", "hash", "turn").distinct()
-    # latest earlier owner of each quoted passage: owners and quotes of a passage on one time line
-    line = (owned.select("conv_id", "hash", "turn", F.col("turn").alias("owner"), F.lit(None).cast("int").alias("level"), F.lit(None).cast("long").alias("times"))
-            .unionByName(quoted.select("conv_id", "hash", "turn", F.lit(None).cast("long").alias("owner"), "level", "times")))
-    before = Window.partitionBy("conv_id", "hash").orderBy("turn").rangeBetween(Window.unboundedPreceding, -1)
-    seen = line.withColumn("source", F.max("owner").over(before)).where("level is not null")
+def sources(each: DataFrame) -> DataFrame:
+    """conv_id, hash, turn, source: the latest earlier turn that owns a passage, per turn that quotes it; null without one."""
+    keys = ["conv_id", "hash"]
+    line = each.groupBy(*keys, "turn").agg(F.max(F.when(F.col("level") == 0, F.col("turn"))).alias("owner"),
+                                           F.max(F.col("level") > 0).alias("quoted"))
+    line = line.withColumn("block", F.floor(F.col("turn") / BLOCK_TURNS))
+    before = Window.partitionBy(*keys, "block").orderBy("turn").rowsBetween(Window.unboundedPreceding, -1)
+    carried = Window.partitionBy(*keys).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    last = line.groupBy(*keys, "block").agg(F.max("owner").alias("owner")).select(*keys, "block", F.max("owner").over(carried).alias("carried"))
+    inside = line.withColumn("inside", F.max("owner").over(before)).where("quoted")
+    return inside.join(last, [*keys, "block"]).select(*keys, "turn", F.coalesce("inside", "carried").alias("source"))
+
+
+def link(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Links of ``parsed`` messages with a key ``message``, for those that quote something.
+
+    (conv_id, turn, reply_to) per turn, and (conv_id, turn, message, n_quotes, n_linked) per message.
+    """
+    each = parsed.select("conv_id", "turn", "message", F.explode(F.arrays_zip("levels", "hashes")).alias("p"))
+    each = each.select("conv_id", "turn", "message", F.col("p.levels").alias("level"), F.col("p.hashes").alias("hash"))
+    quoted = each.where("level > 0").groupBy("conv_id", "turn", "message", "hash").agg(F.min("level").alias("level"), F.count(F.lit(1)).alias("times"))
+    seen = quoted.join(sources(each), ["conv_id", "hash", "turn"])
     direct = F.max(F.when(F.col("source").isNotNull(), F.struct(-F.col("level"), F.col("source"))))
-    return seen.groupBy("conv_id", "turn").agg(direct["source"].alias("reply_to"), F.sum("times").alias("n_quotes"),
-                                               F.sum(F.when(F.col("source").isNotNull(), F.col("times")).otherwise(0)).alias("n_linked"))
+    per = materialize(seen.groupBy("conv_id", "turn", "message").agg(
+        direct.alias("best"), F.sum("times").alias("n_quotes"),
+        F.sum(F.when(F.col("source").isNotNull(), F.col("times")).otherwise(0)).alias("n_linked")), "quote-links")
+    replies = per.groupBy("conv_id", "turn").agg(F.max("best")["source"].alias("reply_to"))
+    return replies, per.drop("best")
 
 
 def threads(replies: DataFrame) -> DataFrame:
@@ -119,16 +134,18 @@ def format_conversations(messages: DataFrame) -> DataFrame:
     ``text`` has no quotes. A message without known quotes starts a thread of its own.
     A null or empty text becomes empty; messages with a null conv_id or turn pass
     through, unlinked, each its own thread; rows repeated exactly count once, and of
-    other rows with one (conv_id, turn) all are kept and linked alike; an empty table
+    other rows with one (conv_id, turn) all are kept, answer the same turn and count
+    their own quotes; an empty table
     gives no rows; other columns are ignored.
     """
-    parsed = materialize(parse(messages).distinct(), "messages")
+    parsed = parse(messages).distinct().withColumn("message", F.xxhash64("role", "own", "levels", "hashes"))
+    parsed = materialize(parsed, "messages")
     keyed = parsed.where("conv_id is not null and turn is not null")
-    linked = link(keyed)
-    one = keyed.select("conv_id", "turn").distinct().join(linked, ["conv_id", "turn"], "left")
-    one = materialize(one, "replies")
+    replies, counts = link(keyed)
+    one = materialize(keyed.select("conv_id", "turn").distinct().join(replies, ["conv_id", "turn"], "left"), "replies")
     found = threads(one).join(one, ["conv_id", "turn"])
-    out = parsed.select("conv_id", "turn", "role", F.col("own").alias("text")).join(found, ["conv_id", "turn"], "left")
+    out = (parsed.select("conv_id", "turn", "message", "role", F.col("own").alias("text")).join(found, ["conv_id", "turn"], "left")
+           .join(counts, ["conv_id", "turn", "message"], "left"))
     return out.select("conv_id", F.coalesce("thread", "turn").alias("thread"), "turn", F.coalesce("depth", F.lit(0).cast("long")).alias("depth"),
                       "reply_to", "role", "text", F.coalesce("n_quotes", F.lit(0).cast("long")).alias("n_quotes"),
                       F.coalesce("n_linked", F.lit(0).cast("long")).alias("n_linked"))
@@ -137,15 +154,18 @@ def format_conversations(messages: DataFrame) -> DataFrame:
 def as_mail(conversations: DataFrame, depth: int = 2) -> DataFrame:
     """Conversations as a mail thread: each message above quotes of the ``depth`` messages before it, nested.
 
-    Lines get one ``>`` per level. Turns are matched by an equi-join on (conv_id, turn),
-    so a long conversation is not gathered; native functions only.
+    Lines get one ``>`` per level. Rows repeated exactly are one message; where a turn
+    has several messages, the first by role and text is the one that later turns quote.
+    Turns are matched by an equi-join on (conv_id, turn), one row per turn on the quoted
+    side, so a long conversation is not gathered; native functions only.
     """
-    own = conversations.select("conv_id", "turn", "role", "text")
+    own = conversations.select("conv_id", "turn", "role", "text").distinct()
+    first = own.groupBy("conv_id", "turn").agg(F.min(F.struct("role", "text")).alias("_m"))
     out = own
     for level in range(1, depth + 1):
         marks = ">" * level + " "
-        quote = F.concat(F.lit(marks), F.regexp_replace(F.col("text"), "\n", "\n" + marks))
-        earlier = own.select("conv_id", (F.col("turn") + level).alias("turn"), quote.alias(f"_q{level}"))
+        quote = F.concat(F.lit(marks), F.regexp_replace(F.col("_m.text"), "\n", "\n" + marks))
+        earlier = first.select("conv_id", (F.col("turn") + level).alias("turn"), quote.alias(f"_q{level}"))
         out = out.join(earlier, ["conv_id", "turn"], "left")
     parts = [F.col("text"), *[F.col(f"_q{level}") for level in range(1, depth + 1)]]
     return out.select("conv_id", "turn", "role", F.concat_ws("\n", *parts).alias("text"))

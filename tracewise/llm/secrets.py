@@ -119,17 +119,17 @@ def scan_batch(texts: list[str], scope: int = SCOPE) -> list[list[tuple[int, int
     return out
 
 
-def _scan(batches, scope: int, mark: str | None):
+def _scan(batches, scope: int, mark: str | None, column: str):
     for batch in batches:
         for part in (batch.slice(i, 512) for i in range(0, batch.num_rows, 512)):
             texts = part["text"].to_pylist()
             found = scan_batch([t or "" for t in texts], scope)
             spans = pa.array([[{"kind": KINDS[k], "start": a, "end": b} for k, a, b in s] for s in found],
                              pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())])))
-            cols = {c: part[c] for c in part.schema.names if c != "spans"}
+            cols = {c: part[c] for c in part.schema.names if c != column}
             if mark is not None:
                 cols["text"] = pa.array([t if t is None or not s else redact(t, s, mark) for t, s in zip(texts, found, strict=True)], pa.string())
-            yield pa.RecordBatch.from_pydict(cols | {"spans": spans})
+            yield pa.RecordBatch.from_pydict(cols | {column: spans})
 
 
 def redact(text: str, spans: list[tuple[int, int, int]], mark: str = MARK) -> str:
@@ -142,16 +142,16 @@ def redact(text: str, spans: list[tuple[int, int, int]], mark: str = MARK) -> st
     return "".join([*out, text[at:]])
 
 
-def scan(docs: DataFrame, scope: int = SCOPE, mark: str | None = None) -> DataFrame:
-    """``docs`` with ``spans`` (kind, start, end by start, then kind); with ``mark`` the spans are cut from ``text``.
+def scan(docs: DataFrame, scope: int = SCOPE, mark: str | None = None, column: str = "spans") -> DataFrame:
+    """``docs`` with ``column`` (kind, start, end by start, then kind); with ``mark`` the spans are cut from ``text``.
 
     A null text has no spans and stays null; an empty text has none; whole texts of
-    any length are read; repeated rows give the same result each; a column named
-    ``spans`` is replaced, other columns pass through; an empty table gives no rows.
+    any length are read; repeated rows give the same result each; a column named like
+    ``column`` is replaced, other columns pass through; an empty table gives no rows.
     """
-    kept = docs.drop("spans")
-    schema = T.StructType([*kept.schema.fields, T.StructField("spans", T._parse_datatype_string(SPANS))])
-    return kept.mapInArrow(lambda batches: _scan(batches, scope, mark), schema)
+    kept = docs.drop(column)
+    schema = T.StructType([*kept.schema.fields, T.StructField(column, T._parse_datatype_string(SPANS))])
+    return kept.mapInArrow(lambda batches: _scan(batches, scope, mark, column), schema)
 
 
 def report(docs: DataFrame) -> DataFrame:

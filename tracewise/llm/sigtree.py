@@ -29,8 +29,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tracewise.llm.common import materialize
+from tracewise.llm.common import materialize, unused
 from tracewise.operators.graph import connected_components
 
 U = np.uint64
@@ -377,6 +378,12 @@ def jaccard_components(docs: DataFrame, size: int = 5, num: int = 80, den: int =
     null ids are reachable but never the smallest unless alone; an empty table gives
     no rows; other columns are ignored.
     """
+    found = components_of_sets(docs, size, num, den, tile_shingles, tile_sets)
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
+def components_of_sets(docs: DataFrame, size: int, num: int, den: int, tile_shingles: int = TILE_SHINGLES, tile_sets: int = TILE_SETS) -> DataFrame:
+    """jaccard_components() with h1, h2 (the set's hashes) and root (one name per component)."""
     t = Threshold(num, den)
     flat = shingle_classes(docs, size, t)
     nodes = flat.where("kind = 0").select("doc_id", F.col("a").alias("h1"), F.col("b").alias("h2"), "n")
@@ -387,10 +394,11 @@ def jaccard_components(docs: DataFrame, size: int = 5, num: int = 80, den: int =
     members = materialize(classes.join(blocks, "h1"), "members")
     roots = tile_links(docs, members, size, t, tile_shingles, tile_sets)
     smallest = smallest_ids(members, roots)
-    named = classes.join(smallest, ["h1", "h2"], "left").select("h1", "h2", F.coalesce("component_id", "rep").alias("component_id"))
+    named = classes.join(smallest, ["h1", "h2"], "left").select("h1", "h2", F.coalesce("component_id", "rep").alias("component_id"),
+                                                                             F.coalesce("root", "h1").alias("root"))
     named = materialize(named, "components")
     return (nodes.join(named, ["h1", "h2"], "left")
-            .select("doc_id", F.col("n").alias("n_shingles"),
+            .select("doc_id", "h1", "h2", "root", F.col("n").alias("n_shingles"),
                     F.when(F.col("n") > 0, F.coalesce("component_id", "doc_id")).otherwise(F.col("doc_id")).alias("component_id")))
 
 
@@ -414,10 +422,10 @@ def block_edges(flat: DataFrame, rounds: int = 2) -> DataFrame:
 
 
 def smallest_ids(members: DataFrame, roots: DataFrame) -> DataFrame:
-    """(h1, h2) -> the smallest doc_id of its component."""
+    """(h1, h2) -> the smallest doc_id of its component, and the component's root."""
     placed = members.join(roots, "h1").select("h1", "h2", "rep", "root")
     least = placed.groupBy("root").agg(F.min("rep").alias("component_id"))
-    return placed.join(least, "root").select("h1", "h2", "component_id")
+    return placed.join(least, "root").select("h1", "h2", "component_id", "root")
 
 
 def tile_links(docs: DataFrame, members: DataFrame, size: int, t: Threshold, tile_shingles: int, tile_sets: int) -> DataFrame:
@@ -527,17 +535,39 @@ def labels_of(links: DataFrame, split: DataFrame) -> DataFrame:
         found.select(F.col("id").alias("h1"), F.col("component").alias("label")), "h1"), "labels")
 
 
+def with_set_hashes(docs: DataFrame, size: int, names: tuple[str, str]) -> DataFrame:
+    """``docs`` with the two hashes of each text's shingle set; null where it has no words."""
+    def run(batches):
+        words = WordHash()
+        for batch in batches:
+            sets = [shingles(t.as_py(), size, words) for t in batch["text"]]
+            found = [set_hashes(x) if len(x) else (None, None) for x in sets]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array([f[i] for f in found], pa.int64()) for i in (0, 1))], [*batch.schema.names, *names])
+
+    schema = T.StructType([*docs.schema.fields, *(T.StructField(n, T.LongType()) for n in names)])
+    return docs.mapInArrow(run, schema)
+
+
 def keep_one_per_group(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """``docs`` without all but the smallest doc_id of each component; of rows with one id, one stays.
+    """``docs`` with one row of each component: one of its smallest doc_id. All columns pass through.
 
-    Documents with a null id or without words are in no group and stay.
+    Where several rows have one id, each is judged by its own text: a row goes only if its
+    component has another row that stays. Rows without words, and rows with a null id, are in
+    no group; of rows without words that have one id and one text, one stays.
     """
-    found = materialize(jaccard_components(docs, size, num, den), "groups")
-    out = found.where("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(small_enough(out, 24), "doc_id", "left_anti")
+    found = materialize(components_of_sets(docs, size, num, den), "groups")
     again = found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
     again = materialize(again, "repeated-ids")
+    out = found.where("doc_id <> component_id").select("doc_id").distinct()
+    single = docs.join(small_enough(out.unionByName(again).distinct(), 24), "doc_id", "left_anti")
     if not again.take(1):
-        return kept
-    single = kept.join(small_enough(again, 24), "doc_id", "left_anti")
-    return single.unionByName(kept.join(small_enough(again, 24), "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+        return single
+    # one set per component of the rows that share their id: the least of those that have the component's smallest id
+    first = (found.join(small_enough(again, 24), "doc_id", "left_semi").where("n_shingles > 0 and doc_id = component_id")
+             .groupBy("doc_id", "root").agg(F.min(F.struct("h1", "h2")).alias("_s")))
+    a, b = unused(docs.columns, "_set1"), unused(docs.columns, "_set2")
+    first = first.select("doc_id", F.col("_s.h1").alias(a), F.col("_s.h2").alias(b))
+    shared = with_set_hashes(docs.join(small_enough(again, 24), "doc_id", "left_semi"), size, (a, b))
+    chosen = shared.where(F.col(a).isNotNull()).join(first, ["doc_id", a, b], "left_semi").dropDuplicates(["doc_id", a, b])
+    bare = shared.where(F.col(a).isNull()).dropDuplicates(["doc_id", "text"])
+    return single.unionByName(chosen.unionByName(bare).select(*docs.columns))
