@@ -15,7 +15,7 @@ SF = "/root/testdata/sf0.001"
 
 #: Randomised detectors and what depends on them; tests/test_properties.py checks them.
 ROWS_ONLY = {"inne_score", "iforest_score", "score_with_model_udf", "model_runs_unlabelled",
-             "best_model_unlabelled", "score_with_production_model"}
+             "best_model_unlabelled", "score_with_production_model", "model_search", "ensemble_of_best_models"}
 
 
 def _names():

@@ -269,6 +269,14 @@ def select_best(runs: DataFrame) -> DataFrame:
     return runs.filter(F.col("status") == "FINISHED").orderBy(F.asc("loss"), F.asc("model_id")).limit(1)
 
 
+def best_per_detector(runs: DataFrame) -> DataFrame:
+    """P5: the finished run with the lowest loss of every detector (ties: smallest model id)."""
+    done = runs.filter(F.col("status") == "FINISHED")
+    rest = [c for c in runs.columns if c not in ("detector", "loss", "model_id")]
+    best = done.groupBy("detector").agg(F.min(F.struct("loss", "model_id", *rest)).alias("_b"))
+    return best.select(*[F.col("detector") if c == "detector" else F.col(f"_b.{c}").alias(c) for c in runs.columns])
+
+
 # --------------------------------------------------------------------------- excess mass (M5, unsupervised)
 
 def uniform_in_box(frame: DataFrame, features: list[str], n: int, seed: int = 11) -> tuple[DataFrame, DataFrame]:

@@ -9,6 +9,7 @@ from tracewise.operators import anomaly as an
 from tracewise.operators import features as feat
 from tracewise.operators import graph as gr
 from tracewise.operators import models
+from tracewise.operators import search as srch
 from tracewise.operators.knn import knn_scores
 from tracewise.operators.model_registry import ModelRegistry
 from tracewise.operators.upsert import upsert
@@ -454,3 +455,29 @@ def q_score_with_production_model(spark, sf_dir):
     version, model = production_model(lake)
     return model.score(lake.rolling_table, "user_id").select(
         "user_id", F.lit(version["version"]).alias("version"), F.lit(version["model_id"]).alias("model_id"), F.round("score", 6).alias("score"))
+
+
+SEARCH_EVALUATIONS, SEARCH_PARALLEL = 12, 4
+
+
+@query("model_search")
+def q_model_search(spark, sf_dir):
+    """M4: candidates drawn by a Parzen sampler, fitted, stored and rated by excess mass, four at a time."""
+    lake = Lake(spark, sf_dir)
+    path = f"{lake.folder}/models/parzen"
+    if not path_exists(spark, f"{path}/runs/_SUCCESS"):
+        trial = an.ExcessMassTrial(lake.training_table, "id", FEATS, path)
+        found = srch.search(lambda *c: trial.run(*c).first().asDict(), srch.DETECTORS, SEARCH_EVALUATIONS, SEARCH_PARALLEL,
+                            startup=SEARCH_PARALLEL, spark=spark)
+        srch.history_table(spark, found).coalesce(1).write.mode("overwrite").parquet(f"{path}/runs")
+    return spark.read.parquet(f"{path}/runs").drop("artefact")
+
+
+@query("ensemble_of_best_models")
+def q_ensemble_of_best_models(spark, sf_dir):
+    """P5: the active batch ranked by the stored best model of every detector of the search, ranks averaged."""
+    lake = Lake(spark, sf_dir)
+    best = an.best_per_detector(_runs_unlabelled(lake)).collect()            # a row per detector
+    scores = {b["detector"]: models.load(spark, b["artefact"]).score(lake.rolling_table, "user_id")
+              .select(F.col("user_id"), F.round("score", 9).alias("s")) for b in sorted(best, key=lambda b: b["detector"])}
+    return an.ensemble_ranks(scores, "user_id").select("user_id", F.round("ensemble_score", 6).alias("ensemble_score"))
