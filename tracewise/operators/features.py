@@ -101,8 +101,13 @@ def login_features(events: DataFrame, cutoff: str | None = None,
         *extra,
     )
     end = F.col("_bmax") if window is not None else F.col("_max_ts")
+    return login_rates(g.select("entity_id", "min_ts", end.alias("max_ts"), "TotalFailedAttempts", "TotalLoginAttempts"))
+
+
+def login_rates(g: DataFrame) -> DataFrame:
+    """Duration and daily rates of (entity_id, min_ts, max_ts, TotalFailedAttempts, TotalLoginAttempts)."""
     out = g.select(
-        "entity_id", "min_ts", end.alias("max_ts"), _duration(end, F.col("min_ts")),
+        "entity_id", "min_ts", "max_ts", _duration(F.col("max_ts"), F.col("min_ts")),
         "TotalFailedAttempts", "TotalLoginAttempts",
     )
     return out.select(
@@ -162,9 +167,14 @@ def file_access_features(edges: DataFrame, system_folders: DataFrame, cutoff: st
              for name, (sys, rels) in FILE_FLAGS.items()}
     agg = _two_stage(e, flags, window)
     end = F.col("_bmax") if window is not None else F.col("_max_ts")
+    return file_rates(agg.select("src", "min_ts", end.alias("max_ts"), *FILE_FLAGS.keys()))
+
+
+def file_rates(agg: DataFrame) -> DataFrame:
+    """Duration and daily rates of (src, min_ts, max_ts, the file counts)."""
     out = agg.select(
-        F.col("src").alias("id"), F.col("src").alias("user_join_key"), "min_ts", end.alias("max_ts"),
-        _duration(end, F.col("min_ts")), *FILE_FLAGS.keys(),
+        F.col("src").alias("id"), F.col("src").alias("user_join_key"), "min_ts", "max_ts",
+        _duration(F.col("max_ts"), F.col("min_ts")), *FILE_FLAGS.keys(),
     )
     return out.select("*", *[(F.col(c) / F.col("LogDurationInDays")).alias(r) for c, r in FILE_RATES.items()])
 

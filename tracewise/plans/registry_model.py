@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
 from tracewise.functions.vocabulary import FEATURES
 from tracewise.operators import anomaly as an
-from tracewise.operators import features as feat
 from tracewise.operators import graph as gr
 from tracewise.operators import models
 from tracewise.operators import search as srch
@@ -17,6 +18,7 @@ from tracewise.plans.catalog import query
 from tracewise.plans.lake import Lake
 from tracewise.plans.oracle_sql import LOGINS, with_ctes
 from tracewise.session import path_exists, shared_dir
+from tracewise.streaming import partials as part
 
 FEATS = list(FEATURES)
 K = 5
@@ -155,16 +157,52 @@ def q_reciprocal_heavy_writers(spark, sf_dir):
     "COUNT(CASE WHEN event_type = 'login_attempt' THEN id END) AS TotalLoginAttempts FROM bronze "
     f"WHERE entity_type = 'name' AND event_type IN {LOGINS} GROUP BY entity_id) s", "bronze"))
 def q_incremental_feature_refresh(spark, sf_dir):
-    """Recompute login features only for users touched by the new batch, upsert them
-    into the table built before the batch; equals a full recompute."""
+    """Day partials of the history and of the new batch; only the users that the batch touched are
+    summed anew, from their own partials, and upserted; equals a full recompute."""
     lake = Lake(spark, sf_dir)
-    b = lake.bronze_table
-    start = F.to_timestamp(F.lit(lake.batch_start))
-    before = feat.login_features(b.filter(F.col("event_ts") < start))
-    touched = b.filter(F.col("event_ts") >= start).select("entity_id").distinct()
-    fresh = feat.login_features(b.join(touched, "entity_id", "left_semi"))
+    root, start = shared_dir(spark, "partials"), F.to_timestamp(F.lit(lake.batch_start))
+    write = part.PartialsBatchWriter(root)
+    write(lake.bronze_table.filter(F.col("event_ts") < start), 0)
+    before = part.merged_logins(part.stored(spark, root, "logins"))
+    write(lake.bronze_table.filter(F.col("event_ts") >= start), 1)
     cols = ["entity_id", "min_ts", "max_ts", "LogDurationInDays", "TotalFailedAttempts", "TotalLoginAttempts"]
-    return upsert(before.select(*cols), fresh.select(*cols), ["entity_id"])
+    return upsert(before.select(*cols), part.touched_logins(spark, root, [1]).select(*cols), ["entity_id"])
+
+
+def _stream_partials(lake: Lake) -> str:
+    """Login and file partials of the bronze table, written by micro-batches; once per stored bronze table."""
+    root = f"{lake.folder}/partials"
+    lake.bronze_table                                   # noqa: B018 - stores it
+    part.run_partials(lake.spark, f"{lake.folder}/bronze", root, f"{lake.folder}/ckpt_partials", max_files_per_trigger=2)
+    return root
+
+
+@query("login_features_from_partials", with_ctes("SELECT * FROM hist_login", "hist_login"))
+def q_login_features_from_partials(spark, sf_dir):
+    """P4 + F8: historical login features as sums of day partials; the cutoff's own day is read from bronze."""
+    lake = Lake(spark, sf_dir)
+    partials = part.stored(spark, _stream_partials(lake), "logins")
+    return part.merged_logins(part.in_range(partials, lake.bronze_table, part.login_partials, None, datetime.fromisoformat(lake.cutoff)))
+
+
+@query("file_features_from_partials", with_ctes("SELECT * FROM hist_files", "hist_files"))
+def q_file_features_from_partials(spark, sf_dir):
+    """P4 + F10: historical file features from day partials, distinct ids exact."""
+    lake = Lake(spark, sf_dir)
+    partials = part.stored(spark, _stream_partials(lake), "files")
+    rows = part.in_range(partials, lake.edges, part.file_partials, None, datetime.fromisoformat(lake.cutoff))
+    return part.merged_files(rows, lake.system_folders)
+
+
+@query("rolling_login_from_partials", with_ctes("SELECT * FROM roll_login", "roll_login"))
+def q_rolling_login_from_partials(spark, sf_dir):
+    """P4 + F13: the batch users' rolling login features from day partials and two part days."""
+    lake = Lake(spark, sf_dir)
+    partials = part.stored(spark, _stream_partials(lake), "logins")
+    bounds = lake.window.bounds.first()
+    rows = part.in_range(partials, lake.bronze_table, part.login_partials, bounds["window_start"], bounds["max_ts"])
+    users = lake.window.users.withColumnRenamed("entity_id", "user_join_key")
+    return part.merged_logins(rows, bounds["max_ts"]).join(users, "user_join_key", "left_semi")
 
 
 @query("ensemble_score", with_ctes(
@@ -457,7 +495,7 @@ def q_score_with_production_model(spark, sf_dir):
         "user_id", F.lit(version["version"]).alias("version"), F.lit(version["model_id"]).alias("model_id"), F.round("score", 6).alias("score"))
 
 
-SEARCH_EVALUATIONS, SEARCH_PARALLEL = 12, 4
+SEARCH_EVALUATIONS, SEARCH_PARALLEL = 8, 4
 
 
 @query("model_search")
