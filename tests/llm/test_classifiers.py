@@ -15,20 +15,46 @@ from tracewise.llm import cotrain, learning, toxicity
 SF = "/root/testdata/sf0.1"
 
 
-def test_composed_machine_equals_running_the_parts():
-    parts = [toxicity.marks_after(toxicity.REPORT, "reported", 8), toxicity.marks_after(toxicity.NEGATION, "negated", 3),
-             toxicity.marks_after(toxicity.TARGET, "targeted", 4)]
-    arcs = toxicity.machine()
-    r = random.Random(2)
-    for _ in range(300):
-        roles = [r.choice(toxicity.ROLES) for _ in range(14)]
-        states, at = [p.start for p in parts], 0
-        for role in roles:
-            symbol = (role, frozenset())
-            for n, p in enumerate(parts):
-                states[n], symbol = p.step(states[n], symbol)
-            at, pattern = arcs[at, role]
-            assert pattern == (toxicity.PATTERNS.index(symbol) if symbol in toxicity.PATTERNS else None)
+def test_composed_machine_equals_reading_the_whole_clause():
+    """All five transducers against a plain look at the words around every insult and threat."""
+    rng = np.random.default_rng(5)
+    ahead, arcs = toxicity.whole_machine()
+    for _ in range(400):
+        roles = [toxicity.ROLES[i] for i in rng.integers(0, len(toxicity.ROLES), int(rng.integers(1, 30)))]
+        state, marks = 0, []
+        for role in reversed(roles):
+            state, mark = ahead[state, role]
+            marks.append(mark)
+        state, got = 0, []
+        for role, mark in zip(roles, reversed(marks), strict=True):
+            state, pattern = arcs[state, role, mark]
+            got.append(pattern)
+
+        def near(i, role, reach):
+            return role in roles[max(0, i - reach):i]
+        for i, role in enumerate(roles):
+            if role not in (toxicity.INSULT, toxicity.THREAT):
+                assert got[i] is None
+                continue
+            behind = toxicity.TARGET in roles[i + 1:i + 5]
+            flags = {f for f, on in (("reported", near(i, toxicity.REPORT, 8)), ("negated", near(i, toxicity.NEGATION, 3)),
+                                     ("targeted", behind or role == toxicity.INSULT and near(i, toxicity.TARGET, 4))) if on}
+            assert toxicity.PATTERNS[got[i]] == (role, frozenset(flags))
+
+
+def test_inflected_threats_elision_and_typographic_apostrophes():
+    s = toxicity.Scanner({"idiot": 5.0, "idiots": 5.0})
+
+    def hit(text):
+        return [toxicity.PATTERNS[i] for i in np.flatnonzero(s.features(text))]
+    targeted = frozenset({"targeted"})
+    for text in ("he kills you", "I am killing you", "I killed you", "they stabbed him", "ich töte dich", "er schlägt euch", "je frappe toi", "nous brûlons eux",
+                 "golpearé a ellos"):
+        assert hit(text) == [("threat", targeted)], text
+    assert hit("l'idiot") == hit("L’idiot") == hit("trop d'idiots") == [("insult", frozenset())]
+    assert hit("I don’t hurt you") == hit("I don't hurt you") == [("threat", targeted | {"negated"})]
+    assert toxicity.words_of("Qu’il d'accord don't it's") == ["il", "accord", "don't", "it's"]
+
 
 
 def test_clauses_and_patterns():

@@ -49,6 +49,11 @@ def test_weak_parts_need_their_complement():
     assert kinds(f"{access} at http://h.example/p with {weak}") == ["access", "endpoint", "weak_secret"]
     assert kinds(f"user=bob {weak}") == ["user", "weak_secret"]
     assert kinds(f"{access} {'x ' * 200}{weak}") == ["access"]
+    assert kinds(f"post to https://h.example/p\nwith {weak}") == ["endpoint", "weak_secret"]
+    assert kinds(f"https://h.example/p {'x ' * 80}{weak}") == []                   # an endpoint complements only nearby
+    url_safe = "eyJhbGciOiJIUzI1NiIs-InR5cCI6IkpXVCJ9_Zx9Qw8Er7Ty6Ui5Op"
+    assert kinds(f"user=bob {url_safe}") == ["user", "weak_secret"]
+    assert kinds("user=bob Read-The-New-2024-Guide-To-Our-Big-City-Now") == []      # hyphenated words
     assert secrets.scan_batch([access, weak]) == [[(1, 0, 18)], []]
 
 

@@ -24,12 +24,14 @@ import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tracewise.llm.tokens import Vocabulary, rank_vocabulary
 
 BLOCK_CHARS = 16_000_000
 BLOCKS = "block long, bucket int, kind int, doc_ids array<long>, lens binary, data binary, order binary"
 WORDS_AT_ONCE = 300_000
+BUCKET_BYTES = 256 << 20   # bytes of text that a word bucket serves at most
 
 
 def squeeze(a: np.ndarray) -> bytes:
@@ -130,7 +132,9 @@ def encode(docs: DataFrame, vocabulary: Vocabulary | None = None, buckets: int |
     """
     spark = docs.sparkSession
     vocab = spark.sparkContext.broadcast(vocabulary or rank_vocabulary())
-    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if buckets is None:       # a bucket's share of the input is bounded, so its group is
+        size = docs.select(F.sum(F.octet_length("text"))).first()[0] or 0
+        buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
 
     def explode(batches):
         split = vocab.value.splitter

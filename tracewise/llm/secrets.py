@@ -6,9 +6,9 @@ random-looking runs, account names), which mean nothing alone. Weak parts are
 joined by interval with the complementary parts around them, and only those that
 meet their complement within a scope (so many characters) are reported:
 
-* ``endpoint``: a URL, host:port or IPv4 address near a sure find or a weak secret
-  that itself has an access identifier near;
-* ``weak_secret``: a mixed-case run with digits near an access identifier or a user name;
+* ``endpoint``: a URL, host:port or IPv4 address near a sure find or a reported weak secret;
+* ``weak_secret``: a mixed-case run with digits (base64, base64url) near an access identifier or
+  a user name, or within a line or two (ENDPOINT_SCOPE) of an endpoint;
 * ``user``: a user or account assignment near a sure find or a weak secret.
 
 The interval join runs on the sorted spans of a whole batch of texts, laid end to
@@ -29,6 +29,7 @@ from pyspark.sql import types as T
 
 KINDS = ["assign", "access", "hex", "weak_secret", "endpoint", "user"]
 SCOPE = 300
+ENDPOINT_SCOPE = 120       # endpoints are common: they complement a weak secret only this close
 SPANS = "array<struct<kind:string,start:int,end:int>>"
 MARK = "[SECRET]"
 
@@ -41,15 +42,16 @@ def patterns() -> list[tuple[str, re.Pattern]]:
         ("assign", re.compile(r"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", ascii_any_case)),
         ("access", re.compile(r"AKIA[A-Z0-9]{14,}")),
         ("hex", re.compile(r"[0-9a-f]{16,}")),
-        ("weak_secret", re.compile(r"(?<![A-Za-z0-9+/=_-])[A-Za-z0-9+/]{24,}={0,2}(?![A-Za-z0-9+/=_-])")),
+        ("weak_secret", re.compile(r"(?<![A-Za-z0-9+/=_-])[A-Za-z0-9+/_-]{24,}={0,2}(?![A-Za-z0-9+/=_-])")),
         ("endpoint", re.compile(r"https?://[^\s\"'<>]+|(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?![\d.])(?::\d{2,5})?", re.ASCII)),
         ("user", re.compile(r"""(?:user(?:name)?|login|account)["']?\x20*[:=]\x20*["']?[A-Za-z0-9@._-]{2,64}""", ascii_any_case)),
     ]
 
 
 def mixed(run: str) -> bool:
-    """Upper case, lower case and digits all occur: a weak sign of a secret."""
-    return any(c.isupper() for c in run) and any(c.islower() for c in run) and any(c.isdigit() for c in run)
+    """Upper case, lower case and digits all occur, in pieces too long for hyphenated words: a weak sign of a secret."""
+    pieces = run.replace("_", "-").split("-")
+    return len(run) >= 8 * len(pieces) and any(c.isupper() for c in run) and any(c.islower() for c in run) and any(c.isdigit() for c in run)
 
 
 def parts_of(text: str) -> list[tuple[int, int, int]]:
@@ -90,12 +92,12 @@ def link(kinds: np.ndarray, starts: np.ndarray, ends: np.ndarray, scope: int = S
     covered = overlaps(starts, ends, starts[sure], ends[sure])
     free = {n: (kinds == n) & ~covered for n in (3, 4, 5)}
 
-    def joined(what, others):
+    def joined(what, others, scope=scope):
         out = np.zeros(len(kinds), bool)
         out[what] = near(starts[what], ends[what], starts[others], ends[others], scope)
         return out
 
-    keep |= (weak := joined(free[3], (kinds == 1) | free[5]))
+    keep |= (weak := joined(free[3], (kinds == 1) | free[5]) | joined(free[3], free[4], min(scope, ENDPOINT_SCOPE)))
     anchors = sure | weak
     keep |= joined(free[4], anchors) | joined(free[5], anchors)
     return keep

@@ -29,7 +29,6 @@ from pyspark.sql import functions as F
 from tracewise.llm.learning import HELD_OUT, Logistic, fold, labelled_sample, sigmoid
 
 MOST_LABELLED = 8_000      # labelled rows that are learned from
-MOST_ENTRIES = 5_000       # words and stems of the learned lexicon
 STEMS = (4, 5, 6)
 LEAST_COUNT, LEAST_ODDS = 3, 4.0   # toxic texts that an entry is in, whatever the size of the sample; log-odds
 THRESHOLD = 0.7
@@ -40,13 +39,41 @@ TARGETS = ("you your yours yourself he she him her they them these those everyon
 NEGATIONS = "not no never neither nor none nobody cannot don't isn't aren't nicht kein keine keinen nie niemals pas jamais aucun aucune nunca jamás ningún".split()
 REPORTS = ("said says say wrote writes quoted quotes quote called calls reported alleged claimed sagte sagt schrieb schreibt nannte "
            "dit disait écrit écrivait appelé dijo dice escribió llamó").split()
-THREATS = ("kill murder hurt destroy shoot stab beat strangle burn crush töten umbringen schlagen erschießen vernichten "
-           "tuer frapper détruire assassiner brûler matar golpear destruir quemar").split()
+#: Verbs of threats by language, the endings that their stems take, and forms that no rule gives.
+THREAT_VERBS = {
+    "en": "kill murder hurt destroy shoot stab beat strangle burn crush".split(),
+    "de": "töten umbringen schlagen erschlagen erschießen vernichten".split(),
+    "fr": "tuer frapper assassiner brûler étrangler".split(),
+    "es": "matar golpear quemar asesinar apuñalar".split(),
+}
+ENDINGS = {
+    "de": (2, "en e est et st t ete eten te ten test tet end".split()),
+    "fr": (2, "er e es ons ez ent é ée és ées ant ais ait aient ai as a ont erai eras era erons erez eront".split()),
+    "es": (2, "ar o as a amos áis an é ó aste aron ando ado aré arás ará aremos arán aba".split()),
+}
+IRREGULAR = ("shot beaten schlägst schlägt schlug erschlägt erschlug erschossen erschoss umgebracht umzubringen "
+             "détruire détruis détruit détruisons détruisez détruisent détruirai détruira destruir destruyo destruyes destruye "
+             "destruyen destruyó destruiré destruirá destruido").split()
 
 INSULT, THREAT, TARGET, NEGATION, REPORT, OTHER = "insult", "threat", "target", "negation", "report", "other"
 ROLES = (INSULT, THREAT, TARGET, NEGATION, REPORT, OTHER)
 
 
+def inflected(verb: str, language: str) -> set[str]:
+    """A regular verb with the endings of its person, tense and participle."""
+    if language != "en":
+        cut, endings = ENDINGS[language]
+        stem = verb[:-cut]
+        return {stem + e for e in endings} | ({"ge" + stem + e for e in ("t", "et", "en")} if language == "de" else set())
+    vowels = "aeiou"
+    short = verb[-1] not in vowels + "wxy" and verb[-2] in vowels and verb[-3] not in vowels
+    stem = verb[:-1] if verb.endswith("e") else verb + verb[-1] if short else verb
+    return {verb, verb + ("es" if verb.endswith(("s", "sh", "ch", "x")) else "s"), stem + "ed", stem + "ing"}
+
+
+THREATS = frozenset(IRREGULAR).union(*(inflected(v, language) for language, verbs in THREAT_VERBS.items() for v in verbs))
+
+
 class Transducer:
     """A deterministic transducer: step(state, symbol) -> (state, symbol); symbols are (role, flags)."""
 
@@ -127,12 +154,6 @@ PATTERNS = [(kind, frozenset(f for f, on in zip(("reported", "negated", "targete
             for kind in (INSULT, THREAT) for flags in product((False, True), repeat=3)]
 
 
-@functools.lru_cache(maxsize=1)
-def machine() -> dict:
-    number = {p: i for i, p in enumerate(PATTERNS)}
-    return {k: (to, number.get(out)) for k, (to, out) in grammar().table()[0].items()}
-
-
 #: Weights of the patterns that the labelled sample does not show: 4 if somebody is targeted, 1 if nobody is,
 #: 0 where the words are negated or reported. A fitted weight always replaces them.
 PRIOR = np.array([0.0 if flags & {"reported", "negated"} else 4.0 if "targeted" in flags else 1.0 for _, flags in PATTERNS])
@@ -147,8 +168,18 @@ def whole_machine() -> tuple[dict, dict]:
     return ahead, {k: (to, number.get(out)) for k, (to, out) in five.table(FOLLOWED)[0].items()}
 
 
+def plain(text: str) -> str:
+    """Lower case, typographic apostrophes as plain ones."""
+    return text.lower().replace("’", "'")
+
+
+ELIDED = re.compile(r"(?:[cdjlmnst]|qu)'(?=\w)")
+
+
 def words_of(text: str) -> list[str]:
-    return re.findall(r"[^\W_]+(?:['’][^\W_]+)?", text.lower())
+    """Words in order; an elided article or pronoun (l'idiot, qu'il) is not part of its word."""
+    found = re.findall(r"[^\W_]+(?:'[^\W_]+)?", plain(text))
+    return [w[m.end():] if (m := ELIDED.match(w)) else w for w in found]
 
 
 def entries_of(word: str) -> list[str]:
@@ -191,7 +222,7 @@ class Scanner:
         """Per pattern the logarithm of 1 + the weights of its matches in the whole text."""
         total = np.zeros(len(PATTERNS))
         ahead, arcs = whole_machine()
-        for clause in self.clauses((text or "").lower()):
+        for clause in self.clauses(plain(text or "")):
             weights = [(word, self.insult(word)) for word in words_of(clause)]
             roles = [INSULT if weight > 0 else self.closed.get(word, OTHER) for word, weight in weights]
             state, followed = 0, []
@@ -226,7 +257,7 @@ class Model:
 
 
 def learn_lexicon(sample: DataFrame) -> dict[str, float]:
-    """Words and stems far likelier in toxic texts: entry -> log-odds (at most MOST_ENTRIES)."""
+    """Words and stems far likelier in toxic texts: entry -> log-odds (as many as the bounded sample shows)."""
     def count(batches):
         seen, total = Counter(), Counter()
         for batch in batches:
@@ -247,7 +278,7 @@ def learn_lexicon(sample: DataFrame) -> dict[str, float]:
         return {}
     odds = F.log((F.col("t") + 0.5) / (whole["t"] + 1.0)) - F.log((F.col("c") + 0.5) / (whole["c"] + 1.0))
     rows = (counts.where((F.col("entry") != "") & (F.col("t") >= LEAST_COUNT)).withColumn("odds", odds)
-            .where(F.col("odds") > LEAST_ODDS).orderBy(F.desc("odds"), "entry").limit(MOST_ENTRIES).collect())
+            .where(F.col("odds") > LEAST_ODDS).orderBy(F.desc("odds"), "entry").collect())
     counts.unpersist()
     return {r["entry"]: float(r["odds"]) for r in rows}
 
