@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,6 +33,16 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of plans that nothing refers to any more.
+
+    Its cleaner follows the driver's garbage collection; an iterative job that has written
+    its last round needs none of the earlier rounds' files.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.java.lang.System.gc()
+
+
 def crc32_sql(list_expr: str, remainders: str = "t") -> str:
     """DuckDB expression: CRC-32 of a list of bytes, given the list of the 256 remainders."""
     return (f"xor(list_reduce(list_prepend(4294967295::BIGINT, {list_expr}), "

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tracewise.llm.common import materialize, unused
+from tracewise.llm.common import materialize, release, unused
 from tracewise.operators.graph import connected_components
 
 U = np.uint64
@@ -392,6 +392,7 @@ def components_of_sets(docs: DataFrame, size: int, num: int, den: int, tile_shin
     ends = edges.select(F.explode(F.array("src", "dst")).alias("id")).distinct()
     blocks = connected_components(ends, edges).select(F.col("id").alias("h1"), F.col("component").alias("block"))
     members = materialize(classes.join(blocks, "h1"), "members")
+    release(docs.sparkSession)
     roots = tile_links(docs, members, size, t, tile_shingles, tile_sets)
     smallest = smallest_ids(members, roots)
     named = classes.join(smallest, ["h1", "h2"], "left").select("h1", "h2", F.coalesce("component_id", "rep").alias("component_id"),
@@ -531,8 +532,10 @@ def labels_of(links: DataFrame, split: DataFrame) -> DataFrame:
     """block, tile, h1, label: components of the links so far, for sets of split blocks."""
     ids = split.select(F.col("h1").alias("id"))
     found = connected_components(ids, links.select(F.col("h1").alias("src"), F.col("root").alias("dst")))
-    return materialize(split.select("block", "tile", "h1").join(
+    out = materialize(split.select("block", "tile", "h1").join(
         found.select(F.col("id").alias("h1"), F.col("component").alias("label")), "h1"), "labels")
+    release(split.sparkSession)
+    return out
 
 
 def with_set_hashes(docs: DataFrame, size: int, names: tuple[str, str]) -> DataFrame:
@@ -556,10 +559,12 @@ def keep_one_per_group(docs: DataFrame, size: int = 5, num: int = 80, den: int =
     no group; of rows without words that have one id and one text, one stays.
     """
     found = materialize(components_of_sets(docs, size, num, den), "groups")
-    again = found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    again = materialize(again, "repeated-ids")
-    out = found.where("doc_id <> component_id").select("doc_id").distinct()
-    single = docs.join(small_enough(out.unionByName(again).distinct(), 24), "doc_id", "left_anti")
+    release(docs.sparkSession)
+    marks = (found.where("doc_id is not null").groupBy("doc_id")
+             .agg(F.count(F.lit(1)).alias("rows"), F.max(F.col("doc_id") != F.col("component_id")).alias("gone")).where("gone or rows > 1"))
+    marks = materialize(marks, "marked-ids")
+    again = marks.where("rows > 1").select("doc_id")
+    single = docs.join(small_enough(marks.select("doc_id"), 24), "doc_id", "left_anti")
     if not again.take(1):
         return single
     # one set per component of the rows that share their id: the least of those that have the component's smallest id
