@@ -25,6 +25,9 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tracewise.operators.graph import connected_components
+from tracewise.session import ensure_checkpoint_dir
+
 SEED = 19
 CLASSES = 256
 PERIOD = 4096              # the shared bits repeat after this many steps
@@ -135,40 +138,184 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, fingerprint string")
 
 
-BANDS, PER_BAND = 16, 4
+BANDS = 24
+RUNGS = ((1, 3), (10, 6), (48, 10))    # (samples from which a rung holds, samples in one band)
+LIKE = 0.8
+TILE = 1024                            # at most about this many texts meet as many others in one group
+
+
+@functools.lru_cache(maxsize=4096)
+def _places(n: int, size: int) -> np.ndarray:
+    """For each band the first ``size`` of ``n`` places in that band's shared random order, ascending.
+
+    Two texts take the same places unless a place that only the longer one has comes
+    first, so a band agrees about as often as ``size`` places drawn from the longer text.
+    """
+    order = [np.argsort(np.random.default_rng([SEED, b]).random(8 * SAMPLES)[:n], kind="stable") for b in range(BANDS)]
+    return np.sort(np.stack(order)[:, :size], axis=1)
 
 
-def bands_of(print_: str) -> list[str]:
-    """Band keys at the text's level and the next: hashes of a few sampled classes at shared steps."""
+def parse(print_: str) -> tuple[int, np.ndarray]:
     head, body = print_.split(":")
-    steps, x = int(head, 16), np.frombuffer(bytes.fromhex(body), np.uint8)
+    return int(head, 16), np.frombuffer(bytes.fromhex(body), np.uint8)
+
+
+def at_level(steps: int, x: np.ndarray, level: int) -> np.ndarray:
+    """The samples of a text at its own or a coarser level."""
+    own = level_of(steps)
+    return x if own == level else x[np.isin(sampled(own, steps), sampled(level, steps), assume_unique=True)]
+
+
+def bands_of(print_: str, like: float = LIKE) -> list[int]:
+    """64-bit band keys of every level and rung at which a text as like as ``like`` could meet this one."""
+    steps, x = parse(print_)
     out, level = [], level_of(steps)
-    for lv in (level, level + 1):
-        y = x if lv == level else x[np.isin(sampled(level, steps), sampled(lv, steps), assume_unique=True)]
-        pick = np.random.default_rng([SEED, lv]).integers(0, SAMPLES // 4, (BANDS, PER_BAND))
-        for n, places in enumerate(pick):
-            if len(y) and places.max() < len(y):
-                out.append(f"{lv}:{n}:{y[places].tobytes().hex()}")
-    return out or [f"short:{print_}"]
+    levels = [level]
+    if len(sampled(level + 1, steps)) >= like * len(sampled(level + 1, SAMPLES << level)):
+        levels.append(level + 1)
+    for lv in levels:
+        y = at_level(steps, x, lv)
+        for k, (start, size) in enumerate(RUNGS):
+            end = RUNGS[k + 1][0] / like if k + 1 < len(RUNGS) else float("inf")
+            if start <= len(y) < end:
+                for b, places in enumerate(_places(len(y), size)):
+                    key = hashlib.blake2b(y[places].tobytes(), digest_size=8, key=b"%d:%d:%d" % (lv, k, b)).digest()
+                    out.append(int.from_bytes(key, "little", signed=True))
+    return out
 
 
-def near_links(prints: DataFrame, threshold: float = 0.8) -> DataFrame:
-    """Verified links doc_id -> pivot_id (smaller id, likeness at least ``threshold``), one row each.
+def linked(left: list[str], right: list[str], like: float = LIKE) -> list[tuple[int, int]]:
+    """Places (i, j) of texts with likeness of at least ``like``, enough of them to join all that are linked.
 
-    ``prints`` is fingerprints(). Documents that share a band are compared with the
-    smallest id of that band, which a map-side minimum finds however many share it.
+    Every pair is compared; a pair is left out only if earlier ones already connect it.
+    """
+    a, b = ([(level_of(s), s, x) for s, x in map(parse, side)] for side in (left, right))
+    up = list(range(len(a) + len(b)))
+
+    def root(i):
+        while up[i] != i:
+            up[i] = up[up[i]]
+            i = up[i]
+        return i
+
+    out = []
+    for la in sorted({t[0] for t in a}):
+        for lb in sorted({t[0] for t in b}):
+            level = max(la, lb)
+            at_b = [j for j, t in enumerate(b) if t[0] == lb]
+            ys = [at_level(b[j][1], b[j][2], level) for j in at_b]
+            size = np.array([len(y) for y in ys])
+            grid = np.full((len(ys), max(1, size.max())), -1, np.int16)
+            for row, y in zip(grid, ys, strict=True):
+                row[:len(y)] = y
+            for i in (i for i, t in enumerate(a) if t[0] == la):
+                x = at_level(a[i][1], a[i][2], level)
+                m = min(len(x), grid.shape[1])
+                equal = np.count_nonzero(grid[:, :m] == x[:m], axis=1)
+                longer = np.maximum(size, len(x))
+                for k in np.flatnonzero((equal >= like * longer - 1e-9) & (longer > 0)):
+                    p, q = root(i), root(len(a) + at_b[k])
+                    if p != q:
+                        up[p] = q
+                        out.append((i, at_b[k]))
+    return out
+
+
+def _verified(pairs: DataFrame, like: float) -> DataFrame:
+    """The pairs (cid, other) whose two fingerprints are like enough."""
+    def run(batches):
+        for batch in batches:
+            f, g = batch["fingerprint"].to_pylist(), batch["other_print"].to_pylist()
+            keep = pa.array([likeness(x, y) >= like - 1e-9 for x, y in zip(f, g, strict=True)], pa.bool_())
+            yield batch.filter(keep).select(["cid", "other"])
+
+    return pairs.select("cid", "other", "fingerprint", "other_print").mapInArrow(run, "cid string, other string")
+
+
+def near_links(classes_: DataFrame, like: float = LIKE) -> DataFrame:
+    """Links (cid, other) that join all texts found to be like enough; ``classes_`` is text_classes().
+
+    Bands of sampled places make candidates. First each text meets the smallest text
+    of each of its bands, which a map-side minimum finds however many share the band.
+    Texts unlike that one then meet every text of the band in tiles, one tile pair per
+    group, so no band is cut and none is held by one task. A link at exactly ``like``
+    is found with a chance of about 0.9, above 0.9 of nearly 1.
+    """
+    def run(batches):
+        for batch in batches:
+            for part in (batch.slice(i, 2048) for i in range(0, batch.num_rows, 2048)):
+                keys = [bands_of(f, like) for f in part["fingerprint"].to_pylist()]
+                cids = np.repeat(np.arange(part.num_rows), [len(k) for k in keys])
+                yield pa.RecordBatch.from_arrays([pa.array([k for ks in keys for k in ks], pa.int64()),
+                                                  part["cid"].take(pa.array(cids, pa.int64()))], ["band", "cid"])
+
+    banded = classes_.select("cid", "fingerprint").mapInArrow(run, "band long, cid string")
+    shared = (banded.groupBy("band").agg(F.min("cid").alias("other"), F.count(F.lit(1)).alias("n"))
+              .where("n > 1").checkpoint())
+    met = banded.join(shared, "band").where("cid <> other").checkpoint()
+    prints = classes_.select("cid", "fingerprint")
+    others = prints.select(F.col("cid").alias("other"), F.col("fingerprint").alias("other_print"))
+    stars = _verified(met.select("cid", "other").distinct().join(prints, "cid").join(others, "other"), like).checkpoint()
+    apart = met.join(stars, ["cid", "other"], "left_anti").select("band", "cid", "n").checkpoint()
+    sizes = apart.groupBy("band").agg(F.count(F.lit(1)).alias("n_apart"), F.max("n").alias("n"))
+    sizes = sizes.select("band", F.ceil(F.col("n") / TILE).cast("int").alias("tiles"),
+                         F.ceil(F.col("n_apart") / TILE).cast("int").alias("lots")).checkpoint()
+
+    def part_of(count):
+        return F.pmod(F.xxhash64("cid"), F.col(count)).cast("int")
+
+    def every(count):
+        return F.explode(F.sequence(F.lit(0), F.col(count) - 1))
+
+    # the smallest text of a band was compared with all others already, so `met` lacks only rows that are done
+    lots = (apart.select("band", "cid").join(sizes, "band").withColumn("lot", part_of("lots"))
+            .withColumn("tile", every("tiles")).join(prints, "cid").select("band", "tile", "lot", "cid", "fingerprint"))
+    tiles = (met.select("band", "cid").join(sizes, "band").withColumn("tile", part_of("tiles"))
+             .withColumn("lot", every("lots")).join(prints, "cid").select(
+                 F.col("band").alias("to_band"), F.col("tile").alias("to_tile"), F.col("lot").alias("to_lot"),
+                 F.col("cid").alias("other"), F.col("fingerprint").alias("other_print")))
+
+    def meet(left, right):
+        if left.num_rows == 0 or right.num_rows == 0:
+            return pa.table({"cid": pa.array([], pa.string()), "other": pa.array([], pa.string())})
+        a, b = left["cid"].to_pylist(), right["other"].to_pylist()
+        found = [(a[i], b[j]) for i, j in linked(left["fingerprint"].to_pylist(), right["other_print"].to_pylist(), like)
+                 if a[i] != b[j]]
+        return pa.table({"cid": pa.array([f[0] for f in found], pa.string()), "other": pa.array([f[1] for f in found], pa.string())})
+
+    rest = lots.groupBy("band", "tile", "lot").cogroup(tiles.groupBy("to_band", "to_tile", "to_lot")).applyInArrow(meet, "cid string, other string")
+    return stars.unionByName(rest).distinct()
+
+
+def text_classes(prints: DataFrame) -> DataFrame:
+    """cid (md5 of the fingerprint), fingerprint, first_id (smallest doc_id), n_copies: one row per fingerprint."""
+    return (prints.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n_copies"))
+            .withColumn("cid", F.md5("fingerprint")))
+
+
+def link_documents(docs: DataFrame, like: float = LIKE) -> DataFrame:
+    """doc_id, n_copies, n_links, component_id for every row of ``docs``.
+
+    n_copies counts the rows with this row's fingerprint, itself included; n_links
+    the verified links kept for it (enough to connect its component, not all pairs);
+    component_id is the smallest doc_id that links reach. Null and empty texts
+    are one class with no links to others. Equal rows give equal rows; rows of one
+    id are judged by their texts; a component of null ids only has a null id. An
+    empty table gives no rows; other columns are ignored.
     """
-    keyed = F.udf(bands_of, "array<string>")
-    one = prints.where("doc_id is not null").groupBy("fingerprint").agg(F.min("doc_id").alias("doc_id"))
-    banded = one.select("doc_id", "fingerprint", F.explode(keyed("fingerprint")).alias("band"))
-    pivots = banded.groupBy("band").agg(F.min(F.struct("doc_id", "fingerprint")).alias("pivot"))
-    pairs = (banded.join(pivots, "band").where(F.col("pivot.doc_id") < F.col("doc_id"))
-             .select("doc_id", "fingerprint", F.col("pivot.doc_id").alias("pivot_id"), F.col("pivot.fingerprint").alias("other"))
-             .distinct())
-    scored = pairs.withColumn("likeness", F.udf(likeness, "double")("fingerprint", "other"))
-    copies = prints.join(one.withColumnRenamed("doc_id", "pivot_id"), "fingerprint").where("pivot_id < doc_id")
-    return (scored.where(F.col("likeness") >= threshold).select("doc_id", "pivot_id", "likeness")
-            .unionByName(copies.select("doc_id", "pivot_id", F.lit(1.0).alias("likeness"))))
+    ensure_checkpoint_dir(docs.sparkSession)
+    prints = fingerprints(docs).checkpoint()
+    classes_ = text_classes(prints).checkpoint()
+    links = near_links(classes_, like).checkpoint()
+    parts = connected_components(classes_.select(F.col("cid").alias("id")), links.select(F.col("cid").alias("src"),
+                                                                                          F.col("other").alias("dst")))
+    ends = links.select("cid").unionByName(links.select(F.col("other").alias("cid"))).groupBy("cid").agg(
+        F.count(F.lit(1)).alias("n_links"))
+    named = classes_.join(parts.withColumnRenamed("id", "cid"), "cid").join(ends, "cid", "left").checkpoint()
+    firsts = named.groupBy("component").agg(F.min("first_id").alias("component_id")).checkpoint()
+    named = named.join(firsts, "component").select(
+        "fingerprint", "n_copies", F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"), "component_id")
+    return prints.join(named, "fingerprint").select("doc_id", "n_copies", "n_links", "component_id")
 
 
 def with_next(docs: DataFrame, block_rows: int = 512, most_blocks: int = 20_000) -> DataFrame:

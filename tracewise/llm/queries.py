@@ -22,6 +22,11 @@ def op2_fingerprints(spark, sf_dir):
     return editwalk.compare_with_edits(table(spark, sf_dir, "documents"))
 
 
+def fingerprint_links(spark, sf_dir):
+    """The fingerprints of op2 banded, verified and joined: each document's component of like texts."""
+    return editwalk.link_documents(table(spark, sf_dir, "documents"))
+
+
 def op3_jaccard(spark, sf_dir):
     return sigtree.jaccard_components(table(spark, sf_dir, "documents"), size=3, num=90, den=100)
 
@@ -140,7 +145,7 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS pre
 FROM p"""
 
 QUERIES = {f.__name__: f for f in (
-    op1_quotes, op2_fingerprints, op3_jaccard, op4_packing, op5_quality,
+    op1_quotes, op2_fingerprints, fingerprint_links, op3_jaccard, op4_packing, op5_quality,
     op6_toxicity, op7_bpe, op8_secrets, op9_sharding, op10_topk, op11_fim, op12_url_filter, op13_periodic_runs)}
 ORACLES = {"op1_quotes": OP1_SQL, "op3_jaccard": OP3_SQL, "op9_sharding": OP9_SQL, "op10_topk": OP10_SQL,
            "op11_fim": OP11_SQL, "op12_url_filter": urltree.twin_sql()}
