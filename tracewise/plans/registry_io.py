@@ -7,9 +7,15 @@ self-contained and replay-safe.
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType, TimestampType
 
 from tracewise.operators import layout as lay
+from tracewise.operators import sketches as sk
+from tracewise.operators import stored
 from tracewise.operators import upsert as up
 from tracewise.operators.bronze import flatten_metadata
 from tracewise.operators.logs import api_calls
@@ -21,6 +27,7 @@ from tracewise.plans.registry import EDGE_COLS, FLAT_META, _clean_logs
 from tracewise.session import path_bytes, shared_dir
 from tracewise.sources.json_logs import to_json_lines
 from tracewise.streaming import medallion as med
+from tracewise.streaming.tables import run_table_to_table
 
 EDGE_NAMES = [c.strip() for c in EDGE_COLS.split(",")]
 BRONZE_FLAT = "id, event_ts, role, event_type, entity_id, entity_type, " + FLAT_META
@@ -68,6 +75,48 @@ def q_upsert_edges(spark, sf_dir):
     return up.upsert(silver_edges(a), silver_edges(b), up.EDGE_KEYS)
 
 
+@query("upsert_edges_in_place", with_ctes(_anti_union(up.EDGE_KEYS, EDGE_COLS), "bronze", extra=[
+    *_SPLIT_CTES, ("tgt", edges_sql("bronze_a")), ("src", edges_sql("bronze_b")),
+]))
+def q_upsert_edges_in_place(spark, sf_dir):
+    """B8 + J4: the stored edges, upserted where they are; the second batch is applied twice (a replay)."""
+    a, b = _split_bronze(Lake(spark, sf_dir))
+    path = shared_dir(spark, "edges_in_place")
+    for batch in (a, b, b):
+        stored.upsert_in_place(path, silver_edges(batch), up.EDGE_KEYS, ["relationship"])
+    return spark.read.schema(silver_edges(a).schema).parquet(path).select(*EDGE_NAMES)
+
+
+@query("declared_table_stream", with_ctes(f"SELECT {EDGE_COLS}, TRUE AS filled FROM edges", "edges"))
+def q_declared_table_stream(spark, sf_dir):
+    """B6 + A6 + J1: insert by name into a declared table whose default fills update_timestamp, then stream table to table."""
+    edges, home = silver_edges(Lake(spark, sf_dir).bronze), shared_dir(spark, "declared")
+    source, target = (f"{kind}_{home.rsplit('-', 1)[1]}" for kind in ("declared", "streamed"))
+    stored.declare_table(spark, source, StructType(edges.schema.fields + [StructField("update_timestamp", TimestampType())]),
+                         f"{home}/source", {"update_timestamp": "current_timestamp()"})
+    stored.insert_by_name(edges, source)
+    run_table_to_table(spark, source, target, f"{home}/progress", f"{home}/target")
+    return spark.table(target).select(*EDGE_NAMES, F.col("update_timestamp").isNotNull().alias("filled"))
+
+
+SKETCHED = ["id", "entity_id", "event_type", "event_ts"]
+
+
+@query("sketch_profile", with_ctes(" UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", COUNT(DISTINCT {c}) AS n_exact, TRUE AS within_bound FROM bronze" for c in SKETCHED), "bronze"))
+def q_sketch_profile(spark, sf_dir):
+    """F4 + C6: stored day sketches merged over all days, held against the exact distinct counts."""
+    bronze, path = Lake(spark, sf_dir).bronze, shared_dir(spark, "day_sketches")
+    sk.day_sketches(bronze, SKETCHED, ["event_ts"]).write.parquet(path)
+    estimates = sk.distinct_estimates(sk.merged(spark.read.parquet(path)))
+    exact = reduce(DataFrame.unionByName, [
+        bronze.select(F.col(c).cast("string").alias("value")).where("value is not null").distinct()
+        .agg(F.count(F.lit(1)).alias("n_exact")).select(F.lit(c).alias("column"), "n_exact") for c in SKETCHED])
+    error = F.abs(F.col("n_estimated") - F.col("n_exact"))
+    return exact.join(F.broadcast(estimates), "column").select(      # one row per sketched column
+        "column", "n_exact", (error <= sk.DISTINCT_BOUND * F.col("n_exact")).alias("within_bound"))
+
+
 @query("upsert_events", with_ctes(_anti_union(up.EVENT_KEYS, BRONZE_FLAT), "bronze", extra=[
     *_SPLIT_CTES, ("tgt", "SELECT * FROM bronze_a"), ("src", "SELECT * FROM bronze_b"),
 ]))

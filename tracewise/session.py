@@ -102,3 +102,9 @@ def path_bytes(spark: SparkSession, path: str) -> int:
     """Bytes of all files below a path (one call to the store that holds it)."""
     fs, hpath = _file_system(spark, path)
     return int(fs.getContentSummary(hpath).getLength())
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this library wrote."""
+    fs, hpath = _file_system(spark, path)
+    fs.delete(hpath, True)
