@@ -114,11 +114,11 @@ def connected_components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
 
     Alternating large-star / small-star rounds (Kiveris et al., 2014) over the
     edge list until it stops changing. Each round is two aggregates and two
-    joins; a hub vertex appears as one row per neighbour, which AQE's skew
-    join splits. Each round reads its input several times, so an uncut plan
-    would grow geometrically: lineage is cut with reliable ``checkpoint()``
-    into the session's checkpoint folder every round. The loop ends when a round
-    changes nothing, however many rounds that takes.
+    joins; the neighbours of a hub meet its label where they are (see
+    ``_with_label``), so no task holds them all. Each round reads its input several
+    times, so an uncut plan would grow geometrically: lineage is cut with reliable
+    ``checkpoint()`` into the session's checkpoint folder every round. The loop ends
+    when a round changes nothing, however many rounds that takes.
     Edges whose ends are not both vertices are ignored (T16).
     """
     ensure_checkpoint_dir(vertices.sparkSession)
@@ -131,7 +131,8 @@ def connected_components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     cur = e.select(F.greatest("src", "dst").alias("hi"), F.least("src", "dst").alias("lo")).distinct()
     cur = cur.checkpoint()
     while True:
-        nxt = _small_star(_large_star(cur)).checkpoint()
+        n_edges = cur.count()
+        nxt = _small_star(_large_star(cur, n_edges), n_edges).checkpoint()
         changed = _edge_sets_differ(cur, nxt)
         cur = nxt
         if not changed:
@@ -143,26 +144,39 @@ def connected_components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
             .withColumn("component", F.coalesce(F.col("component"), F.col("id"))))
 
 
-def _neighbour_min(edges: DataFrame) -> DataFrame:
-    """m(v) = min(v, N(v)) over an undirected (hi, lo) edge list."""
-    both = edges.select(F.col("hi").alias("v"), F.col("lo").alias("u")).unionByName(
-        edges.select(F.col("lo").alias("v"), F.col("hi").alias("u")))
-    return both.groupBy("v").agg(F.least(F.min("u"), F.col("v")).alias("m")), both
+HUB_SHARE = 500     # a vertex with more than 1 / HUB_SHARE of all edges is a hub: at most 2 * HUB_SHARE of them
+
+
+def _with_label(rows: DataFrame, labels: DataFrame, n_edges: int) -> DataFrame:
+    """``rows`` (v, u) joined with ``labels`` (v, m, n) on v, n being the rows of v counted by the aggregate.
+
+    Hubs are few whatever the graph, so their labels are broadcast and their rows
+    are not shuffled; all others are joined by shuffle, none with more than
+    1 / HUB_SHARE of the edges.
+    """
+    is_hub = F.col("n") * HUB_SHARE > F.lit(n_edges)
+    hubs = labels.filter(is_hub).select("v", "m")
+    others = labels.filter(~is_hub).select("v", "m")
+    return (rows.join(F.broadcast(hubs), "v")
+            .unionByName(rows.join(F.broadcast(hubs.select("v")), "v", "left_anti").join(others, "v")))
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
-    """For each v: link every larger neighbour u > v to m(v)."""
-    mins, both = _neighbour_min(edges)
-    linked = both.filter(F.col("u") > F.col("v")).join(mins, "v").select(F.col("u").alias("hi"), F.col("m").alias("lo"))
-    return linked.filter(F.col("hi") != F.col("lo")).distinct()
+def _large_star(edges: DataFrame, n_edges: int) -> DataFrame:
+    """For each v: link every larger neighbour u > v to m(v) = min(v, N(v))."""
+    both = edges.select(F.col("hi").alias("v"), F.col("lo").alias("u")).unionByName(
+        edges.select(F.col("lo").alias("v"), F.col("hi").alias("u")))
+    labels = both.groupBy("v").agg(F.least(F.min("u"), F.col("v")).alias("m"), F.count(F.lit(1)).alias("n"))
+    larger = edges.select(F.col("lo").alias("v"), F.col("hi").alias("u"))
+    linked = _with_label(larger, labels, n_edges).select(F.col("u").alias("hi"), F.col("m").alias("lo"))
+    return linked.distinct()
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
-    """For each v: link v and every smaller neighbour u < v to m(v) = min of those."""
-    mins = edges.groupBy(F.col("hi").alias("v")).agg(F.min("lo").alias("m"))
+def _small_star(edges: DataFrame, n_edges: int) -> DataFrame:
+    """For each v: link v and every smaller neighbour u < v to m(v) = min of those; ``n_edges`` is at least the edges."""
+    labels = edges.groupBy(F.col("hi").alias("v")).agg(F.min("lo").alias("m"), F.count(F.lit(1)).alias("n"))
     smaller = edges.select(F.col("hi").alias("v"), F.col("lo").alias("u"))
-    linked = smaller.join(mins, "v").select(F.greatest("u", "m").alias("hi"), F.least("u", "m").alias("lo"))
-    own = mins.select(F.greatest("v", "m").alias("hi"), F.least("v", "m").alias("lo"))
+    linked = _with_label(smaller, labels, n_edges).select(F.greatest("u", "m").alias("hi"), F.least("u", "m").alias("lo"))
+    own = labels.select(F.greatest("v", "m").alias("hi"), F.least("v", "m").alias("lo"))
     return linked.unionByName(own).filter(F.col("hi") != F.col("lo")).distinct()
 
 
