@@ -180,3 +180,59 @@ def test_patterns_without_examples_have_a_prior(spark):
     model = toxicity.learn(docs, labels)
     threat, harmless, negated, empty = model.scores(["I will kill you", "kill the process", "I will not kill you", ""])
     assert threat > harmless > empty == negated
+
+
+def random_views(n, seed=3):
+    """Rows of the two views' widths; label and views agree, single precision as stored."""
+    r = np.random.default_rng(seed)
+    y = r.integers(0, 2, n).astype(float)
+    widths = len(cotrain.text_view("")), len(cotrain.page_view("", "", "", 0))
+    views = [np.concatenate([(y * 2)[:, None] + r.normal(0, 0.8, (n, 2)), r.normal(0, 1, (n, w - 2))], axis=1).astype(np.float32).astype(float)
+             for w in widths]
+    return views, y
+
+
+@pytest.mark.parametrize("parts", [1, 7])
+def test_exchange_over_spark_equals_the_one_in_memory(spark, parts):
+    """All rows of the table take part, however they are partitioned; 150 partitions' sums would meet in groups of 64."""
+    x, y = random_views(3000)
+    rows = spark.createDataFrame([(a.tolist(), b.tolist()) for a, b in zip(x[0][300:2500], x[1][300:2500], strict=True)], "a array<float>, b array<float>")
+    known, check = [v[:300] for v in x], [v[2500:] for v in x]
+    near = cotrain.CoTrained().fit(known, y[:300], [v[300:2500] for v in x], check, y[2500:])
+    far = cotrain.CoTrained().fit(known, y[:300], cotrain.over(rows.repartition(parts)), check, y[2500:])
+    assert np.allclose(near.scores(*check), far.scores(*check), atol=1e-6)
+    assert np.mean((near.scores(*check)[:, 2] > 0.5) == (y[2500:] == 1)) > 0.95
+    total = cotrain.over(rows.repartition(150))(cotrain._moments)
+    assert total[0] == 2200 and np.allclose(total, cotrain._moments([v[300:2500] for v in x]))
+    assert cotrain.over(rows.limit(0))(cotrain._moments)[0] == 0
+
+
+def test_exchanged_labels_against_a_row_by_row_replay():
+    x, y = random_views(600)
+    models = [learning.Logistic().fit(v[:40], y[:40]) for v in x]
+    rounds = []
+    for _ in range(3):
+        counts = cotrain._histograms(models, rounds, x).reshape(2, cotrain.BINS)
+        rounds.append((models, [cotrain._cuts(c, 30, 20) for c in counts]))
+        models = [m.moved(m.sums(v[:40], y[:40], np.ones(40))) for m, v in zip(models, x, strict=True)]
+    given, free = cotrain.exchanged(rounds, x)
+    for i in range(600):
+        want, at = [-1, -1], None
+        for ms, cuts in rounds:
+            for v in (0, 1):
+                place = int(cotrain._bins(ms[v].logit(x[v][i:i + 1]))[0])
+                if place <= cuts[v][0] or place >= cuts[v][1]:
+                    want[1 - v], at = int(place >= cuts[v][1]), True
+            if at:
+                break
+        assert [g[i] for g in given] == want and free[i] == (at is None)
+    assert (~free).sum() >= 100
+    low, high = cotrain._cuts(np.ones(cotrain.BINS), 5, 7)
+    assert (low + 1, cotrain.BINS - high) == (5, 7)
+
+
+def test_unlabelled_rows_are_all_outside_the_held_out_fold(spark, tables):
+    docs, labels = tables
+    known = labels.where("quality is not null")
+    want = docs.where(learning.fold() != learning.HELD_OUT).join(known, "doc_id", "left_anti").count()
+    assert cotrain.unlabelled_rows(docs, labels).count() == want > 3000

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from copy import copy
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,23 +34,42 @@ class Logistic:
     def __init__(self, strength: float = 1.0, steps: int = 25):
         self.strength, self.steps = strength, steps
 
-    def fit(self, x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None) -> Logistic:
+    def fit(self, x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None, scaling: tuple[np.ndarray, np.ndarray] | None = None) -> Logistic:
+        """``scaling``: mean and scale of the features; those of ``x`` if not given."""
         w = np.ones(len(y)) if weight is None else weight
-        self.mean, self.scale = x.mean(axis=0), x.std(axis=0) + 1e-9
-        z = np.hstack([(x - self.mean) / self.scale, np.ones((len(x), 1))])
-        beta = np.zeros(z.shape[1])
-        ridge = np.full(z.shape[1], self.strength)
-        ridge[-1] = 1e-3
+        self.mean, self.scale = (x.mean(axis=0), x.std(axis=0) + 1e-9) if scaling is None else scaling
+        z = self._standard(x)
+        self.beta = np.zeros(z.shape[1])
         for _ in range(self.steps):
-            p = 1 / (1 + np.exp(-np.clip(z @ beta, -30, 30)))
-            grad = z.T @ (w * (p - y)) + ridge * beta
-            step = np.linalg.solve((z * (w * p * (1 - p) + 1e-6)[:, None]).T @ z + np.diag(ridge), grad)
-            beta = beta - step * min(1.0, 5.0 / (np.abs(step).max() + 1e-12))
-            if np.abs(step).max() < 1e-6:
+            if self._move(*self._sums(z, y, w)) < 1e-6:
                 break
-        self.beta = beta
         return self
 
+    def sums(self, x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
+        """Gradient and curvature of the rows' loss as one flat array; those of parts add up."""
+        grad, curve = self._sums(self._standard(x), y, weight)
+        return np.concatenate([grad, curve.ravel()])
+
+    def moved(self, sums: np.ndarray) -> Logistic:
+        """The model one Newton step further."""
+        other, d = copy(self), len(self.beta)
+        other._move(sums[:d], sums[d:].reshape(d, d))
+        return other
+
+    def _standard(self, x: np.ndarray) -> np.ndarray:
+        return np.hstack([(x - self.mean) / self.scale, np.ones((len(x), 1))])
+
+    def _sums(self, z: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        p = 1 / (1 + np.exp(-np.clip(z @ self.beta, -30, 30)))
+        return z.T @ (w * (p - y)), (z * (w * p * (1 - p) + 1e-6)[:, None]).T @ z
+
+    def _move(self, grad: np.ndarray, curve: np.ndarray) -> float:
+        ridge = np.full(len(self.beta), self.strength)
+        ridge[-1] = 1e-3
+        step = np.linalg.solve(curve + np.diag(ridge), grad + ridge * self.beta)
+        self.beta = self.beta - step * min(1.0, 5.0 / (np.abs(step).max() + 1e-12))
+        return np.abs(step).max()
+
     def logit(self, x: np.ndarray) -> np.ndarray:
         return (x - self.mean) / self.scale @ self.beta[:-1] + self.beta[-1]
 
