@@ -48,3 +48,26 @@ def test_no_task_holds_a_hub(spark, hub_is_small):
     labels = rows.groupBy("v").agg(F.min("u").alias("m"), F.count(F.lit(1)).alias("n"))
     per = [r["count"] for r in graph._with_label(rows, labels, 100_000).groupBy(F.spark_partition_id()).count().collect()]
     assert sum(per) == 100_000 and max(per) <= 4 * sorted(per)[len(per) // 2]
+
+
+@pytest.mark.parametrize("share", [1, 500])
+def test_labels_kept_over_batches_equal_a_full_run(spark, monkeypatch, share):
+    """Three batches: a growing star, a chain that joins old components, repeats and edges to unknown ends."""
+    monkeypatch.setattr(graph, "HUB_SHARE", share)
+    r = random.Random(7)
+    batches = [([(0, i) for i in range(1, 200)] + [(r.randrange(300, 500), r.randrange(300, 500)) for _ in range(90)], range(0, 500)),
+               ([(i, i + 1) for i in range(600, 640)] + [(600, 300), (0, 1), (7, 7), (None, 3), (2, 9999)], range(400, 700)),
+               ([(640, 5), (650, 651), (5, 640)], range(650, 652))]
+    labels = spark.createDataFrame([], "id long, component long")
+    seen_pairs, seen_ids = [], set()
+    for pairs, ids in batches:
+        v = spark.createDataFrame([(i,) for i in ids] + [(None,)], "id long")
+        e = spark.createDataFrame(pairs, "src long, dst long")
+        labels = graph.extend_components(labels, v, e)
+        seen_ids |= set(ids)
+        seen_pairs += [(a, b) for a, b in pairs if a is not None and a in seen_ids and b in seen_ids]
+        rows = labels.collect()
+        assert {x["id"]: x["component"] for x in rows} == union_find(seen_ids, seen_pairs) and len(rows) == len(seen_ids)
+    if share == 500:
+        assert sorted(graph.extend_components(labels, v, e).collect()) == sorted(rows)
+        assert sorted(graph.extend_components(labels, v.limit(0), e.limit(0)).collect()) == sorted(rows)

@@ -144,6 +144,41 @@ def connected_components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
             .withColumn("component", F.coalesce(F.col("component"), F.col("id"))))
 
 
+def extend_components(labels: DataFrame, vertices: DataFrame, edges: DataFrame) -> DataFrame:
+    """L7 kept over loads: (id, component) of the stored ``labels`` after new vertices and edges.
+
+    Old edges are not read. Only components that a new edge touches become vertices of a
+    small graph, whose labels then replace theirs; the result equals a full run over all
+    vertices and edges. Vertices that are known already, repeated edges and a batch
+    applied again change nothing; edges with an end that is no vertex by then are ignored
+    (T16), so a vertex must not come after its edges. Hubs among the edges and components with over 1/500 of all vertices meet their label by
+    broadcast. An empty ``labels`` gives the components of the batch alone.
+    """
+    ensure_checkpoint_dir(labels.sparkSession)
+    old = labels.select("id", "component")
+    fresh = vertices.select("id").where("id is not null").distinct().join(old, "id", "left_anti")
+    known = old.unionByName(fresh.select("id", F.col("id").alias("component"))).checkpoint()
+
+    def meet(rows: DataFrame) -> DataFrame:
+        rows = rows.distinct().checkpoint()
+        per = rows.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
+        label = per.join(known.select(F.col("id").alias("v"), F.col("component").alias("m")), "v")
+        return _with_label(rows, label, rows.count())
+
+    ends = edges.select("src", "dst").where("src is not null and dst is not null and src <> dst")
+    half = meet(ends.select(F.col("src").alias("v"), F.col("dst").alias("u"))).select(F.col("u").alias("v"), F.col("m").alias("u"))
+    links = meet(half).where("u <> m").select(F.least("u", "m").alias("src"), F.greatest("u", "m").alias("dst")).distinct().checkpoint()
+    touched = links.select(F.col("src").alias("id")).unionByName(links.select(F.col("dst").alias("id"))).distinct()
+    moved = connected_components(touched, links).where("id <> component").select(F.col("id").alias("component"), F.col("component").alias("m"))
+
+    total = known.count()
+    large = (known.groupBy("component").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") * HUB_SHARE > F.lit(total))
+             .select("component").join(moved, "component", "left"))
+    small = known.join(F.broadcast(large.select("component")), "component", "left_anti")
+    found = known.join(F.broadcast(large), "component").unionByName(small.join(moved, "component", "left"))
+    return found.select("id", F.coalesce("m", "component").alias("component"))
+
+
 HUB_SHARE = 500     # a vertex with more than 1 / HUB_SHARE of all edges is a hub: at most 2 * HUB_SHARE of them
 
 

@@ -419,20 +419,33 @@ def q_reciprocal_pair_counts(spark, sf_dir):
     return gr.reciprocal_pair_counts(Lake(spark, sf_dir).edges)
 
 
-@query("connected_components", with_ctes(
+_COMPONENTS_SQL = with_ctes(
     "SELECT s AS id, MIN(t) AS component FROM reach GROUP BY s", "edges", "node_table", recursive=True, extra=[
         ("v", "SELECT DISTINCT id FROM node_table"),
         ("und", "SELECT e.src AS a, e.dst AS b FROM edges e WHERE e.src IN (SELECT id FROM v) "
                 "AND e.dst IN (SELECT id FROM v) UNION SELECT e.dst, e.src FROM edges e "
                 "WHERE e.src IN (SELECT id FROM v) AND e.dst IN (SELECT id FROM v)"),
         ("reach", "SELECT id AS s, id AS t FROM v UNION SELECT r.s, u.b FROM reach r JOIN und u ON r.t = u.a"),
-    ]))
+    ])
+
+
+@query("connected_components", _COMPONENTS_SQL)
 def q_connected_components(spark, sf_dir):
     """label = smallest vertex id of the component."""
     lake = Lake(spark, sf_dir)
     return gr.connected_components(lake.vertices.select("id"), lake.edges)
 
 
+@query("components_incremental", _COMPONENTS_SQL)
+def q_components_incremental(spark, sf_dir):
+    """Labels of the edges before the cutoff are stored; those after it are folded in without reading the old ones."""
+    lake = Lake(spark, sf_dir)
+    ids, cut = lake.vertices.select("id"), F.to_timestamp(F.lit(lake.cutoff))
+    path = shared_dir(spark, "component_labels")
+    gr.connected_components(ids, lake.edges.where(F.col("event_ts") < cut)).write.mode("overwrite").parquet(path)
+    return gr.extend_components(spark.read.parquet(path), ids, lake.edges.where(F.col("event_ts") >= cut))
+
+
 @query("neighbor_avg_degree", with_ctes(
     "SELECT nb.id AS id, AVG(deg.degree) AS avg_neighbor_degree FROM nb JOIN deg ON nb.nb = deg.id "
     "WHERE nb.id LIKE 'user_%' GROUP BY nb.id", "edges", extra=[

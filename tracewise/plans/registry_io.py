@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType, TimestampType
 
+from tracewise.operators import clustering as cl
 from tracewise.operators import layout as lay
 from tracewise.operators import sketches as sk
 from tracewise.operators import stored
@@ -236,6 +237,19 @@ def q_cluster_layout(spark, sf_dir):
     return flatten_metadata(spark.read.parquet(_clustered_bronze(spark, sf_dir, "range")))
 
 
+@query("clustered_loads", with_ctes(_anti_union(up.EVENT_KEYS, BRONZE_FLAT), "bronze", extra=[
+    *_SPLIT_CTES, ("tgt", "SELECT * FROM bronze_a"), ("src", "SELECT * FROM bronze_b")]))
+def q_clustered_loads(spark, sf_dir):
+    """Hilbert pieces declared over the rows before the cutoff; the later ones rewrite only the pieces they fall into."""
+    old, new = _split_bronze(Lake(spark, sf_dir))
+    source, path = shared_dir(spark, "clustered_source"), shared_dir(spark, "clustered_bronze")
+    old.write.mode("overwrite").parquet(source)
+    size = path_bytes(spark, source)
+    cl.declare_clustering(spark.read.schema(old.schema).parquet(source), path, ["event_ts", "entity_id"], size, target_bytes=128 * 1024)
+    cl.load_clustered(path, new, up.EVENT_KEYS)
+    return flatten_metadata(cl.read_clustered(spark, path))
+
+
 @query("column_statistics", with_ctes(
     "SELECT 'entity_id' AS column_name, COUNT(*) AS n_rows, COUNT(*) - COUNT(entity_id) AS n_nulls, "
     "COUNT(DISTINCT entity_id) AS n_distinct, MIN(entity_id) AS min_value, MAX(entity_id) AS max_value FROM bronze "

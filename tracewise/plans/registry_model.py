@@ -12,6 +12,7 @@ from tracewise.operators import graph as gr
 from tracewise.operators import models
 from tracewise.operators import search as srch
 from tracewise.operators.knn import knn_scores
+from tracewise.operators.knn_hash import knn_hashed
 from tracewise.operators.model_registry import ModelRegistry
 from tracewise.operators.upsert import upsert
 from tracewise.plans.catalog import query
@@ -44,16 +45,27 @@ def _knn_sql(points: str, ref: str, pid: str, exclude_self: bool) -> str:
     return (f"SELECT a.{pid} AS qid, sqrt({dist}) AS d FROM {points} a JOIN {ref} b ON {cond}")
 
 
-@query("knn_anomaly_score", with_ctes(
+_KNN_SCORE_SQL = with_ctes(
     f"SELECT qid AS id, ROUND(d, 6) AS score FROM (SELECT qid, d, row_number() OVER (PARTITION BY qid ORDER BY d) rn "
     f"FROM pairs) t WHERE rn = {K}", "training_frame",
-    extra=[SPLIT_CTE, TRAIN_CTE, ("pairs", _knn_sql("train", "train", "id", True))]))
+    extra=[SPLIT_CTE, TRAIN_CTE, ("pairs", _knn_sql("train", "train", "id", True))])
+
+
+@query("knn_anomaly_score", _KNN_SCORE_SQL)
 def q_knn_anomaly_score(spark, sf_dir):
     """M3: distance to the 5th nearest other training row (exact)."""
     tr = _train(Lake(spark, sf_dir))
     return knn_scores(tr, "id", FEATS, k=K).select("id", F.round("score", 6).alias("score"))
 
 
+@query("knn_hashed_score", _KNN_SCORE_SQL)
+def q_knn_hashed_score(spark, sf_dir):
+    """M3 by random projections: equal to the exact score while all rows fit one block, at least 0.9 of the neighbours beyond."""
+    tr = _train(Lake(spark, sf_dir))
+    vector = F.array(*[F.col(c).cast("double") for c in FEATS])
+    return knn_hashed(tr, "id", vector, K).select("id", F.round("score", 6).alias("score"))
+
+
 _ECOD_EXTRA = [
     ("long", "SELECT id, feature, CAST(value AS DOUBLE) AS value FROM (UNPIVOT training_frame ON "
              + ", ".join(FEATS) + " INTO NAME feature VALUE value)"),
