@@ -189,22 +189,39 @@ SHARE_RATES = {
 }
 
 
+def _owned_places(share_edges: DataFrame) -> DataFrame:
+    """Distinct (src, dst, entity_sub_relationship): the (share, token) places of every owner."""
+    return (share_edges.select("src", "dst", "entity_sub_relationship")
+            .filter(F.col("dst").isNotNull() & F.col("entity_sub_relationship").isNotNull()).distinct())
+
+
+def _access_places(accesses: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Distinct accesses (_a_id, _a_src, _a_dst): those whose id has one place, and those whose id has several."""
+    acc = (accesses.filter((F.col("relationship") == SHARE_ACCESS) & F.col("id").isNotNull()
+                           & F.col("src").isNotNull() & F.col("dst").isNotNull())
+           .select(F.col("id").alias("_a_id"), F.col("src").alias("_a_src"), F.col("dst").alias("_a_dst")).distinct())
+    per_id = acc.groupBy("_a_id").agg(F.count(F.lit(1)).alias("_n"), F.min(F.struct("_a_src", "_a_dst")).alias("_at"))
+    return (per_id.filter(F.col("_n") == 1).select("_a_id", "_at._a_src", "_at._a_dst"),
+            acc.join(per_id.filter(F.col("_n") > 1).select("_a_id"), "_a_id", "left_semi"))
+
+
+def _answered(places: DataFrame, answers: DataFrame) -> DataFrame:
+    return places.join(answers, (places["dst"] == answers["_a_src"]) & (places["entity_sub_relationship"] == answers["_a_dst"]))
+
+
 def reciprocal_access_ids(share_edges: DataFrame, accesses: DataFrame) -> DataFrame:
     """Distinct (src, access id) where an access edge answers a share edge:
     ``e.entity_sub_relationship = e2.dst AND e2.src = e.dst`` with e2 an access.
 
-    Both sides are de-duplicated to their join columns first, so the join
-    emits one row per (owner, access) and never share rows x access rows.
+    The result has a row per owner and answer, many more than both inputs, and is
+    not shuffled: both sides are distinct, so an access id with one (share, token)
+    pair meets an owner once. Only the few ids with several pairs could meet one
+    again and are made distinct after the join.
     """
-    pairs = (share_edges.select("src", "dst", "entity_sub_relationship")
-             .filter(F.col("dst").isNotNull() & F.col("entity_sub_relationship").isNotNull())
-             .distinct())
-    acc = (accesses.filter(F.col("relationship") == SHARE_ACCESS)
-           .select(F.col("src").alias("_a_src"), F.col("dst").alias("_a_dst"), F.col("id").alias("_a_id"))
-           .filter(F.col("_a_id").isNotNull())
-           .distinct())
-    j = pairs.join(acc, (pairs["dst"] == acc["_a_src"]) & (pairs["entity_sub_relationship"] == acc["_a_dst"]))
-    return j.select("src", F.col("_a_id").alias("access_id")).distinct()
+    places = _owned_places(share_edges)
+    one, several = _access_places(accesses)
+    once = _answered(places, one).select("src", F.col("_a_id").alias("access_id"))
+    return once.unionByName(_answered(places, several).select("src", F.col("_a_id").alias("access_id")).distinct())
 
 
 def reciprocal_access_counts(share_edges: DataFrame, accesses: DataFrame) -> DataFrame:
@@ -214,18 +231,11 @@ def reciprocal_access_counts(share_edges: DataFrame, accesses: DataFrame) -> Dat
     not the accesses themselves. Only an access id that occurs with several (share,
     token) pairs could be counted twice that way; those few go through the pairs.
     """
-    pairs = (share_edges.select("src", "dst", "entity_sub_relationship")
-             .filter(F.col("dst").isNotNull() & F.col("entity_sub_relationship").isNotNull()).distinct())
-    per_id = (accesses.filter((F.col("relationship") == SHARE_ACCESS) & F.col("id").isNotNull()
-                              & F.col("src").isNotNull() & F.col("dst").isNotNull())
-              .select("id", "src", "dst").distinct()
-              .groupBy("id").agg(F.count(F.lit(1)).alias("_n"), F.min(F.struct("src", "dst")).alias("_at")))
-    counted = (per_id.filter(F.col("_n") == 1)
-               .groupBy(F.col("_at.src").alias("_a_src"), F.col("_at.dst").alias("_a_dst")).agg(F.count(F.lit(1)).alias("_accesses")))
-    on = (pairs["dst"] == counted["_a_src"]) & (pairs["entity_sub_relationship"] == counted["_a_dst"])
-    simple = pairs.join(counted, on).select("src", "_accesses")
-    several = accesses.join(per_id.filter(F.col("_n") > 1).select("id"), "id", "left_semi")
-    other = reciprocal_access_ids(share_edges, several).select("src", F.lit(1).cast("long").alias("_accesses"))
+    places = _owned_places(share_edges)
+    one, several = _access_places(accesses)
+    counted = one.groupBy("_a_src", "_a_dst").agg(F.count(F.lit(1)).alias("_accesses"))
+    simple = _answered(places, counted).select("src", "_accesses")
+    other = _answered(places, several).select("src", "_a_id").distinct().select("src", F.lit(1).cast("long").alias("_accesses"))
     return simple.unionByName(other).groupBy("src").agg(F.sum("_accesses").alias("num_reciprocal_accessed_shares"))
 
 
