@@ -183,6 +183,7 @@ def with_predictions(features: DataFrame, scores: DataFrame, id_col: str) -> Dat
 
 def normalised_ranks(scores: DataFrame, id_col: str, score_col: str = "s") -> DataFrame:
     """(id, rank in (0, 1]): average rank of the score among all rows / row count."""
+    scores = scores.checkpoint()      # a detector's lazy job, read twice below
     per = (scores.filter(F.col(score_col).isNotNull())
            .groupBy(F.col(score_col).cast("double").alias("v")).agg(F.count(F.lit(1)).alias("c"))
            .withColumn("g", F.lit(0)).checkpoint())
@@ -244,7 +245,7 @@ def model_runs(features: DataFrame, labels: DataFrame, id_col: str, feature_cols
     kmax = max(ks)
     knn = knn_scores(labelled.select(id_col, *feature_cols), id_col, feature_cols, reference=train,
                      ref_id_col=id_col, k=kmax, exclude_self=True, keep_distances=True)
-    knn = knn.join(labelled.select(id_col, label_col), id_col)
+    knn = knn.join(labelled.select(id_col, label_col), id_col).checkpoint()      # the search is lazy; every k below reads it
     runs = []
     for k in ks:
         # scores rounded to 9 decimals: ties must not depend on summation order
