@@ -71,3 +71,67 @@ def test_labels_kept_over_batches_equal_a_full_run(spark, monkeypatch, share):
     if share == 500:
         assert sorted(graph.extend_components(labels, v, e).collect()) == sorted(rows)
         assert sorted(graph.extend_components(labels, v.limit(0), e.limit(0)).collect()) == sorted(rows)
+
+
+def tasks_of(spark, group, job):
+    """Tasks of all stages that ``job`` runs."""
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        out = job()
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+    stages = {s for j in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(j).stageIds}
+    return out, sum(i.numTasks for s in stages if (i := tracker.getStageInfo(s)) is not None and i.numCompletedTasks)
+
+
+def test_rounds_of_a_small_graph_run_few_tasks(spark):
+    """A long chain of few edges, many shuffle partitions: a round has far fewer tasks than stages x partitions."""
+    pairs = [(i, i + 1) for i in range(0, 3000)] + [(5000 + i % 7, 6000 + i) for i in range(500)]
+    e = spark.createDataFrame(pairs, "src long, dst long")
+    old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "100")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        v = e.selectExpr("explode(array(src, dst)) as id").distinct()
+        got, tasks = tasks_of(spark, "few-tasks", lambda: graph.connected_components(v, e).collect())
+    finally:
+        for k, x in old.items():
+            spark.conf.set(k, x)
+    want = union_find({i for p in pairs for i in p}, pairs)
+    assert {x["id"]: x["component"] for x in got} == want and len(got) == len(want)
+    assert tasks < 10_000      # 5,763 on 8 cores; 30,245 when every stage had a task for each shuffle partition
+
+
+@pytest.mark.parametrize("known", [True, False])
+def test_no_task_holds_a_hub_when_ends_are_looked_up(spark, known):
+    """A star with 60 % of the edges, its centre a vertex or not: the rows are not shuffled by it."""
+    hub = 10_000_000
+    star = spark.range(0, 60_000, 1, 8).select(F.lit(hub).cast("long").alias("hi"), F.col("id").alias("lo"))
+    rest = spark.range(0, 40_000, 1, 8).select((F.col("id") % 20_000 + 200_000).alias("hi"), (F.col("id") + 100_000).alias("lo"))
+    ids = spark.range(200_000, 220_000)
+    ids = ids.unionByName(spark.range(hub, hub + 1)) if known else ids
+    per = [r["count"] for r in graph._of_vertices(star.unionByName(rest), ids, 100_000).groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(per) == (100_000 if known else 40_000) and max(per) <= 4 * sorted(per)[len(per) // 2]
+
+
+def test_edges_of_finished_rounds_are_deleted(spark):
+    """Only the last round's edges stay below the shared folder."""
+    import os
+
+    from tracewise.session import ensure_checkpoint_dir
+    at = ensure_checkpoint_dir(spark).removeprefix("file:") + "/tables"
+    there = {x for x in os.listdir(at) if x.startswith("component-edges")} if os.path.isdir(at) else set()
+    e = spark.createDataFrame([(i, i + 1) for i in range(200)], "src long, dst long")
+    found = graph.edge_components(e)
+    assert {r["component"] for r in found.collect()} == {0} and found.count() == 201
+    assert len({x for x in os.listdir(at) if x.startswith("component-edges")} - there) == 1
+
+
+def test_loops_and_empty_edges(spark):
+    """No edges, loops and null ends only, and stars already: labels without a round."""
+    none = spark.createDataFrame([(3, 3), (None, 4), (5, None)], "src long, dst long")
+    assert graph.edge_components(none).collect() == [] and graph.edge_components(none.limit(0)).collect() == []
+    v = spark.createDataFrame([("a",), ("b",), ("c",), (None,)], "id string")
+    e = spark.createDataFrame([("b", "a"), ("a", "b"), ("c", "c"), ("b", "z")], "src string, dst string")
+    assert sorted(map(tuple, graph.connected_components(v, e).collect()), key=str) == [("a", "a"), ("b", "a"), ("c", "c"), (None, None)]

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tracewise.llm.common import materialize, release, unused
-from tracewise.operators.graph import connected_components
+from tracewise.operators.graph import edge_components
 
 U = np.uint64
 FAN_OUT = 8
@@ -389,8 +389,7 @@ def components_of_sets(docs: DataFrame, size: int, num: int, den: int, tile_shin
     nodes = flat.where("kind = 0").select("doc_id", F.col("a").alias("h1"), F.col("b").alias("h2"), "n")
     edges = materialize(block_edges(flat), "block-edges")
     classes = materialize(nodes.where("n > 0").groupBy("h1", "h2").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n")), "classes")
-    ends = edges.select(F.explode(F.array("src", "dst")).alias("id")).distinct()
-    blocks = connected_components(ends, edges).select(F.col("id").alias("h1"), F.col("component").alias("block"))
+    blocks = edge_components(edges).select(F.col("id").alias("h1"), F.col("component").alias("block"))
     members = materialize(classes.join(blocks, "h1"), "members")
     release(docs.sparkSession)
     roots = tile_links(docs, members, size, t, tile_shingles, tile_sets)
@@ -483,7 +482,7 @@ def tile_links(docs: DataFrame, members: DataFrame, size: int, t: Threshold, til
     split = dealt.where("tiles > 1")
     if not split.take(1):
         return links
-    known, size_of = labels_of(links, split), split.select("h1", "n")
+    known, size_of = labels_of(links.join(split.select("h1"), "h1", "left_semi"), split), split.select("h1", "n")
     left = materialize(known.where("tile > 0").select("h1"), "not-met")   # tile 0 has met its whole block
     held, slots = None, FIRST_SLOTS
     while True:
@@ -494,8 +493,7 @@ def tile_links(docs: DataFrame, members: DataFrame, size: int, t: Threshold, til
             held = materialize(sets.where("tiles > 1").select("h1", "block", "shingles"), "split-sets")
         pairs = held.join(slot_pairs(others, slots), ["h1", "block"])
         more = materialize(pairs.groupBy("block", "i", "j").applyInArrow(join, "h1 long, root long").distinct(), "more-links")
-        links = links.unionByName(more)
-        known = labels_of(links, split)
+        known = labels_of(more.unionByName(known.where("h1 <> label").select("h1", F.col("label").alias("root"))), split)
         left = materialize(others.where(f"slot is null or slot >= {slots}").select("h1"), "not-met")
         slots *= 2
     rest = links.join(split.select("h1"), "h1", "left_anti")
@@ -529,11 +527,10 @@ def slot_pairs(others: DataFrame, most: int) -> DataFrame:
 
 
 def labels_of(links: DataFrame, split: DataFrame) -> DataFrame:
-    """block, tile, h1, label: components of the links so far, for sets of split blocks."""
-    ids = split.select(F.col("h1").alias("id"))
-    found = connected_components(ids, links.select(F.col("h1").alias("src"), F.col("root").alias("dst")))
-    out = materialize(split.select("block", "tile", "h1").join(
-        found.select(F.col("id").alias("h1"), F.col("component").alias("label")), "h1"), "labels")
+    """block, tile, h1, label: components of ``links`` between sets of split blocks."""
+    found = edge_components(links.select(F.col("h1").alias("src"), F.col("root").alias("dst")))
+    out = materialize(split.select("block", "tile", "h1").join(found.select(F.col("id").alias("h1"), F.col("component").alias("label")), "h1", "left")
+                      .withColumn("label", F.coalesce("label", "h1")), "labels")
     release(split.sparkSession)
     return out
 

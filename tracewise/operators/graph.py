@@ -1,17 +1,17 @@
 """Property graph as two DataFrames, with degree, motif and component jobs.
 
 Vertices ``(id, ...)``; edges ``(src, dst, ...)``. Every operation is a
-join/aggregate; nothing is collected except one scalar per component round.
+join/aggregate; nothing is collected except two scalars per component round.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewise.session import ensure_checkpoint_dir
+from tracewise.session import ensure_checkpoint_dir, remove_path, shared_dir
 
 
 @dataclass
@@ -112,38 +112,52 @@ def reciprocal_pair_counts(edges: DataFrame) -> DataFrame:
 def connected_components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     """Undirected connected components, label = smallest vertex id.
 
-    Alternating large-star / small-star rounds (Kiveris et al., 2014) over the
-    edge list until it stops changing. Each round is two aggregates and two
-    joins; the neighbours of a hub meet its label where they are (see
-    ``_with_label``), so no task holds them all. Each round reads its input several
-    times, so an uncut plan would grow geometrically: lineage is cut with reliable
-    ``checkpoint()`` into the session's checkpoint folder every round. The loop ends
-    when a round changes nothing, however many rounds that takes.
-    Edges whose ends are not both vertices are ignored (T16).
+    Edges whose ends are not both vertices are ignored (T16); which ones those are is
+    joined as in the rounds of ``edge_components``, so no task holds a hub's edges.
+    Vertices without edges are their own component.
     """
-    ensure_checkpoint_dir(vertices.sparkSession)
+    spark = vertices.sparkSession
     ids = vertices.select("id").filter(F.col("id").isNotNull()).distinct()
-    e = edges.select("src", "dst").filter(F.col("src").isNotNull() & F.col("dst").isNotNull() &
-                                          (F.col("src") != F.col("dst")))
-    e = e.join(ids.withColumnRenamed("id", "src"), "src", "left_semi") \
-         .join(ids.withColumnRenamed("id", "dst"), "dst", "left_semi")
-    # canonical undirected edge: (hi, lo) with hi > lo
-    cur = e.select(F.greatest("src", "dst").alias("hi"), F.least("src", "dst").alias("lo")).distinct()
-    cur = cur.checkpoint()
-    while True:
-        n_edges = cur.count()
-        nxt = _small_star(_large_star(cur, n_edges), n_edges).checkpoint()
-        changed = _edge_sets_differ(cur, nxt)
-        cur = nxt
-        if not changed:
-            break
-    labels = cur.select(F.col("hi").alias("id"), F.col("lo").alias("component"))
-    roots = cur.select(F.col("lo").alias("id"), F.col("lo").alias("component"))
-    lab = labels.unionByName(roots).groupBy("id").agg(F.min("component").alias("component"))
-    return (vertices.join(lab, "id", "left")
+    cur, path = _cut(_undirected(edges))
+    n_edges = cur.count()
+    for _ in (0, 1):        # first by the one end, then by the other
+        kept, kept_path = _cut(_of_vertices(cur, ids, n_edges).select(F.col("u").alias("hi"), F.col("v").alias("lo")), n_edges)
+        remove_path(spark, path)
+        cur, path = kept, kept_path
+    return (vertices.join(_components_of(cur, path), "id", "left")
             .withColumn("component", F.coalesce(F.col("component"), F.col("id"))))
 
 
+def edge_components(edges: DataFrame) -> DataFrame:
+    """(id, component) of every end of ``edges`` (src, dst); loops and edges with a null end say nothing."""
+    return _components_of(*_cut(_undirected(edges)))
+
+
+def _components_of(cur: DataFrame, path: str) -> DataFrame:
+    """(id, component) of every end of the distinct edges (hi > lo) written at ``path``.
+
+    Alternating large-star / small-star rounds (Kiveris et al., 2014) over the
+    edge list until it is stars around the smallest ids. Each half round is an aggregate
+    and a join; the neighbours of a hub meet its label where they are (see
+    ``_with_label``), so no task holds them all. Each half reads its input several
+    times, so an uncut plan would grow geometrically: lineage is cut by writing
+    the edges below the session's checkpoint folder, in as many files as they fill
+    tasks (see ``_cut``), and what was read is deleted. The loop ends when every
+    vertex is a centre or has one edge to one, however many rounds that takes.
+    """
+    spark = cur.sparkSession
+    n_edges, stars = _state(cur, cur.count())
+    while not stars:
+        half, half_path = _cut(_large_star(cur, n_edges), n_edges)
+        nxt, nxt_path = _cut(_small_star(half, n_edges), n_edges)
+        remove_path(spark, path)
+        remove_path(spark, half_path)
+        cur, path = nxt, nxt_path
+        n_edges, stars = _state(cur, n_edges)
+    return (cur.select(F.col("hi").alias("id"), F.col("lo").alias("component"))
+            .unionByName(cur.select(F.col("lo").alias("id"), F.col("lo").alias("component")).distinct()))
+
+
 def extend_components(labels: DataFrame, vertices: DataFrame, edges: DataFrame) -> DataFrame:
     """L7 kept over loads: (id, component) of the stored ``labels`` after new vertices and edges.
 
@@ -168,8 +182,7 @@ def extend_components(labels: DataFrame, vertices: DataFrame, edges: DataFrame)
     ends = edges.select("src", "dst").where("src is not null and dst is not null and src <> dst")
     half = meet(ends.select(F.col("src").alias("v"), F.col("dst").alias("u"))).select(F.col("u").alias("v"), F.col("m").alias("u"))
     links = meet(half).where("u <> m").select(F.least("u", "m").alias("src"), F.greatest("u", "m").alias("dst")).distinct().checkpoint()
-    touched = links.select(F.col("src").alias("id")).unionByName(links.select(F.col("dst").alias("id"))).distinct()
-    moved = connected_components(touched, links).where("id <> component").select(F.col("id").alias("component"), F.col("component").alias("m"))
+    moved = edge_components(links).where("id <> component").select(F.col("id").alias("component"), F.col("component").alias("m"))
 
     total = known.count()
     large = (known.groupBy("component").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") * HUB_SHARE > F.lit(total))
@@ -180,30 +193,59 @@ def extend_components(labels: DataFrame, vertices: DataFrame, edges: DataFrame)
 
 
 HUB_SHARE = 500     # a vertex with more than 1 / HUB_SHARE of all edges is a hub: at most 2 * HUB_SHARE of them
+EDGES_PER_TASK = 100_000
+
+
+def _tasks(spark: SparkSession, rows: int) -> int:
+    return max(spark.sparkContext.defaultParallelism, -(-rows // EDGES_PER_TASK))
+
+
+def _cut(df: DataFrame, most: int | None = None) -> tuple[DataFrame, str]:
+    """``df`` written below the shared folder and read back, and its path.
+
+    Where it has at most ``most`` rows, the tasks are no more than those fill: a round has a
+    dozen stages, and with a task for each shuffle partition most of them would be empty.
+    """
+    spark = df.sparkSession
+    path = shared_dir(spark, "component-edges")
+    (df if most is None else df.coalesce(_tasks(spark, most))).write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def _undirected(edges: DataFrame) -> DataFrame:
+    """Canonical edges: distinct (hi, lo) with hi > lo."""
+    e = edges.select("src", "dst").filter(F.col("src").isNotNull() & F.col("dst").isNotNull() & (F.col("src") != F.col("dst")))
+    return e.select(F.greatest("src", "dst").alias("hi"), F.least("src", "dst").alias("lo")).distinct()
+
+
+def _of_vertices(edges: DataFrame, ids: DataFrame, n_edges: int) -> DataFrame:
+    """Edges (v = hi, u = lo) whose ``hi`` is one of the distinct ``ids``."""
+    rows = edges.select(F.col("hi").alias("v"), F.col("lo").alias("u"))
+    per = rows.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
+    known = per.join(ids.select(F.col("id").alias("v"), F.lit(True).alias("_known")), "v", "left")
+    return _with_label(rows, known.select("v", F.coalesce("_known", F.lit(False)).alias("m"), "n"), n_edges).where("m").select("v", "u")
 
 
 def _with_label(rows: DataFrame, labels: DataFrame, n_edges: int) -> DataFrame:
-    """``rows`` (v, u) joined with ``labels`` (v, m, n) on v, n being the rows of v counted by the aggregate.
+    """``rows`` (v, u) joined with ``labels`` (v, m, n; m not null) on v, n being the rows of v counted by the aggregate.
 
     Hubs are few whatever the graph, so their labels are broadcast and their rows
     are not shuffled; all others are joined by shuffle, none with more than
     1 / HUB_SHARE of the edges.
     """
     is_hub = F.col("n") * HUB_SHARE > F.lit(n_edges)
-    hubs = labels.filter(is_hub).select("v", "m")
+    hubs = labels.filter(is_hub).select("v", "m").coalesce(_tasks(rows.sparkSession, n_edges))
     others = labels.filter(~is_hub).select("v", "m")
-    return (rows.join(F.broadcast(hubs), "v")
-            .unionByName(rows.join(F.broadcast(hubs.select("v")), "v", "left_anti").join(others, "v")))
+    met = rows.join(F.broadcast(hubs), "v", "left")
+    return met.where("m is not null").unionByName(met.where("m is null").drop("m").join(others, "v"))
 
 
 def _large_star(edges: DataFrame, n_edges: int) -> DataFrame:
-    """For each v: link every larger neighbour u > v to m(v) = min(v, N(v))."""
-    both = edges.select(F.col("hi").alias("v"), F.col("lo").alias("u")).unionByName(
-        edges.select(F.col("lo").alias("v"), F.col("hi").alias("u")))
+    """For each v: link every larger neighbour u > v to m(v) = min(v, N(v)). One row per edge, repeats included."""
+    both = edges.selectExpr("stack(2, hi, lo, lo, hi) as (v, u)")
     labels = both.groupBy("v").agg(F.least(F.min("u"), F.col("v")).alias("m"), F.count(F.lit(1)).alias("n"))
     larger = edges.select(F.col("lo").alias("v"), F.col("hi").alias("u"))
-    linked = _with_label(larger, labels, n_edges).select(F.col("u").alias("hi"), F.col("m").alias("lo"))
-    return linked.distinct()
+    return _with_label(larger, labels, n_edges).select(F.col("u").alias("hi"), F.col("m").alias("lo"))
 
 
 def _small_star(edges: DataFrame, n_edges: int) -> DataFrame:
@@ -215,13 +257,16 @@ def _small_star(edges: DataFrame, n_edges: int) -> DataFrame:
     return linked.unionByName(own).filter(F.col("hi") != F.col("lo")).distinct()
 
 
-def _edge_sets_differ(a: DataFrame, b: DataFrame) -> bool:
-    """Exact set comparison of two (hi, lo) edge lists in one shuffle."""
-    tagged = a.select("hi", "lo", F.lit(1).alias("_in_a"), F.lit(0).alias("_in_b")).unionByName(
-        b.select("hi", "lo", F.lit(0).alias("_in_a"), F.lit(1).alias("_in_b")))
-    diff = (tagged.groupBy("hi", "lo").agg(F.max("_in_a").alias("x"), F.max("_in_b").alias("y"))
-            .filter(F.col("x") != F.col("y")))
-    return len(diff.take(1)) > 0
+def _state(edges: DataFrame, most: int) -> tuple[int, bool]:
+    """Number of distinct edges (hi, lo), of which there are at most ``most``, and whether they are stars around smaller ids.
+
+    They are when no vertex has two edges down, or one edge down and one up; all smaller-id
+    neighbours are centres then, and the labels are final.
+    """
+    ends = edges.selectExpr("stack(2, hi, 1L, 0, lo, 0L, 1) as (v, down, up)")
+    per = ends.groupBy("v").agg(F.sum("down").alias("down"), F.max("up").alias("up")).coalesce(_tasks(edges.sparkSession, most))
+    got = per.agg(F.sum("down").alias("n"), F.count_if(F.expr("down > 1 or down = 1 and up = 1")).alias("others")).first()
+    return got["n"] or 0, got["others"] == 0
 
 
 def neighbor_avg_degree(edges: DataFrame, id_prefix: str | None = None) -> DataFrame:
