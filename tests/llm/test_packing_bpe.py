@@ -74,6 +74,27 @@ def test_pieces_are_the_library_tokens(spark):
     assert packing.pack_documents(edge_rows.no_documents(spark)).count() == 0
 
 
+def test_a_task_takes_a_fixed_number_of_groups(spark):
+    docs = spark.range(1200).selectExpr("id AS doc_id", "repeat(concat('word', id, ' '), 12) AS text")
+    pieces = packing.pack_documents(docs, capacity=64, group_bytes=2_000).selectExpr("*", "shiftright(sequence_id, 32) AS g", "spark_partition_id() AS p")
+    by_task = defaultdict(set)
+    for r in pieces.collect():
+        by_task[r["p"]].add(r["g"])
+    assert max(map(len, by_task.values())) <= packing.TASK_GROUPS < len(set().union(*by_task.values()))
+    assert sum(map(len, by_task.values())) == len(set().union(*by_task.values()))
+
+
+@pytest.mark.parametrize("separator, kind", [(0, "<u2"), (65_535, "<u2"), (65_536, "<u4"), (2 ** 32 - 1, "<u4")])
+def test_ids_beyond_two_bytes_stay_whole(spark, separator, kind):
+    v = tokens.json_vocabulary()
+    assert packing.id_type(v, separator) == kind
+    docs = edge_rows.documents(spark).where("doc_id IN (2, 4, 6)")
+    got = defaultdict(list)
+    for r in packing.pack_documents(docs, v, capacity=32, separator=separator, group_bytes=200).orderBy("start").collect():
+        got[r["doc_id"]] += np.frombuffer(r["ids"], "<u4").tolist()
+    assert got == {d["doc_id"]: [*v.encoder.encode(d["text"], allowed_special="all"), separator] for d in docs.collect()}
+
+
 def test_query_checksum(spark):
     rows = packing.pack_documents(edge_rows.documents(spark).where("doc_id = 9")).selectExpr("ids", "crc32(ids) AS c").collect()
     assert [r["c"] for r in rows] == [zlib.crc32(rows[0]["ids"])]

@@ -7,10 +7,14 @@ with room (a tournament tree over the bins' free space finds it in O(log bins)),
 and pieces of the last bins are then cut to close the gaps of the earlier ones, so
 that a group leaves at most one sequence with padding. Groups never talk to each
 other and pack their rows by doc_id and tokens, so a lost task is simply run again.
+A task takes a fixed number of whole groups, dealt evenly by number, and holds no
+more than their ids; nothing is sorted on the way.
 """
 
 from __future__ import annotations
 
+from collections import defaultdict
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -19,6 +23,8 @@ from pyspark.sql import functions as F
 from tracewise.llm.tokens import Vocabulary, json_vocabulary
 
 SEED = 20240501
+#: Groups that one task takes.
+TASK_GROUPS = 8
 PIECES = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 
 
@@ -86,6 +92,12 @@ def pack_group(lengths: list[int], capacity: int) -> list[list[tuple[int, int, i
     return whole + close_gaps([[rest[i] for i in b] for b in bins], capacity)
 
 
+def id_type(vocabulary: Vocabulary, separator: int) -> str:
+    """Ids travel to their groups in two bytes each if every id and the separator fit, else in four."""
+    top = max(separator, *vocabulary.ranks.values(), *vocabulary.special.values())
+    return "<u2" if top < 1 << 16 else "<u4"
+
+
 def pack_documents(docs: DataFrame, vocabulary: Vocabulary | None = None, capacity: int = 1024,
                    separator: int = 0, group_bytes: int = 2_000_000) -> DataFrame:
     """One row per piece: doc_id, start, length, doc_tokens, sequence_id, offset, ids.
@@ -98,37 +110,47 @@ def pack_documents(docs: DataFrame, vocabulary: Vocabulary | None = None, capaci
     an empty table gives no rows; other columns are ignored.
     """
     spark = docs.sparkSession
-    vocab = spark.sparkContext.broadcast(vocabulary or json_vocabulary())
+    vocabulary = vocabulary or json_vocabulary()
+    kind, vocab = id_type(vocabulary, separator), spark.sparkContext.broadcast(vocabulary)
     total = docs.select(F.sum(F.octet_length("text") + 1)).first()[0] or 1
     groups = max(1, -(-total // group_bytes))
+    tasks = -(-groups // TASK_GROUPS)
     dealt = docs.select("doc_id", "text", F.floor(F.rand(SEED) * groups).cast("int").alias("_group"))
 
     def tokenise(batches):
-        encoder, end = vocab.value.encoder, np.array([separator], np.uint32).tobytes()
+        encoder, end = vocab.value.encoder, np.array([separator], kind).tobytes()
         for batch in batches:
             for part in (batch.slice(i, 256) for i in range(0, batch.num_rows, 256)):
-                ids = [encoder.encode_to_numpy(t or "", allowed_special="all").astype("<u4").tobytes() + end
+                ids = [encoder.encode_to_numpy(t or "", allowed_special="all").astype(kind).tobytes() + end
                        for t in part["text"].to_pylist()]
                 yield pa.RecordBatch.from_arrays([part["doc_id"], part["_group"], pa.array(ids, pa.binary())],
                                                  ["doc_id", "_group", "ids"])
 
-    def pack(key, tab):
+    def pack(group, rows):
         # a fixed order, however the rows arrived: a task that runs again packs the same
-        rows = sorted(zip(tab["doc_id"].to_pylist(), tab["ids"].to_pylist(), strict=True), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+        rows = sorted(((doc, np.frombuffer(x, kind).astype("<u4").tobytes()) for doc, x in rows), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
         docs_ids, ids = [r[0] for r in rows], [r[1] for r in rows]
         lengths = [len(x) // 4 for x in ids]
         cols: list[list] = [[] for _ in range(7)]
         for n, sequence in enumerate(pack_group(lengths, capacity)):
             at = 0
             for doc, start, length in sequence:
-                row = (docs_ids[doc], start, length, lengths[doc], (key[0].as_py() << 32) + n, at,
+                row = (docs_ids[doc], start, length, lengths[doc], (group << 32) + n, at,
                        ids[doc][4 * start:4 * (start + length)])
                 for c, v in zip(cols, row, strict=True):
                     c.append(v)
                 at += length
         kinds = [pa.int64()] * 6 + [pa.binary()]
-        return pa.table([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)],
-                        names=["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"])
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)],
+                                          ["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"])
+
+    def pack_groups(batches):
+        held = defaultdict(list)
+        for batch in batches:
+            for doc, group, ids in zip(*(batch[c].to_pylist() for c in ("doc_id", "_group", "ids")), strict=True):
+                held[group].append((doc, ids))
+        while held:
+            yield pack(*held.popitem())
 
     return (dealt.mapInArrow(tokenise, "doc_id long, _group int, ids binary")
-            .groupBy("_group").applyInArrow(pack, PIECES))
+            .repartitionById(tasks, F.col("_group") % tasks).mapInArrow(pack_groups, PIECES))
