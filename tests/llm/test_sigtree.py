@@ -176,3 +176,34 @@ def test_rows_that_share_an_id_are_judged_by_their_own_texts(spark):
     assert kept.columns == df.columns
     assert sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str) == sorted(
         [(1, base), (5, other), (7, third), (7, rows[4][1]), (10, ""), (10, None), (None, base), (None, base)], key=str)
+
+
+def test_many_marked_ids_are_not_broadcast(spark):
+    n = 30_000
+    texts = spark.range(n).selectExpr("id", "concat_ws(' ', transform(sequence(1, 6), i -> concat('w', id, '-', i))) as text")
+    rows = texts.selectExpr("id as doc_id", "text", "1 as `a.b`").unionByName(texts.selectExpr("id + 100000", "text", "2").toDF("doc_id", "text", "a.b"))
+    odd = spark.createDataFrame([(None, "w7-1 w7-2 w7-3 w7-4 w7-5 w7-6", 3), (200_000, "quite alone", 4), (200_001, None, 5), (200_002, "", 6)], "doc_id long, text string, `a.b` int")
+    kept = sigtree.keep_one_per_group(rows.unionByName(odd))
+    assert kept.columns == rows.columns
+    assert sorted(kept.selectExpr("doc_id", "`a.b`").collect(), key=str) == sorted([*((i, 1) for i in range(n)), (None, 3), (200_000, 4), (200_001, 5), (200_002, 6)], key=str)
+    kept.collect()
+    joins = [x for x in kept._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].splitlines() if "Join" in x]
+    assert any("ShuffledHashJoin" in x and "LeftAnti" in x for x in joins)
+    assert not any("BroadcastHashJoin" in x and "LeftAnti" in x for x in joins)
+
+
+@pytest.mark.parametrize("how", ["inner", "left_semi", "left_anti"])
+@pytest.mark.parametrize("filter_bits", [2 ** 15, 2 ** 25])
+def test_ids_met_by_filter_and_by_broadcast_are_the_same(spark, monkeypatch, how, filter_bits):
+    rows = spark.createDataFrame([(i if i % 500 else None, f"t{i}", i, "x") for i in range(4000)], "doc_id int, text string, _place int, _mask string")
+    ids = spark.createDataFrame([(i * 3, i) for i in range(2000)] + [(None, -1), (6, -2)], "rep long, other long")
+    monkeypatch.setattr(sigtree, "FILTER_BITS", filter_bits)
+    got = []
+    for limit in (0, 2 ** 25):
+        monkeypatch.setattr(sigtree, "BROADCAST_BYTES", limit)
+        found = sigtree.met_by_id(rows, ids, "rep", how)
+        assert found.columns == rows.columns + (["other"] if how == "inner" else [])
+        got.append(sorted(map(tuple, found.collect()), key=str))
+    held = {i * 3 for i in range(2000)} | {None}
+    assert got[0] == got[1]
+    assert {r[1] for r in got[0]} == {f"t{i}" for i in range(4000) if ((i if i % 500 else None) in held) == (how != "left_anti")}

@@ -39,7 +39,9 @@ FAN_OUT = 8
 TILE_SHINGLES, TILE_SETS = 500_000, 512
 FIRST_SLOTS = 4            # slots of a block's first round of tile pairs; doubled each round
 SIGNATURES_PER_BUCKET = 1_000_000
-BROADCAST_BYTES = 32 * 2 ** 20
+BROADCAST_BYTES = 2 * 2 ** 20
+ID_BYTES, SET_BYTES = 72, 145  # of the driver's memory for each row of a broadcast table of ids, and of ``wanted`` in tile_links()
+FILTER_BITS = 2 ** 25      # of the filter that is broadcast in place of more ids, at most
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -286,9 +288,40 @@ def shared(sigs: np.ndarray, names: np.ndarray) -> np.ndarray:
     return out
 
 
-def small_enough(df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """``df`` with a broadcast hint if its counted rows are known to fit; else unchanged, and the join shuffles."""
-    return F.broadcast(df) if df.count() * row_bytes <= limit else df
+def met_by_id(rows: DataFrame, ids: DataFrame, key: str, how: str, row_bytes: int = ID_BYTES) -> DataFrame:
+    """``rows`` joined (inner, left_semi or left_anti) with ``ids`` where doc_id equals ``key``, null equal to null; ``key`` goes.
+
+    A few ids are broadcast. Of more, a filter of bounded size is: the rows that it lets
+    through meet the ids by shuffle, all others stay where they are or are dropped there.
+    """
+    name = unused([*rows.columns, *ids.columns], "_id")
+    ids, on, n = ids.withColumnRenamed(key, name), F.col("doc_id").eqNullSafe(F.col(name)), ids.count()
+    if n * row_bytes <= BROADCAST_BYTES:
+        return rows.join(F.broadcast(ids), on, how).drop(name)
+    passed, others = sift(rows, ids.select(name), n)
+    met = passed.join(ids.hint("shuffle_hash"), on, how).drop(name)
+    return met.union(others) if how == "left_anti" else met
+
+
+def sift(rows: DataFrame, ids: DataFrame, n: int) -> tuple[DataFrame, DataFrame]:
+    """The ``rows`` whose doc_id may be one of the ``n`` ``ids``, and those whose is none.
+
+    An id sets the bit that its hash names, null like any other, among 16 or more for each id up to FILTER_BITS.
+    """
+    bits = min(FILTER_BITS, 1 << max(15, (16 * n).bit_length()))
+    place, bucket, mask, passed = (unused(rows.columns, c) for c in ("_place", "_bucket", "_mask", "_passed"))
+
+    def placed(id_column: str):
+        return F.pmod(F.xxhash64(F.col(id_column).cast("long")), F.lit(bits)).alias(place)
+
+    held = (ids.select(placed(ids.columns[0])).groupBy(F.expr(f"bitmap_bucket_number({place})").alias(bucket))
+            .agg(F.expr(f"bitmap_construct_agg(bitmap_bit_position({place}))").alias(mask)))
+    at = rows.select("*", placed("doc_id")).withColumn(bucket, F.expr(f"bitmap_bucket_number({place})"))
+    byte = f"cast(conv(hex(substring({mask}, cast(bitmap_bit_position({place}) div 8 as int) + 1, 1)), 16, 10) as int)"
+    bit = F.expr(f"coalesce(getbit({byte}, cast(bitmap_bit_position({place}) % 8 as int)) = 1, false)")
+    sifted = at.join(F.broadcast(held), bucket, "left").withColumn(passed, bit)
+    passes = F.col(passed)
+    return tuple(sifted.where(x).drop(place, bucket, mask, passed) for x in (passes, ~passes))
 
 
 def shingle_classes(docs: DataFrame, size: int, t: Threshold) -> DataFrame:
@@ -455,7 +488,7 @@ def tile_links(docs: DataFrame, members: DataFrame, size: int, t: Threshold, til
                                               pa.array([x for _, x in rows], pa.binary())], ["h1", "block", "tile", "tiles", "shingles"])
 
     wanted = dealt.select(F.col("rep"), "h1", "h2", "block", "tile", "tiles")
-    sets = (docs.select("doc_id", "text").join(small_enough(wanted, 48), F.col("doc_id").eqNullSafe(F.col("rep")))
+    sets = (met_by_id(docs.select("doc_id", "text"), wanted, "rep", "inner", SET_BYTES)
             .select("text", "h1", "h2", "block", "tile", "tiles")
             .mapInArrow(load, "h1 long, block long, tile long, tiles long, shingles binary"))
 
@@ -561,15 +594,15 @@ def keep_one_per_group(docs: DataFrame, size: int = 5, num: int = 80, den: int =
              .agg(F.count(F.lit(1)).alias("rows"), F.max(F.col("doc_id") != F.col("component_id")).alias("gone")).where("gone or rows > 1"))
     marks = materialize(marks, "marked-ids")
     again = marks.where("rows > 1").select("doc_id")
-    single = docs.join(small_enough(marks.select("doc_id"), 24), "doc_id", "left_anti")
+    single = met_by_id(docs, marks.select("doc_id"), "doc_id", "left_anti")
     if not again.take(1):
         return single
     # one set per component of the rows that share their id: the least of those that have the component's smallest id
-    first = (found.join(small_enough(again, 24), "doc_id", "left_semi").where("n_shingles > 0 and doc_id = component_id")
+    first = (met_by_id(found, again, "doc_id", "left_semi").where("n_shingles > 0 and doc_id = component_id")
              .groupBy("doc_id", "root").agg(F.min(F.struct("h1", "h2")).alias("_s")))
     a, b = unused(docs.columns, "_set1"), unused(docs.columns, "_set2")
     first = first.select("doc_id", F.col("_s.h1").alias(a), F.col("_s.h2").alias(b))
-    shared = with_set_hashes(docs.join(small_enough(again, 24), "doc_id", "left_semi"), size, (a, b))
+    shared = with_set_hashes(met_by_id(docs, again, "doc_id", "left_semi"), size, (a, b))
     chosen = shared.where(F.col(a).isNotNull()).join(first, ["doc_id", a, b], "left_semi").dropDuplicates(["doc_id", a, b])
     bare = shared.where(F.col(a).isNull()).dropDuplicates(["doc_id", "text"])
     return single.unionByName(chosen.unionByName(bare).select(*docs.columns))
