@@ -179,7 +179,7 @@ def test_rows_that_share_an_id_are_judged_by_their_own_texts(spark):
 
 
 def test_many_marked_ids_are_not_broadcast(spark):
-    n = 30_000
+    n = 60_000
     texts = spark.range(n).selectExpr("id", "concat_ws(' ', transform(sequence(1, 6), i -> concat('w', id, '-', i))) as text")
     rows = texts.selectExpr("id as doc_id", "text", "1 as `a.b`").unionByName(texts.selectExpr("id + 100000", "text", "2").toDF("doc_id", "text", "a.b"))
     odd = spark.createDataFrame([(None, "w7-1 w7-2 w7-3 w7-4 w7-5 w7-6", 3), (200_000, "quite alone", 4), (200_001, None, 5), (200_002, "", 6)], "doc_id long, text string, `a.b` int")

@@ -39,7 +39,7 @@ FAN_OUT = 8
 TILE_SHINGLES, TILE_SETS = 500_000, 512
 FIRST_SLOTS = 4            # slots of a block's first round of tile pairs; doubled each round
 SIGNATURES_PER_BUCKET = 1_000_000
-BROADCAST_BYTES = 2 * 2 ** 20
+BROADCAST_BYTES = 4 * 2 ** 20
 ID_BYTES, SET_BYTES = 72, 145  # of the driver's memory for each row of a broadcast table of ids, and of ``wanted`` in tile_links()
 FILTER_BITS = 2 ** 25      # of the filter that is broadcast in place of more ids, at most
 
